@@ -1,140 +1,141 @@
 """Null-safe scalar expressions.
 
-Every function takes and returns ``Column``. Division by zero, unparsable text and NaN all become
-NULL, the only "unknown" this library has (ANSI mode would raise instead).
+Every function takes SQL expression text and returns SQL expression text, for ``selectExpr``,
+``where`` and ``F.expr``: a projection of a hundred formulas is then one call to Spark instead of
+thousands of column calls. Division by zero, unparsable text and NaN all become NULL, the only
+"unknown" this library has (ANSI mode would raise instead).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tickloom import schema
 
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd")
 
 
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def name(column: str) -> str:
+    """A column name quoted for use in an expression."""
+    return "`" + column.replace("`", "``") + "`"
 
-def num(c: Column | str) -> Column:
+
+def num(x: str) -> str:
     """Double, with NaN turned into NULL so that aggregates skip it."""
-    d = as_column(c).cast("double")
-    return F.when(~F.isnan(d), d)
+    return f"nanvl(double({x}), NULL)"
 
 
-def parse_num(c: Column | str) -> Column:
+def parse_num(x: str) -> str:
     """Text to double; anything that is not a number is NULL."""
-    d = F.trim(as_column(c).cast("string")).try_cast("double")
-    return F.when(~F.isnan(d), d)
+    return f"nanvl(try_cast(trim(string({x})) AS double), NULL)"
 
 
-def parse_date(c: Column | str) -> Column:
+def parse_date(x: str) -> str:
     """Text to date in any of the three landed formats; placeholders fall through to NULL."""
-    text = F.trim(as_column(c).cast("string"))
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS))
+    tries = ", ".join(f"try_to_timestamp(trim(string({x})), '{f}')" for f in DATE_FORMATS)
+    return f"date(coalesce({tries}))"
+
+
+def clean_text(x: str) -> str:
+    return f"trim(coalesce(string({x}), ''))"
 
 
-def ndiv(a: Column, b: Column) -> Column:
+def ndiv(a: str, b: str) -> str:
     """a / b, NULL when b is zero or either side is NULL."""
-    return F.try_divide(a, b)
+    return f"try_divide({a}, {b})"
 
 
-def pct(a: Column, b: Column) -> Column:
-    return ndiv(a, b) * 100
+def pct(a: str, b: str) -> str:
+    return f"(try_divide({a}, {b}) * 100)"
 
 
-def ratio4(a: Column, b: Column, scale: float = 1.0) -> Column:
+def ratio4(a: str, b: str, scale: int = 1) -> str:
     """A ratio rounded to four digits, the precision all stored ratios share."""
-    quotient = ndiv(num(a), num(b))
-    return F.round(quotient if scale == 1.0 else quotient * scale, 4)
+    quotient = f"try_divide({num(a)}, {num(b)})"
+    return f"round({quotient if scale == 1 else f'{quotient} * {scale}'}, 4)"
 
 
-def positive(c: Column) -> Column:
+def positive(x: str) -> str:
     """The value if it is above zero, else NULL."""
-    return F.when(c > 0, c)
+    return f"if({x} > 0, {x}, NULL)"
 
 
-def non_zero(c: Column) -> Column:
-    return F.when(c != 0, c)
+def non_zero(x: str) -> str:
+    return f"if({x} != 0, {x}, NULL)"
 
 
-def floor_at(c: Column, bound: float) -> Column:
-    """max(c, bound) that keeps NULL (``greatest`` alone would skip it)."""
-    return F.when(c.isNotNull(), F.greatest(c, F.lit(bound)))
+def floor_at_zero(x: str) -> str:
+    """max(x, 0) that keeps NULL (``greatest`` alone would skip it)."""
+    return f"if({x} < 0, 0D, {x})"
 
 
-def settle(c: Column, digits: int = 4) -> Column:
+def settle(x: str, digits: int = 4) -> str:
     """Round by explicit arithmetic, with ties nudged up.
 
     Summation order moves a double by an ulp; two engines then round an exact tie apart. The nudge
     keeps the step well clear of such ties.
     """
-    scale = float(10**digits)
-    return F.floor(c.cast("double") * scale + 0.500001) / scale
+    return f"(floor(double({x}) * 1e{digits} + 0.500001D) / 1e{digits})"
 
 
-def decimal4(c: Column) -> Column:
+def decimal4(x: str) -> str:
     """A double settled to four digits and stored as decimal(10,4)."""
-    units = F.floor(c.cast("double") * 10000.0 + 0.500001).cast("decimal(18,0)")
-    return (units * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(10,4)")
+    units = f"cast(floor(double({x}) * 1e4 + 0.500001D) AS decimal(18,0))"
+    return f"cast({units} * cast('0.0001' AS decimal(5,4)) AS decimal(10,4))"
 
 
 # --- instrument codes -------------------------------------------------------------------------
 
 
-def to_symbol(bare: Column) -> Column:
+def to_symbol(bare: str) -> str:
     """'600519' -> 'sh600519', '000858' -> 'sz000858'."""
-    code = F.trim(bare.cast("string"))
-    exchange = F.when(code.rlike(schema.SHANGHAI_PREFIX), F.lit("sh")).otherwise(F.lit("sz"))
-    return F.concat(exchange, code)
+    code = f"trim(string({bare}))"
+    return f"concat(if({code} rlike '{schema.SHANGHAI_PREFIX}', 'sh', 'sz'), {code})"
 
 
-def bare_code(symbol: Column) -> Column:
-    return F.substring(symbol, 3, 64)
+def bare_code(symbol: str) -> str:
+    return f"substring({symbol}, 3)"
 
 
-def to_dotted(symbol: Column) -> Column:
+def to_dotted(symbol: str) -> str:
     """'sh600519' -> 'sh.600519'."""
-    return F.concat(F.substring(symbol, 1, 2), F.lit("."), bare_code(symbol))
+    return f"concat(left({symbol}, 2), '.', substring({symbol}, 3))"
 
 
-def from_dotted(code: Column) -> Column:
+def from_dotted(code: str) -> str:
     """'sh.600519' -> 'sh600519' (first dot only)."""
-    return F.regexp_replace(code, r"^([^.]*)\.", "$1")
+    return f"regexp_replace({code}, '^([^.]*)[.]', '$1')"
 
 
-def to_upper_symbol(symbol: Column) -> Column:
+def to_upper_symbol(symbol: str) -> str:
     """'sh600519' -> 'SH600519'."""
-    return F.upper(symbol)
+    return f"upper({symbol})"
 
 
-def to_market_id(symbol: Column) -> Column:
+def to_market_id(symbol: str) -> str:
     """'sh600519' -> '1.600519', everything else -> '0.…'."""
-    market = F.when(symbol.startswith("sh"), F.lit("1.")).otherwise(F.lit("0."))
-    return F.concat(market, bare_code(symbol))
+    return f"concat(if(startswith({symbol}, 'sh'), '1.', '0.'), substring({symbol}, 3))"
 
 
-def is_fund(symbol: Column) -> Column:
-    return symbol.rlike(schema.FUND_PATTERN)
+def is_fund(symbol: str) -> str:
+    return f"({symbol} rlike '{schema.FUND_PATTERN}')"
 
 
 # --- fiscal calendar --------------------------------------------------------------------------
 
 
-def quarter_end(year: Column, quarter: Column) -> Column:
-    return F.last_day(F.make_date(year, quarter * 3, F.lit(1)))
+def quarter_end(year: str, quarter: str) -> str:
+    return f"last_day(make_date({year}, ({quarter}) * 3, 1))"
 
 
-def quarter_type(report_date: Column) -> Column:
+def quarter_type(report_date: str) -> str:
     """Q1, Q2, Q3 or FY by calendar month."""
-    names = F.array(*(F.lit(n) for n in schema.QUARTER_TYPES))
-    return F.element_at(names, F.quarter(report_date))
+    names = ", ".join(f"'{n}'" for n in schema.QUARTER_TYPES)
+    return f"element_at(array({names}), quarter({report_date}))"
 
 
-def first_present(*columns: Column) -> Column:
+def first_number(*columns: str) -> str:
     """First candidate that parses as a number, in the given order."""
-    return reduce(lambda a, b: F.coalesce(a, b), (parse_num(c) for c in columns))
+    return f"coalesce({', '.join(parse_num(c) for c in columns)})"

@@ -1,63 +1,74 @@
-"""Windows over one symbol's ordered series.
+"""Windows over one symbol's ordered series, as SQL expression text.
 
 A symbol's daily series holds at most one row per calendar day (its key), so a partition of these
 windows is bounded by the calendar however large the table grows; feeds are aggregated or
-de-duplicated to that key before any window sees them. All helpers share one (partition, order)
-pair, so a chain of them costs one shuffle and one sort.
+de-duplicated to that key before any window sees them. All helpers of a chain share one
+(partition, order) pair, so the chain costs one shuffle and one sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
-from pyspark.sql import functions as F
+from dataclasses import dataclass
 
 
-def by(keys: str | list[str], *order: str) -> WindowSpec:
-    names = [keys] if isinstance(keys, str) else keys
-    return Window.partitionBy(*names).orderBy(*order)
+@dataclass(frozen=True)
+class Series:
+    """Window expressions over rows of one key in one order."""
 
+    key: str = "stock_code"
+    order: str = "trade_date"
 
-def last_rows(w: WindowSpec, n: int) -> WindowSpec:
-    """This row and the n-1 before it, fewer at the start of the series."""
-    return w.rowsBetween(-(n - 1), 0)
+    def over(self, call: str, frame: str = "") -> str:
+        return f"{call} OVER (PARTITION BY {self.key} ORDER BY {self.order} {frame})"
 
+    def lag(self, x: str, rows: int = 1) -> str:
+        return self.over(f"lag({x}, {rows})")
 
-def so_far(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(Window.unboundedPreceding, 0)
+    def lead(self, x: str, rows: int = 1) -> str:
+        return self.over(f"lead({x}, {rows})")
 
+    def last_rows(self, call: str, n: int) -> str:
+        """Over this row and the n-1 before it, fewer at the start of the series."""
+        return self.over(call, f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
 
-def rolling_mean(c: Column, w: WindowSpec, n: int) -> Column:
-    return F.avg(c).over(last_rows(w, n))
+    def so_far(self, call: str) -> str:
+        return self.over(call, "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
 
+    def whole(self, call: str) -> str:
+        return f"{call} OVER (PARTITION BY {self.key})"
 
-def full_mean(c: Column, w: WindowSpec, n: int, digits: int) -> Column:
-    """Rolling mean that stays NULL until n values are present."""
-    frame = last_rows(w, n)
-    return F.when(F.count(c).over(frame) >= n, F.round(F.avg(c).over(frame), digits))
+    def diff(self, x: str) -> str:
+        return f"({x} - {self.lag(x)})"
 
+    def mean(self, x: str, n: int) -> str:
+        return self.last_rows(f"avg({x})", n)
 
-def rolling_sum(c: Column, w: WindowSpec, n: int) -> Column:
-    return F.sum(c).over(last_rows(w, n))
+    def full_mean(self, x: str, n: int, digits: int) -> str:
+        """Rolling mean that stays NULL until n values are present."""
+        enough = self.last_rows(f"count({x})", n)
+        return f"if({enough} >= {n}, round({self.mean(x, n)}, {digits}), NULL)"
 
+    def sum(self, x: str, n: int) -> str:
+        return self.last_rows(f"sum({x})", n)
 
-def rolling_max(c: Column, w: WindowSpec, n: int) -> Column:
-    return F.max(c).over(last_rows(w, n))
+    def max(self, x: str, n: int) -> str:
+        return self.last_rows(f"max({x})", n)
 
+    def min(self, x: str, n: int) -> str:
+        return self.last_rows(f"min({x})", n)
 
-def rolling_min(c: Column, w: WindowSpec, n: int) -> Column:
-    return F.min(c).over(last_rows(w, n))
+    def std(self, x: str, n: int) -> str:
+        """Sample standard deviation; NULL while the window holds a single value."""
+        return self.last_rows(f"stddev_samp({x})", n)
 
+    def values(self, x: str, n: int) -> str:
+        return self.last_rows(f"collect_list({x})", n)
 
-def rolling_std(c: Column, w: WindowSpec, n: int) -> Column:
-    """Sample standard deviation; NULL while the window holds a single value."""
-    return F.stddev_samp(c).over(last_rows(w, n))
 
+BARS = Series()
 
-def rolling_values(c: Column, w: WindowSpec, n: int) -> Column:
-    return F.collect_list(c).over(last_rows(w, n))
 
-
-def mean_abs_deviation(values: Column, mean: Column) -> Column:
-    """Mean distance of the collected window values from the window mean."""
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.abs(v - mean))
-    return F.try_divide(total, F.size(values).cast("double"))
+def mean_abs_deviation(values: str, mean: str) -> str:
+    """Mean distance of collected window values from the window mean."""
+    total = f"aggregate({values}, 0D, (total, v) -> total + abs(v - {mean}))"
+    return f"try_divide({total}, double(size({values})))"

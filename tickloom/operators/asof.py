@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from tickloom.functions.series import Series
 
 
 def asof_newest(
@@ -18,37 +19,28 @@ def asof_newest(
     periods: DataFrame,
     by: str,
     on: str,
-    known_from: Column,
+    known_from: str,
     period: str,
     payload: Sequence[str],
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """``rows`` with ``period`` and ``payload`` of the newest period whose ``known_from`` <= ``on``.
 
-    A period known from day d serves rows of day d. Periods whose ``known_from`` is NULL are never
-    used; rows before the first known period get NULLs. ``tie_break`` orders periods of equal date.
+    ``known_from`` is an expression over ``periods``. A period known from day d serves rows of day
+    d. Periods whose ``known_from`` is NULL are never used; rows before the first known period get
+    NULLs. ``tie_break`` orders periods of equal date.
     """
-    carried = F.struct(period, *tie_break, *payload)
-    known = periods.withColumn("_known", known_from).where(F.col("_known").isNotNull())
-    known = known.select(
-        F.col(by), F.col("_known").alias("_day"), F.lit(0).alias("_side"), carried.alias("_state")
-    )
-    asked = rows.select(
-        F.col(by),
-        F.col(on).alias("_day"),
-        F.lit(1).alias("_side"),
-        F.struct(*(c for c in rows.columns if c != by)).alias("_row"),
+    carried = ", ".join((period, *tie_break, *payload))
+    own = [c for c in rows.columns if c != by]
+    known = periods.selectExpr(
+        by, f"{known_from} AS _day", "0 AS _side", f"struct({carried}) AS _state"
+    ).where("_day IS NOT NULL")
+    asked = rows.selectExpr(
+        by, f"{on} AS _day", "1 AS _side", f"struct({', '.join(own)}) AS _row"
     )
+    newest = Series(by, "_day, _side").so_far("max(_state)")
     line = known.unionByName(asked, allowMissingColumns=True)
-    past = (
-        Window.partitionBy(by)
-        .orderBy("_day", "_side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = line.withColumn("_newest", F.max("_state").over(past)).where(F.col("_side") == 1)
-    return found.select(
-        by,
-        *(F.col(f"_row.{c}").alias(c) for c in rows.columns if c != by),
-        F.col(f"_newest.{period}").alias(period),
-        *(F.col(f"_newest.{c}").alias(c) for c in payload),
+    found = line.selectExpr(by, "_side", "_row", f"{newest} AS _newest").where("_side = 1")
+    return found.selectExpr(
+        by, *(f"_row.{c} AS {c}" for c in own), *(f"_newest.{c} AS {c}" for c in (period, *payload))
     )

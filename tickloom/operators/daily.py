@@ -3,35 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickloom.functions import series as S
 from tickloom.functions.scalar import ndiv, num, pct, positive
+from tickloom.functions.series import BARS
 from tickloom.operators.latest import latest_value
 
 
 def daily_basic(daily: DataFrame) -> DataFrame:
     """prev_close, change, amplitude, candle parts and 20/60-row extremes of every bar."""
-    w = S.by("stock_code", "trade_date")
-    prev = F.lag(num("close")).over(w)
-    bars = daily.select(
+    prices = daily.selectExpr(
         "stock_code",
         "trade_date",
-        *(num(c).alias(c) for c in ("open", "high", "low", "close")),
-        prev.alias("prev_close"),
-        *(S.rolling_max(num("high"), w, n).alias(f"high_{n}") for n in (20, 60)),
-        *(S.rolling_min(num("low"), w, n).alias(f"low_{n}") for n in (20, 60)),
+        *(f"{num(c)} AS {c}" for c in ("open", "high", "low", "close")),
     )
-    o, h, low, c, p = (F.col(x) for x in ("open", "high", "low", "close", "prev_close"))
-    return bars.select(
+    bars = prices.selectExpr(
+        "*",
+        f"{BARS.lag('close')} AS prev_close",
+        *(f"{BARS.max('high', n)} AS high_{n}" for n in (20, 60)),
+        *(f"{BARS.min('low', n)} AS low_{n}" for n in (20, 60)),
+    )
+    return bars.selectExpr(
         "stock_code",
         "trade_date",
         "prev_close",
-        pct(c - p, p).alias("change_pct"),
-        pct(h - low, p).alias("amplitude"),
-        F.abs(c - o).alias("body_size"),
-        (h - F.greatest(o, c)).alias("upper_shadow"),
-        (F.least(o, c) - low).alias("lower_shadow"),
+        f"{pct('close - prev_close', 'prev_close')} AS change_pct",
+        f"{pct('high - low', 'prev_close')} AS amplitude",
+        "abs(close - open) AS body_size",
+        "high - greatest(open, close) AS upper_shadow",
+        "least(open, close) - low AS lower_shadow",
         "high_20",
         "low_20",
         "high_60",
@@ -46,9 +45,9 @@ def fill_turnover(daily: DataFrame, capital: DataFrame) -> DataFrame:
     """
     shares = latest_value(capital, "stock_code", "record_date", "total_shares")
     joined = daily.drop("turnover", "outstanding_share").join(shares, "stock_code", "left")
-    count = positive(F.col("total_shares"))
-    return joined.select(
+    count = positive("total_shares")
+    return joined.selectExpr(
         *(c for c in joined.columns if c != "total_shares"),
-        count.alias("outstanding_share"),
-        F.round(ndiv(num("volume"), num(count)) * 100, 6).alias("turnover"),
+        f"{count} AS outstanding_share",
+        f"round({ndiv(num('volume'), num(count))} * 100, 6) AS turnover",
     )

@@ -2,53 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tickloom.functions import series as S
 from tickloom.functions.scalar import num, pct
+from tickloom.functions.series import BARS
 
 INFLOW_WINDOWS = (5, 10, 30)
 
 
 def inflow_sums(flow: DataFrame, min_rows: int = 0) -> DataFrame:
     """Rolling net inflow; symbols with fewer than ``min_rows`` rows keep their stored sums."""
-    w = S.by("stock_code", "trade_date")
-    whole = Window.partitionBy("stock_code").orderBy("trade_date").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    enough = F.count("*").over(whole) >= min_rows
     names = {n: f"inflow_{n}d" for n in INFLOW_WINDOWS}
-
-    def value(n: int):
-        fresh = S.rolling_sum(F.col("net_inflow"), w, n)
-        if not min_rows:
-            return fresh
-        stored = F.col(names[n]) if names[n] in flow.columns else F.lit(None)
-        return F.when(enough, fresh).otherwise(stored)
-
-    return flow.select(
-        *(c for c in flow.columns if c not in names.values()),
-        *(value(n).alias(names[n]) for n in INFLOW_WINDOWS),
-    )
+    base = [c for c in flow.columns if c not in names.values()]
+    sums = {n: BARS.sum("net_inflow", n) for n in INFLOW_WINDOWS}
+    if min_rows:
+        kept = {n: c if c in flow.columns else "NULL" for n, c in names.items()}
+        rows = BARS.whole("count(*)")
+        sums = {n: f"if({rows} >= {min_rows}, {sums[n]}, {kept[n]})" for n in names}
+    return flow.selectExpr(*base, *(f"{sums[n]} AS {names[n]}" for n in names))
 
 
 def margin_changes(margin: DataFrame) -> DataFrame:
     """Day-on-day change of each leg and of their total, over the whole history."""
-    w = S.by("stock_code", "trade_date")
-    total = F.col("rz_balance") + F.col("rq_balance")
-    rows = margin.select(
-        "stock_code", "trade_date", "rz_balance", "rq_balance", total.alias("total_balance")
-    )
-    legs = ("rz", "rq")
-    rows = rows.select(
-        "*",
-        *((F.col(f"{x}_balance") - F.lag(f"{x}_balance").over(w)).alias(f"{x}_change") for x in legs),
-        *(F.lag(f"{x}_balance").over(w).alias(f"{x}_before") for x in (*legs, "total")),
+    rows = margin.selectExpr(
+        "stock_code",
+        "trade_date",
+        "rz_balance",
+        "rq_balance",
+        "rz_balance + rq_balance AS total_balance",
     )
-    rows = rows.withColumn("total_change", F.col("rz_change") + F.col("rq_change"))
+    legs = ("rz", "rq", "total")
+    rows = rows.selectExpr("*", *(f"{BARS.lag(f'{x}_balance')} AS {x}_before" for x in legs))
+    rows = rows.selectExpr(
+        "*", *(f"{x}_balance - {x}_before AS {x}_change" for x in legs[:2])
+    ).selectExpr("*", "rz_change + rq_change AS total_change")
     columns = ["stock_code", "trade_date"]
-    for leg in (*legs, "total"):
-        change = pct(num(f"{leg}_change"), num(f"{leg}_before")).alias(f"{leg}_change_pct")
-        columns += [f"{leg}_balance", f"{leg}_change", change]
-    return rows.select(*columns)
+    for x in legs:
+        change = pct(num(f"{x}_change"), num(f"{x}_before"))
+        columns += [f"{x}_balance", f"{x}_change", f"{change} AS {x}_change_pct"]
+    return rows.selectExpr(*columns)

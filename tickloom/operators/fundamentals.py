@@ -14,35 +14,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickloom.functions.scalar import ndiv, non_zero, num, positive, quarter_type, ratio4
+from tickloom.functions.series import Series
 from tickloom.operators.latest import latest_value
 from tickloom.schema import BALANCES, CUMULATIVE, TABLES
 
-TTM = CUMULATIVE
+Text = Callable[[str], str]
+
 _OUTPUT = TABLES["financial_intermediate"].columns
+_LIST = Series(order="report_date, report_type")
+
+# Figures compared with the year before, and with three years before.
+_FLOWS = ("total_revenue", "net_profit")
+_YEAR_AGO = (*_FLOWS, *(f"{c}_{k}" for k in ("q", "ttm") for c in _FLOWS))
+_THREE_AGO = ("total_revenue", "net_profit", "net_profit_deducted")
 
-# (name, numerator, denominator) of the operating cycle; the balance is averaged.
+# The operating cycle: balance, and the flow that turns it over.
 _CYCLE = (
     ("inventory", "operating_cost"),
     ("accounts_receivable", "total_revenue"),
     ("accounts_payable", "operating_cost"),
 )
 
+_MEASURES = {"total_revenue": "revenue", "net_profit": "net_profit"}
+
 
 def with_shares(statements: DataFrame, capital: DataFrame) -> DataFrame:
     shares = latest_value(capital, "stock_code", "record_date", "total_shares")
     return statements.join(shares, "stock_code", "left")
 
 
-def _listed() -> Window:
-    return Window.partitionBy("stock_code").orderBy("report_date", "report_type")
-
-
-def _is_annual() -> Column:
-    return F.col("quarter_type") == "FY"
+def _annual(x: str) -> str:
+    return f"if(quarter_type = 'FY', {x}, NULL)"
 
 
 # --- positional -------------------------------------------------------------------------------
@@ -50,155 +55,137 @@ def _is_annual() -> Column:
 
 def _positional_periods(st: DataFrame) -> DataFrame:
     """Single quarters, TTM and the figures 4 and 12 rows back."""
-    p = _listed()
-    first = F.col("quarter_type") == "Q1"
-    st = st.select(
-        "*",
-        F.row_number().over(p).alias("position"),
-        *(
-            F.when(first, F.col(c)).otherwise(F.col(c) - F.lag(c).over(p)).alias(f"{c}_q")
-            for c in CUMULATIVE
-        ),
-    )
-    year = p.rowsBetween(-3, 0)
-    st = st.select(
+    st = st.selectExpr(
         "*",
-        *(
-            F.when(
-                (F.col("position") >= 5) & (F.count(f"{c}_q").over(year) == 4),
-                F.sum(f"{c}_q").over(year),
-            ).alias(f"{c}_ttm")
-            for c in TTM
-        ),
+        f"{_LIST.over('row_number()')} AS position",
+        *(f"if(quarter_type = 'Q1', {c}, {_LIST.diff(c)}) AS {c}_q" for c in CUMULATIVE),
     )
-    back = {
-        "y1": (
-            4,
-            (
-                *BALANCES,
-                "total_revenue", "net_profit", "total_revenue_q", "net_profit_q",
-                "total_revenue_ttm", "net_profit_ttm",
-            ),
-        ),
-        "y3": (12, ("total_revenue", "net_profit", "net_profit_deducted")),
-    }
-    st = st.select(
+    st = st.selectExpr("*", *(f"{_ttm(c, 'position >= 5')} AS {c}_ttm" for c in CUMULATIVE))
+    return st.selectExpr(
         "*",
-        *(F.lag(c, k).over(p).alias(f"{c}_{y}") for y, (k, names) in back.items() for c in names),
-    )
-    return st.select("*", *(F.col(f"{c}_y1").alias(f"{c}_prev") for c in BALANCES))
+        *(f"{_LIST.lag(c, 4)} AS {c}_y1" for c in (*_YEAR_AGO, *BALANCES)),
+        *(f"{_LIST.lag(c, 12)} AS {c}_y3" for c in _THREE_AGO),
+    ).selectExpr("*", *(f"{c}_y1 AS {c}_prev" for c in BALANCES))
+
+
+def _ttm(c: str, also: str) -> str:
+    """The last four single quarters, all of them known."""
+    known = f"{_LIST.last_rows(f'count({c}_q)', 4)} = 4 AND {also}"
+    return f"if({known}, {_LIST.sum(f'{c}_q', 4)}, NULL)"
 
 
 # --- calendar ---------------------------------------------------------------------------------
 
 
-def _latest_in(frame, names: tuple[str, ...]) -> Column:
-    """The named columns of the newest row in a window frame, as one struct."""
-    newest = F.struct("report_date", "report_type")
-    return F.max_by(F.struct(*names), newest).over(frame)
+def _newest_in(columns: tuple[str, ...], key: str, frame: str) -> str:
+    """The named columns of the newest row among the periods of a RANGE frame, as one struct."""
+    newest = f"max_by(struct({', '.join(columns)}), struct(report_date, report_type))"
+    return Series(key, "period").over(newest, f"RANGE BETWEEN {frame}")
 
 
-def _calendar_periods(st: DataFrame) -> DataFrame:
-    """The same figures looked up by fiscal quarter with RANGE frames."""
-    st = st.withColumn("period", F.year("report_date") * 4 + F.quarter("report_date"))
-    by_period = Window.partitionBy("stock_code").orderBy("period")
+def _quarters_back(columns: tuple[str, ...], n: int) -> str:
+    return _newest_in(columns, "stock_code", f"{n} PRECEDING AND {n} PRECEDING")
 
-    def quarters_back(n: int):
-        return by_period.rangeBetween(-n, -n)
 
-    st = st.withColumn("before", _latest_in(quarters_back(1), CUMULATIVE))
-    first = F.col("quarter_type") == "Q1"
-    st = st.select(
-        "*",
-        *(
-            F.when(first, F.col(c)).otherwise(F.col(c) - F.col(f"before.{c}")).alias(f"{c}_q")
-            for c in CUMULATIVE
-        ),
-    ).drop("before")
-    year = _listed().rowsBetween(-3, 0)
-    st = st.select(
+def _unpacked(struct: str, columns: tuple[str, ...], suffix: str) -> list[str]:
+    return [f"{struct}.{c} AS {c}_{suffix}" for c in columns]
+
+
+def _calendar_periods(st: DataFrame) -> DataFrame:
+    """The same figures looked up by fiscal quarter."""
+    st = st.selectExpr("*", "year(report_date) * 4 + quarter(report_date) AS period")
+    st = st.selectExpr("*", f"{_quarters_back(CUMULATIVE, 1)} AS before")
+    st = st.selectExpr(
         "*",
-        *(
-            F.when(F.count(f"{c}_q").over(year) == 4, F.sum(f"{c}_q").over(year)).alias(f"{c}_ttm")
-            for c in TTM
-        ),
+        *(f"if(quarter_type = 'Q1', {c}, {c} - before.{c}) AS {c}_q" for c in CUMULATIVE),
     )
-    flows = (
-        "total_revenue", "net_profit", "total_revenue_q", "net_profit_q",
-        "total_revenue_ttm", "net_profit_ttm",
-    )
-    three = ("total_revenue", "net_profit", "net_profit_deducted")
-    same_quarter = Window.partitionBy("stock_code", "quarter_type").orderBy("period")
-    st = st.select(
+    st = st.selectExpr("*", *(f"{_ttm(c, 'true')} AS {c}_ttm" for c in CUMULATIVE))
+    year_ago = (*_YEAR_AGO, *BALANCES)
+    earlier = "UNBOUNDED PRECEDING AND 4 PRECEDING"
+    st = st.selectExpr(
         "*",
-        _latest_in(quarters_back(4), (*flows, *BALANCES)).alias("y1"),
-        _latest_in(quarters_back(12), three).alias("y3"),
-        _latest_in(same_quarter.rangeBetween(Window.unboundedPreceding, -4), BALANCES).alias(
-            "prev"
-        ),
+        f"{_quarters_back(year_ago, 4)} AS y1",
+        f"{_quarters_back(_THREE_AGO, 12)} AS y3",
+        f"{_newest_in(BALANCES, 'stock_code, quarter_type', earlier)} AS prev",
     )
-    return st.select(
-        *(c for c in st.columns if c not in ("y1", "y3", "prev")),
-        *(F.col(f"y1.{c}").alias(f"{c}_y1") for c in (*flows, *BALANCES)),
-        *(F.col(f"y3.{c}").alias(f"{c}_y3") for c in three),
-        *(F.col(f"prev.{c}").alias(f"{c}_prev") for c in BALANCES),
+    return st.selectExpr(
+        "*",
+        *_unpacked("y1", year_ago, "y1"),
+        *_unpacked("y3", _THREE_AGO, "y3"),
+        *_unpacked("prev", BALANCES, "prev"),
     )
 
 
 # --- ratios -----------------------------------------------------------------------------------
 
 
-def _mean(now: str, before: str) -> Column:
-    return (num(now) + num(before)) / 2
-
-
-def _growth(now: str, before: str) -> Column:
-    return F.round(ndiv(num(now) - num(before), num(before)) * 100, 4)
+def _mean(now: str, before: str) -> str:
+    return f"({num(now)} + {num(before)}) / 2"
 
 
-def _cagr(now: str, before: str) -> Column:
-    grown = F.pow(ndiv(positive(num(now)), positive(num(before))), F.lit(1.0 / 3.0))
-    return F.round((grown - 1) * 100, 4)
+def _growth(now: str, before: str) -> str:
+    return f"round({ndiv(f'{num(now)} - {num(before)}', num(before))} * 100, 4)"
 
 
-def _averages(st: DataFrame) -> DataFrame:
-    return st.select(
-        "*",
-        *(
-            F.when(_is_annual(), _mean(b, f"{b}_y1")).alias(f"avg_{b}") for b in BALANCES
-        ),
-        *(_mean(b, f"{b}_prev").alias(f"avg_{b}_ttm") for b in BALANCES),
-    )
+def _cagr(now: str, before: str) -> str:
+    grown = ndiv(positive(num(now)), positive(num(before)))
+    return f"round((power({grown}, 1D / 3D) - 1) * 100, 4)"
 
 
-def _profitability(
-    suffix: str, source: Callable[[str], Column], base: Callable[[Column], Column]
-) -> list[Column]:
-    """Return and margin ratios; ``source`` picks annual or TTM figures, ``base`` guards them."""
-    profit, revenue = source("net_profit"), source("total_revenue")
-    cost, deducted = source("operating_cost"), source("net_profit_deducted")
-    avg = {b: F.col(f"avg_{b}" + ("_ttm" if suffix == "ttm" else "")) for b in BALANCES}
+def _profitability(suffix: str, of: Text, base: Text) -> list[str]:
+    """Return and margin ratios; ``of`` picks annual or TTM figures, ``base`` guards divisors."""
+    avg = "_ttm" if suffix == "ttm" else ""
+    profit, revenue = of("net_profit"), of("total_revenue")
     pairs = {
-        "roe": (profit, avg["equity_parent"]),
-        "roa": (profit, avg["total_assets"]),
-        "gross_margin": (num(revenue) - num(cost), revenue),
+        "roe": (profit, f"avg_equity_parent{avg}"),
+        "roa": (profit, f"avg_total_assets{avg}"),
+        "gross_margin": (f"{num(revenue)} - {num(of('operating_cost'))}", revenue),
         "net_margin_parent": (profit, revenue),
-        "net_margin_deducted": (deducted, revenue),
+        "net_margin_deducted": (of("net_profit_deducted"), revenue),
     }
+    return [f"{ratio4(a, base(b), 100)} AS {n}_{suffix}" for n, (a, b) in pairs.items()]
+
+
+def _turnovers(suffix: str, of: Text, base: Text) -> list[str]:
+    avg = "_ttm" if suffix == "ttm" else ""
     return [
-        ratio4(top, base(bottom), 100.0).alias(f"{n}_{suffix}") for n, (top, bottom) in pairs.items()
+        f"{ratio4(of(flow), base(f'avg_{item}{avg}'))} AS {item}_turnover_{suffix}"
+        for item, flow in _CYCLE
     ]
 
 
-def _cycle(suffix: str, source, base) -> list[Column]:
-    avg = "_ttm" if suffix == "ttm" else ""
-    out, days = [], {}
-    for item, flow in _CYCLE:
-        turnover = ratio4(source(flow), base(F.col(f"avg_{item}{avg}")))
-        days[item] = F.round(ndiv(F.lit(365.0), base(turnover)), 4)
-        out += [turnover.alias(f"{item}_turnover_{suffix}"), days[item].alias(f"{item}_days_{suffix}")]
-    cash = days["inventory"] + days["accounts_receivable"] - days["accounts_payable"]
-    return [*out, F.round(cash, 4).alias(f"cash_cycle_{suffix}")]
+def _days(suffix: str, base: Text) -> list[str]:
+    """Days come from the rounded turnover."""
+    return [
+        f"round({ndiv('365D', base(f'{item}_turnover_{suffix}'))}, 4) AS {item}_days_{suffix}"
+        for item, _ in _CYCLE
+    ]
+
+
+def _dupont(calendar: bool, base: Text) -> list[str]:
+    asset_turnover = ratio4("total_revenue", base("avg_total_assets"))
+    if calendar:
+        # Multipliers compare averages; the annual triple exists wherever its inputs do.
+        annual = {
+            "net_margin": ratio4("net_profit", base("total_revenue"), 100),
+            "asset_turnover": asset_turnover,
+            "equity_multiplier": ratio4("avg_total_assets", base("avg_equity_parent")),
+        }
+        multiplier = ratio4("avg_total_assets_ttm", base("avg_equity_parent_ttm"))
+    else:
+        multiplier = ratio4("total_assets", "own")
+        annual = {
+            "net_margin": "net_margin_parent_annual",
+            "asset_turnover": _annual(asset_turnover),
+            "equity_multiplier": _annual(multiplier),
+        }
+    ttm = {
+        "net_margin": "net_margin_parent_ttm",
+        "asset_turnover": ratio4("total_revenue_ttm", base("avg_total_assets_ttm")),
+        "equity_multiplier": multiplier,
+    }
+    both = {"annual": annual, "ttm": ttm}
+    return [f"{x} AS dupont_{n}_{s}" for s, parts in both.items() for n, x in parts.items()]
 
 
 def fundamentals(
@@ -208,119 +195,71 @@ def fundamentals(
     if method not in ("positional", "calendar"):
         raise ValueError(f"unknown method {method!r}")
     calendar = method == "calendar"
-    st = with_shares(statements, capital).withColumn(
-        "quarter_type", quarter_type(F.col("report_date"))
-    )
-    st = _averages(_calendar_periods(st) if calendar else _positional_periods(st))
-
-    def plain(c: str) -> Column:
-        return F.col(c)
-
-    def annual(c: str) -> Column:
-        return F.when(_is_annual(), F.col(c))
+    # Calendar mode wants divisors above zero, positional mode any but zero.
+    base = positive if calendar else non_zero
 
-    def ttm(c: str) -> Column:
-        return F.col(f"{c}_ttm")
+    def plain(c: str) -> str:
+        return c
 
-    # Calendar mode wants denominators above zero, positional mode any but zero.
-    base = positive if calendar else non_zero
-    equity = F.col("total_assets") - F.col("total_liabilities")
-    own = F.coalesce(positive(F.col("equity_parent")), positive(equity))
-    shares = positive(F.col("total_shares"))
-    st = st.withColumn("equity", equity).withColumn("own", own)
+    def ttm(c: str) -> str:
+        return f"{c}_ttm"
 
-    if calendar:
-        # Multipliers compare averages; the annual triple exists wherever its inputs do.
-        dupont = [
-            ratio4(F.col("net_profit"), base(F.col("total_revenue")), 100.0).alias(
-                "dupont_net_margin_annual"
-            ),
-            ratio4(F.col("total_revenue"), base(F.col("avg_total_assets"))).alias(
-                "dupont_asset_turnover_annual"
-            ),
-            *(
-                ratio4(
-                    F.col(f"avg_total_assets{a}"), base(F.col(f"avg_equity_parent{a}"))
-                ).alias(f"dupont_equity_multiplier{s}")
-                for a, s in (("", "_annual"), ("_ttm", "_ttm"))
-            ),
-        ]
-    else:
-        multiplier = ratio4(F.col("total_assets"), F.col("own"))
-        dupont = [
-            F.col("net_margin_parent_annual").alias("dupont_net_margin_annual"),
-            F.when(_is_annual(), ratio4(F.col("total_revenue"), F.col("avg_total_assets"))).alias(
-                "dupont_asset_turnover_annual"
-            ),
-            F.when(_is_annual(), multiplier).alias("dupont_equity_multiplier_annual"),
-            multiplier.alias("dupont_equity_multiplier_ttm"),
-        ]
-
-    st = st.select(
+    st = with_shares(statements, capital)
+    st = st.selectExpr("*", f"{quarter_type('report_date')} AS quarter_type")
+    st = _calendar_periods(st) if calendar else _positional_periods(st)
+    st = st.selectExpr(
+        "*",
+        *(f"{_annual(_mean(b, f'{b}_y1'))} AS avg_{b}" for b in BALANCES),
+        *(f"{_mean(b, f'{b}_prev')} AS avg_{b}_ttm" for b in BALANCES),
+        "total_assets - total_liabilities AS equity",
+        "operating_cash_flow_ttm - capex_ttm AS fcf_ttm",
+    )
+    st = st.selectExpr(
         "*",
-        F.round(ndiv(num("own"), num(shares)), 4).alias("bvps"),
-        F.round(ndiv(num("total_revenue"), num(shares)), 4).alias("revenue_per_share"),
-        *_profitability("annual", annual, base),
+        f"coalesce({positive('equity_parent')}, {positive('equity')}) AS own",
+        *_profitability("annual", _annual, base),
         *_profitability("ttm", ttm, base),
-        *(
-            F.when(_is_annual(), _growth(c, f"{c}_y1")).alias(f"{n}_yoy_annual")
-            for c, n in (("total_revenue", "revenue"), ("net_profit", "net_profit"))
-        ),
-        *(
-            _growth(f"{c}_{k}", f"{c}_{k}_y1").alias(f"{n}_yoy_{name}")
-            for c, n in (("total_revenue", "revenue"), ("net_profit", "net_profit"))
-            for k, name in (("q", "qoq"), ("ttm", "ttm"))
-        ),
-        *(
-            F.when(_is_annual(), _cagr(c, f"{c}_y3")).alias(f"{n}_cagr_3y")
-            for c, n in (
-                ("total_revenue", "revenue"),
-                ("net_profit", "net_profit"),
-                ("net_profit_deducted", "net_profit_deducted"),
-            )
-        ),
-        *_cycle("annual", plain if calendar else annual, base),
-        *_cycle("ttm", ttm, base),
-        ratio4(F.col("operating_cash_flow_ttm"), F.col("net_profit_ttm")).alias(
-            "cash_profit_coverage_ttm"
-        ),
-        (F.col("operating_cash_flow_ttm") - F.col("capex_ttm")).alias("fcf_ttm"),
-        ratio4(
-            F.col("operating_cash_flow_ttm") - F.col("capex_ttm"), F.col("net_profit_ttm")
-        ).alias("fcf_profit_coverage_ttm"),
-        ratio4(F.col("operating_cash_flow_ttm"), F.col("interest_expense_ttm")).alias(
-            "cash_interest_coverage_ttm"
-        ),
-        ratio4(F.col("current_assets"), F.col("current_liabilities")).alias("current_ratio"),
-        ratio4(
-            F.col("current_assets") - F.coalesce(F.col("inventory"), F.lit(0)),
-            F.col("current_liabilities"),
-        ).alias("quick_ratio"),
+        *_turnovers("annual", plain if calendar else _annual, base),
+        *_turnovers("ttm", ttm, base),
     )
-    st = st.select(
+    nothing = "double(NULL)"
+    quick = "current_assets - coalesce(inventory, 0)"
+    st = st.selectExpr(
         "*",
-        *dupont,
-        F.col("net_margin_parent_ttm").alias("dupont_net_margin_ttm"),
-        ratio4(F.col("total_revenue_ttm"), base(F.col("avg_total_assets_ttm"))).alias(
-            "dupont_asset_turnover_ttm"
+        f"{ratio4('own', positive('total_shares'))} AS bvps",
+        f"{ratio4('total_revenue', positive('total_shares'))} AS revenue_per_share",
+        *(f"{_annual(_growth(c, f'{c}_y1'))} AS {n}_yoy_annual" for c, n in _MEASURES.items()),
+        *(f"{_growth(f'{c}_q', f'{c}_q_y1')} AS {n}_yoy_qoq" for c, n in _MEASURES.items()),
+        *(f"{_growth(f'{c}_ttm', f'{c}_ttm_y1')} AS {n}_yoy_ttm" for c, n in _MEASURES.items()),
+        *(
+            f"{_annual(_cagr(c, f'{c}_y3'))} AS {_MEASURES.get(c, c)}_cagr_3y"
+            for c in _THREE_AGO
         ),
+        *_dupont(calendar, base),
+        *_days("annual", base),
+        *_days("ttm", base),
+        f"{ratio4('operating_cash_flow_ttm', 'net_profit_ttm')} AS cash_profit_coverage_ttm",
+        f"{ratio4('fcf_ttm', 'net_profit_ttm')} AS fcf_profit_coverage_ttm",
+        f"{ratio4('operating_cash_flow_ttm', 'interest_expense_ttm')} "
+        "AS cash_interest_coverage_ttm",
+        # The calendar method has no liquidity ratios.
+        f"{nothing if calendar else ratio4('current_assets', 'current_liabilities')} "
+        "AS current_ratio",
+        f"{nothing if calendar else ratio4(quick, 'current_liabilities')} AS quick_ratio",
     )
-    if calendar:  # the older method knows no liquidity ratios
-        empty = F.lit(None).cast("double")
-        st = st.withColumns({"current_ratio": empty, "quick_ratio": empty})
-    return st.select(*_OUTPUT)
+    cash = "inventory_days_{0} + accounts_receivable_days_{0} - accounts_payable_days_{0}"
+    return st.selectExpr(
+        "*", *(f"round({cash.format(s)}, 4) AS cash_cycle_{s}" for s in ("annual", "ttm"))
+    ).select(*_OUTPUT)
 
 
 def cumulative_to_quarterly(reports: DataFrame, *measures: str) -> DataFrame:
     """Year-to-date to single quarter; without an earlier report that year the value stays whole."""
-    year = Window.partitionBy("stock_code", F.year("report_date")).orderBy("report_date")
-    first = F.month("report_date") == 3
-    return reports.select(
+    year = Series("stock_code, year(report_date)", "report_date")
+    return reports.selectExpr(
         "*",
         *(
-            F.when(first, F.col(c))
-            .otherwise(F.coalesce(F.col(c) - F.lag(c).over(year), F.col(c)))
-            .alias(f"{c}_q")
+            f"if(month(report_date) = 3, {c}, coalesce({year.diff(c)}, {c})) AS {c}_q"
             for c in measures
         ),
     )

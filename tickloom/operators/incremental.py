@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import merge
@@ -13,93 +13,84 @@ LOOKBACK_DAYS = 60
 LIST_WINDOW_DAYS = 20
 
 
-def next_dates(symbols: DataFrame, log: DataFrame, data_type: str, start: Column) -> DataFrame:
+def next_dates(symbols: DataFrame, log: DataFrame, data_type: str, start: str) -> DataFrame:
     """First day still to load per symbol: the day after the watermark, or ``start``."""
-    marks = latest_date(
-        log.where(F.col("data_type") == data_type), "stock_code", "last_update_date", "mark"
-    )
-    return symbols.join(marks, "stock_code", "left").select(
-        "stock_code",
-        F.coalesce(F.date_add("mark", 1), start.cast("date")).alias("next_date"),
+    kind = log.where(F.col("data_type") == data_type)
+    marks = latest_date(kind, "stock_code", "last_update_date", "mark")
+    return symbols.join(marks, "stock_code", "left").selectExpr(
+        "stock_code", f"coalesce(date_add(mark, 1), date'{start}') AS next_date"
     )
 
 
 def stored_watermarks(data: DataFrame, date_col: str, data_type: str) -> DataFrame:
     """The watermark is the greatest date actually stored, never the day the job ran."""
     marks = latest_date(data, "stock_code", date_col, "last_update_date")
-    return marks.select("stock_code", F.lit(data_type).alias("data_type"), "last_update_date")
+    return marks.selectExpr("stock_code", f"'{data_type}' AS data_type", "last_update_date")
 
 
 def write_watermarks(log: DataFrame, marks: DataFrame) -> DataFrame:
     return merge.upsert(log, marks, ("stock_code", "data_type"), ["last_update_date"])
 
 
-def overlap_start(calendar: DataFrame, as_of: Column) -> DataFrame:
+def overlap_start(calendar: DataFrame, as_of: str) -> DataFrame:
     """The fifth-latest trading day up to ``as_of``: where the self-healing overlap begins.
 
     A list shorter than that begins at its first day. The calendar has one row per trading day.
     """
-    latest = (
-        calendar.where(F.col("trade_date") <= as_of)
-        .orderBy(F.col("trade_date").desc())
-        .limit(OVERLAP_DAYS)
-    )
-    return latest.agg(F.min("trade_date").alias("anchor"))
+    past = calendar.where(f"trade_date <= date'{as_of}'").orderBy(F.desc("trade_date"))
+    return past.limit(OVERLAP_DAYS).agg(F.min("trade_date").alias("anchor"))
 
 
 def margin_start(
-    symbols: DataFrame, log: DataFrame, calendar: DataFrame, as_of: Column, start: Column
+    symbols: DataFrame, log: DataFrame, calendar: DataFrame, as_of: str, start: str
 ) -> DataFrame:
     """Where each symbol's reload begins: overlap at least, look-back at most."""
     anchor = overlap_start(calendar, as_of).scalar()
     wanted = next_dates(symbols, log, "margin", start)
-    begin = F.least(F.col("next_date"), anchor)
-    return wanted.select(
+    return wanted.select("stock_code", F.least("next_date", anchor).alias("begin")).selectExpr(
         "stock_code",
-        F.greatest(begin, F.date_sub(as_of, LOOKBACK_DAYS)).alias("begin_date"),
+        f"greatest(begin, date_sub(date'{as_of}', {LOOKBACK_DAYS})) AS begin_date",
     )
 
 
-def reload_dates(starts: DataFrame, calendar: DataFrame, as_of: Column) -> DataFrame:
-    """(symbol, trading day) pairs to request, straight from each start date."""
-    days = starts.where(F.col("begin_date") <= as_of).select(
-        "stock_code",
-        F.explode(F.sequence(F.col("begin_date"), as_of)).alias("trade_date"),
+def reload_dates(starts: DataFrame, calendar: DataFrame, as_of: str) -> DataFrame:
+    """(symbol, trading day) pairs to request, at most the look-back's days per symbol."""
+    days = starts.where(f"begin_date <= date'{as_of}'").selectExpr(
+        "stock_code", f"explode(sequence(begin_date, date'{as_of}')) AS trade_date"
     )
     return days.join(calendar.select("trade_date"), "trade_date", "left_semi").select(
         "stock_code", "trade_date"
     )
 
 
-def rolling_window(feed: DataFrame, date_col: str, as_of: Column, days: int) -> DataFrame:
+def rolling_window(feed: DataFrame, date_col: str, as_of: str, days: int) -> DataFrame:
     """The last ``days`` days of a feed that publishes late; re-merged in full each run."""
-    return feed.where(F.col(date_col).between(F.date_sub(as_of, days), as_of))
+    return feed.where(f"{date_col} BETWEEN date_sub(date'{as_of}', {days}) AND date'{as_of}'")
 
 
 def missing_symbols(master: DataFrame, table: DataFrame) -> DataFrame:
     """Symbols still without any row."""
-    return master.select("stock_code").join(
-        table.select("stock_code"), "stock_code", "left_anti"
-    )
+    have = table.select("stock_code")
+    return master.select("stock_code").join(have, "stock_code", "left_anti")
 
 
 def watermark_ahead(log: DataFrame, data: DataFrame, data_type: str) -> DataFrame:
     """Symbols whose watermark is past their data, or that have no data at all."""
     have = latest_date(data, "stock_code", "trade_date", "max_date")
     marks = log.where(F.col("data_type") == data_type)
-    joined = marks.join(have, "stock_code", "left")
-    ahead = F.col("max_date").isNull() | (F.col("last_update_date") > F.col("max_date"))
-    return joined.where(ahead).select("stock_code", "last_update_date", "max_date")
+    ahead = marks.join(have, "stock_code", "left").where(
+        "max_date IS NULL OR last_update_date > max_date"
+    )
+    return ahead.select("stock_code", "last_update_date", "max_date")
 
 
 def month_chunks(ranges: DataFrame, start: str, end: str) -> DataFrame:
     """Each [start, end] range cut at calendar months."""
-    months = F.explode(
-        F.sequence(F.trunc(start, "month"), F.col(end), F.expr("interval 1 month"))
+    cut = ranges.where(f"{start} <= {end}").selectExpr(
+        "*", f"explode(sequence(trunc({start}, 'MM'), {end}, interval 1 month)) AS _month"
     )
-    cut = ranges.where(F.col(start) <= F.col(end)).select("*", months.alias("_month"))
-    return cut.select(
+    return cut.selectExpr(
         *ranges.columns,
-        F.greatest(F.col("_month"), F.col(start)).alias("chunk_start"),
-        F.least(F.last_day("_month"), F.col(end)).alias("chunk_end"),
+        f"greatest(_month, {start}) AS chunk_start",
+        f"least(last_day(_month), {end}) AS chunk_end",
     )

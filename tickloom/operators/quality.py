@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import series as S
 from tickloom.functions.scalar import ndiv, non_zero, num, positive
+from tickloom.functions.series import BARS, Series
 from tickloom.operators.latest import duplicate_keys
 
 AMOUNT_TOLERANCE = 1.0
@@ -31,65 +31,56 @@ SAME_RELATIVE = 0.02
 _KEY = ["stock_code", "trade_date"]
 
 
-def count_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+def count_checks(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     """One report row per check; ``checks`` maps a name to its violation predicate."""
-    names = list(checks)
-    totals = df.agg(
-        F.count("*").alias("sample_size"),
-        *(F.count_if(checks[n]).alias(f"c{i}") for i, n in enumerate(names)),
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("violations"))
-            for i, n in enumerate(names)
-        )
-    )
-    return totals.select(F.explode(rows).alias("r"), "sample_size").select(
-        "r.check",
-        "r.violations",
-        "sample_size",
-        (F.col("r.violations") == 0).alias("passed"),
+    totals = df.selectExpr(
+        "count(*) AS sample_size",
+        *(f"count_if({bad}) AS c{i}" for i, bad in enumerate(checks.values())),
     )
+    pairs = ", ".join(f"'{n}', c{i}" for i, n in enumerate(checks))
+    return totals.selectExpr(
+        f"stack({len(checks)}, {pairs}) AS (check, violations)", "sample_size"
+    ).selectExpr("check", "violations", "sample_size", "violations = 0 AS passed")
 
 
 def count_rows(bad: DataFrame, sample: DataFrame, check: str) -> DataFrame:
     """A report row whose violations are the rows of a frame."""
-    counts = bad.agg(F.count("*").alias("violations"))
-    return sample.agg(F.count("*").alias("sample_size")).select(
+    found = bad.selectExpr("count(*) AS n").scalar()
+    return sample.selectExpr("count(*) AS sample_size").select(
         F.lit(check).alias("check"),
-        counts.scalar().alias("violations"),
+        found.alias("violations"),
         "sample_size",
-        (counts.scalar() == 0).alias("passed"),
+        (found == 0).alias("passed"),
     )
 
 
 # --- capital flow -----------------------------------------------------------------------------
 
 
-def _flow(size: str, what: str = "amount") -> Column:
-    return num(f"{size}_net_{what}")
-
-
-def _conservation(floor: float, relative_floor: bool) -> Column:
-    sizes = ("xlarge", "large", "medium", "small")
-    total = F.abs(sum((_flow(s) for s in sizes[1:]), _flow(sizes[0])))
-    scale = sum((F.abs(_flow(s)) for s in sizes[1:]), F.abs(_flow(sizes[0])))
-    if relative_floor:
-        return total > F.greatest(scale, F.lit(floor)) * 1e-3
-    return total > F.greatest(scale * 1e-3, F.lit(floor))
+def _conservation() -> dict[str, str]:
+    """Do the four classes cancel out? The audit and the load put the floor differently."""
+    sizes = [num(f"{s}_net_amount") for s in ("xlarge", "large", "medium", "small")]
+    total = f"abs({' + '.join(sizes)})"
+    scale = " + ".join(f"abs({s})" for s in sizes)
+    return {
+        "conservation": f"{total} > greatest({scale}, 1D) * 1e-3",
+        "conservation_on_load": f"{total} > greatest(({scale}) * 1e-3, 10D)",
+    }
 
 
 def flow_identities(flow: DataFrame) -> DataFrame:
     """Main = large + extra large, closing ratios, and conservation by audit and by load rule."""
-    parts = _flow("large") + _flow("xlarge")
-    ratio_parts = _flow("large", "ratio") + _flow("xlarge", "ratio")
+
+    def gap(what: str) -> str:
+        main, large, xlarge = (num(f"{s}_net_{what}") for s in ("main", "large", "xlarge"))
+        return f"abs({main} - ({large} + {xlarge}))"
+
     return count_checks(
         flow,
         {
-            "main_amount": F.abs(_flow("main") - parts) > AMOUNT_TOLERANCE,
-            "main_ratio": F.abs(_flow("main", "ratio") - ratio_parts) > RATIO_TOLERANCE,
-            "conservation": _conservation(1.0, relative_floor=True),
-            "conservation_on_load": _conservation(10.0, relative_floor=False),
+            "main_amount": f"{gap('amount')} > {AMOUNT_TOLERANCE}D",
+            "main_ratio": f"{gap('ratio')} > {RATIO_TOLERANCE}D",
+            **_conservation(),
         },
     )
 
@@ -97,34 +88,39 @@ def flow_identities(flow: DataFrame) -> DataFrame:
 def flow_against_bars(
     flow: DataFrame, daily: DataFrame, exceptions: DataFrame | None = None
 ) -> DataFrame:
-    """Rows whose stated ratio disagrees with net amount over traded amount."""
-    bars = daily.where(F.col("amount") != 0).select(*_KEY, num("amount").alias("traded"))
-    both = flow.join(bars, _KEY)
-    implied = ndiv(_flow("main"), F.col("traded")) * 100
-    stated = _flow("main", "ratio")
-    tolerance = F.greatest(F.lit(0.05), F.abs(stated) * 0.01)
-    rows = both.select(*_KEY, implied.alias("implied"), stated.alias("stated"), tolerance.alias("tol"))
-    rows = rows.withColumn("bad", F.abs(F.col("implied") - F.col("stated")) > F.col("tol"))
-    if exceptions is not None:
-        marked = exceptions.select(*_KEY, F.lit(True).alias("known"))
-        rows = rows.join(marked, _KEY, "left")
-        rows = rows.withColumn("bad", F.col("bad") & F.col("known").isNull()).drop("known")
-    return rows
+    """Each comparable row, marked bad if its stated ratio disagrees with net over traded amount.
+
+    Documented exceptions are never bad.
+    """
+    bars = daily.where("amount != 0").selectExpr(*_KEY, f"{num('amount')} AS traded")
+    rows = flow.join(bars, _KEY).selectExpr(
+        *_KEY,
+        f"{ndiv(num('main_net_amount'), 'traded')} * 100 AS implied",
+        f"{num('main_net_ratio')} AS stated",
+    )
+    rows = rows.selectExpr(
+        "*", "abs(implied - stated) > greatest(0.05D, abs(stated) * 0.01D) AS bad"
+    )
+    if exceptions is None:
+        return rows
+    marked = exceptions.selectExpr(*_KEY, "true AS known")
+    rows = rows.join(marked, _KEY, "left")
+    return rows.selectExpr(*_KEY, "implied", "stated", "bad AND known IS NULL AS bad")
 
 
 def flow_against_bars_report(
     flow: DataFrame, daily: DataFrame, exceptions: DataFrame | None = None
 ) -> DataFrame:
-    return count_checks(flow_against_bars(flow, daily, exceptions), {"cross_source": F.col("bad")})
+    return count_checks(flow_against_bars(flow, daily, exceptions), {"cross_source": "bad"})
 
 
 def close_mismatch(quotes: DataFrame, daily: DataFrame) -> DataFrame:
     """Per symbol: how many days carry both closes, and on how many they differ by over 1 %."""
-    bars = daily.where(F.col("close") != 0).select(*_KEY, num("close").alias("bar_close"))
-    both = quotes.select(*_KEY, num("close").alias("quoted")).join(bars, _KEY)
-    gap = ndiv(F.abs(F.col("bar_close") - F.col("quoted")), F.col("bar_close"))
+    bars = daily.where("close != 0").selectExpr(*_KEY, f"{num('close')} AS bar_close")
+    both = quotes.selectExpr(*_KEY, f"{num('close')} AS quoted").join(bars, _KEY)
+    apart = f"abs(bar_close - quoted) / bar_close > {CLOSE_TOLERANCE}D"
     return both.groupBy("stock_code").agg(
-        F.count("*").alias("checked"), F.count_if(gap > CLOSE_TOLERANCE).alias("mismatch")
+        F.count("*").alias("checked"), F.expr(f"count_if({apart}) AS mismatch")
     )
 
 
@@ -144,7 +140,7 @@ def trading_calendar(daily: DataFrame, min_symbols: int = MIN_SYMBOLS_PER_DAY) -
     return (
         daily.groupBy("trade_date")
         .agg(F.countDistinct("stock_code").alias("symbols"))
-        .where(F.col("symbols") >= min_symbols)
+        .where(f"symbols >= {min_symbols}")
         .select("trade_date")
     )
 
@@ -158,42 +154,37 @@ def calendar_gaps(
     missing days are ever produced, not the symbol x calendar grid. The numbering runs over one
     row per calendar day.
     """
-    days = daily if start is None else daily.where(F.col("trade_date") >= F.lit(start).cast("date"))
-    calendar = trading_calendar(days, min_symbols).select(
-        "trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("day")
+    days = daily if start is None else daily.where(f"trade_date >= date'{start}'")
+    calendar = trading_calendar(days, min_symbols).selectExpr(
+        "trade_date", "row_number() OVER (ORDER BY trade_date) AS day"
     )
-    last = calendar.agg(F.coalesce(F.max("day"), F.lit(0))).scalar()
+    last = calendar.selectExpr("coalesce(max(day), 0) AS n").scalar()
     present = daily.select(*_KEY).join(calendar, "trade_date").select("stock_code", "day")
     symbols = daily.select("stock_code").distinct()
     ends = symbols.select("stock_code", F.explode(F.array(F.lit(0), last + 1)).alias("day"))
-    marked = present.unionByName(ends)
-    before = F.lag("day").over(S.by("stock_code", "day"))
-    jumps = marked.select("stock_code", "day", before.alias("before")).where(
-        F.col("day") - F.col("before") > 1
-    )
-    missing = jumps.select(
-        "stock_code", F.explode(F.sequence(F.col("before") + 1, F.col("day") - 1)).alias("day")
+    before = Series(order="day").lag("day")
+    jumps = present.unionByName(ends).selectExpr("stock_code", "day", f"{before} AS before")
+    missing = jumps.where("day - before > 1").selectExpr(
+        "stock_code", "explode(sequence(before + 1, day - 1)) AS day"
     )
     return missing.join(calendar, "day").select("stock_code", "trade_date")
 
 
 def long_gaps(daily: DataFrame, over_days: int = 7) -> DataFrame:
     """Neighbouring bars further apart than ``over_days`` calendar days."""
-    prev = F.lag("trade_date").over(S.by("stock_code", "trade_date"))
-    rows = daily.select(*_KEY, prev.alias("prev_date"))
-    gap = F.datediff("trade_date", "prev_date")
-    return rows.select("*", gap.alias("gap_days")).where(F.col("gap_days") > over_days)
+    rows = daily.selectExpr(*_KEY, f"{BARS.lag('trade_date')} AS prev_date")
+    rows = rows.selectExpr("*", "datediff(trade_date, prev_date) AS gap_days")
+    return rows.where(f"gap_days > {over_days}")
 
 
 def price_jumps(daily: DataFrame, max_percent: float = JUMP_PERCENT) -> DataFrame:
     """Every bar with its change against the previous one and whether it may be stored."""
-    prev = non_zero(F.lag(num("close")).over(S.by("stock_code", "trade_date")))
-    move = F.abs(ndiv(num("close"), prev) - 1) * 100
-    return daily.select(
-        *_KEY,
-        move.alias("move_pct"),
-        F.coalesce(move <= max_percent, F.lit(True)).alias("accepted"),
+    rows = daily.selectExpr(*_KEY, f"{num('close')} AS close")
+    rows = rows.selectExpr("*", f"{BARS.lag('close')} AS before")
+    rows = rows.selectExpr(
+        *_KEY, f"abs({ndiv('close', non_zero('before'))} - 1) * 100 AS move_pct"
     )
+    return rows.selectExpr("*", f"coalesce(move_pct <= {max_percent}, true) AS accepted")
 
 
 # --- profiles ---------------------------------------------------------------------------------
@@ -201,38 +192,33 @@ def price_jumps(daily: DataFrame, max_percent: float = JUMP_PERCENT) -> DataFram
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, NULLs and a grade, from one pass."""
-    totals = df.agg(
-        F.count("*").alias("total_rows"),
-        *(F.count(c).alias(f"n{i}") for i, c in enumerate(columns)),
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("present"))
-            for i, c in enumerate(columns)
-        )
+    totals = df.selectExpr(
+        "count(*) AS total_rows", *(f"count({c}) AS n{i}" for i, c in enumerate(columns))
     )
-    out = totals.select(F.explode(rows).alias("r"), "total_rows")
-    nulls = F.col("total_rows") - F.col("r.present")
-    grade = (
-        F.when(nulls == 0, "PASS").when(nulls < F.col("total_rows") * 0.1, "WARN").otherwise("FAIL")
+    pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(columns))
+    rows = totals.selectExpr(
+        f"stack({len(columns)}, {pairs}) AS (column_name, present)", "total_rows"
     )
-    return out.select(
-        "r.column_name", "total_rows", nulls.alias("null_rows"), grade.alias("grade")
+    return rows.selectExpr(
+        "column_name", "total_rows", "total_rows - present AS null_rows"
+    ).selectExpr(
+        "*",
+        "CASE WHEN null_rows = 0 THEN 'PASS' WHEN null_rows < total_rows * 0.1 THEN 'WARN' "
+        "ELSE 'FAIL' END AS grade",
     )
 
 
 def range_violations(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Per column: how many present values lie outside [low, high]."""
     return count_checks(
-        df, {c: (num(c) < low) | (num(c) > high) for c, (low, high) in bounds.items()}
+        df, {c: f"{num(c)} NOT BETWEEN {low} AND {high}" for c, (low, high) in bounds.items()}
     )
 
 
 def non_positive_prices(daily: DataFrame) -> DataFrame:
-    bad = F.lit(False)
-    for c in ("open", "high", "low", "close"):
-        bad = bad | F.coalesce(F.col(c) <= 0, F.lit(False))
-    return count_checks(daily, {"non_positive_price": bad})
+    return count_checks(
+        daily, {"non_positive_price": "open <= 0 OR high <= 0 OR low <= 0 OR close <= 0"}
+    )
 
 
 def filled_counts(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
@@ -243,76 +229,83 @@ def filled_counts(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
 
 
 def pe_bands(valuation: DataFrame) -> DataFrame:
-    pe = F.col("pe_ttm")
-    return valuation.agg(
-        F.count_if(pe <= 0).alias("negative"),
-        F.count_if((pe > 0) & (pe < 15)).alias("low"),
-        F.count_if((pe >= 15) & (pe < 30)).alias("middle"),
-        F.count_if((pe >= 30) & (pe < 60)).alias("high"),
-        F.count_if(pe >= 60).alias("very_high"),
-        F.count_if(pe.isNull()).alias("unknown"),
+    return valuation.selectExpr(
+        "count_if(pe_ttm <= 0) AS negative",
+        "count_if(pe_ttm > 0 AND pe_ttm < 15) AS low",
+        "count_if(pe_ttm >= 15 AND pe_ttm < 30) AS middle",
+        "count_if(pe_ttm >= 30 AND pe_ttm < 60) AS high",
+        "count_if(pe_ttm >= 60) AS very_high",
+        "count_if(pe_ttm IS NULL) AS unknown",
     )
 
 
 def latest_pe_bands(valuation: DataFrame) -> DataFrame:
     """The coarser bands over the latest row of each symbol."""
     latest = valuation.groupBy("stock_code").agg(F.max_by("pe_ttm", "trade_date").alias("pe_ttm"))
-    pe = F.col("pe_ttm")
-    return latest.agg(
-        F.count("*").alias("total"),
-        F.count_if((pe > 0) & (pe < 30)).alias("normal"),
-        F.count_if((pe >= 30) & (pe < 100)).alias("high"),
-        F.count_if((pe >= 100) | pe.isNull()).alias("very_high"),
-        F.count_if(pe < 1).alias("abnormal"),
+    return latest.selectExpr(
+        "count(*) AS total",
+        "count_if(pe_ttm > 0 AND pe_ttm < 30) AS normal",
+        "count_if(pe_ttm >= 30 AND pe_ttm < 100) AS high",
+        "count_if(pe_ttm >= 100 OR pe_ttm IS NULL) AS very_high",
+        "count_if(pe_ttm < 1) AS abnormal",
     )
 
 
 def column_stats(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(
-        F.min(column).alias("min_value"),
-        F.max(column).alias("max_value"),
-        F.avg(column).alias("avg_value"),
+    return df.selectExpr(
+        f"min({column}) AS min_value", f"max({column}) AS max_value", f"avg({column}) AS avg_value"
     )
 
 
 # --- turnover units ---------------------------------------------------------------------------
 
 
+def _with_reference(stored: DataFrame, reference: DataFrame) -> DataFrame:
+    ours = stored.selectExpr(*_KEY, f"{num('turnover')} AS stored")
+    theirs = reference.selectExpr(*_KEY, f"{positive(num('turnover'))} AS ref")
+    return ours.join(theirs, _KEY, "left")
+
+
+def _unit() -> str:
+    def band(low: float, high: float) -> str:
+        return f"median_ratio BETWEEN {low}D AND {high}D"
+
+    return (
+        "CASE WHEN samples = 0 AND empty THEN 'vacant' "
+        f"WHEN samples < {MIN_SAMPLE} THEN 'unknown' "
+        f"WHEN {band(*PERCENT_BAND)} THEN 'percent' "
+        f"WHEN {band(*FRACTION_BAND)} THEN 'fraction' ELSE 'unknown' END"
+    )
+
+
 def turnover_units(stored: DataFrame, reference: DataFrame) -> DataFrame:
     """Per symbol: is the stored turnover a percent, a fraction, empty or unclear?
 
     Decided by the upper median of stored / reference. Ranks come from a window over the symbol's
     days, so no group of values is collected.
     """
-    both = stored.select(*_KEY, num("turnover").alias("stored")).join(
-        reference.select(*_KEY, num("turnover").alias("ref")), _KEY, "left"
+    rows = _with_reference(stored, reference).selectExpr(
+        "stock_code", "stored", f"{ndiv(positive('stored'), 'ref')} AS ratio"
     )
-    ratio = ndiv(positive(F.col("stored")), positive(F.col("ref")))
-    rows = both.withColumn("ratio", ratio)
-    w = Window.partitionBy("stock_code")
-    ranked = rows.select(
+    by_ratio = Series(order="ratio ASC NULLS LAST")
+    ranked = rows.selectExpr(
         "stock_code",
         "stored",
         "ratio",
-        F.row_number().over(w.orderBy(F.col("ratio").asc_nulls_last())).alias("place"),
-        F.count("ratio").over(w).alias("samples"),
+        f"{by_ratio.over('row_number()')} AS place",
+        f"{by_ratio.whole('count(ratio)')} AS samples",
     )
-    middle = F.when(F.col("place") == F.floor(F.col("samples") / 2) + 1, F.col("ratio"))
     per = ranked.groupBy("stock_code").agg(
         F.max("samples").alias("samples"),
-        F.max(middle).alias("median_ratio"),
-        F.bool_and(F.coalesce(F.col("stored") == 0, F.lit(True))).alias("empty"),
+        F.expr("max(if(place = samples div 2 + 1, ratio, NULL)) AS median_ratio"),
+        F.expr("bool_and(coalesce(stored = 0, true)) AS empty"),
     )
-    med = F.col("median_ratio")
-    unit = (
-        F.when((F.col("samples") == 0) & F.col("empty"), "vacant")
-        .when(F.col("samples") < MIN_SAMPLE, "unknown")
-        .when(med.between(*PERCENT_BAND), "percent")
-        .when(med.between(*FRACTION_BAND), "fraction")
-        .otherwise("unknown")
+    return per.selectExpr(
+        "stock_code",
+        f"{_unit()} AS unit",
+        f"if(samples >= {MIN_SAMPLE}, median_ratio, NULL) AS median_ratio",
+        "samples",
     )
-    known_median = F.when(F.col("samples") >= MIN_SAMPLE, med)
-    return per.select("stock_code", unit.alias("unit"), known_median.alias("median_ratio"), "samples")
 
 
 def reconcile_turnover(stored: DataFrame, reference: DataFrame) -> DataFrame:
@@ -320,24 +313,16 @@ def reconcile_turnover(stored: DataFrame, reference: DataFrame) -> DataFrame:
 
     Symbols of unknown unit are left out altogether.
     """
-    units = turnover_units(stored, reference).where(F.col("unit") != "unknown")
-    rows = stored.select(*_KEY, num("turnover").alias("stored")).join(
-        reference.select(*_KEY, num("turnover").alias("ref")), _KEY, "left"
-    )
-    rows = rows.join(units.select("stock_code", "unit"), "stock_code")
-    ref = positive(F.col("ref"))
-    value = F.col("stored")
-    close = F.abs(value - ref) <= F.greatest(F.lit(SAME_ABSOLUTE), ref * SAME_RELATIVE)
+    units = turnover_units(stored, reference).where("unit != 'unknown'")
+    rows = _with_reference(stored, reference).join(units.select("stock_code", "unit"), "stock_code")
+    close = f"abs(stored - ref) <= greatest({SAME_ABSOLUTE}D, ref * {SAME_RELATIVE}D)"
     kind = (
-        F.when(ref.isNull(), "no_ref")
-        .when(value.isNull() | (value == 0), "fill")
-        .when(close, "same")
-        .when(F.col("unit") == "fraction", "fix_unit")
-        .otherwise("overwrite")
+        "CASE WHEN ref IS NULL THEN 'no_ref' WHEN stored IS NULL OR stored = 0 THEN 'fill' "
+        f"WHEN {close} THEN 'same' WHEN unit = 'fraction' THEN 'fix_unit' ELSE 'overwrite' END"
+    )
+    return rows.selectExpr("*", f"{kind} AS kind").selectExpr(
+        *_KEY, "kind", "if(kind IN ('no_ref', 'same'), stored, ref) AS turnover"
     )
-    rows = rows.withColumn("kind", kind)
-    keep = F.when(F.col("kind").isin("no_ref", "same"), value).otherwise(ref)
-    return rows.select(*_KEY, "kind", keep.alias("turnover"))
 
 
 # --- quotes -----------------------------------------------------------------------------------
@@ -345,30 +330,27 @@ def reconcile_turnover(stored: DataFrame, reference: DataFrame) -> DataFrame:
 
 def quote_identities(quotes: DataFrame) -> DataFrame:
     """Eight identities of a parsed quote, one boolean column each; a missing field fails."""
-    c = {name: num(name) for name in quotes.columns if name != "stock_code"}
 
-    def near(a: Column, b: Column, tolerance: float) -> Column:
-        return F.abs(a - b) <= tolerance
+    def near(a: str, b: str, tolerance: float) -> str:
+        return f"abs({a} - {b}) <= {tolerance}D"
 
-    limit = ndiv(non_zero(c["high_limit"]), non_zero(c["prev_close"])) - 1
-    moved = (ndiv(non_zero(c["close"]), non_zero(c["prev_close"])) - 1) * 100
-    swing = ndiv(c["high"] - c["low"], non_zero(c["prev_close"])) * 100
-    float_shares = ndiv(non_zero(c["circ_mv"]) * 1e8, non_zero(c["close"]))
-    turned = ndiv(non_zero(c["volume"]) * 100, float_shares) * 100
+    limit = f"({ndiv(non_zero('high_limit'), non_zero('prev_close'))} - 1)"
+    moved = f"({ndiv(non_zero('close'), non_zero('prev_close'))} - 1) * 100"
+    swing = f"{ndiv('high - low', non_zero('prev_close'))} * 100"
+    float_shares = ndiv(f"{non_zero('circ_mv')} * 1e8", non_zero("close"))
+    turned = f"{ndiv(f'{non_zero('volume')} * 100', float_shares)} * 100"
     checks = {
-        "limit_band": near(limit, F.lit(0.05), 0.005)
-        | near(limit, F.lit(0.10), 0.005)
-        | near(limit, F.lit(0.20), 0.005),
-        "change_pct": near(moved, c["change_pct"], 0.05),
-        "amplitude": near(swing, c["amplitude"], 0.05),
-        "turnover": near(turned, c["turnover"], 0.05),
-        "cap_order": c["total_mv"] >= c["circ_mv"] - 1e-6,
-        "pe_not_tiny": ~((F.abs(c["pe_ttm"]) > 0) & (F.abs(c["pe_ttm"]) < 1)),
-        "pb_range": (c["pb"] > 0) & (c["pb"] < 100),
-        "close_in_range": (c["low"] <= c["close"]) & (c["close"] <= c["high"]),
+        "limit_band": " OR ".join(near(limit, f"{x}D", 0.005) for x in (0.05, 0.10, 0.20)),
+        "change_pct": near(moved, "change_pct", 0.05),
+        "amplitude": near(swing, "amplitude", 0.05),
+        "turnover": near(turned, "turnover", 0.05),
+        "cap_order": "total_mv >= circ_mv - 1e-6",
+        "pe_not_tiny": "NOT (abs(pe_ttm) > 0 AND abs(pe_ttm) < 1)",
+        "pb_range": "pb > 0 AND pb < 100",
+        "close_in_range": "low <= close AND close <= high",
     }
-    return quotes.select(
-        "stock_code", *(F.coalesce(v, F.lit(False)).alias(f"ok_{k}") for k, v in checks.items())
+    return quotes.selectExpr(
+        "stock_code", *(f"coalesce({bad}, false) AS ok_{n}" for n, bad in checks.items())
     )
 
 
@@ -390,22 +372,20 @@ def risk_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Value rules of the five risk tables in one report."""
     report = None
     for table, rules in RISK_RULES.items():
-        part = count_checks(
-            tables[table], {f"{table}.{n}": F.expr(rule) for n, rule in rules.items()}
-        )
+        part = count_checks(tables[table], {f"{table}.{n}": rule for n, rule in rules.items()})
         report = part if report is None else report.unionByName(part)
     return report
 
 
 def funds_ratio(statements: DataFrame) -> DataFrame:
-    """Per symbol: how often monetary funds are filled, and their greatest share of current assets."""
+    """Per symbol: how often monetary funds are filled, their greatest share of current assets."""
     share = ndiv(num("monetary_funds"), num("current_assets"))
     out = statements.groupBy("stock_code").agg(
         F.count("*").alias("total_rows"),
         F.count("monetary_funds").alias("filled"),
-        F.max(share).alias("max_ratio"),
+        F.expr(f"max({share}) AS max_ratio"),
     )
-    return out.withColumn("suspicious", F.coalesce(F.col("max_ratio") > 1.0, F.lit(False)))
+    return out.selectExpr("*", "coalesce(max_ratio > 1, false) AS suspicious")
 
 
 def recompute_deviation(
@@ -416,33 +396,27 @@ def recompute_deviation(
     threshold: float = 0.02,
 ) -> DataFrame:
     """Mean absolute difference of stored and recomputed columns, a missing one counting as zero."""
-    renamed = fresh.select(*keys, *(num(c).alias(f"_fresh_{c}") for c in columns))
-    both = stored.join(renamed, list(keys))
-    gaps = {c: F.coalesce(F.abs(num(c) - F.col(f"_fresh_{c}")), F.lit(0.0)) for c in columns}
-    means = both.agg(*(F.avg(g).alias(f"m{i}") for i, g in enumerate(gaps.values())))
-    rows = F.array(
-        *(
-            F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("mean_abs_diff"))
-            for i, c in enumerate(columns)
-        )
+    renamed = fresh.selectExpr(*keys, *(f"{num(c)} AS _fresh_{c}" for c in columns))
+    both = stored.selectExpr(*keys, *(f"{num(c)} AS {c}" for c in columns))
+    means = both.join(renamed, list(keys)).selectExpr(
+        *(f"avg(coalesce(abs({c} - _fresh_{c}), 0D)) AS m{i}" for i, c in enumerate(columns))
     )
-    out = means.select(F.explode(rows).alias("r")).select("r.column_name", "r.mean_abs_diff")
-    return out.withColumn("passed", F.col("mean_abs_diff") < threshold)
+    pairs = ", ".join(f"'{c}', m{i}" for i, c in enumerate(columns))
+    return means.selectExpr(
+        f"stack({len(columns)}, {pairs}) AS (column_name, mean_abs_diff)"
+    ).selectExpr("*", f"mean_abs_diff < {threshold} AS passed")
 
 
 def relative_deviation(
     stored: DataFrame, fresh: DataFrame, keys: Sequence[str], column: str, percent: float = 1.0
 ) -> DataFrame:
-    """Rows of one column whose stored value is not within ``percent`` of the recomputed one."""
-    both = stored.select(*keys, num(column).alias("stored_value")).join(
-        fresh.select(*keys, num(column).alias("fresh_value")), list(keys)
+    """Both values of one column, and whether the stored one is within ``percent`` of the fresh."""
+    both = stored.selectExpr(*keys, f"{num(column)} AS stored_value").join(
+        fresh.selectExpr(*keys, f"{num(column)} AS fresh_value"), list(keys)
     )
-    a, b = F.col("fresh_value"), F.col("stored_value")
-    gap = ndiv(F.abs(a - b), F.abs(a)) * 100
-    ok = F.when((a == 0) & (b == 0), F.lit(True)).otherwise(
-        F.coalesce(gap < percent, F.lit(False))
-    )
-    return both.withColumn("passed", ok)
+    gap = f"{ndiv('abs(fresh_value - stored_value)', 'abs(fresh_value)')} * 100"
+    ok = f"(fresh_value = 0 AND stored_value = 0) OR {gap} < {percent}"
+    return both.selectExpr("*", f"coalesce({ok}, false) AS passed")
 
 
 def completeness(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -458,37 +432,34 @@ def completeness(tables: Mapping[str, DataFrame]) -> DataFrame:
     stacked = None
     for short, table in named.items():
         part = tables[table].groupBy("stock_code").agg(F.count("*").alias("n"))
-        part = part.select("stock_code", F.lit(short).alias("t"), "n")
+        part = part.selectExpr("stock_code", f"'{short}' AS t", "n")
         stacked = part if stacked is None else stacked.unionByName(part)
     wide = stacked.groupBy("stock_code").agg(
-        *(
-            F.coalesce(F.sum(F.when(F.col("t") == s, F.col("n"))), F.lit(0)).alias(f"{s}_rows")
-            for s in named
-        )
+        *(F.expr(f"coalesce(sum(if(t = '{s}', n, NULL)), 0) AS {s}_rows") for s in named)
+    )
+    return wide.selectExpr(
+        "*", "technical_rows >= daily_rows - 1 AND statements_rows > 0 AS complete"
     )
-    ok = (F.col("technical_rows") >= F.col("daily_rows") - 1) & (F.col("statements_rows") > 0)
-    return wide.withColumn("complete", ok)
 
 
-def table_counts(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+def table_counts(
+    spark: SparkSession, tables: Mapping[str, DataFrame], names: Sequence[str]
+) -> DataFrame:
     """Row count of each table; a table that is absent counts NULL."""
+    listed = spark.createDataFrame([(n,) for n in names], "table_name string")
     report = None
-    for name in names:
-        if name in tables:
-            part = tables[name].agg(F.count("*").alias("rows"))
-            part = part.select(F.lit(name).alias("table_name"), "rows")
+    for table in names:
+        if table in tables:
+            part = tables[table].selectExpr(f"'{table}' AS table_name", "count(*) AS rows")
             report = part if report is None else report.unionByName(part)
-    spark = report.sparkSession
-    listed = spark.createDataFrame([(n,) for n in names], "table_name string")
+    if report is None:
+        return listed.selectExpr("table_name", "bigint(NULL) AS rows")
     return listed.join(report, "table_name", "left")
 
 
-def truncation_collisions(feed: DataFrame, keys: Sequence[str], text: str, width: int) -> DataFrame:
+def truncation_collisions(
+    feed: DataFrame, keys: Sequence[str], text: str, width: int
+) -> DataFrame:
     """Keys that become equal only because a text is cut to ``width`` characters."""
-    cut = F.substring(text, 1, width).alias("short_text")
-    distinct = feed.select(*keys, cut, text).distinct()
-    return (
-        distinct.groupBy(*keys, "short_text")
-        .agg(F.count("*").alias("variants"))
-        .where(F.col("variants") > 1)
-    )
+    cut = feed.selectExpr(*keys, f"left({text}, {width}) AS short_text", text).distinct()
+    return cut.groupBy(*keys, "short_text").agg(F.count("*").alias("variants")).where("variants > 1")

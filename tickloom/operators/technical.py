@@ -1,18 +1,17 @@
 """Technical indicators of daily bars.
 
-Three window stages and one fold, all on (stock_code, trade_date): one shuffle, one sort.
-Rolling windows take what the start of a series offers; each indicator has its own value for an
-undefined ratio (NULL, 0, 50 or 100).
+Window stages and one fold, all on (stock_code, trade_date): one shuffle, one sort. Rolling windows
+take what the start of a series offers; each indicator has its own value for an undefined ratio
+(NULL, 0, 50 or 100).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickloom.functions import series as S
 from tickloom.functions.folds import FOLD_COLUMNS, fold_series, recursive_indicators
-from tickloom.functions.scalar import floor_at, ndiv, num, pct
+from tickloom.functions.scalar import floor_at_zero, ndiv, num, pct
+from tickloom.functions.series import BARS, mean_abs_deviation
 from tickloom.schema import TABLES
 
 MA_WINDOWS = (5, 10, 20, 60)
@@ -26,117 +25,81 @@ ROLLING_COLUMNS = (
 )
 
 _KEY = ("stock_code", "trade_date")
-_W = ("stock_code", "trade_date")
 
 
 def _steps(daily: DataFrame) -> DataFrame:
     """Row-to-row changes. Symbols with a single bar have no neighbour and drop out."""
-    w = S.by(*_W)
-    bars = daily.select(
-        *_KEY, *(num(c).alias(c) for c in ("open", "high", "low", "close", "volume"))
-    )
-    bars = bars.withColumn("tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
-    lagged = bars.select(
+    bars = daily.selectExpr(
+        *_KEY, *(f"{num(c)} AS {c}" for c in ("open", "high", "low", "close", "volume"))
+    ).selectExpr("*", "(high + low + close) / 3 AS tp")
+    lagged = bars.selectExpr(
         "*",
-        F.lag("close").over(w).alias("prev_close"),
-        F.lag("high").over(w).alias("prev_high"),
-        F.lag("low").over(w).alias("prev_low"),
-        F.lag("tp").over(w).alias("prev_tp"),
-        F.coalesce(F.lag("trade_date").over(w), F.lead("trade_date").over(w)).alias("neighbour"),
-    ).where(F.col("neighbour").isNotNull())
-
-    close, prev, vol, tp = (F.col(c) for c in ("close", "prev_close", "volume", "tp"))
-    delta = close - prev
-
-    def when_or_zero(condition, value):
-        return F.when(condition, value).otherwise(F.lit(0.0))
-
-    return lagged.select(
+        *(f"{BARS.lag(c)} AS prev_{c}" for c in ("close", "high", "low", "tp")),
+        f"coalesce({BARS.lag('trade_date')}, {BARS.lead('trade_date')}) AS neighbour",
+    ).where("neighbour IS NOT NULL")
+    return lagged.selectExpr(
         *_KEY, "open", "high", "low", "close", "volume", "tp",
-        when_or_zero(delta > 0, delta).alias("gain"),
-        when_or_zero(delta < 0, -delta).alias("loss"),
-        F.greatest(
-            F.col("high") - F.col("low"),
-            F.abs(F.col("high") - prev),
-            F.abs(F.col("low") - prev),
-        ).alias("tr"),
-        when_or_zero(tp > F.col("prev_tp"), tp * vol).alias("flow_up"),
-        when_or_zero(tp < F.col("prev_tp"), tp * vol).alias("flow_down"),
-        when_or_zero(delta > 0, vol).alias("vol_up"),
-        when_or_zero(delta < 0, vol).alias("vol_down"),
-        when_or_zero(delta == 0, vol).alias("vol_flat"),
-        floor_at(F.col("high") - F.col("prev_high"), 0.0).alias("dm_up"),
-        floor_at(F.col("prev_low") - F.col("low"), 0.0).alias("dm_down"),
+        "if(close > prev_close, close - prev_close, 0D) AS gain",
+        "if(close < prev_close, prev_close - close, 0D) AS loss",
+        "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) AS tr",
+        "if(tp > prev_tp, tp * volume, 0D) AS flow_up",
+        "if(tp < prev_tp, tp * volume, 0D) AS flow_down",
+        "if(close > prev_close, volume, 0D) AS vol_up",
+        "if(close < prev_close, volume, 0D) AS vol_down",
+        "if(close = prev_close, volume, 0D) AS vol_flat",
+        f"{floor_at_zero('high - prev_high')} AS dm_up",
+        f"{floor_at_zero('prev_low - low')} AS dm_down",
     )
 
 
 def _rolled(daily: DataFrame) -> DataFrame:
     """Every rolling aggregate the indicators need, in one window operator."""
-    w = S.by(*_W)
-    c = F.col
-    steps = _steps(daily)
-    return steps.select(
+    w = BARS
+    return _steps(daily).selectExpr(
         *_KEY, "open", "high", "low", "close", "volume", "tp",
-        *(S.rolling_mean(c("close"), w, n).alias(f"ma{n}") for n in MA_WINDOWS),
-        S.rolling_std(c("close"), w, 20).alias("std20"),
-        *(S.rolling_mean(c("gain"), w, n).alias(f"gain{n}") for n in RSI_WINDOWS),
-        *(S.rolling_mean(c("loss"), w, n).alias(f"loss{n}") for n in RSI_WINDOWS),
-        S.rolling_min(c("low"), w, 9).alias("low9"),
-        S.rolling_max(c("high"), w, 9).alias("high9"),
-        S.rolling_min(c("low"), w, 14).alias("low14"),
-        S.rolling_max(c("high"), w, 14).alias("high14"),
-        S.rolling_mean(c("tp"), w, 20).alias("tp_mean"),
-        S.rolling_values(c("tp"), w, 20).alias("tp_values"),
-        S.rolling_mean(c("tr"), w, 14).alias("atr14"),
-        S.rolling_mean(c("volume"), w, 5).alias("vol_ma5"),
-        S.rolling_mean(c("volume"), w, 10).alias("vol_ma10"),
-        F.sum(F.coalesce(c("vol_up") - c("vol_down"), F.lit(0.0))).over(S.so_far(w)).alias("obv"),
-        S.rolling_sum(c("flow_up"), w, 14).alias("flow_up14"),
-        S.rolling_sum(c("flow_down"), w, 14).alias("flow_down14"),
-        S.rolling_sum(c("vol_up"), w, 24).alias("up24"),
-        S.rolling_sum(c("vol_down"), w, 24).alias("down24"),
-        S.rolling_sum(c("vol_flat"), w, 24).alias("flat24"),
-        S.rolling_mean(c("dm_up"), w, 14).alias("dm_up14"),
-        S.rolling_mean(c("dm_down"), w, 14).alias("dm_down14"),
+        *(f"{w.mean('close', n)} AS ma{n}" for n in MA_WINDOWS),
+        f"{w.std('close', 20)} AS std20",
+        *(f"{w.mean(side, n)} AS {side}{n}" for side in ("gain", "loss") for n in RSI_WINDOWS),
+        *(f"{w.min('low', n)} AS low{n}" for n in (9, 14)),
+        *(f"{w.max('high', n)} AS high{n}" for n in (9, 14)),
+        f"{w.mean('tp', 20)} AS tp_mean",
+        f"{w.values('tp', 20)} AS tp_values",
+        f"{w.mean('tr', 14)} AS atr14",
+        *(f"{w.mean('volume', n)} AS vol_ma{n}" for n in (5, 10)),
+        f"{w.so_far('sum(coalesce(vol_up - vol_down, 0D))')} AS obv",
+        *(f"{w.sum(c, 14)} AS {c}14" for c in ("flow_up", "flow_down")),
+        *(f"{w.sum(c, 24)} AS {c}24" for c in ("vol_up", "vol_down", "vol_flat")),
+        *(f"{w.mean(c, 14)} AS {c}14" for c in ("dm_up", "dm_down")),
     )
 
 
 def _indicators(daily: DataFrame) -> DataFrame:
-    c = F.col
-    w = S.by(*_W)
-
-    def strength(gain, loss):
-        return 100 - ndiv(F.lit(100.0), 1 + ndiv(gain, loss))
+    def strength(up: str, down: str) -> str:
+        return f"100 - try_divide(100D, 1 + {ndiv(up, down)})"
 
-    deviation = S.mean_abs_deviation(c("tp_values"), c("tp_mean"))
-    base = _rolled(daily).select(
+    deviation = mean_abs_deviation("tp_values", "tp_mean")
+    base = _rolled(daily).selectExpr(
         *_KEY, "open", "high", "low", "close", "volume",
         *(f"ma{n}" for n in MA_WINDOWS), "std20", "atr14", "vol_ma5", "vol_ma10", "obv",
-        c("ma20").alias("boll_mid"),
-        (c("ma20") + 2 * c("std20")).alias("boll_upper"),
-        (c("ma20") - 2 * c("std20")).alias("boll_lower"),
-        *(pct(c("close") - c(f"ma{n}"), c(f"ma{n}")).alias(f"bias{n}") for n in MA_WINDOWS),
-        *(strength(c(f"gain{n}"), c(f"loss{n}")).alias(f"rsi{n}") for n in RSI_WINDOWS),
-        F.coalesce(pct(c("close") - c("low9"), c("high9") - c("low9")), F.lit(50.0)).alias("rsv"),
-        F.coalesce(ndiv(c("tp") - c("tp_mean"), 0.015 * deviation), F.lit(0.0)).alias("cci20"),
-        F.coalesce(
-            pct(c("high14") - c("close"), c("high14") - c("low14")), F.lit(50.0)
-        ).alias("wr14"),
-        F.coalesce(strength(c("flow_up14"), c("flow_down14")), F.lit(50.0)).alias("mfi14"),
-        F.coalesce(
-            pct(c("up24") + c("flat24") / 2, c("down24") + c("flat24") / 2), F.lit(100.0)
-        ).alias("vr"),
-        (100 * ndiv(c("dm_up14"), c("atr14"))).alias("dmi_pdi"),
-        (100 * ndiv(c("dm_down14"), c("atr14"))).alias("dmi_mdi"),
-        F.coalesce(
-            ndiv(c("close") - c("open"), c("high") - c("low")) * c("volume"), F.lit(0.0)
-        ).alias("wvad"),
+        "ma20 AS boll_mid",
+        "ma20 + 2 * std20 AS boll_upper",
+        "ma20 - 2 * std20 AS boll_lower",
+        *(f"{pct(f'close - ma{n}', f'ma{n}')} AS bias{n}" for n in MA_WINDOWS),
+        *(f"{strength(f'gain{n}', f'loss{n}')} AS rsi{n}" for n in RSI_WINDOWS),
+        f"coalesce({pct('close - low9', 'high9 - low9')}, 50D) AS rsv",
+        f"coalesce({ndiv('tp - tp_mean', f'0.015D * {deviation}')}, 0D) AS cci20",
+        f"coalesce({pct('high14 - close', 'high14 - low14')}, 50D) AS wr14",
+        f"coalesce({strength('flow_up14', 'flow_down14')}, 50D) AS mfi14",
+        f"coalesce({pct('vol_up24 + vol_flat24 / 2', 'vol_down24 + vol_flat24 / 2')}, 100D) AS vr",
+        f"{pct('dm_up14', 'atr14')} AS dmi_pdi",
+        f"{pct('dm_down14', 'atr14')} AS dmi_mdi",
+        f"coalesce({ndiv('close - open', 'high - low')} * volume, 0D) AS wvad",
     )
-    dx = 100 * ndiv(F.abs(c("dmi_pdi") - c("dmi_mdi")), c("dmi_pdi") + c("dmi_mdi"))
-    trend = base.withColumn("dx", dx)
-    trend = trend.withColumn("dmi_adx", S.rolling_mean(c("dx"), w, 14)).drop("dx")
-    trend = trend.withColumn("adx_pair", c("dmi_adx") + F.lag("dmi_adx", 14).over(w))
-    return trend.withColumn("dmi_adxr", S.rolling_mean(c("adx_pair"), w, 2)).drop("adx_pair")
+    dx = pct("abs(dmi_pdi - dmi_mdi)", "dmi_pdi + dmi_mdi")
+    base = base.selectExpr("*", f"{dx} AS dx")
+    base = base.selectExpr("*", f"{BARS.mean('dx', 14)} AS dmi_adx")
+    base = base.selectExpr("*", f"dmi_adx + {BARS.lag('dmi_adx', 14)} AS adx_pair")
+    return base.selectExpr("*", f"{BARS.mean('adx_pair', 2)} AS dmi_adxr").drop("dx", "adx_pair")
 
 
 def technical_rolling(daily: DataFrame) -> DataFrame:
@@ -150,22 +113,19 @@ def technical(daily: DataFrame) -> DataFrame:
     folded = fold_series(
         windowed, "stock_code", "trade_date", FOLD_COLUMNS, recursive_indicators
     )
-    c = F.col
-    full = folded.select(
+    full = folded.selectExpr(
         "*",
-        (c("ema12") - c("ema26")).alias("macd_dif"),
-        ((c("ema12") - c("ema26") - c("macd_dea")) * 2).alias("macd_hist"),
-        (3 * c("kdj_k") - 2 * c("kdj_d")).alias("kdj_j"),
+        "ema12 - ema26 AS macd_dif",
+        "(ema12 - ema26 - macd_dea) * 2 AS macd_hist",
+        "3 * kdj_k - 2 * kdj_d AS kdj_j",
     )
     return full.select(*TABLES["technical_indicators"].columns)
 
 
 def moving_averages(daily: DataFrame) -> DataFrame:
     """Full-window averages only, two digits; rows before the first one are left out."""
-    w = S.by(*_W)
-    close = num("close")
-    names = [f"ma{n}" for n in MA_WINDOWS]
-    out = daily.select(
-        *_KEY, *(S.full_mean(close, w, n, 2).alias(f"ma{n}") for n in MA_WINDOWS)
+    closes = daily.selectExpr(*_KEY, f"{num('close')} AS close")
+    out = closes.selectExpr(
+        *_KEY, *(f"{BARS.full_mean('close', n, 2)} AS ma{n}" for n in MA_WINDOWS)
     )
-    return out.where(F.coalesce(*names).isNotNull())
+    return out.where("coalesce(ma5, ma10, ma20, ma60) IS NOT NULL")

@@ -2,52 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickloom.functions.scalar import ndiv, non_zero, num, positive
+from tickloom.functions.series import Series
 from tickloom.operators.asof import asof_newest
 from tickloom.operators.latest import latest_value
 from tickloom.schema import TABLES
 
 _OUTPUT = TABLES["valuation_indicators"].columns
+_YEAR_END = "month(report_date) = 12 AND day(report_date) = 31"
 
 
-def trailing_dividends(dividends: DataFrame, as_of: Column) -> DataFrame:
+def trailing_dividends(dividends: DataFrame, as_of: str) -> DataFrame:
     """Cash per share of the 365 days before ``as_of``; later ex-dates count too."""
-    recent = F.when(F.col("dividend_date") >= F.date_sub(as_of, 365), F.col("cash_per_share"))
-    return dividends.groupBy("stock_code").agg(
-        F.coalesce(F.sum(recent), F.lit(0)).cast("double").alias("dividend_cash")
+    recent = f"if(dividend_date >= date_sub(date'{as_of}', 365), cash_per_share, NULL)"
+    total = dividends.selectExpr("stock_code", f"{recent} AS cash").groupBy("stock_code")
+    return total.agg({"cash": "sum"}).selectExpr(
+        "stock_code", "double(coalesce(`sum(cash)`, 0)) AS dividend_cash"
     )
 
 
-def _annual_figures(fundamentals: DataFrame) -> DataFrame:
-    """The newest 31 December statement of each symbol."""
-    year_end = (F.month("report_date") == 12) & (F.dayofmonth("report_date") == 31)
-    return latest_value(
-        fundamentals.where(year_end), "stock_code", "report_date", "net_profit", "total_revenue"
-    ).select(
-        "stock_code",
-        F.col("net_profit").alias("annual_profit"),
-        F.col("total_revenue").alias("annual_revenue"),
-    )
-
+def _with_annual(fundamentals: DataFrame, so_far: bool) -> DataFrame:
+    """Statements with the figures of the symbol's newest 31 December statement.
 
-def _known_statements(fundamentals: DataFrame) -> DataFrame:
-    """Statements with the newest annual figures among the periods up to each one."""
-    year_end = (F.month("report_date") == 12) & (F.dayofmonth("report_date") == 31)
-    past = (
-        Window.partitionBy("stock_code")
-        .orderBy("report_date", "report_type")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    annual = F.max(
-        F.when(year_end, F.struct("report_date", "net_profit", "total_revenue"))
-    ).over(past)
-    return fundamentals.select(
-        "*",
-        annual["net_profit"].alias("annual_profit"),
-        annual["total_revenue"].alias("annual_revenue"),
+    ``so_far`` looks only at the periods up to each statement.
+    """
+    listed = Series(order="report_date, report_type")
+    newest = f"max(if({_YEAR_END}, struct(report_date, net_profit, total_revenue), NULL))"
+    annual = listed.so_far(newest) if so_far else listed.whole(newest)
+    return fundamentals.selectExpr("*", f"{annual} AS _annual").selectExpr(
+        "*", "_annual.net_profit AS annual_profit", "_annual.total_revenue AS annual_revenue"
     )
 
 
@@ -56,7 +41,7 @@ def valuation(
     fundamentals: DataFrame,
     capital: DataFrame,
     dividends: DataFrame,
-    as_of: Column,
+    as_of: str,
     point_in_time: bool = False,
     null_announcement: str = "exclude",
 ) -> DataFrame:
@@ -68,16 +53,13 @@ def valuation(
     """
     payload = [
         "announcement_date", "net_profit_ttm", "total_revenue_ttm", "equity_parent",
-        "roe_ttm", "roe_annual",
+        "roe_ttm", "roe_annual", "annual_profit", "annual_revenue",
     ]
-    statements = fundamentals
-    if point_in_time:
-        statements = _known_statements(fundamentals)
-        payload += ["annual_profit", "annual_revenue"]
-    known = F.col("announcement_date")
+    statements = _with_annual(fundamentals, so_far=point_in_time)
+    known = "announcement_date"
     if null_announcement == "always":
-        known = F.coalesce(known, F.lit("0001-01-01").cast("date"))
-    bars = daily.select("stock_code", "trade_date", num("close").alias("close"))
+        known = "coalesce(announcement_date, date'0001-01-01')"
+    bars = daily.selectExpr("stock_code", "trade_date", f"{num('close')} AS close")
     rows = asof_newest(
         bars, statements, "stock_code", "trade_date", known, "report_date", payload, ["report_type"]
     )
@@ -86,117 +68,100 @@ def valuation(
         rows = _dividends_on_date(rows, dividends)
     else:
         shares = latest_value(capital, "stock_code", "record_date", "total_shares")
-        rows = (
-            rows.join(shares, "stock_code", "left")
-            .join(_annual_figures(fundamentals), "stock_code", "left")
-            .join(trailing_dividends(dividends, as_of), "stock_code", "left")
-        )
-    value = F.col("close") * num("total_shares")
-    known_row = F.col("report_date").isNotNull()
-
-    def multiple(base: str) -> Column:
-        return F.when(known_row, ndiv(F.col("market_value"), non_zero(num(base))))
-
-    rows = rows.where(F.col("close").isNotNull() & (F.col("total_shares") != 0))
-    rows = rows.withColumn("market_value", value)
-    dividend = positive(F.col("dividend_cash"))
-    out = rows.select(
+        cash = trailing_dividends(dividends, as_of)
+        rows = rows.join(shares, "stock_code", "left").join(cash, "stock_code", "left")
+    rows = rows.where("close IS NOT NULL AND total_shares != 0 AND report_date IS NOT NULL")
+    rows = rows.selectExpr("*", f"close * {num('total_shares')} AS market_value")
+
+    def multiple(base: str) -> str:
+        return ndiv("market_value", non_zero(num(base)))
+
+    cash_yield = ndiv(positive("dividend_cash"), positive("close"))
+    return rows.selectExpr(
         "stock_code",
         "trade_date",
-        multiple("net_profit_ttm").alias("pe_ttm"),
-        multiple("equity_parent").alias("pb"),
-        multiple("total_revenue_ttm").alias("ps_ttm"),
-        F.round(ndiv(dividend, positive(F.col("close"))) * 100, 4).alias("dividend_yield"),
-        F.col("roe_ttm").alias("roe"),
-        multiple("annual_profit").alias("pe_annual"),
-        multiple("annual_revenue").alias("ps_annual"),
+        f"{multiple('net_profit_ttm')} AS pe_ttm",
+        f"{multiple('equity_parent')} AS pb",
+        f"{multiple('total_revenue_ttm')} AS ps_ttm",
+        f"round({cash_yield} * 100, 4) AS dividend_yield",
+        "roe_ttm AS roe",
+        f"{multiple('annual_profit')} AS pe_annual",
+        f"{multiple('annual_revenue')} AS ps_annual",
         "roe_ttm",
         "roe_annual",
-        F.col("report_date").alias("used_report_date"),
-        F.col("announcement_date").alias("used_announcement_date"),
-    )
-    return out.where(F.coalesce("pe_ttm", "pb", "ps_ttm").isNotNull()).select(*_OUTPUT)
+        "report_date AS used_report_date",
+        "announcement_date AS used_announcement_date",
+    ).where("coalesce(pe_ttm, pb, ps_ttm) IS NOT NULL")
 
 
 def _capital_on_date(rows: DataFrame, capital: DataFrame) -> DataFrame:
     """Share count recorded by each trade date."""
-    renamed = capital.withColumnRenamed("record_date", "shares_date")
-    keep = [*rows.columns, "total_shares"]
-    found = asof_newest(
-        rows, renamed, "stock_code", "trade_date", F.col("shares_date"), "shares_date",
-        ["total_shares"],
-    )
-    return found.select(*keep)
+    dated = capital.selectExpr("stock_code", "record_date AS shares_date", "total_shares")
+    return asof_newest(
+        rows, dated, "stock_code", "trade_date", "shares_date", "shares_date", ["total_shares"]
+    ).drop("shares_date")
 
 
 def _dividends_on_date(rows: DataFrame, dividends: DataFrame) -> DataFrame:
     """Cash paid in the 365 days up to each trade date, by a range window over one time line."""
-    paid = dividends.groupBy("stock_code", F.col("dividend_date").alias("trade_date")).agg(
-        F.sum("cash_per_share").alias("paid")
-    )
-    asked = rows.select(
-        "stock_code", "trade_date", F.struct(*rows.columns[2:]).alias("_row")
+    own = [c for c in rows.columns if c not in ("stock_code", "trade_date")]
+    paid = dividends.selectExpr(
+        "stock_code", "dividend_date AS trade_date", "cash_per_share AS paid"
     )
+    asked = rows.selectExpr("stock_code", "trade_date", f"struct({', '.join(own)}) AS _row")
     line = paid.unionByName(asked, allowMissingColumns=True)
-    year = (
-        Window.partitionBy("stock_code")
-        .orderBy(F.unix_date("trade_date"))
-        .rangeBetween(-365, 0)
+    year = Series(order="unix_date(trade_date)").over(
+        "sum(paid)", "RANGE BETWEEN 365 PRECEDING AND CURRENT ROW"
     )
-    total = F.coalesce(F.sum("paid").over(year), F.lit(0)).cast("double")
-    found = line.withColumn("dividend_cash", total).where(F.col("_row").isNotNull())
-    return found.select(
-        "stock_code",
-        "trade_date",
-        *(F.col(f"_row.{c}").alias(c) for c in rows.columns[2:]),
-        "dividend_cash",
+    found = line.selectExpr("*", f"double(coalesce({year}, 0)) AS dividend_cash")
+    return found.where("_row IS NOT NULL").selectExpr(
+        "stock_code", "trade_date", *(f"_row.{c} AS {c}" for c in own), "dividend_cash"
     )
 
 
 def valuation_per_share(
-    daily: DataFrame, fundamentals: DataFrame, dividends: DataFrame, as_of: Column
+    daily: DataFrame, fundamentals: DataFrame, dividends: DataFrame, as_of: str
 ) -> DataFrame:
     """The per-share form: ratios only of positive figures, all rounded, every priced bar kept.
 
     A statement counts from its announcement, never before its period end; without an announcement
     date it counts from the period end.
     """
-    known = F.coalesce(
-        F.when(F.col("announcement_date").isNotNull(), F.greatest("announcement_date", "report_date")),
-        F.col("report_date"),
-    )
     payload = [
         "announcement_date", "bvps", "eps", "eps_ttm", "total_revenue", "total_revenue_ttm",
         "total_shares", "roe_ttm", "roe_annual",
     ]
-    bars = daily.select("stock_code", "trade_date", num("close").alias("close"))
-    bars = bars.where(F.col("close") != 0)
+    bars = daily.selectExpr("stock_code", "trade_date", f"{num('close')} AS close")
     rows = asof_newest(
-        bars, fundamentals, "stock_code", "trade_date", known, "report_date", payload,
-        ["report_type"],
+        bars.where("close != 0"), fundamentals, "stock_code", "trade_date",
+        "greatest(announcement_date, report_date)", "report_date", payload, ["report_type"],
     )
     rows = rows.join(trailing_dividends(dividends, as_of), "stock_code", "left")
 
-    def per_share(c: str) -> Column:
-        return F.round(ndiv(num(c), num(positive(F.col("total_shares")))), 4)
+    def per_share(c: str) -> str:
+        return f"round({ndiv(num(c), num(positive('total_shares')))}, 4)"
+
+    rows = rows.selectExpr(
+        "*",
+        f"{per_share('total_revenue_ttm')} AS sales_ttm",
+        f"{per_share('total_revenue')} AS sales",
+    )
 
-    def multiple(base: Column) -> Column:
-        return F.round(ndiv(F.col("close"), positive(base)), 4)
+    def multiple(base: str) -> str:
+        return f"round({ndiv('close', positive(num(base)))}, 4)"
 
-    return rows.select(
+    return rows.selectExpr(
         "stock_code",
         "trade_date",
-        multiple(num("eps_ttm")).alias("pe_ttm"),
-        multiple(num("bvps")).alias("pb"),
-        multiple(per_share("total_revenue_ttm")).alias("ps_ttm"),
-        F.round(ndiv(positive(F.col("dividend_cash")), F.col("close")) * 100, 4).alias(
-            "dividend_yield"
-        ),
-        F.coalesce("roe_ttm", "roe_annual").alias("roe"),
-        multiple(num("eps")).alias("pe_annual"),
-        multiple(per_share("total_revenue")).alias("ps_annual"),
+        f"{multiple('eps_ttm')} AS pe_ttm",
+        f"{multiple('bvps')} AS pb",
+        f"{multiple('sales_ttm')} AS ps_ttm",
+        f"round({ndiv(positive('dividend_cash'), 'close')} * 100, 4) AS dividend_yield",
+        "coalesce(roe_ttm, roe_annual) AS roe",
+        f"{multiple('eps')} AS pe_annual",
+        f"{multiple('sales')} AS ps_annual",
         "roe_ttm",
         "roe_annual",
-        F.col("report_date").alias("used_report_date"),
-        F.col("announcement_date").alias("used_announcement_date"),
+        "report_date AS used_report_date",
+        "announcement_date AS used_announcement_date",
     ).select(*_OUTPUT)

@@ -80,6 +80,11 @@ class TableSpec:
     def values(self) -> list[str]:
         return [c for c in self.columns if c not in self.keys]
 
+    @property
+    def by_month(self) -> bool:
+        """Stored in month folders: tables whose key holds their date."""
+        return self.date_col in self.keys
+
     def type_of(self, column: str) -> str:
         return next(f.spark_type for f in self.fields if f.name == column)
 

@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import (
-    first_present,
+    clean_text,
+    first_number,
     from_dotted,
+    name,
     ndiv,
     non_zero,
-    num,
     parse_date,
     parse_num,
     positive,
     quarter_end,
+    text_literal,
     to_symbol,
 )
 from tickloom.operators.daily import fill_turnover
@@ -42,38 +44,48 @@ HOLDER_WIDTH = 200
 FREE_TYPE_WIDTH = 100
 
 
+Fields = Mapping[str, Sequence[str]]
+
+_STATEMENT_KEY = ["stock_code", "report_date", "report_type"]
+_PERIOD_KEY = ["stock_code", "report_date"]
+
+
 def _targets(rows: DataFrame, targets: DataFrame | None) -> DataFrame:
     if targets is None:
         return rows
     return rows.join(targets.select("stock_code"), "stock_code", "left_semi")
 
 
-def _numbers(fields: Mapping[str, str]) -> list[Column]:
-    return [parse_num(source).alias(name) for name, source in fields.items()]
+def _numbers(fields: Mapping[str, str]) -> list[str]:
+    return [f"{parse_num(name(source))} AS {out}" for out, source in fields.items()]
+
 
+def _day(column: str) -> str:
+    return parse_date(name(column))
 
-def _text(column: str) -> Column:
-    return F.trim(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
+def _whole(x: str, kind: str = "bigint") -> str:
+    return f"try_cast(round({x}) AS {kind})"
 
-def _whole(c: Column, kind: str = "bigint") -> Column:
-    return F.round(c).try_cast(kind)
+
+def _extra(df: DataFrame, *columns: str) -> list[str]:
+    return [c for c in columns if c in df.columns]
 
 
 # --- bars -------------------------------------------------------------------------------------
 
 
-def daily_bars(raw: DataFrame, capital: DataFrame, start: DataFrame | Column) -> DataFrame:
+def daily_bars(raw: DataFrame, capital: DataFrame, start: DataFrame | str) -> DataFrame:
     """Provider bars from each symbol's start day on, with turnover filled.
 
     ``start`` is one day for all, or a (stock_code, next_date) frame of watermarks.
     """
     rows = raw.withColumnRenamed("vol", "volume") if "vol" in raw.columns else raw
-    rows = rows.withColumn("trade_date", F.to_date("datetime"))
+    rows = rows.selectExpr("*", "to_date(datetime) AS trade_date")
     if isinstance(start, DataFrame):
-        rows = rows.join(start, "stock_code").where(F.col("trade_date") >= F.col("next_date"))
+        rows = rows.join(start, "stock_code").where("trade_date >= next_date")
     else:
-        rows = rows.where(F.col("trade_date") >= start)
+        rows = rows.where(f"trade_date >= date'{start}'")
     wanted = ("open", "high", "low", "close", "volume", "amount")
     rows = rows.select("stock_code", "trade_date", *(c for c in wanted if c in rows.columns))
     return fill_turnover(rows, capital)
@@ -125,180 +137,159 @@ _EM_BALANCE = {
 _EM_CASH = {"operating_cash_flow": ("NETCASH_OPERATE",), "capex": ("CONSTRUCT_LONG_ASSET",)}
 
 
-def _picked(df: DataFrame, fields: Mapping[str, Sequence[str]]) -> list[Column]:
+def _picked(df: DataFrame, fields: Fields) -> list[str]:
     """Each field from the first of its source columns that the feed has and that parses."""
     out = []
-    for name, sources in fields.items():
-        have = [F.col(f"`{s}`") for s in sources if s in df.columns]
-        out.append((first_present(*have) if have else F.lit(None).cast("double")).alias(name))
+    for field, sources in fields.items():
+        have = [name(s) for s in sources if s in df.columns]
+        out.append(f"{first_number(*have) if have else 'double(NULL)'} AS {field}")
     return out
 
 
-def _statement_side(df: DataFrame, fields, keys: Sequence[str]) -> DataFrame:
-    """One row per key; of repeated keys the last landed one counts."""
-    order = ("_seq",) if "_seq" in df.columns else tuple(keys)
-    rows = df.select(*keys, *(F.col(c) for c in order if c not in keys), *_picked(df, fields))
-    return keep_last(rows, keys, *order).drop("_seq")
-
-
 def statements_sina(
     income: DataFrame, balance: DataFrame, cash: DataFrame, balance_announces: bool = False
 ) -> DataFrame:
     """Statement rows for every (period, type) of the income feed.
 
     The announcement date comes from the income statement; ``balance_announces`` lets the balance
-    sheet stand in where that is missing. ROE is taken against assets minus liabilities.
+    sheet stand in where that is missing. ROE is taken against assets minus liabilities. Of rows
+    with one key the last landed (``_seq``) counts.
     """
-    keys = ["stock_code", "report_date", "report_type"]
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {
-                "report_date": parse_date("报告日"),
-                "report_type": F.col("类型"),
-                "announced": parse_date("公告日期") if "公告日期" in df.columns else F.lit(None),
-            }
+    keys = _STATEMENT_KEY
+
+    def side(df: DataFrame, fields: Fields, announced: str) -> DataFrame:
+        day = _day("公告日期") if "公告日期" in df.columns else "date(NULL)"
+        rows = df.selectExpr(
+            "stock_code",
+            f"{_day('报告日')} AS report_date",
+            "`类型` AS report_type",
+            f"{day} AS {announced}",
+            *_extra(df, "_seq"),
+            *_picked(df, fields),
         )
+        return keep_last(rows, keys, *(_extra(df, "_seq") or keys)).drop("_seq")
 
-    inc, bal, flow = keyed(income), keyed(balance), keyed(cash)
-    order = ["_seq"] if "_seq" in inc.columns else keys
-    income_rows = keep_last(
-        inc.select(
-            *keys, *(c for c in order if c not in keys),
-            F.col("announced").alias("income_announced"), *_picked(inc, _SINA_INCOME),
-        ),
-        keys, *order,
-    ).drop("_seq")
-    balance_rows = _statement_side(bal, _SINA_BALANCE, keys)
-    cash_rows = _statement_side(flow, _SINA_CASH, keys)
-    merged = income_rows.join(balance_rows, keys, "left").join(cash_rows, keys, "left")
-    announced = F.col("income_announced")
-    if balance_announces:
-        dates = bal.groupBy(*keys).agg(F.max("announced").alias("balance_announced"))
-        merged = merged.join(dates, keys, "left")
-        announced = F.coalesce(announced, F.col("balance_announced"))
-    equity = non_zero(non_zero(F.col("total_assets")) - non_zero(F.col("total_liabilities")))
-    roe = F.round(ndiv(non_zero(F.col("net_profit")), equity) * 100, 4)
-    return merged.select(
+    merged = (
+        side(income, _SINA_INCOME, "income_announced")
+        .join(side(balance, _SINA_BALANCE, "balance_announced"), keys, "left")
+        .join(side(cash, _SINA_CASH, "cash_announced"), keys, "left")
+    )
+    equity = non_zero(f"({non_zero('total_assets')} - {non_zero('total_liabilities')})")
+    dates = "income_announced, balance_announced" if balance_announces else "income_announced"
+    return merged.selectExpr(
         *keys,
         *_SINA_INCOME,
         *_SINA_BALANCE,
         *_SINA_CASH,
-        roe.alias("roe"),
-        announced.cast("date").alias("announcement_date"),
+        f"round({ndiv(non_zero('net_profit'), equity)} * 100, 4) AS roe",
+        f"coalesce({dates}) AS announcement_date",
     )
 
 
+def _em_period(df: DataFrame) -> str:
+    return f"{parse_date('left(REPORT_DATE, 10)')} AS report_date"
+
+
 def statements_em(income: DataFrame, balance: DataFrame, cash: DataFrame) -> DataFrame:
     """The second feed: matched by period only, first match wins, ROE against parent equity."""
-    keys = ["stock_code", "report_date"]
-
-    def side(df: DataFrame, fields) -> DataFrame:
-        rows = df.withColumn("report_date", parse_date(F.substring(F.col("REPORT_DATE"), 1, 10)))
-        order = F.col("_seq") if "_seq" in df.columns else F.col("report_date")
-        return top_rows(
-            rows.select(*keys, order.alias("_order"), *_picked(rows, fields)), keys, 1, F.col("_order")
-        ).drop("_order")
-
-    rows = income.withColumn("report_date", parse_date(F.substring(F.col("REPORT_DATE"), 1, 10)))
-    announced = parse_date(F.substring(F.col("NOTICE_DATE"), 1, 10))
-    base = rows.select(
-        *keys,
-        F.lit(CONSOLIDATED).alias("report_type"),
-        announced.alias("announcement_date"),
-        *_picked(rows, _EM_INCOME),
-    )
-    merged = base.join(side(balance, _EM_BALANCE), keys, "left").join(
-        side(cash, _EM_CASH), keys, "left"
+
+    def side(df: DataFrame, fields: Fields) -> DataFrame:
+        rows = df.selectExpr("stock_code", _em_period(df), *_extra(df, "_seq"), *_picked(df, fields))
+        order = (_extra(df, "_seq") or _PERIOD_KEY)[0]
+        return top_rows(rows, _PERIOD_KEY, 1, F.col(order)).drop("_seq")
+
+    base = income.selectExpr(
+        "stock_code",
+        _em_period(income),
+        f"{text_literal(CONSOLIDATED)} AS report_type",
+        f"{parse_date('left(NOTICE_DATE, 10)')} AS announcement_date",
+        *_picked(income, _EM_INCOME),
     )
-    roe = F.round(
-        ndiv(non_zero(F.col("net_profit")), non_zero(F.col("equity_parent"))) * 100, 4
+    merged = base.join(side(balance, _EM_BALANCE), _PERIOD_KEY, "left").join(
+        side(cash, _EM_CASH), _PERIOD_KEY, "left"
     )
-    return merged.withColumn("roe", roe)
+    roe = ndiv(non_zero("net_profit"), non_zero("equity_parent"))
+    return merged.selectExpr("*", f"round({roe} * 100, 4) AS roe")
 
 
 def statements_minimal(profit: DataFrame) -> DataFrame:
     """The last-resort feed: net profit and revenue only, records with neither are dropped."""
-    rows = profit.select(
+    return profit.selectExpr(
         "stock_code",
-        quarter_end(F.col("year").cast("int"), F.col("quarter").cast("int")).alias("report_date"),
-        F.lit(CONSOLIDATED).alias("report_type"),
-        parse_num("netProfit").alias("net_profit"),
-        parse_num("MBRevenue").alias("total_revenue"),
-        parse_date("pubDate").alias("announcement_date"),
-    )
-    return rows.where(F.coalesce("net_profit", "total_revenue").isNotNull())
+        f"{quarter_end('int(year)', 'int(quarter)')} AS report_date",
+        f"{text_literal(CONSOLIDATED)} AS report_type",
+        f"{parse_num('netProfit')} AS net_profit",
+        f"{parse_num('MBRevenue')} AS total_revenue",
+        f"{parse_date('pubDate')} AS announcement_date",
+    ).where("coalesce(net_profit, total_revenue) IS NOT NULL")
 
 
 def deducted_profit_patch(income: DataFrame) -> DataFrame:
     """(symbol, period) -> deducted profit and interest, for the later fill."""
-    rows = income.withColumn("report_date", parse_date(F.substring(F.col("REPORT_DATE"), 1, 10)))
     fields = {k: _EM_INCOME[k] for k in ("net_profit_deducted", "interest_expense")}
-    return rows.select("stock_code", "report_date", *_picked(rows, fields))
+    return income.selectExpr("stock_code", _em_period(income), *_picked(income, fields))
 
 
 def balance_patch(balance: DataFrame) -> DataFrame:
     """(symbol, period) -> current assets, current liabilities and monetary funds."""
-    rows = balance.withColumn("report_date", parse_date(F.substring(F.col("REPORT_DATE"), 1, 10)))
     fields = {
         "current_assets": ("TOTAL_CURRENT_ASSETS",),
         "current_liabilities": ("TOTAL_CURRENT_LIAB",),
         "monetary_funds": ("MONETARYFUNDS",),
     }
-    return rows.select("stock_code", "report_date", *_picked(rows, fields))
+    return balance.selectExpr("stock_code", _em_period(balance), *_picked(balance, fields))
 
 
 # --- corporate risk ---------------------------------------------------------------------------
 
 
-def newest_pledge_snapshot(snapshots: DataFrame, as_of: Column) -> DataFrame:
+def newest_pledge_snapshot(snapshots: DataFrame, as_of: str) -> DataFrame:
     """Rows of the newest Friday with data among the four before ``as_of``.
 
     On a Friday the search starts a full week back.
     """
-    friday = F.date_sub(F.next_day(F.date_sub(as_of, 1), "FRI"), 7)
-    age = F.datediff(friday, "snapshot_date")
-    recent = snapshots.where((age >= 0) & (age < 7 * PLEDGE_WEEKS) & (age % 7 == 0))
+    friday = f"date_sub(next_day(date_sub(date'{as_of}', 1), 'FRI'), 7)"
+    age = f"datediff({friday}, snapshot_date)"
+    recent = snapshots.where(f"{age} BETWEEN 0 AND {7 * PLEDGE_WEEKS - 1} AND {age} % 7 = 0")
     newest = recent.agg(F.max("snapshot_date")).scalar()
     return recent.where(F.col("snapshot_date") == newest)
 
 
 def pledge(snapshot: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Shares and value arrive in ten-thousands."""
-    rows = snapshot.select(
-        to_symbol(F.col("股票代码")).alias("stock_code"),
-        F.col("snapshot_date").alias("trade_date"),
-        parse_num("质押比例").alias("pledge_ratio"),
-        _whole(parse_num("质押股数") * TEN_THOUSAND).alias("pledge_shares"),
-        (parse_num("质押市值") * TEN_THOUSAND).alias("pledge_market_value"),
-        parse_num("质押笔数").try_cast("int").alias("pledge_count"),
+    rows = snapshot.selectExpr(
+        f"{to_symbol('`股票代码`')} AS stock_code",
+        "snapshot_date AS trade_date",
+        f"{parse_num('`质押比例`')} AS pledge_ratio",
+        f"{_whole(parse_num('`质押股数`') + f' * {TEN_THOUSAND}')} AS pledge_shares",
+        f"{parse_num('`质押市值`')} * {TEN_THOUSAND} AS pledge_market_value",
+        f"try_cast({parse_num('`质押笔数`')} AS int) AS pledge_count",
     )
     return _targets(rows, targets)
 
 
 def holder_changes(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Only real increases and decreases by a named holder with a readable announcement date."""
-    code = "代码" if "代码" in raw.columns else "股票代码"
-    announced = "公告日" if "公告日" in raw.columns else "公告日期"
-    kind = F.trim(F.coalesce(F.col("`持股变动信息-增减`").cast("string"), F.lit("")))
-    shares = _whole(parse_num(F.col("`持股变动信息-变动数量`")) * TEN_THOUSAND)
-    rows = raw.select(
-        to_symbol(F.col(code)).alias("stock_code"),
-        parse_date(announced).alias("announcement_date"),
-        F.substring(_text("股东名称"), 1, HOLDER_WIDTH).alias("holder_name"),
-        kind.alias("change_type"),
-        shares.alias("change_shares"),
-        parse_num(F.col("`持股变动信息-占总股本比例`")).alias("change_ratio"),
-        _whole(parse_num(F.col("`变动后持股情况-持股总数`")) * TEN_THOUSAND).alias("hold_after_shares"),
-        parse_num(F.col("`变动后持股情况-占总股本比例`")).alias("hold_after_ratio"),
-        parse_date("变动开始日").alias("change_start_date"),
-        parse_date("变动截止日").alias("change_end_date"),
-    )
-    rows = rows.where(
-        F.col("change_type").isin(INCREASE, DECREASE)
-        & (F.col("holder_name") != "")
-        & (F.col("change_shares") != 0)
-        & F.col("announcement_date").isNotNull()
+    code = _extra(raw, "代码", "股票代码")[0]
+    announced = _extra(raw, "公告日", "公告日期")[0]
+
+    def shares(source: str) -> str:
+        return _whole(f"{parse_num(name(source))} * {TEN_THOUSAND}")
+
+    rows = raw.selectExpr(
+        f"{to_symbol(name(code))} AS stock_code",
+        f"{_day(announced)} AS announcement_date",
+        f"left({clean_text('`股东名称`')}, {HOLDER_WIDTH}) AS holder_name",
+        f"{clean_text('`持股变动信息-增减`')} AS change_type",
+        f"{shares('持股变动信息-变动数量')} AS change_shares",
+        f"{parse_num('`持股变动信息-占总股本比例`')} AS change_ratio",
+        f"{shares('变动后持股情况-持股总数')} AS hold_after_shares",
+        f"{parse_num('`变动后持股情况-占总股本比例`')} AS hold_after_ratio",
+        f"{_day('变动开始日')} AS change_start_date",
+        f"{_day('变动截止日')} AS change_end_date",
+    ).where(
+        f"change_type IN ({text_literal(INCREASE)}, {text_literal(DECREASE)}) "
+        "AND holder_name != '' AND change_shares != 0 AND announcement_date IS NOT NULL"
     )
     return _targets(rows, targets)
 
@@ -333,58 +324,52 @@ _HOLDER_NUM = {
 }
 
 
-def _quoted(fields: Mapping[str, str]) -> list[Column]:
-    return [parse_num(F.col(f"`{source}`")).alias(name) for name, source in fields.items()]
-
-
 def buybacks(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    rows = raw.select(
-        to_symbol(F.col("股票代码")).alias("stock_code"),
-        parse_date("最新公告日期").alias("announcement_date"),
-        _text("实施进度").alias("progress"),
-        parse_date("回购起始时间").alias("plan_start_date"),
-        *_quoted(_BUYBACK),
+    rows = raw.selectExpr(
+        f"{to_symbol('`股票代码`')} AS stock_code",
+        f"{_day('最新公告日期')} AS announcement_date",
+        f"{clean_text('`实施进度`')} AS progress",
+        f"{_day('回购起始时间')} AS plan_start_date",
+        *_numbers(_BUYBACK),
     )
-    rows = rows.where(F.col("announcement_date").isNotNull() & (F.col("progress") != ""))
-    return _targets(rows, targets)
+    return _targets(rows.where("announcement_date IS NOT NULL AND progress != ''"), targets)
 
 
-def unlocks(raw: DataFrame, as_of: Column, targets: DataFrame | None = None) -> DataFrame:
+def unlocks(raw: DataFrame, as_of: str, targets: DataFrame | None = None) -> DataFrame:
     """Two years back to one year ahead of ``as_of``."""
-    rows = raw.select(
-        to_symbol(F.col("股票代码")).alias("stock_code"),
-        parse_date("解禁时间").alias("free_date"),
-        F.substring(_text("限售股类型"), 1, FREE_TYPE_WIDTH).alias("free_type"),
-        *_quoted(_UNLOCK),
+    rows = raw.selectExpr(
+        f"{to_symbol('`股票代码`')} AS stock_code",
+        f"{_day('解禁时间')} AS free_date",
+        f"left({clean_text('`限售股类型`')}, {FREE_TYPE_WIDTH}) AS free_type",
+        *_numbers(_UNLOCK),
     )
-    first, last = F.date_sub(as_of, UNLOCK_PAST_DAYS), F.date_add(as_of, UNLOCK_FORWARD_DAYS)
-    rows = rows.where(F.col("free_date").between(first, last) & (F.col("free_type") != ""))
+    first = f"date_sub(date'{as_of}', {UNLOCK_PAST_DAYS})"
+    last = f"date_add(date'{as_of}', {UNLOCK_FORWARD_DAYS})"
+    rows = rows.where(f"free_date BETWEEN {first} AND {last} AND free_type != ''")
     return _targets(rows, targets)
 
 
 def holder_counts(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """Funds have no holder counts."""
-    rows = raw.select(
-        to_symbol(F.col("股票代码")).alias("stock_code"),
-        parse_date("股东户数统计截止日").alias("stat_date"),
-        *_quoted(_HOLDER_NUM),
-        parse_date("股东户数公告日期").alias("notice_date"),
+    rows = raw.selectExpr(
+        f"{to_symbol('`股票代码`')} AS stock_code",
+        f"{_day('股东户数统计截止日')} AS stat_date",
+        *_numbers(_HOLDER_NUM),
+        f"{_day('股东户数公告日期')} AS notice_date",
     )
-    return _targets(rows.where(F.col("stat_date").isNotNull()), targets)
+    return _targets(rows.where("stat_date IS NOT NULL"), targets)
 
 
 # --- dimensions and corporate actions ---------------------------------------------------------
 
 
-def industries(raw: DataFrame, as_of: Column) -> DataFrame:
+def industries(raw: DataFrame, as_of: str) -> DataFrame:
     """Market-wide snapshot; blank codes and names dropped, last row per symbol kept."""
-    rows = raw.where((_text("code") != "") & (F.coalesce(F.col("industry"), F.lit("")) != ""))
-    rows = rows.select(
-        from_dotted(_text("code")).alias("stock_code"),
-        F.col("industry").alias("industry_name"),
-        F.col("industryClassification").alias("industry_level"),
-        F.lit("BaoStock").alias("source"),
-        as_of.cast("date").alias("update_date"),
+    rows = raw.where(f"{clean_text('code')} != '' AND coalesce(industry, '') != ''").selectExpr(
+        f"{from_dotted(clean_text('code'))} AS stock_code",
+        "industry AS industry_name",
+        "industryClassification AS industry_level",
+        "'BaoStock' AS source",
+        f"date'{as_of}' AS update_date",
         "_seq",
     )
     return keep_last(rows, ("stock_code",), "_seq").drop("_seq")
@@ -392,55 +377,61 @@ def industries(raw: DataFrame, as_of: Column) -> DataFrame:
 
 def dividends(raw: DataFrame) -> DataFrame:
     """Cash per share with a readable ex-date; of one symbol's same ex-date the last row counts."""
-    cash = parse_num("dividCashPsBeforeTax")
-    rows = raw.select(
+    rows = raw.selectExpr(
         "stock_code",
-        parse_date("dividOperateDate").alias("dividend_date"),
-        F.round(cash, 4).alias("cash_per_share"),
-        parse_date("dividPlanAnnounceDate").alias("announcement_date"),
+        f"{parse_date('dividOperateDate')} AS dividend_date",
+        f"{parse_num('dividCashPsBeforeTax')} AS cash",
+        f"{parse_date('dividPlanAnnounceDate')} AS announcement_date",
         "_seq",
-    ).where((cash != 0) & F.col("dividend_date").isNotNull())
-    return keep_last(rows, ("stock_code", "dividend_date"), "_seq").drop("_seq")
+    ).where("cash != 0 AND dividend_date IS NOT NULL")
+    last = keep_last(rows, ("stock_code", "dividend_date"), "_seq")
+    return last.selectExpr(
+        "stock_code", "dividend_date", "round(cash, 4) AS cash_per_share", "announcement_date"
+    )
 
 
 def dividends_per_ten(raw: DataFrame) -> DataFrame:
     """The other feed: implemented plans only, cash quoted per ten shares."""
-    cash = parse_num("派息")
-    implemented = F.coalesce(F.col("进度"), F.lit("")).contains(IMPLEMENTED)
-    return raw.select(
+    rows = raw.selectExpr(
         "stock_code",
-        parse_date("除权除息日").alias("dividend_date"),
-        F.round(cash / 10, 4).alias("cash_per_share"),
-        parse_date("公告日期").alias("announcement_date"),
-        (implemented & (cash != 0)).alias("keep"),
-    ).where(F.col("keep") & F.col("dividend_date").isNotNull()).drop("keep")
+        f"{_day('除权除息日')} AS dividend_date",
+        f"{parse_num('`派息`')} AS cash",
+        f"{_day('公告日期')} AS announcement_date",
+        f"contains(coalesce(`进度`, ''), {text_literal(IMPLEMENTED)}) AS implemented",
+    ).where("implemented AND cash != 0 AND dividend_date IS NOT NULL")
+    return rows.selectExpr(
+        "stock_code", "dividend_date", "round(cash / 10, 4) AS cash_per_share", "announcement_date"
+    )
 
 
-def total_shares_from_items(items: DataFrame, as_of: Column) -> DataFrame:
-    """First total-share entry of each symbol's key/value rows that is a number."""
-    value = parse_num("value")
-    rows = items.where(F.col("item").contains(TOTAL_SHARES_ITEM) & value.isNotNull())
-    first = rows.groupBy("stock_code").agg(F.min_by(value, "position").alias("v"))
-    return first.select(
-        "stock_code",
-        as_of.cast("date").alias("record_date"),
-        F.col("v").cast("bigint").alias("total_shares"),
+def _share_count(picked: DataFrame, as_of: str) -> DataFrame:
+    return picked.selectExpr(
+        "stock_code", f"date'{as_of}' AS record_date", "cast(shares AS bigint) AS total_shares"
     )
 
 
-def total_shares_from_quarters(profit: DataFrame, as_of: Column) -> DataFrame:
+def total_shares_from_items(items: DataFrame, as_of: str) -> DataFrame:
+    """First total-share entry of each symbol's key/value rows that is a number."""
+    rows = items.selectExpr(
+        "stock_code", "position", "item", f"{parse_num('value')} AS shares"
+    ).where(f"contains(item, {text_literal(TOTAL_SHARES_ITEM)}) AND shares IS NOT NULL")
+    first = rows.groupBy("stock_code").agg(F.min_by("shares", "position").alias("shares"))
+    return _share_count(first, as_of)
+
+
+def total_shares_from_quarters(profit: DataFrame, as_of: str) -> DataFrame:
     """Newest non-zero share count of the last three years' quarters."""
-    period = F.col("year").cast("int") * 4 + F.col("quarter").cast("int")
-    year, quarter = F.year(as_of), F.quarter(as_of)
-    in_grid = (F.col("year") > year - 3) & (period <= year * 4 + quarter)
-    shares = positive(parse_num("totalShare"))
-    rows = profit.where(in_grid & shares.isNotNull())
-    newest = rows.groupBy("stock_code").agg(F.max_by(shares, period).alias("v"))
-    return newest.select(
+    today = f"date'{as_of}'"
+    rows = profit.selectExpr(
         "stock_code",
-        as_of.cast("date").alias("record_date"),
-        F.col("v").cast("bigint").alias("total_shares"),
+        "int(year) * 4 + int(quarter) AS period",
+        f"{positive(parse_num('totalShare'))} AS shares",
+    ).where(
+        f"period > (year({today}) - 2) * 4 AND period <= year({today}) * 4 + quarter({today}) "
+        "AND shares IS NOT NULL"
     )
+    newest = rows.groupBy("stock_code").agg(F.max_by("shares", "period").alias("shares"))
+    return _share_count(newest, as_of)
 
 
 # --- flows, lists, announcements --------------------------------------------------------------
@@ -448,29 +439,29 @@ def total_shares_from_quarters(profit: DataFrame, as_of: Column) -> DataFrame:
 
 def top_list(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Listed symbols per day and reason; the reason's first 50 characters are part of the key."""
-    reason = F.coalesce(F.nullif(_text("上榜原因"), F.lit("")), F.lit(LISTED))
-    rows = raw.select(
-        to_symbol(F.col("代码")).alias("stock_code"),
-        parse_date("上榜日").alias("trade_date"),
-        F.substring(reason, 1, TITLE_WIDTH).alias("list_type"),
-        reason.alias("reason"),
-        parse_num("龙虎榜买入额").alias("buy_amount"),
-        parse_num("龙虎榜卖出额").alias("sell_amount"),
-        parse_num("龙虎榜净买额").alias("net_amount"),
-        *([F.col("_seq")] if "_seq" in raw.columns else []),
+    reason = f"coalesce(nullif({clean_text('`上榜原因`')}, ''), {text_literal(LISTED)})"
+    rows = raw.selectExpr(
+        f"{to_symbol('`代码`')} AS stock_code",
+        f"{_day('上榜日')} AS trade_date",
+        f"left({reason}, {TITLE_WIDTH}) AS list_type",
+        f"{reason} AS reason",
+        f"{parse_num('`龙虎榜买入额`')} AS buy_amount",
+        f"{parse_num('`龙虎榜卖出额`')} AS sell_amount",
+        f"{parse_num('`龙虎榜净买额`')} AS net_amount",
+        *_extra(raw, "_seq"),
     )
     return _targets(rows, targets)
 
 
 def northbound(raw: DataFrame) -> DataFrame:
     """Holdings per symbol; a net inflow that is no number counts as zero."""
-    return raw.select(
+    return raw.selectExpr(
         "stock_code",
-        parse_date("持股日期").alias("trade_date"),
-        F.coalesce(parse_num("今日增持资金"), F.lit(0.0)).alias("net_inflow"),
-        parse_num("持股数量").alias("holding_shares"),
-        parse_num("持股市值").alias("holding_value"),
-        parse_num("持股数量占A股百分比").alias("holding_ratio"),
+        f"{_day('持股日期')} AS trade_date",
+        f"coalesce({parse_num('`今日增持资金`')}, 0D) AS net_inflow",
+        f"{parse_num('`持股数量`')} AS holding_shares",
+        f"{parse_num('`持股市值`')} AS holding_value",
+        f"{parse_num('`持股数量占A股百分比`')} AS holding_ratio",
     )
 
 
@@ -487,27 +478,26 @@ _NORTHBOUND_MARKET = {
 
 
 def northbound_market(raw: DataFrame) -> DataFrame:
-    return raw.select(parse_date("日期").alias("trade_date"), *_numbers(_NORTHBOUND_MARKET))
+    return raw.selectExpr(f"{_day('日期')} AS trade_date", *_numbers(_NORTHBOUND_MARKET))
 
 
 def margin(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """All dates' market files at once; the code column has one of three names."""
-    names = [n for n in ("标的证券代码", "标的代码", "证券代码") if n in raw.columns]
-    code = F.coalesce(*(F.col(n).cast("string") for n in names))
-    rows = raw.select(
-        to_symbol(code).alias("stock_code"),
-        parse_date("_trade_date").alias("trade_date"),
-        parse_num("融资余额").alias("rz_balance"),
-        parse_num("融券余额").alias("rq_balance"),
+    codes = ", ".join(f"string({name(c)})" for c in _extra(raw, "标的证券代码", "标的代码", "证券代码"))
+    rows = raw.selectExpr(
+        f"{to_symbol(f'coalesce({codes})')} AS stock_code",
+        f"{_day('_trade_date')} AS trade_date",
+        f"{parse_num('`融资余额`')} AS rz_balance",
+        f"{parse_num('`融券余额`')} AS rq_balance",
     )
     return _targets(rows, targets)
 
 
 def announcements(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "stock_code",
-        parse_date("公告日期").alias("announcement_date"),
-        F.col("公告标题").alias("title"),
-        F.col("网址").alias("pdf_url"),
-        F.col("公告类型").alias("announcement_type"),
+        f"{_day('公告日期')} AS announcement_date",
+        "`公告标题` AS title",
+        "`网址` AS pdf_url",
+        "`公告类型` AS announcement_type",
     )

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tickloom.functions.scalar import parse_num
 
@@ -55,59 +54,51 @@ QUOTE_MIN_FIELDS = 50
 
 def flow_lines(payloads: DataFrame, symbol: str = "stock_code", body: str = "payload") -> DataFrame:
     """One row per line of ``{"data": {"klines": [...]}}``; payloads without lines give none."""
-    parsed = F.from_json(body, "data struct<klines: array<string>>")
-    return payloads.select(
-        F.col(symbol).alias("stock_code"), F.explode(parsed["data"]["klines"]).alias("line")
-    )
+    parsed = f"from_json({body}, 'data struct<klines: array<string>>')"
+    return payloads.selectExpr(f"{symbol} AS stock_code", f"explode({parsed}.data.klines) AS line")
 
 
 def _flow_parts(lines: DataFrame) -> DataFrame:
-    parts = F.split("line", ",")
-    text = {name: F.get(parts, F.lit(i)) for i, name in FLOW_FIELDS.items()}
-    day = F.try_to_timestamp(F.get(parts, F.lit(0)), F.lit("yyyy-MM-dd")).cast("date")
-    rows = lines.select(
+    parts = lines.selectExpr("stock_code", "line", "split(line, ',') AS parts")
+    rows = parts.selectExpr(
         "stock_code",
         "line",
-        F.size(parts).alias("field_count"),
-        day.alias("trade_date"),
-        *(parse_num(v).alias(n) for n, v in text.items()),
+        "size(parts) AS field_count",
+        "date(try_to_timestamp(get(parts, 0), 'yyyy-MM-dd')) AS trade_date",
+        *(f"{parse_num(f'get(parts, {i})')} AS {n}" for i, n in FLOW_FIELDS.items()),
     )
-    readable = F.col("trade_date").isNotNull()
-    for name in FLOW_FIELDS.values():
-        readable = readable & F.col(name).isNotNull()
-    return rows.withColumn("good", (F.col("field_count") >= FLOW_MIN_FIELDS) & readable)
+    known = " AND ".join(f"{n} IS NOT NULL" for n in ("trade_date", *FLOW_FIELDS.values()))
+    return rows.selectExpr("*", f"field_count >= {FLOW_MIN_FIELDS} AND {known} AS good")
 
 
 def parse_flow(lines: DataFrame) -> DataFrame:
-    """Typed flow rows (stock_code, line -> columns); lines that do not parse are left out."""
+    """Typed flow rows from (stock_code, line); lines that do not parse are left out."""
     good = _flow_parts(lines).where("good")
     return good.select("stock_code", "trade_date", *FLOW_FIELDS.values())
 
 
 def rejected_flow(lines: DataFrame) -> DataFrame:
     """The lines ``parse_flow`` leaves out, with the reason."""
-    reason = F.when(F.col("field_count") < FLOW_MIN_FIELDS, "too_few_fields").otherwise("unparsable")
-    return _flow_parts(lines).where(~F.col("good")).select(
-        "stock_code", "line", reason.alias("reason")
-    )
+    reason = f"if(field_count < {FLOW_MIN_FIELDS}, 'too_few_fields', 'unparsable')"
+    bad = _flow_parts(lines).where("NOT good")
+    return bad.selectExpr("stock_code", "line", f"{reason} AS reason")
 
 
 def parse_quotes(records: DataFrame, body: str = "record") -> DataFrame:
     """Typed quote rows. Records too short, or without PE and PB, are left out."""
-    parts = F.split(body, "~")
 
-    def field(i: int, name: str) -> Column:
-        text = F.get(parts, F.lit(i))
-        return (F.nullif(F.trim(text), F.lit("")) if name == "quote_time" else parse_num(text)).alias(
-            name
-        )
+    def field(i: int, column: str) -> str:
+        text = f"get(parts, {i})"
+        value = f"nullif(trim({text}), '')" if column == "quote_time" else parse_num(text)
+        return f"{value} AS {column}"
 
-    rows = records.where(F.size(parts) >= QUOTE_MIN_FIELDS).select(
-        "stock_code", *(field(i, n) for i, n in QUOTE_FIELDS.items())
+    parts = records.selectExpr("stock_code", f"split({body}, '~') AS parts")
+    rows = parts.where(f"size(parts) >= {QUOTE_MIN_FIELDS}").selectExpr(
+        "stock_code", *(field(i, c) for i, c in QUOTE_FIELDS.items())
     )
-    return rows.where(F.coalesce("pe_ttm", "pb").isNotNull())
+    return rows.where("coalesce(pe_ttm, pb) IS NOT NULL")
 
 
-def quote_valuation(quotes: DataFrame, as_of: Column) -> DataFrame:
+def quote_valuation(quotes: DataFrame, as_of: str) -> DataFrame:
     """Valuation updates of one day from parsed quotes."""
-    return quotes.select("stock_code", as_of.alias("trade_date"), "pe_ttm", "pb")
+    return quotes.selectExpr("stock_code", f"date'{as_of}' AS trade_date", "pe_ttm", "pb")

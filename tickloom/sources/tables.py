@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import merge
 from tickloom.schema import TABLES, TableSpec
 
+SPREAD = 16
 
-def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A stored table with its declared types: no inference, older files read with NULL columns."""
-    return spark.read.schema(TABLES[table].struct).parquet(f"{root}/{table}")
+
+def scan(
+    spark: SparkSession, root: str, table: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """A stored table with its declared types: no inference, older files read with NULL columns.
+
+    With ``start`` or ``end`` a table stored by month is pruned to those months' folders.
+    """
+    spec = TABLES[table]
+    if not spec.by_month:
+        return spark.read.schema(spec.struct).parquet(f"{root}/{table}")
+    rows = spark.read.schema(spec.struct.add("month", "string")).parquet(f"{root}/{table}")
+    if start:
+        rows = rows.where(f"month >= '{start[:7]}' AND {spec.date_col} >= date'{start}'")
+    if end:
+        rows = rows.where(f"month <= '{end[:7]}' AND {spec.date_col} <= date'{end}'")
+    return rows.select(*spec.columns)
 
 
 def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
@@ -24,25 +39,24 @@ def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
     present = set(df.columns)
-
-    def column(name: str) -> Column:
-        kind = spec.type_of(name)
-        if name not in present:
-            return F.lit(None).cast(kind).alias(name)
-        return F.col(name).try_cast(kind).alias(name)
-
-    return df.select(*(column(f.name) for f in spec.fields))
+    return df.selectExpr(
+        *(
+            f"{'try_cast' if f.name in present else 'cast'}"
+            f"({f.name if f.name in present else 'NULL'} AS {f.spark_type}) AS {f.name}"
+            for f in spec.fields
+        )
+    )
 
 
 def surrogate_id(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """A stable id from the key columns, equal on every run and every retry."""
     spec = TABLES[spec] if isinstance(spec, str) else spec
-    return df.withColumn("id", F.xxhash64(*spec.keys))
+    return df.selectExpr("*", f"xxhash64({', '.join(spec.keys)}) AS id")
 
 
-def or_null(df: DataFrame, column: str, kind: str) -> Column:
+def or_null(df: DataFrame, column: str, kind: str) -> str:
     """The column if the frame has it, else a typed NULL: old schemas stay readable."""
-    return F.col(column) if column in df.columns else F.lit(None).cast(kind)
+    return column if column in df.columns else f"cast(NULL AS {kind})"
 
 
 class Store(Mapping[str, DataFrame]):
@@ -63,37 +77,46 @@ class Store(Mapping[str, DataFrame]):
         return len(TABLES)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target, _ = _filesystem(spark, path)
+    return fs.exists(target)
+
+
 def append(df: DataFrame, root: str, table: str) -> None:
-    conform(df, table).write.mode("append").parquet(f"{root}/{table}")
+    _write(conform(df, table), root, table, "append")
 
 
 def export(tables: Mapping[str, DataFrame], root: str, names: Sequence[str]) -> None:
     """Write whole tables as Parquet, sorted within files by their keys so that scans can skip."""
     for name in names:
-        keys = TABLES[name].keys
-        frame = conform(tables[name], name)
-        frame.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{root}/{name}")
+        _write(conform(tables[name], name), root, name, "overwrite", partitions="static")
 
 
-def write_by_month(df: DataFrame, root: str, table: str) -> None:
-    """Replace just the months that occur in ``df``.
+def _write(
+    shaped: DataFrame, root: str, table: str, mode: str, partitions: str = "dynamic"
+) -> None:
+    """Tables with a date in their key are laid out by month.
 
     Rows are spread by month and key hash, so one busy month is not one task.
     """
     spec = TABLES[table]
-    month = F.date_format(spec.date_col, "yyyy-MM").alias("month")
-    shaped = conform(df, spec).select("*", month)
-    (
-        shaped.repartition("month", F.pmod(F.xxhash64(*spec.keys), F.lit(16)))
-        .sortWithinPartitions("month", *spec.keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(f"{root}/{table}")
-    )
+    order: list[str] = list(spec.keys)
+    if spec.by_month:
+        shaped = shaped.selectExpr("*", f"date_format({spec.date_col}, 'yyyy-MM') AS month")
+        spread = F.expr(f"pmod(xxhash64({', '.join(spec.keys)}), {SPREAD})")
+        shaped, order = shaped.repartition("month", spread), ["month", *order]
+    writer = shaped.sortWithinPartitions(*order).write.mode(mode)
+    if spec.by_month:
+        writer = writer.option("partitionOverwriteMode", partitions).partitionBy("month")
+    writer.parquet(f"{root}/{table}")
 
 
-def merge_by_month(
+def write_months(df: DataFrame, root: str, table: str) -> None:
+    """Replace just the months that occur in ``df``."""
+    _write(conform(df, table), root, table, "overwrite")
+
+
+def merge_months(
     spark: SparkSession,
     updates: DataFrame,
     root: str,
@@ -101,19 +124,25 @@ def merge_by_month(
     columns: Sequence[str] | None = None,
     rule: merge.Rule = merge.overwrite,
 ) -> None:
-    """Upsert into a table partitioned by month, rewriting only the months the updates touch.
+    """Upsert into a table stored by month, rewriting only the months the updates touch.
 
-    The semi join on the partition column lets Spark prune the other months before reading.
+    The semi join on the partition column lets Spark prune the other months before reading. A
+    replay after a failure merges the same rows to the same result.
     """
     spec = TABLES[table]
-    path = f"{root}/{table}"
+    if not spec.by_month:
+        raise ValueError(f"{table} is not stored by month")
     fresh = conform(updates, spec)
-    touched = fresh.select(F.date_format(spec.date_col, "yyyy-MM").alias("month")).distinct()
-    stored = spark.read.schema(spec.struct.add("month", "string")).parquet(path)
-    current = stored.join(touched, "month", "left_semi").drop("month")
-    if columns is None:
-        columns = [c for c in updates.columns if c not in spec.keys]
-    write_by_month(merge.upsert(current, fresh, spec.keys, columns, rule), root, table)
+    if not _exists(spark, f"{root}/{table}"):
+        write_months(fresh, root, table)
+        return
+    month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
+    touched = fresh.selectExpr(month).distinct()
+    layout = spec.struct.add("month", "string")
+    stored = spark.read.schema(layout).parquet(f"{root}/{table}")
+    current = stored.join(touched, "month", "left_semi").select(*spec.columns)
+    named = [c for c in updates.columns if c not in spec.keys] if columns is None else columns
+    write_months(merge.upsert(current, fresh, spec.keys, named, rule), root, table)
 
 
 # --- versions: data and watermark become visible together ---------------------------------------
@@ -179,17 +208,15 @@ def list_columns(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
 def table_profile(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
     """Rows, symbols and date range of each table: one aggregate per table."""
     report = None
-    for name in names:
-        frame, spec = tables[name], TABLES[name]
-        symbols = (
-            F.countDistinct("stock_code") if "stock_code" in frame.columns else F.lit(None)
-        ).cast("bigint")
-        day = F.col(spec.date_col) if spec.date_col else F.lit(None).cast("date")
-        part = frame.agg(
-            F.count("*").alias("rows"),
-            symbols.alias("symbols"),
-            F.min(day).alias("first_date"),
-            F.max(day).alias("last_date"),
-        ).select(F.lit(name).alias("table_name"), "rows", "symbols", "first_date", "last_date")
+    for table in names:
+        frame, day = tables[table], TABLES[table].date_col or "date(NULL)"
+        keyed = "stock_code" in frame.columns
+        symbols = "count(DISTINCT stock_code)" if keyed else "bigint(NULL)"
+        part = frame.selectExpr(
+            "count(*) AS rows",
+            f"{symbols} AS symbols",
+            f"min({day}) AS first_date",
+            f"max({day}) AS last_date",
+        ).selectExpr(f"'{table}' AS table_name", "*")
         report = part if report is None else report.unionByName(part)
     return report
