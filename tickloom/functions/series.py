@@ -44,9 +44,9 @@ class Series:
         return self.last_rows(f"avg({x})", n)
 
     def full_mean(self, x: str, n: int, digits: int) -> str:
-        """Rolling mean that stays NULL until n values are present."""
+        """Rolling mean that stays NULL until n values are present; ties round to even."""
         enough = self.last_rows(f"count({x})", n)
-        return f"if({enough} >= {n}, round({self.mean(x, n)}, {digits}), NULL)"
+        return f"if({enough} >= {n}, bround({self.mean(x, n)}, {digits}), NULL)"
 
     def sum(self, x: str, n: int) -> str:
         return self.last_rows(f"sum({x})", n)

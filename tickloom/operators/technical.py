@@ -124,8 +124,7 @@ def technical(daily: DataFrame) -> DataFrame:
 
 def moving_averages(daily: DataFrame) -> DataFrame:
     """Full-window averages only, two digits; rows before the first one are left out."""
-    closes = daily.selectExpr(*_KEY, f"{num('close')} AS close")
-    out = closes.selectExpr(
+    out = daily.selectExpr(
         *_KEY, *(f"{BARS.full_mean('close', n, 2)} AS ma{n}" for n in MA_WINDOWS)
     )
     return out.where("coalesce(ma5, ma10, ma20, ma60) IS NOT NULL")

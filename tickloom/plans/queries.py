@@ -181,22 +181,25 @@ def coverage(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> DataFram
 def _series(
     tables: Tables, table: str, symbol: str | None, start: str | None, end: str | None, limit: int
 ) -> DataFrame:
+    """Newest first; of one day in key order, so that a limit always cuts at the same row."""
+    day = TABLES[table].date_col
+    order = [F.desc(day), *(F.asc(c) for c in TABLES[table].keys if c != day)]
     rows = checked_limit(limit, MOST_ROWS)
-    return range_query(tables[table], symbol, TABLES[table].date_col, start, end, limit=rows)
+    return range_query(tables[table], symbol, day, start, end, order_by=order, limit=rows)
 
 
-def daily(tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
+def daily(tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
     return _series(tables, "stock_daily", symbol, start, end, limit)
 
 
 def technical_indicators(
-    tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
 ) -> DataFrame:
     return _series(tables, "technical_indicators", symbol, start, end, limit)
 
 
 def valuation_indicators(
-    tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
 ) -> DataFrame:
     """Valuation rows with the same day's close, which only the bars store."""
     rows = _series(tables, "valuation_indicators", symbol, start, end, limit)
@@ -212,17 +215,17 @@ def northbound_market(
 
 
 def northbound(
-    tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
 ) -> DataFrame:
     return _series(tables, "northbound_flow", symbol, start, end, limit)
 
 
-def margin(tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
+def margin(tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
     return _series(tables, "margin_trading", symbol, start, end, limit)
 
 
 def capital_flow(
-    tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
 ) -> DataFrame:
     return _series(tables, "capital_flow", symbol, start, end, limit)
 
@@ -237,13 +240,12 @@ def empty_note(answer: DataFrame, symbol: str, note: str) -> DataFrame:
 
 
 def dragon_tiger(
-    tables: Tables, symbol, start=None, end=None, limit: int = DEFAULT_LISTED
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_LISTED
 ) -> DataFrame:
-    rows = checked_limit(limit, MOST_LISTED)
-    return range_query(tables["dragon_tiger"], symbol, "trade_date", start, end, limit=rows)
+    return _series(tables, "dragon_tiger", symbol, start, end, checked_limit(limit, MOST_LISTED))
 
 
-def dragon_tiger_seats(tables: Tables, symbol) -> DataFrame:
+def dragon_tiger_seats(tables: Tables, symbol: str | None) -> DataFrame:
     """List entries with their seats."""
     entries = range_query(tables["dragon_tiger"], symbol, order_by=())
     entries = entries.select(
@@ -252,13 +254,13 @@ def dragon_tiger_seats(tables: Tables, symbol) -> DataFrame:
     return entries.join(tables["dragon_tiger_detail"], "dragon_tiger_id")
 
 
-def announcements(tables: Tables, symbol, limit: int = DEFAULT_LISTED) -> DataFrame:
+def announcements(tables: Tables, symbol: str | None, limit: int = DEFAULT_LISTED) -> DataFrame:
     rows = checked_limit(limit, MOST_LISTED)
-    return range_query(tables["announcements"], symbol, "announcement_date", limit=rows)
+    return _series(tables, "announcements", symbol, None, None, rows)
 
 
 def financial(
-    tables: Tables, symbol, start=None, end=None, report_type: str | None = None
+    tables: Tables, symbol: str | None, start=None, end=None, report_type: str | None = None
 ) -> DataFrame:
     extra = [F.col("report_type") == report_type] if report_type else []
     return range_query(
@@ -266,15 +268,15 @@ def financial(
     )
 
 
-def financial_indicators(tables: Tables, symbol, start=None, end=None) -> DataFrame:
+def financial_indicators(tables: Tables, symbol: str | None, start=None, end=None) -> DataFrame:
     return range_query(tables["financial_intermediate"], symbol, "report_date", start, end)
 
 
-def dividends(tables: Tables, symbol) -> DataFrame:
+def dividends(tables: Tables, symbol: str | None) -> DataFrame:
     return range_query(tables["dividends"], symbol, "dividend_date")
 
 
-def capital(tables: Tables, symbol) -> DataFrame:
+def capital(tables: Tables, symbol: str | None) -> DataFrame:
     return range_query(tables["stock_capital"], symbol, "record_date")
 
 

@@ -9,10 +9,12 @@ from collections.abc import Mapping
 def compose(query: str, parts: Mapping[str, str]) -> str:
     """``query`` preceded by every part it needs, each after the parts it needs itself."""
     order: list[str] = []
+    seen: set[str] = set()
 
     def need(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"\b[a-z_]\w*\b", text)):
-            if word in parts and word not in order:
+            if word in parts and word not in seen:
+                seen.add(word)
                 need(parts[word])
                 order.append(word)
 
