@@ -19,13 +19,15 @@ def _view(name):
 
 # --- flow lines -------------------------------------------------------------------------------
 
-# Days whose small trades net to zero are written short, those of one more kind unreadable.
-_FLOW_TEXT = """
-SELECT stock_code, concat('{"data":{"klines":["', concat_ws('","', sort_array(collect_list(line))), '"]}}') AS payload
+# Days of some net amounts are written short, others with a field that is no number.
+_SHORT = "abs(main_net_amount) BETWEEN 30000 AND 31000"
+_BROKEN = "abs(main_net_amount) BETWEEN 40000 AND 41000"
+_FLOW_TEXT = f"""
+SELECT stock_code, concat('{{"data":{{"klines":["', concat_ws('","', sort_array(collect_list(line))), '"]}}}}') AS payload
 FROM (
   SELECT stock_code, month(trade_date) AS m, year(trade_date) AS y, trade_date,
-    CASE WHEN small_net_amount = 0 THEN concat(string(trade_date), ',', main_net_amount)
-         WHEN medium_net_amount = 0 THEN concat_ws(',', string(trade_date), '-', small_net_amount, medium_net_amount,
+    CASE WHEN {_SHORT} THEN concat(string(trade_date), ',', main_net_amount)
+         WHEN {_BROKEN} THEN concat_ws(',', string(trade_date), '-', small_net_amount, medium_net_amount,
               large_net_amount, xlarge_net_amount, main_net_ratio, small_net_ratio, medium_net_ratio,
               large_net_ratio, xlarge_net_ratio, '0', '0')
          ELSE concat_ws(',', string(trade_date), main_net_amount, small_net_amount, medium_net_amount,
@@ -255,11 +257,11 @@ def _collisions(spark, d):
 _UNLOCK_ALL = "SELECT * FROM risk_unlock"
 
 CHECKS = [
-    Check("flow_lines", flow_rows, f"{_FLOW_SQL} WHERE small_net_amount <> 0 AND medium_net_amount <> 0", KEY, _FLOW_COLUMNS, DAY),
-    Check("flow_rejects", _flow_rejects, """
-        SELECT stock_code, CASE WHEN small_net_amount = 0 THEN 'too_few_fields' ELSE 'unparsable' END AS reason,
+    Check("flow_lines", flow_rows, f"{_FLOW_SQL} WHERE NOT ({_SHORT} OR {_BROKEN})", KEY, _FLOW_COLUMNS, DAY),
+    Check("flow_rejects", _flow_rejects, f"""
+        SELECT stock_code, CASE WHEN {_SHORT} THEN 'too_few_fields' ELSE 'unparsable' END AS reason,
                strftime(trade_date, '%Y-%m-%d') AS line_date
-        FROM capital_flow WHERE small_net_amount = 0 OR medium_net_amount = 0""", f"{KEY} reason line_date"),
+        FROM capital_flow WHERE {_SHORT} OR {_BROKEN}""", f"{KEY} reason line_date"),
     Check("quotes", quotes, _QUOTE_SQL, f"{KEY} quote_time", "close prev_close high low pe_ttm pb amount circ_mv total_mv high_limit", "", "volume"),
     Check("quote_identities", lambda s, d: quality.quote_identities(quotes(s, d)), f"""
         SELECT stock_code, coalesce(least(abs(CAST(high_limit AS DOUBLE) / prev_close - 1.05), abs(CAST(high_limit AS DOUBLE) / prev_close - 1.1), abs(CAST(high_limit AS DOUBLE) / prev_close - 1.2)) < 0.005, false) AS ok_limit_band,
