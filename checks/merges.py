@@ -81,7 +81,7 @@ def _feed_sources(spark, d):
 
 def _last_landed(spark, d):
     """Every line of an order lands as an update of that order; the last in line order counts."""
-    rows = V.query(spark, d, """SELECT orderkey, linenumber, seq, partkey, ep FROM trades""")
+    rows = V.query(spark, d, """SELECT orderkey, linenumber, seq, partkey, ep / 100D AS ep FROM trades""")
     return keep_last(rows, ("orderkey",), "linenumber", "seq", "partkey")
 
 

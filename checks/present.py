@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.duck_fundamentals import PARTS
 from tickloom.functions.scalar import settle
+from tickloom.session import tuned
 from tickloom.sources.sqltext import compose
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +32,7 @@ class Check:
     ints: str = ""
 
     def query(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(spark, sf_dir)
+        df = self.build(tuned(spark), sf_dir)
         return df.selectExpr(
             *self.keys.split(),
             *(f"{settle(c)} AS {c}" for c in self.floats.split()),

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from tickloom import schema
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd")
+# Shapes of a landed date: 2001-06-30, 2001/06/30 and 20010630.
+LANDED_DATE = "^[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}$|^[0-9]{8}$"
+DATE_PARTS = "^([0-9]{4})[-/]?([0-9]{1,2})[-/]?([0-9]{1,2})$"
 
 
 def text_literal(value: str) -> str:
@@ -28,14 +30,21 @@ def num(x: str) -> str:
 
 
 def parse_num(x: str) -> str:
-    """Text to double; anything that is not a number is NULL."""
-    return f"nanvl(try_cast(trim(string({x})) AS double), NULL)"
+    """Text to double; anything that is not a number is NULL.
+
+    Text without a digit never reaches the cast: a failed one costs an exception inside Spark.
+    """
+    text = f"trim(string({x}))"
+    return f"nanvl(if({text} RLIKE '[0-9]', try_cast({text} AS double), NULL), NULL)"
 
 
 def parse_date(x: str) -> str:
-    """Text to date in any of the three landed formats; placeholders fall through to NULL."""
-    tries = ", ".join(f"try_to_timestamp(trim(string({x})), '{f}')" for f in DATE_FORMATS)
-    return f"date(coalesce({tries}))"
+    """Text to date in any of the three landed formats; anything else is NULL.
+
+    The text is named once only, so an expensive expression behind it is evaluated once.
+    """
+    shaped = f"regexp_extract(trim(string({x})), '{LANDED_DATE}', 0)"
+    return f"try_cast(regexp_replace({shaped}, '{DATE_PARTS}', '$1-$2-$3') AS date)"
 
 
 def clean_text(x: str) -> str:

@@ -21,6 +21,17 @@ def local_session(app: str, cores: str | int = "*", shuffle_partitions: int = 8)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return tuned(spark)
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Runtime settings for wide projections; safe to apply to a session that is already running.
+
+    HotSpot never compiles a method of more than 8000 bytecodes, and a projection of dozens of
+    formulas fused into one generated method exceeds that. Above the limit Spark then generates
+    split, compilable methods per operator instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

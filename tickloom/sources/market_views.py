@@ -3,7 +3,7 @@
 Every line item is read as a trade of its supplier's instrument: bars, statements, flows and
 events are aggregates of those trades per instrument and period, so each table grows with the
 data. Aggregates combine on the map side, which also shrinks a hot instrument to one row per day
-and task before any shuffle; per-row amounts are decimals, so sums do not depend on their order.
+and task before any shuffle; per-row amounts are whole cents, so sums do not depend on their order.
 """
 
 from __future__ import annotations
@@ -48,36 +48,36 @@ def quarter_day(day: str) -> str:
 
 
 def sum_if(condition: str, value: str) -> str:
-    return f"sum(CASE WHEN {condition} THEN {value} ELSE cast(0 AS decimal(12,2)) END)"
+    return f"sum(if({condition}, {value}, 0L))"
 
 
-# Trades: listed, net of discount, with tax, and the parts, all decimal. ``seq`` orders the trades
-# of a day by one number, so that first and last stay hash aggregates.
+def yuan(cents: str, digits: int = 18) -> str:
+    """Whole cents as a decimal amount."""
+    return f"cast(cast({cents} AS decimal({digits},0)) * 0.01BD AS decimal({digits},2))"
+
+
+# Trades: listed, net of discount, with tax, and the parts, all in whole cents. ``seq`` orders the
+# trades of a day by one number, so that first and last stay hash aggregates.
 _TRADES = """
 SELECT suppkey, day, partkey, orderkey, linenumber, qty, flag, status, ep,
-       cast(ep * (1 - off) AS decimal(12,2)) AS net,
-       cast(ep * (1 + tax) AS decimal(12,2)) AS gross,
-       cast(ep * off AS decimal(12,2)) AS cut,
-       cast(ep * tax AS decimal(12,2)) AS fee,
-       cast(cast(orderkey AS decimal(19,0)) * cast(1000000000000 AS decimal(13,0))
-            + cast(linenumber AS decimal(2,0)) * cast(10000000000 AS decimal(11,0))
-            + cast(ep * 100 AS decimal(10,0)) AS decimal(38,0)) AS seq
+       (ep * (100 - off) + 50) div 100 AS net, (ep * (100 + tax) + 50) div 100 AS gross,
+       (ep * off + 50) div 100 AS cut, (ep * tax + 50) div 100 AS fee,
+       cast(cast(orderkey * 8 + linenumber AS decimal(22,0)) * cast(10000000000 AS decimal(11,0))
+            + ep AS decimal(38,0)) AS seq
 FROM (
   SELECT l_suppkey AS suppkey, date(l_shipdate) AS day, l_partkey AS partkey,
          l_orderkey AS orderkey, l_linenumber AS linenumber,
          cast(l_quantity AS bigint) AS qty, l_returnflag AS flag, l_linestatus AS status,
-         cast(l_extendedprice AS decimal(10,2)) AS ep,
-         cast(l_discount AS decimal(4,2)) AS off,
-         cast(l_tax AS decimal(4,2)) AS tax
+         cast(l_extendedprice * 100 + 0.5D AS bigint) AS ep,
+         cast(l_discount * 100 + 0.5D AS bigint) AS off, cast(l_tax * 100 + 0.5D AS bigint) AS tax
   FROM lineitem_rows
 )
 """
 
 _BARS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
-       cast(open AS decimal(10,2)) AS open, cast(high AS decimal(10,2)) AS high,
-       cast(low AS decimal(10,2)) AS low, cast(close AS decimal(10,2)) AS close,
-       volume, cast(amount AS decimal(18,2)) AS amount
+       {yuan("open", 10)} AS open, {yuan("high", 10)} AS high, {yuan("low", 10)} AS low,
+       {yuan("close", 10)} AS close, volume, {yuan("amount")} AS amount
 FROM (
   SELECT suppkey, day, min_by(ep, seq) AS open, max(gross) AS high, min(net) AS low,
          max_by(net + fee, seq) AS close, sum(qty) * 100 AS volume, sum(ep) AS amount
@@ -99,7 +99,7 @@ FROM trades GROUP BY suppkey, {quarter_day("day")}
 """
 
 _POSITIONS = """
-SELECT *, revenue - cost - returned AS profit, qty * cast(1000 AS decimal(12,2)) AS stock,
+SELECT *, revenue - cost - returned AS profit, qty * 100000 AS stock,
        done_cut * 3 AS payable
 FROM quarters
 """
@@ -117,7 +117,7 @@ def _ytd(x: str) -> str:
         "PARTITION BY suppkey, year(report_date) ORDER BY report_date "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     )
-    return f"cast(sum({x}) OVER ({window}) AS decimal(18,2))"
+    return yuan(f"sum({x}) OVER ({window})")
 
 
 _STATEMENTS = f"""
@@ -131,21 +131,21 @@ SELECT stock_code, report_date, report_type, total_revenue, net_profit, total_as
 FROM (
   SELECT {symbol("suppkey")} AS stock_code, report_date, '合并期末' AS report_type,
          {_ytd("revenue")} AS total_revenue, {_ytd("profit")} AS net_profit,
-         cast(assets AS decimal(18,2)) AS total_assets,
-         cast(debts AS decimal(18,2)) AS total_liabilities,
+         {yuan("assets")} AS total_assets,
+         {yuan("debts")} AS total_liabilities,
          {_ytd("cash_in - cash_out")} AS operating_cash_flow,
-         cast(if(suppkey % 7 != 0, assets - debts, NULL) AS decimal(18,2)) AS equity_parent,
+         {yuan("if(suppkey % 7 != 0, assets - debts, NULL)")} AS equity_parent,
          if(suppkey % 11 != 10, date_add(report_date, cast(20 + suppkey % 40
             + if(suppkey % 5 = 0 AND quarter(report_date) = 3, 200, 0) AS int)), NULL)
            AS announcement_date,
          {_ytd("cost")} AS operating_cost, {_ytd("profit - fees")} AS net_profit_deducted,
-         cast(stock AS decimal(18,2)) AS inventory,
-         cast(open_net AS decimal(18,2)) AS accounts_receivable,
-         cast(payable AS decimal(18,2)) AS accounts_payable,
+         {yuan("stock")} AS inventory,
+         {yuan("open_net")} AS accounts_receivable,
+         {yuan("payable")} AS accounts_payable,
          {_ytd("cuts")} AS capex, {_ytd("interest")} AS interest_expense,
-         cast(current_assets AS decimal(18,2)) AS current_assets,
-         cast(current_debts AS decimal(18,2)) AS current_liabilities,
-         cast(fees + cash_in AS decimal(18,2)) AS monetary_funds
+         {yuan("current_assets")} AS current_assets,
+         {yuan("current_debts")} AS current_liabilities,
+         {yuan("fees + cash_in")} AS monetary_funds
   FROM levels
 )
 """
@@ -165,7 +165,7 @@ FROM (
 # Fees of returned trades, paid out per day.
 _DIVIDENDS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS dividend_date,
-       cast(cast(floor(fee) AS decimal(18,0)) * cast('0.0001' AS decimal(5,4)) AS decimal(10,4))
+       cast(cast(fee div 100 AS decimal(18,0)) * cast('0.0001' AS decimal(5,4)) AS decimal(10,4))
          AS cash_per_share,
        date_sub(day, 30) AS announcement_date
 FROM (SELECT suppkey, day, sum(fee) AS fee FROM trades WHERE flag = 'R' GROUP BY suppkey, day)
@@ -201,7 +201,7 @@ _FLOW_SIZES = {
 _FLOW_NAMES = ("main", *_FLOW_SIZES)
 _CAPITAL_FLOW = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
-       {", ".join(f"cast({n} AS decimal(20,2)) AS {n}_net_amount" for n in _FLOW_NAMES)},
+       {", ".join(f"{yuan(n)} AS {n}_net_amount" for n in _FLOW_NAMES)},
        {", ".join(f"{decimal4(f'double({n}) / double(traded) * 100')} AS {n}_net_ratio"
                   for n in _FLOW_NAMES)}
 FROM (
@@ -216,7 +216,7 @@ FROM (
 # A day without trades of a leg leaves its balance NULL.
 _MARGIN_LEGS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
-       cast(rz AS decimal(18,2)) AS rz_balance, cast(rq AS decimal(18,2)) AS rq_balance
+       {yuan("rz")} AS rz_balance, {yuan("rq")} AS rq_balance
 FROM (
   SELECT suppkey, day, sum(if(status = 'O', ep, NULL)) AS rz, sum(if(status = 'F', ep, NULL)) AS rq
   FROM trades GROUP BY suppkey, day
@@ -225,8 +225,8 @@ FROM (
 
 _NORTHBOUND_ROWS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
-       cast(inflow AS decimal(18,2)) AS net_inflow, cast(qty AS decimal(20,0)) AS holding_shares,
-       cast(value AS decimal(18,2)) AS holding_value, {decimal4("double(qty) / 500")} AS holding_ratio
+       {yuan("inflow")} AS net_inflow, cast(qty AS decimal(20,0)) AS holding_shares,
+       {yuan("value")} AS holding_value, {decimal4("double(qty) / 500")} AS holding_ratio
 FROM (
   SELECT suppkey, day, sum(qty) AS qty, sum(gross) AS value,
          {sum_if("flag = 'A'", "net")} - {sum_if("flag = 'R'", "net")} AS inflow
@@ -234,19 +234,26 @@ FROM (
 )
 """
 
+_RUNNING = "sum(buy - sell) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_MARKET_COLUMNS = {
+    "net_buy_amount": "buy - sell",
+    "buy_amount": "buy",
+    "sell_amount": "sell",
+    "cumulative_net_buy": _RUNNING,
+    "daily_inflow": "buy - sell + fee",
+    "daily_balance": "fee",
+    "holding_market_value": "held",
+}
 # One row per calendar day, so the running total needs no key.
-_NORTHBOUND_MARKET = """
-SELECT day AS trade_date, cast(buy - sell AS decimal(18,4)) AS net_buy_amount,
-       cast(buy AS decimal(18,4)) AS buy_amount, cast(sell AS decimal(18,4)) AS sell_amount,
-       cast(sum(buy - sell) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            AS decimal(18,4)) AS cumulative_net_buy,
-       cast(buy - sell + fee AS decimal(18,4)) AS daily_inflow,
-       cast(fee AS decimal(18,4)) AS daily_balance, cast(held AS decimal(18,4)) AS holding_market_value
+_NORTHBOUND_MARKET = f"""
+SELECT day AS trade_date,
+       {", ".join(f"cast({yuan(x)} AS decimal(18,4)) AS {n}" for n, x in _MARKET_COLUMNS.items())}
 FROM (
-  SELECT day, {buy} AS buy, {sell} AS sell, sum(gross) AS held, sum(fee) AS fee
+  SELECT day, {sum_if("flag = 'A'", "net")} AS buy, {sum_if("flag = 'R'", "net")} AS sell,
+         sum(gross) AS held, sum(fee) AS fee
   FROM trades GROUP BY day
 )
-""".format(buy=sum_if("flag = 'A'", "net"), sell=sum_if("flag = 'R'", "net"))
+"""
 
 # Orders as notices of their customer's instrument; not every customer is listed.
 _ANNOUNCEMENTS = f"""
@@ -276,7 +283,7 @@ _RAW_PLEDGE = f"""
 SELECT {bare("suppkey")} AS `股票代码`, day AS snapshot_date,
        if(qty = 50, '--', string(cast(qty / 4 AS decimal(18,2)))) AS `质押比例`,
        string(cast(qty AS decimal(18,4)) * cast('0.0130' AS decimal(6,4))) AS `质押股数`,
-       string(ep) AS `质押市值`, string(n) AS `质押笔数`
+       string({yuan("ep")}) AS `质押市值`, string(n) AS `质押笔数`
 FROM (
   SELECT suppkey, day, sum(qty) AS qty, sum(ep) AS ep, count(*) AS n
   FROM trades WHERE dayofweek(day) = 6 GROUP BY suppkey, day
@@ -291,9 +298,9 @@ SELECT {bare("suppkey")} AS `代码`,
             ELSE date_format(day, 'yyyy-MM-dd') END AS `公告日`,
        if(qty = 7, ' ', concat(' holder ', string(partkey), ' ')) AS `股东名称`,
        CASE flag WHEN 'A' THEN '增持' WHEN 'R' THEN '减持' ELSE '其他' END AS `持股变动信息-增减`,
-       if(qty = 1, '0', string(ep)) AS `持股变动信息-变动数量`,
+       if(qty = 1, '0', string({yuan("ep", 12)})) AS `持股变动信息-变动数量`,
        string(cast(qty / 10 AS decimal(10,2))) AS `持股变动信息-占总股本比例`,
-       string(gross) AS `变动后持股情况-持股总数`, '-' AS `变动后持股情况-占总股本比例`,
+       string({yuan("gross", 12)}) AS `变动后持股情况-持股总数`, '-' AS `变动后持股情况-占总股本比例`,
        date_format(date_sub(day, 10), 'yyyy-MM-dd') AS `变动开始日`, 'nan' AS `变动截止日`
 FROM trades
 """
@@ -323,9 +330,9 @@ FROM (
 _RAW_UNLOCK = f"""
 SELECT {bare("suppkey")} AS `股票代码`, date_format(day, 'yyyy-MM-dd') AS `解禁时间`,
        concat('lot ', flag) AS `限售股类型`, string(qty * 1000) AS `解禁数量`,
-       string(if(qty = 30, 0, done * 900)) AS `实际解禁数量`, string(value) AS `实际解禁市值`,
+       string(if(qty = 30, 0, done * 900)) AS `实际解禁数量`, string({yuan("value")}) AS `实际解禁市值`,
        string(cast(cast(qty AS decimal(10,4)) / 1000 AS decimal(10,6))) AS `占解禁前流通市值比例`,
-       string(top) AS `解禁前一交易日收盘价`
+       string({yuan("top")}) AS `解禁前一交易日收盘价`
 FROM (
   SELECT suppkey, day, flag, sum(qty) AS qty, sum(if(status = 'F', qty, NULL)) AS done,
          sum(if(status = 'F', ep, NULL)) AS value, max(ep) AS top
@@ -339,7 +346,7 @@ SELECT {bare("suppkey")} AS `股票代码`, date_format(d, 'yyyy-MM-dd') AS `股
        string(n) AS `股东户数-本次`, coalesce(string(prev), '--') AS `股东户数-上次`,
        string(n - prev) AS `股东户数-增减`,
        string({decimal4("double(n - prev) / double(prev) * 100")}) AS `股东户数-增减比例`,
-       string(value) AS `户均持股市值`, '' AS `户均持股数量`, string(n * 100) AS `总股本`,
+       string({yuan("value")}) AS `户均持股市值`, '' AS `户均持股数量`, string(n * 100) AS `总股本`,
        date_format(date_add(d, 15), 'yyyyMMdd') AS `股东户数公告日期`
 FROM (
   SELECT *, lag(n) OVER (PARTITION BY suppkey ORDER BY d) AS prev
@@ -353,16 +360,17 @@ _RAW_TOP_LIST = f"""
 SELECT {bare("suppkey")} AS `代码`, date_format(day, 'yyyy-MM-dd') AS `上榜日`,
        if(qty = 50, '  ', concat('cumulative deviation over three consecutive days, class ',
                                  flag, ' band ', status)) AS `上榜原因`,
-       string(gross) AS `龙虎榜买入额`, string(net) AS `龙虎榜卖出额`,
-       string(gross - net) AS `龙虎榜净买额`,
+       string({yuan("gross", 12)}) AS `龙虎榜买入额`,
+       string({yuan("net", 12)}) AS `龙虎榜卖出额`,
+       string({yuan("gross - net", 12)}) AS `龙虎榜净买额`,
        struct(orderkey, linenumber, ep, gross, net, flag, status) AS _seq
 FROM trades WHERE qty >= 30
 """
 
 _SEATS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
-       concat('seat ', string(partkey)) AS seat_name, flag AS seat_type, gross AS buy_amount,
-       net AS sell_amount, gross - net AS net_amount
+       concat('seat ', string(partkey)) AS seat_name, flag AS seat_type,
+       {yuan("gross")} AS buy_amount, {yuan("net")} AS sell_amount, {yuan("gross - net")} AS net_amount
 FROM trades
 """
 

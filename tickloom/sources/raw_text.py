@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tickloom.functions.scalar import parse_num
+from tickloom.functions.scalar import parse_date, parse_num
 
 # Position of each field in a flow line; position 0 is the date.
 FLOW_FIELDS = {
@@ -64,7 +64,7 @@ def _flow_parts(lines: DataFrame) -> DataFrame:
         "stock_code",
         "line",
         "size(parts) AS field_count",
-        "date(try_to_timestamp(get(parts, 0), 'yyyy-MM-dd')) AS trade_date",
+        f"{parse_date('get(parts, 0)')} AS trade_date",
         *(f"{parse_num(f'get(parts, {i})')} AS {n}" for i, n in FLOW_FIELDS.items()),
     )
     known = " AND ".join(f"{n} IS NOT NULL" for n in ("trade_date", *FLOW_FIELDS.values()))

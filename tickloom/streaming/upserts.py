@@ -58,4 +58,5 @@ def daily_bars(ticks: DataFrame, delay: str) -> DataFrame:
         F.sum("price").alias("amount"),
     )
     values = ("open", "high", "low", "close", "volume", "amount")
-    return bars.selectExpr("stock_code", "date(day.start) AS trade_date", *values)
+    day = "date_from_unix_date(cast(unix_seconds(day.start) div 86400 AS int)) AS trade_date"
+    return bars.selectExpr("stock_code", day, *values)
