@@ -15,7 +15,7 @@ from tickloom.functions.scalar import text_literal
 from tickloom.operators.filters import checked_limit, in_list, range_query, split_codes
 from tickloom.operators.latest import latest_date, latest_value
 from tickloom.schema import COVERAGE_TABLES, TABLES
-from tickloom.sources.tables import or_null
+from tickloom.sources.tables import Store, or_null
 
 Tables = Mapping[str, DataFrame]
 
@@ -178,6 +178,11 @@ def coverage(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> DataFram
 # --- series by symbol -------------------------------------------------------------------------
 
 
+def _between(tables: Tables, table: str, start: str | None, end: str | None) -> DataFrame:
+    """A stored table prunes its month folders; any other mapping just gives the table."""
+    return tables.between(table, start, end) if isinstance(tables, Store) else tables[table]
+
+
 def _series(
     tables: Tables, table: str, symbol: str | None, start: str | None, end: str | None, limit: int
 ) -> DataFrame:
@@ -185,7 +190,9 @@ def _series(
     day = TABLES[table].date_col
     order = [F.desc(day), *(F.asc(c) for c in TABLES[table].keys if c != day)]
     rows = checked_limit(limit, MOST_ROWS)
-    return range_query(tables[table], symbol, day, start, end, order_by=order, limit=rows)
+    return range_query(
+        _between(tables, table, start, end), symbol, day, start, end, order_by=order, limit=rows
+    )
 
 
 def daily(tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:

@@ -70,6 +70,10 @@ class Store(Mapping[str, DataFrame]):
             raise KeyError(table)
         return scan(self.spark, self.root, table)
 
+    def between(self, table: str, start: str | None, end: str | None) -> DataFrame:
+        """The table's rows of a date range, read from those months' folders only."""
+        return scan(self.spark, self.root, table, start, end)
+
     def __iter__(self) -> Iterator[str]:
         return iter(TABLES)
 
