@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import incremental as inc
 from tickloom.operators import quality as Q
-from tickloom.operators.daily import daily_basic
+from tickloom.operators.daily import daily_basic, with_daily_basic
 from tickloom.operators.latest import duplicate_keys
-from tickloom.plans.pipeline import with_daily_basic
 from tickloom.sources import market_views as V
 from tickloom.sources.market_views import BUILDERS, MarketTables, view
 from tickloom.sources.tables import conform
@@ -141,7 +140,7 @@ _DERIVED = ("change_pct", "amplitude", "body_size", "upper_shadow", "lower_shado
 
 def _stored_and_fresh(spark, d):
     """Bars at stored scale against the recomputation, with one column spoiled."""
-    stored = with_daily_basic(conform(_bars(spark, d), "stock_daily"))
+    stored = conform(with_daily_basic(_bars(spark, d)), "stock_daily")
     return stored.withColumn("low_60", F.col("low_60") + 1), daily_basic(_bars(spark, d))
 
 

@@ -9,33 +9,40 @@ from tickloom.functions.series import BARS
 from tickloom.operators.latest import latest_value
 
 
-def daily_basic(daily: DataFrame) -> DataFrame:
-    """prev_close, change, amplitude, candle parts and 20/60-row extremes of every bar."""
-    prices = daily.selectExpr(
-        "stock_code",
-        "trade_date",
-        *(f"{num(c)} AS {c}" for c in ("open", "high", "low", "close")),
-    )
-    bars = prices.selectExpr(
-        "*",
-        f"{BARS.lag('close')} AS prev_close",
-        *(f"{BARS.max('high', n)} AS high_{n}" for n in (20, 60)),
-        *(f"{BARS.min('low', n)} AS low_{n}" for n in (20, 60)),
-    )
-    return bars.selectExpr(
-        "stock_code",
-        "trade_date",
-        "prev_close",
-        f"{pct('close - prev_close', 'prev_close')} AS change_pct",
-        f"{pct('high - low', 'prev_close')} AS amplitude",
-        "abs(close - open) AS body_size",
-        "high - greatest(open, close) AS upper_shadow",
-        "least(open, close) - low AS lower_shadow",
-        "high_20",
-        "low_20",
-        "high_60",
-        "low_60",
+DERIVED = (
+    "prev_close", "change_pct", "amplitude", "body_size", "upper_shadow", "lower_shadow",
+    "high_20", "low_20", "high_60", "low_60",
+)
+
+
+def with_daily_basic(daily: DataFrame) -> DataFrame:
+    """The bars with prev_close, change, amplitude, candle parts and 20/60-row extremes replaced.
+
+    The columns are added where the bars already are: no join back.
+    """
+    own = [c for c in daily.columns if c not in DERIVED]
+    o, h, low, c = (num(x) for x in ("open", "high", "low", "close"))
+    bars = daily.selectExpr(
+        *own,
+        f"{BARS.lag(c)} AS prev_close",
+        *(f"{BARS.max(h, n)} AS high_{n}" for n in (20, 60)),
+        *(f"{BARS.min(low, n)} AS low_{n}" for n in (20, 60)),
     )
+    parts = {
+        "prev_close": "prev_close",
+        "change_pct": pct(f"{c} - prev_close", "prev_close"),
+        "amplitude": pct(f"{h} - {low}", "prev_close"),
+        "body_size": f"abs({c} - {o})",
+        "upper_shadow": f"{h} - greatest({o}, {c})",
+        "lower_shadow": f"least({o}, {c}) - {low}",
+        **{f"{side}_{n}": f"{side}_{n}" for n in (20, 60) for side in ("high", "low")},
+    }
+    return bars.selectExpr(*own, *(f"{parts[d]} AS {d}" for d in DERIVED))
+
+
+def daily_basic(daily: DataFrame) -> DataFrame:
+    """Only the key and the derived columns."""
+    return with_daily_basic(daily).select("stock_code", "trade_date", *DERIVED)
 
 
 def fill_turnover(daily: DataFrame, capital: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.operators.daily import daily_basic
+from tickloom.operators.daily import with_daily_basic
 from tickloom.operators.flows import inflow_sums
 from tickloom.operators.fundamentals import fundamentals
 from tickloom.operators.incremental import stored_watermarks, write_watermarks
@@ -31,14 +31,6 @@ DERIVED = (
 )
 
 
-def with_daily_basic(daily: DataFrame) -> DataFrame:
-    """Bars with their derived columns replaced."""
-    keys = list(TABLES["stock_daily"].keys)
-    derived = daily_basic(daily)
-    kept = [c for c in daily.columns if c in keys or c not in derived.columns]
-    return conform(daily.select(*kept).join(derived, keys, "left"), "stock_daily")
-
-
 def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     """The five derived tables as lazy frames at their stored scales."""
     bars, capital = tables["stock_daily"], tables["stock_capital"]
@@ -47,7 +39,7 @@ def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     )
     values = valuation(bars, figures, capital, tables["dividends"], as_of)
     return {
-        "stock_daily": with_daily_basic(bars),
+        "stock_daily": conform(with_daily_basic(bars), "stock_daily"),
         "technical_indicators": conform(technical(bars), "technical_indicators"),
         "financial_intermediate": figures,
         "valuation_indicators": conform(values, "valuation_indicators"),

@@ -137,41 +137,51 @@ def coverage_latest(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> D
     return out
 
 
-def _missing(tables: Tables, have: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Funds are exempt from the tables that only companies have."""
-    held = [t for t in names if t in tables]
+def _due(tables: Tables, names: Sequence[str]) -> DataFrame:
+    """(table, symbol) pairs that should have rows; funds are exempt where they must be."""
     wanted = ", ".join(
-        f"struct('{t}' AS table_name, {str(TABLES[t].equity_only).lower()} AS equity)" for t in held
+        f"struct('{t}' AS table_name, {str(TABLES[t].equity_only).lower()} AS equity)"
+        for t in names
+        if t in tables
     )
     due = tables["stock_master"].selectExpr(
         "stock_code", "coalesce(is_etf, false) AS is_etf", f"explode(array({wanted})) AS t"
     )
-    due = due.where("NOT (is_etf AND t.equity)").selectExpr("t.table_name", "stock_code")
-    keys = ["table_name", "stock_code"]
-    return due.join(have.select(*keys), keys, "left_anti")
+    return due.where("NOT (is_etf AND t.equity)").selectExpr("t.table_name", "stock_code")
 
 
 def coverage_missing(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> DataFrame:
     """(table, symbol) pairs of the master list without any row."""
-    return _missing(tables, coverage_latest(tables, names), names)
+    keys = ["table_name", "stock_code"]
+    return _due(tables, names).join(coverage_latest(tables, names).select(*keys), keys, "left_anti")
 
 
 def coverage(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> DataFrame:
-    """Per table: symbols, rows, latest date and how many listed symbols are missing."""
-    have = coverage_latest(tables, names)
-    totals = have.groupBy("table_name", "date_column").agg(
-        F.count("stock_code").alias("stocks"),
-        F.sum("rows").alias("rows"),
+    """Per table: symbols, rows, latest date and how many listed symbols are missing.
+
+    What there is and what is due are stacked and counted together, so each table is read once.
+    """
+    have = coverage_latest(tables, names).drop("date_column").withColumn("due", F.lit(False))
+    both = have.unionByName(_due(tables, names).withColumn("due", F.lit(True)), True)
+    per = both.groupBy("table_name", "stock_code").agg(
+        F.max("rows").alias("rows"),
+        F.max("latest_date").alias("latest_date"),
+        F.bool_or("due").alias("due"),
+    )
+    totals = per.groupBy("table_name").agg(
+        F.expr("count_if(rows IS NOT NULL) AS stocks"),
+        F.expr("coalesce(sum(rows), 0) AS rows"),
         F.max("latest_date").alias("latest_date"),
+        F.expr("count_if(due AND rows IS NULL) AS missing_stocks"),
     )
-    missing = _missing(tables, have, names).groupBy("table_name").agg(F.count("*").alias("n"))
-    return totals.join(missing, "table_name", "left").selectExpr(
+    dates = ", ".join(f"'{t}', '{TABLES[t].date_col}'" for t in names)
+    return totals.selectExpr(
         "table_name",
-        "date_column",
+        f"element_at(map({dates}), table_name) AS date_column",
         "stocks",
         "rows",
         "latest_date",
-        "coalesce(n, 0) AS missing_stocks",
+        "missing_stocks",
     )
 
 

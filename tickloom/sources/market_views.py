@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.functions.scalar import decimal4, is_fund
-from tickloom.operators.daily import daily_basic, fill_turnover
+from tickloom.operators.daily import fill_turnover, with_daily_basic
 from tickloom.operators.flows import inflow_sums, margin_changes
 from tickloom.operators.fundamentals import fundamentals
 from tickloom.operators.latest import keep_last
@@ -413,9 +413,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars with derived columns and turnover, as stored."""
-    bars = view(spark, sf_dir, "bars")
-    full = fill_turnover(bars, view(spark, sf_dir, "capital"))
-    return full.join(daily_basic(bars), ["stock_code", "trade_date"])
+    bars = with_daily_basic(view(spark, sf_dir, "bars"))
+    return fill_turnover(bars, view(spark, sf_dir, "capital"))
 
 
 def pledge(spark: SparkSession, sf_dir: str) -> DataFrame:
