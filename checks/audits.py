@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from checks.duck_views import W
 from checks.landing import flow_rows
 from checks.present import Check
@@ -11,9 +13,11 @@ from tickloom.operators import incremental as inc
 from tickloom.operators import quality as Q
 from tickloom.operators.daily import daily_basic, with_daily_basic
 from tickloom.operators.latest import duplicate_keys
+from tickloom.plans.pipeline import DERIVED, recompute
+from tickloom.session import shared_folder
 from tickloom.sources import market_views as V
 from tickloom.sources.market_views import BUILDERS, MarketTables, view
-from tickloom.sources.tables import conform
+from tickloom.sources.tables import conform, read_version, table_profile
 
 KEY, DAY = "stock_code", "trade_date"
 AS_OF = "2001-06-30"
@@ -153,6 +157,14 @@ def _counted(spark, d):
     return Q.table_counts(spark, MarketTables(spark, d), names)
 
 
+def _recomputed(spark, d):
+    """Derive the five tables, commit them as one version, and count what a reader sees."""
+    root = f"{shared_folder(spark)}/recomputed-{uuid.uuid4().hex}"
+    version = recompute(spark, MarketTables(spark, d), AS_OF, root)
+    stored = {n: read_version(spark, root, n, version) for n in DERIVED}
+    return table_profile(stored, DERIVED)
+
+
 def _calendar(spark, d):
     return Q.trading_calendar(_bars(spark, d))
 
@@ -271,6 +283,13 @@ CHECKS = [
         UNION ALL SELECT 'announcements', count(*) FROM announcements UNION ALL SELECT 'dividends', count(*) FROM dividends
         UNION ALL SELECT 'update_log', count(*) FROM update_log UNION ALL SELECT 'absent_table', NULL""", "table_name", "rows"),
     # --- incremental ---
+    Check("recomputed_tables", _recomputed, """
+        SELECT 'stock_daily' AS table_name, count(*) AS rows, count(DISTINCT stock_code) AS symbols, max(trade_date) AS last_date FROM bars
+        UNION ALL SELECT 'technical_indicators', count(*), count(DISTINCT stock_code), max(trade_date) FROM tech_steps
+        UNION ALL SELECT 'financial_intermediate', count(*), count(DISTINCT stock_code), max(report_date) FROM statements
+        UNION ALL SELECT 'valuation_indicators', count(*), count(DISTINCT stock_code), max(trade_date) FROM valuation
+        UNION ALL SELECT 'northbound_flow', count(*), count(DISTINCT stock_code), max(trade_date) FROM northbound_rows""",
+          "table_name", "", "last_date", "rows symbols"),
     Check("next_dates", lambda s, d: inc.next_dates(_symbols(s, d), view(s, d, "update_log").where("last_update_date > date'2001-10-30'"), "daily", "1995-01-01"), """
         SELECT m.stock_code, coalesce(max(u.last_update_date) + 1, DATE '1995-01-01') AS next_date FROM master m
         LEFT JOIN update_log u ON m.stock_code = u.stock_code AND data_type = 'daily' AND last_update_date > DATE '2001-10-30' GROUP BY m.stock_code""",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from checks.duck_views import relist
 from checks.present import Check
 from tickloom.functions.series import BARS
-from tickloom.operators import quality
+from tickloom.operators import merge, quality
 from tickloom.sources import feeds, raw_text
 from tickloom.sources import market_views as V
 
 KEY, DAY = "stock_code", "trade_date"
 AS_OF = "2000-03-31"
+_PERIOD = ("stock_code", "report_date")
 
 
 def _view(name):
@@ -168,6 +169,39 @@ _STATEMENT_VALUES = (
 )
 
 
+def _incomplete(spark, d):
+    """Stored statements that lack deducted profit, current items and some interest."""
+    st = V.query(spark, d, """SELECT stock_code, report_date, report_type, cast(NULL AS decimal(18,2)) AS net_profit_deducted,
+        if(quarter(report_date) = 2, NULL, interest_expense) AS interest_expense, current_assets, current_liabilities,
+        if(net_profit < 0, NULL, monetary_funds) AS monetary_funds FROM statements""")
+    return st
+
+
+def _deducted_patch(spark, d):
+    """Deducted profit is overwritten where known; interest only fills gaps."""
+    income, _, _ = _em(spark, d)
+    fresh = feeds.deducted_profit_patch(income)
+    rows = merge.update_from(_incomplete(spark, d), fresh, _PERIOD, ["net_profit_deducted"], merge.protect)
+    return merge.update_from(rows, fresh, _PERIOD, ["interest_expense"], merge.fill)
+
+
+def _balance_patch(spark, d):
+    """The three balance items are overwritten together if any is known."""
+    _, balance, _ = _em(spark, d)
+    fresh = feeds.balance_patch(balance.where("_seq = 0"))
+    return merge.patch_group(_incomplete(spark, d), fresh, _PERIOD, ["current_assets", "current_liabilities", "monetary_funds"])
+
+
+def _quote_upsert(spark, d):
+    """One day's quotes into the valuations: no orphan rows, no known value lost to a NULL."""
+    day = V.AS_OF
+    today = quote_records(spark, d).where(f"trade_date = date'{day}'")
+    fresh = raw_text.quote_valuation(raw_text.parse_quotes(today), day)
+    kept = merge.with_parent(fresh, V.view(spark, d, "bars"), ("stock_code", "trade_date"))
+    stored = V.valuations(spark, d).select("stock_code", "trade_date", "pe_ttm", "pb", "ps_ttm")
+    return merge.upsert(stored, kept, ("stock_code", "trade_date"), ["pe_ttm", "pb"], merge.protect)
+
+
 def _minimal(spark, d):
     raw = V.query(spark, d, """SELECT stock_code, year(report_date) AS year, quarter(report_date) AS quarter,
         if(net_profit < 0, '', string(net_profit)) AS netProfit, if(net_profit < 0, 'None', string(total_revenue)) AS MBRevenue,
@@ -295,6 +329,19 @@ CHECKS = [
           f"{_STATEMENT_VALUES} current_assets current_liabilities", "report_date announcement_date"),
     Check("statements_minimal", _minimal, "SELECT * EXCLUDE (report_type), '合并报表' AS report_type FROM statements WHERE net_profit >= 0",
           f"{KEY} report_type", "net_profit total_revenue", "report_date announcement_date"),
+    Check("statement_deducted_patch", _deducted_patch, """
+        SELECT stock_code, report_date, report_type, CASE WHEN quarter(report_date) <> 1 THEN net_profit_deducted END AS net_profit_deducted,
+               interest_expense FROM statements""", f"{KEY} report_type", "net_profit_deducted interest_expense", "report_date"),
+    Check("statement_balance_patch", _balance_patch, """
+        SELECT stock_code, report_date, report_type, current_assets, monetary_funds,
+               CASE WHEN quarter(report_date) <> 4 THEN current_liabilities END AS current_liabilities FROM statements""",
+          f"{KEY} report_type", "current_assets current_liabilities monetary_funds", "report_date"),
+    Check("quote_valuation_upsert", _quote_upsert, f"""
+        SELECT coalesce(v.stock_code, q.stock_code) AS stock_code, coalesce(v.trade_date, q.trade_date) AS trade_date,
+               coalesce(q.pe_ttm, v.pe_ttm) AS pe_ttm, coalesce(q.pb, v.pb) AS pb, v.ps_ttm
+        FROM valuation v FULL JOIN (SELECT stock_code, trade_date, CAST(volume AS DOUBLE) / 800 AS pe_ttm, CAST(volume AS DOUBLE) / 40 AS pb
+            FROM bars WHERE trade_date = DATE '{V.AS_OF}' AND volume NOT IN (1000, 3000)) q
+          ON v.stock_code = q.stock_code AND v.trade_date = q.trade_date""", KEY, "pe_ttm pb ps_ttm", DAY),
     Check("pledges", V.BUILDERS["risk_pledge"], "SELECT * FROM risk_pledge", KEY, "pledge_ratio pledge_market_value", DAY,
           "pledge_shares pledge_count"),
     Check("newest_pledge_snapshot", _newest_pledge, """

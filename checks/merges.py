@@ -50,8 +50,6 @@ def _merged(fn):
     return lambda spark, d: fn(target(spark, d), updates(spark, d))
 
 
-_HIT = "u.o_orderkey IS NOT NULL"
-
 
 def _joined(how: str, cust: str, status: str, price: str) -> str:
     return f"""
