@@ -5,13 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickloom.operators import merge
 from tickloom.schema import TABLES, TableSpec
 
-SPREAD = 16
-
 
 def scan(
     spark: SparkSession, root: str, table: str, start: str | None = None, end: str | None = None
@@ -101,14 +98,14 @@ def _write(
 ) -> None:
     """Tables with a date in their key are laid out by month.
 
-    Rows are spread by month and key hash, so one busy month is not one task.
+    The rebalance hint lets adaptive execution split a busy month into tasks and files of the
+    advisory size and put quiet months together, whatever the size of the table.
     """
     spec = TABLES[table]
     order: list[str] = list(spec.keys)
     if spec.by_month:
         shaped = shaped.selectExpr("*", f"date_format({spec.date_col}, 'yyyy-MM') AS month")
-        spread = F.expr(f"pmod(xxhash64({', '.join(spec.keys)}), {SPREAD})")
-        shaped, order = shaped.repartition("month", spread), ["month", *order]
+        shaped, order = shaped.hint("rebalance", "month"), ["month", *order]
     writer = shaped.sortWithinPartitions(*order).write.mode(mode)
     if spec.by_month:
         writer = writer.option("partitionOverwriteMode", partitions).partitionBy("month")
@@ -136,17 +133,21 @@ def merge_months(
     spec = TABLES[table]
     if not spec.by_month:
         raise ValueError(f"{table} is not stored by month")
-    fresh = conform(updates, spec)
     if not _exists(spark, f"{root}/{table}"):
-        write_months(fresh, root, table)
+        write_months(updates, root, table)
         return
-    month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
-    touched = fresh.selectExpr(month).distinct()
-    layout = spec.struct.add("month", "string")
-    stored = spark.read.schema(layout).parquet(f"{root}/{table}")
-    current = stored.join(touched, "month", "left_semi").select(*spec.columns)
-    named = [c for c in updates.columns if c not in spec.keys] if columns is None else columns
-    write_months(merge.upsert(current, fresh, spec.keys, named, rule), root, table)
+    # The updates are used three times; kept, spilling to disk, they are parsed once.
+    fresh = conform(updates, spec).persist()
+    try:
+        month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
+        touched = fresh.selectExpr(month).distinct()
+        layout = spec.struct.add("month", "string")
+        stored = spark.read.schema(layout).parquet(f"{root}/{table}")
+        current = stored.join(touched, "month", "left_semi").select(*spec.columns)
+        named = [c for c in updates.columns if c not in spec.keys] if columns is None else columns
+        write_months(merge.upsert(current, fresh, spec.keys, named, rule), root, table)
+    finally:
+        fresh.unpersist()
 
 
 # --- versions: data and watermark become visible together ---------------------------------------
