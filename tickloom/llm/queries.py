@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import simhash
+from tickloom.llm import bpe, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of all documents."""
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents, learned from the labels outside the held-out quarter."""
+    scored = toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.selectExpr("doc_id", "held_out", "score", f"CAST(score >= {toxicity.REJECT_SCORE} AS INT) AS predicted")
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_bpe": op2_bpe, "op9_toxicity": op9_toxicity}
 
 ORACLES: dict[str, str] = {}

@@ -29,6 +29,8 @@ from tickloom.llm.common import written
 CONTEXT = 5
 DISCOUNT = 0.75
 FOLDS = 3
+#: From this score on a text counts as toxic.
+REJECT_SCORE = 0.3
 #: The models are fitted on about this many labelled rows at most (picked by a hash of doc_id).
 SAMPLE_ROWS = 100_000
 #: Letter runs in a model at most; beyond it the rarest, each under a share of 1 / MODEL_RUNS, fall back.
