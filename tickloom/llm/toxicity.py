@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
@@ -118,79 +118,98 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-@dataclass
 class Model:
-    """Log-likelihood differences: of seen runs, and of an unseen letter after a seen context."""
+    """Log-likelihood differences of several fits: of seen runs, and of an unseen letter after a seen context."""
 
-    seen: dict[str, float]
-    unseen: dict[str, float]
+    def __init__(self, seen: pa.Table, unseen: pa.Table):
+        def index(table: pa.Table) -> dict[str, int]:
+            return dict(zip(table.column(0).to_pylist(), range(table.num_rows), strict=True))
 
-    def word(self, word: str) -> float:
+        def columns(table: pa.Table) -> list[list[float]]:
+            return [table.column(i).to_pylist() for i in range(1, table.num_columns)]
+
+        self.seen, self.unseen = index(seen), index(unseen)
+        self.seen_values, self.unseen_values = columns(seen), columns(unseen)
+        self.caches: list[dict[str, float]] = [{} for _ in self.seen_values]
+
+    def word(self, word: str, fit: int) -> float:
         """The word's evidence: toxic minus ordinary log-likelihood, by letter."""
-        total, seen, unseen = 0.0, self.seen, self.unseen
+        total, seen, unseen = 0.0, self.seen_values[fit], self.unseen_values[fit]
         runs = runs_of(word)
         for run in runs:
-            value = seen.get(run)
-            total += unseen.get(run[:-1], 0.0) if value is None else value
+            at = self.seen.get(run)
+            if at is not None:
+                total += seen[at]
+            elif (at := self.unseen.get(run[:-1])) is not None:
+                total += unseen[at]
         return total / len(runs)
 
+    def text(self, text: str | None, fit: int) -> float:
+        """The strongest word's evidence; of a text without words zero."""
+        best, cache = -math.inf, self.caches[fit]
+        for word in set(words_of(text)):
+            value = cache.get(word)
+            if value is None:
+                if len(cache) >= CACHE_WORDS:
+                    cache.clear()
+                value = cache[word] = self.word(word, fit)
+            if value > best:
+                best = value
+        return best if best > -math.inf else 0.0
+
+
+def shared_probabilities(runs: pd.Series) -> pd.Series:
+    """Interpolated Kneser-Ney over both classes: how many different letters each shorter run follows.
 
-def shared_probabilities(runs: list[str]) -> dict[str, float]:
-    """Interpolated Kneser-Ney over both classes: how many different letters each shorter run follows."""
-    level, follows = set(runs), Counter()
-    while level:
-        shorter = set()
-        for run in level:
-            if len(run) > 1:
-                follows[run[1:]] += 1
-                shorter.add(run[1:])
-        level = shorter
-    total, kinds = Counter(), Counter()
-    for run, n in follows.items():
-        total[run[:-1]] += n
-        kinds[run[:-1]] += 1
-    out: dict[str, float] = {"": 1.0 / (kinds[""] + 1)}
-    for run in sorted(follows, key=len):
-        context = run[:-1]
-        lower = out[run[1:]]
-        out[run] = (follows[run] - DISCOUNT + DISCOUNT * kinds[context] * lower) / total[context]
-    return out
-
-
-def fit(runs: list[str], ordinary: np.ndarray, toxic: np.ndarray, shared: dict[str, float]) -> Model:
-    frame = pd.DataFrame({"run": runs, "n0": ordinary, "n1": toxic})
-    frame["context"] = frame["run"].str[:-1]
-    frame["t0"], frame["t1"] = frame["n0"] > 0, frame["n1"] > 0
-    sums = frame.groupby("context")[["n0", "n1", "t0", "t1"]].sum()
-    own = sums.loc[frame["context"]]
-    base = np.array([shared[r[1:]] for r in runs])
-
-    def probability(c: str) -> np.ndarray:
-        total = own[f"n{c}"].to_numpy(float)
-        seen = np.maximum(frame[f"n{c}"].to_numpy(float) - DISCOUNT, 0) + DISCOUNT * own[f"t{c}"].to_numpy(float) * base
-        return np.where(total > 0, seen / np.maximum(total, 1), base)
-
-    def left(c: str) -> np.ndarray:
-        total = sums[f"n{c}"].to_numpy(float)
-        return np.where(total > 0, DISCOUNT * sums[f"t{c}"].to_numpy(float) / np.maximum(total, 1), 1.0)
-
-    seen = np.log(probability("1")) - np.log(probability("0"))
-    unseen = np.log(left("1")) - np.log(left("0"))
-    return Model(dict(zip(runs, seen.tolist(), strict=True)), dict(zip(sums.index, unseen.tolist(), strict=True)))
-
-
-def evidence(text: str | None, model: Model, cache: dict[str, float]) -> float:
-    """The strongest word's evidence; of a text without words zero."""
-    best = -math.inf
-    for word in set(words_of(text)):
-        value = cache.get(word)
-        if value is None:
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-            value = cache[word] = model.word(word)
-        if value > best:
-            best = value
-    return best if best > -math.inf else 0.0
+    By run, for all ends of the given runs (the empty one too).
+    """
+    follows: dict[int, pd.Series] = {}
+    level = pd.Index([], dtype=object)
+    for length in range(int(runs.str.len().max()), 0, -1):
+        level = level.union(pd.Index(runs[runs.str.len() == length].unique()))
+        follows[length - 1] = pd.Series(level.str[1:]).value_counts()
+        level = follows[length - 1].index
+    follows.pop(0)
+    lower = pd.Series({"": 1.0 / (len(follows.get(1, ())) + 1)})
+    out = [lower]
+    for length in sorted(follows):
+        counts = follows[length]
+        context = counts.index.str[:-1]
+        by_context = counts.groupby(context).agg(["sum", "size"]).loc[context]
+        base = lower.reindex(counts.index.str[1:]).to_numpy()
+        value = (counts.to_numpy() - DISCOUNT + DISCOUNT * by_context["size"].to_numpy() * base) / by_context["sum"].to_numpy()
+        lower = pd.Series(value, index=counts.index)
+        out.append(lower)
+    return pd.concat(out)
+
+
+def fit(runs: pd.Series, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[pa.Table, pa.Table]:
+    """Tables of a :class:`Model`: for each pair of (ordinary, toxic) counts of the runs a column."""
+    base = shared_probabilities(runs).loc[runs.str[1:]].to_numpy()
+    code, contexts = pd.factorize(runs.str[:-1])
+    seen, unseen = {"run": pa.array(runs)}, {"context": pa.array(contexts)}
+    for number, pair in enumerate(counts):
+        log, left_log = [], []
+        for n in pair:
+            total = np.bincount(code, weights=n)
+            left = np.where(total > 0, DISCOUNT * np.bincount(code, weights=n > 0) / np.maximum(total, 1), 1.0)
+            own = total[code]
+            log.append(np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(own, 1) + left[code] * base))
+            left_log.append(np.log(left))
+        seen[str(number)] = pa.array(log[1] - log[0])
+        unseen[str(number)] = pa.array(left_log[1] - left_log[0])
+    return pa.table(seen), pa.table(unseen)
+
+
+#: The model of a worker, kept from task to task with the words it has judged.
+_MODEL: dict[str, Model] = {}
+
+
+def _model(name: str, tables: tuple[pa.Table, pa.Table]) -> Model:
+    if name not in _MODEL:
+        _MODEL.clear()
+        _MODEL[name] = Model(*tables)
+    return _MODEL[name]
 
 
 def logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -239,35 +258,33 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     total = sum(n or 0 for n in size[1:])
     if size[0] > MODEL_RUNS:
         runs = runs.where(f"{' + '.join(parts)} >= {total // MODEL_RUNS + 1}")
-    table = runs.toPandas()
-    counts = table[[str(i) for i in range(2 * FOLDS)]].to_numpy(np.int64)
-    names = table["run"].tolist()
-    ordinary, toxic = counts[:, :FOLDS], counts[:, FOLDS:]
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
-    if not ordinary.sum() or not toxic.sum():
-        share = rows.agg(F.expr("coalesce((sum(toxic) + 0.0) / (count(*) + 1.0), 0.0)")).first()[0]
+    if not sum(n or 0 for n in size[1 : 1 + FOLDS]) or not sum(n or 0 for n in size[1 + FOLDS :]):
+        share = rows.agg(F.expr("coalesce(sum(toxic) / (count(*) + 1.0), 0.0)")).first()[0]
         return slim.select("doc_id", held_out, F.lit(float(share)).alias("score"))
-    shared = shared_probabilities(names)
-    folds = spark.sparkContext.broadcast(
-        [fit(names, ordinary.sum(axis=1) - ordinary[:, f], toxic.sum(axis=1) - toxic[:, f], shared) for f in range(FOLDS)]
-    )
-    full = spark.sparkContext.broadcast(fit(names, ordinary.sum(axis=1), toxic.sum(axis=1), shared))
+    table = runs.toPandas()
+    n = [table[str(i)].to_numpy(np.float64) for i in range(2 * FOLDS)]
+    ordinary, toxic = sum(n[:FOLDS]), sum(n[FOLDS:])
+    # the first fits leave a fold out each, the last has all
+    tables = fit(table["run"], [(ordinary - n[f], toxic - n[FOLDS + f]) for f in range(FOLDS)] + [(ordinary, toxic)])
+    del table, n
+    shipped, name = spark.sparkContext.broadcast(tables), uuid.uuid4().hex
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caches: list[dict] = [{} for _ in range(FOLDS)]
+        model = _model(name, shipped.value)
         for batch in batches:
             texts, toxics, parts = (batch.column(i).to_pylist() for i in range(3))
-            value = [round(evidence(t, folds.value[f], caches[f]), 2) for t, f in zip(texts, parts, strict=True)]
+            value = [round(model.text(t, f), 2) for t, f in zip(texts, parts, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(value, pa.float64()), pa.array(toxics, pa.int32())], names=["x", "toxic"])
 
     bins = rows.select("text", "toxic", "fold").mapInArrow(check, "x double, toxic int").groupBy("x", "toxic").count().collect()
     slope, offset = logistic([(r[0], r[1], r[2]) for r in bins])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict = {}
+        model = _model(name, shipped.value)
         for batch in batches:
-            x = np.array([evidence(t.as_py(), full.value, cache) for t in batch.column(1)], float)
+            x = np.array([model.text(t.as_py(), FOLDS) for t in batch.column(1)], float)
             value = 1 / (1 + np.exp(-np.clip(slope * x + offset, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["doc_id", "score"])
 
