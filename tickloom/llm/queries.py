@@ -5,7 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, simhash, toxicity
+from tickloom.llm import bpe, decontaminate, pii, simhash, toxicity
+
+
+#: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
+PII_KEY = b"registered-run-key-not-a-secret!"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +27,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a template window of a benchmark item, with the item."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms, what was replaced and how often."""
+    docs = pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return docs.selectExpr("doc_id", "text", "CAST(size(pii) AS LONG) AS n_replaced", "pii")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of all documents, learned from the labels outside the held-out quarter."""
     scored = toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.selectExpr("doc_id", "held_out", "score", f"CAST(score >= {toxicity.REJECT_SCORE} AS INT) AS predicted")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_bpe": op2_bpe, "op9_toxicity": op9_toxicity}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_bpe": op2_bpe,
+    "op5_decontamination": op5_decontamination,
+    "op7_pii": op7_pii,
+    "op9_toxicity": op9_toxicity,
+}
 
 ORACLES: dict[str, str] = {}

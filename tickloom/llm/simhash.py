@@ -29,14 +29,18 @@ LIST_ROWS = 4096
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
+def bit_counts(by_byte: np.ndarray) -> np.ndarray:
+    """How many rows of bytes have each bit set, the first byte's highest bit first."""
+    return np.concatenate([np.bincount(column, minlength=256) @ _BITS for column in by_byte.T])
+
+
 def fingerprint(text: str | None, size: int) -> int:
     """64 bits, each set if it is set in over half of the shingles' XXH64; of no words zero."""
     runs = shingles(ascii_words(text), size)
     if not runs:
         return 0
     hashes = np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), dtype="<u8", count=len(runs))
-    by_byte = hashes.view(np.uint8).reshape(-1, 8)
-    ones = np.concatenate([np.bincount(by_byte[:, p], minlength=256) @ _BITS for p in range(7, -1, -1)])
+    ones = bit_counts(hashes.view(np.uint8).reshape(-1, 8)[:, ::-1])
     return int(np.packbits(ones * 2 > len(runs)).view(">u8")[0])
 
 
