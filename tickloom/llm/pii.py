@@ -248,7 +248,7 @@ def _valid_here(text: str, at: int, not_kind: str, key: bytes) -> tuple[str, int
     return None
 
 
-_SPANS = T.ArrayType(T.StructType().add("kind", "string").add("start", "int").add("end", "int"))
+_SPANS = T.ArrayType(T.StructType().add("kind", "string").add("start", "integer").add("end", "integer"))
 
 
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
