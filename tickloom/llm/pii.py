@@ -262,7 +262,7 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     names = [c for c in docs.columns if c != "pii"]
     at = names.index("text")
     slim = docs.select([F.col(f"`{c}`") for c in names]).withColumn("text", F.col("text").cast("string"))
-    schema = slim.schema.add("pii", _SPANS)
+    schema = T.StructType([*slim.schema.fields, T.StructField("pii", _SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
