@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, pii, simhash, toxicity
+from tickloom.llm import bpe, decontaminate, pii, quality, simhash, toxicity
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -32,6 +32,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures and verdict of the line-first rules for all documents."""
+    judged = quality.judged(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars"
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with pseudonyms, what was replaced and how often."""
     docs = pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
@@ -48,6 +56,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op9_toxicity": op9_toxicity,
 }
