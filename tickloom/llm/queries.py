@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, pii, quality, simhash, toxicity
+from tickloom.llm import bpe, decontaminate, html_text, pii, quality, simhash, toxicity, warc
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -27,6 +27,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a template window of a benchmark item, with the item."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -52,13 +57,33 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.selectExpr("doc_id", "held_out", "score", f"CAST(score >= {toxicity.REJECT_SCORE} AS INT) AS predicted")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through WARC archives and back, in the order of the capture index."""
+    index = warc.archived(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), heads AS (
+    SELECT payload_digest, min(page_id) AS head FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM payloads LEFT JOIN heads USING (payload_digest)
+"""
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
+    "op3_html": op3_html,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op9_toxicity": op9_toxicity,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
