@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, html_text, pii, quality, simhash, toxicity, warc
+from tickloom.llm import bpe, decontaminate, html_text, pii, quality, shards, simhash, toxicity, warc
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -51,6 +51,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.selectExpr("doc_id", "text", "CAST(size(pii) AS LONG) AS n_replaced", "pii")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts, equal texts together as far as a shard holds them."""
+    return shards.sharded(_table(spark, sf_dir, "documents"), shards=16)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of all documents, learned from the labels outside the held-out quarter."""
     scored = toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -82,6 +87,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
