@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,35 +157,59 @@ class Model:
         return best if best > -math.inf else 0.0
 
 
-def shared_probabilities(runs: pd.Series) -> pd.Series:
-    """Interpolated Kneser-Ney over both classes: how many different letters each shorter run follows.
+_WIDTH = CONTEXT + 1
 
-    By run, for all ends of the given runs (the empty one too).
+
+def _letters(runs: np.ndarray) -> np.ndarray:
+    """Runs as rows of code points, zero after their end."""
+    return runs.view(np.uint32).reshape(-1, _WIDTH)
+
+
+def _ends(runs: np.ndarray) -> np.ndarray:
+    """Every run without its first letter."""
+    out = np.zeros((len(runs), _WIDTH), np.uint32)
+    out[:, :-1] = _letters(runs)[:, 1:]
+    return out.view(runs.dtype).ravel()
+
+
+def _contexts(runs: np.ndarray) -> np.ndarray:
+    """Every run without its last letter."""
+    out = _letters(runs).copy()
+    out[np.arange(len(runs)), (out != 0).sum(axis=1) - 1] = 0
+    return out.view(runs.dtype).ravel()
+
+
+def shared_probabilities(runs: np.ndarray) -> np.ndarray:
+    """Interpolated Kneser-Ney over both classes, for each run without its first letter.
+
+    A run counts by how many different letters it follows. Arrays of fixed width keep this small.
     """
-    follows: dict[int, pd.Series] = {}
-    level = pd.Index([], dtype=object)
-    for length in range(int(runs.str.len().max()), 0, -1):
-        level = level.union(pd.Index(runs[runs.str.len() == length].unique()))
-        follows[length - 1] = pd.Series(level.str[1:]).value_counts()
-        level = follows[length - 1].index
-    follows.pop(0)
-    lower = pd.Series({"": 1.0 / (len(follows.get(1, ())) + 1)})
-    out = [lower]
-    for length in sorted(follows):
-        counts = follows[length]
-        context = counts.index.str[:-1]
-        by_context = counts.groupby(context).agg(["sum", "size"]).loc[context]
-        base = lower.reindex(counts.index.str[1:]).to_numpy()
-        value = (counts.to_numpy() - DISCOUNT + DISCOUNT * by_context["size"].to_numpy() * base) / by_context["sum"].to_numpy()
-        lower = pd.Series(value, index=counts.index)
-        out.append(lower)
-    return pd.concat(out)
-
-
-def fit(runs: pd.Series, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[pa.Table, pa.Table]:
+    length = (_letters(runs) != 0).sum(axis=1)
+    follows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    level = runs[:0]
+    for size in range(_WIDTH, 0, -1):
+        level = np.union1d(level, runs[length == size])
+        level, count = np.unique(_ends(level), return_counts=True)
+        follows[size - 1] = level, count
+    out = np.full(len(runs), 1.0 / (len(follows[1][0]) + 1))
+    lower_names, lower = follows[0][0], out[:1]
+    for size in range(1, _WIDTH):
+        names, count = follows[size]
+        if not len(names):
+            break
+        _, code = np.unique(_contexts(names), return_inverse=True)
+        base = lower[np.searchsorted(lower_names, _ends(names))]
+        value = (count - DISCOUNT + DISCOUNT * np.bincount(code)[code] * base) / np.bincount(code, weights=count)[code]
+        asked = np.flatnonzero(length == size + 1)
+        out[asked] = value[np.searchsorted(names, _ends(runs[asked]))]
+        lower_names, lower = names, value
+    return out
+
+
+def fit(runs: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[pa.Table, pa.Table]:
     """Tables of a :class:`Model`: for each pair of (ordinary, toxic) counts of the runs a column."""
-    base = shared_probabilities(runs).loc[runs.str[1:]].to_numpy()
-    code, contexts = pd.factorize(runs.str[:-1])
+    base = shared_probabilities(runs)
+    contexts, code = np.unique(_contexts(runs), return_inverse=True)
     seen, unseen = {"run": pa.array(runs)}, {"context": pa.array(contexts)}
     for number, pair in enumerate(counts):
         log, left_log = [], []
@@ -196,8 +219,8 @@ def fit(runs: pd.Series, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[p
             own = total[code]
             log.append(np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(own, 1) + left[code] * base))
             left_log.append(np.log(left))
-        seen[str(number)] = pa.array(log[1] - log[0])
-        unseen[str(number)] = pa.array(left_log[1] - left_log[0])
+        seen[str(number)] = pa.array((log[1] - log[0]).astype(np.float32))
+        unseen[str(number)] = pa.array((left_log[1] - left_log[0]).astype(np.float32))
     return pa.table(seen), pa.table(unseen)
 
 
@@ -263,12 +286,14 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     if not sum(n or 0 for n in size[1 : 1 + FOLDS]) or not sum(n or 0 for n in size[1 + FOLDS :]):
         share = rows.agg(F.expr("coalesce(sum(toxic) / (count(*) + 1.0), 0.0)")).first()[0]
         return slim.select("doc_id", held_out, F.lit(float(share)).alias("score"))
-    table = runs.toPandas()
-    n = [table[str(i)].to_numpy(np.float64) for i in range(2 * FOLDS)]
+    table = runs.toArrow()
+    names = table.column("run").to_numpy().astype(f"U{_WIDTH}")
+    n = [table.column(str(i)).to_numpy().astype(np.float64) for i in range(2 * FOLDS)]
+    del table
     ordinary, toxic = sum(n[:FOLDS]), sum(n[FOLDS:])
     # the first fits leave a fold out each, the last has all
-    tables = fit(table["run"], [(ordinary - n[f], toxic - n[FOLDS + f]) for f in range(FOLDS)] + [(ordinary, toxic)])
-    del table, n
+    tables = fit(names, [(ordinary - n[f], toxic - n[FOLDS + f]) for f in range(FOLDS)] + [(ordinary, toxic)])
+    del n, names
     shipped, name = spark.sparkContext.broadcast(tables), uuid.uuid4().hex
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
