@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, html_text, pii, quality, shards, simhash, toxicity, warc
+from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, toxicity, warc
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -32,6 +32,11 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and bigram log-probabilities of all documents, learned outside the held-out fifth."""
+    return lm.scores(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a template window of a benchmark item, with the item."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -84,6 +89,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_html": op3_html,
+    "op4_lm_score": op4_lm_score,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
