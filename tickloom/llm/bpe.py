@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 #: Words a worker remembers; emptied when full.
 CACHE_WORDS = 250_000
@@ -157,6 +158,7 @@ class Codec:
         self.plain = re.compile(
             pattern.replace(r"[\p{L}]", "[a-zA-Z]").replace(r"[\p{N}]", "[0-9]").replace(r"\s\p{L}\p{N}", "\t-\r a-zA-Z0-9")
         ).findall
+        self.library = Tokenizer.from_str(content)
         special = sorted(self.bpe.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         #: per word its ids, and the same as text: ids and tokens, one blank between
@@ -177,6 +179,10 @@ class Codec:
         """Composed, in lower case, blanks dropped."""
         if text.isascii():
             return self.plain(text.lower())
+        if any(unicodedata.category(c) == "Cn" for c in set(text)):
+            # letters newer than Python's tables: the library knows their classes and cases
+            text = self.library.normalizer.normalize_str(text)
+            return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # letter by letter: the small sigma has one form wherever it stands

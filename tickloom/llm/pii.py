@@ -121,13 +121,12 @@ def _phone(found: str, key: bytes) -> str | None:
     number = _digits(found)
     if not 8 <= len(number) <= 15:
         return None
-    if number[0] == "1" and len(number) == 11:  # the North American plan: areas and exchanges begin with 2 to 9
-        if number[1] < "2" or number[4] < "2":
-            return None
-        first = {0: 8, 3: 8}
-        value = [int(c) - 2 if i in first else int(c) for i, c in enumerate(number[1:])]
-        new = _mixed(value, [first.get(i, 10) for i in range(10)], key, "phone1")
-        return _refill(found, "1" + "".join(str(d + 2 if i in first else d) for i, d in enumerate(new)))
+    if number[0] == "1" and len(number) == 11:
+        # the North American plan: whether area and exchange begin with 2 to 9, as given ones do, stays
+        lows = [(2 if c >= "2" else 0) if i in (0, 3) else 0 for i, c in enumerate(number[1:])]
+        sizes = [(8 if low else 2) if i in (0, 3) else 10 for i, low in enumerate(lows)]
+        new = _mixed([int(c) - low for c, low in zip(number[1:], lows, strict=True)], sizes, key, f"phone1{lows[0]}{lows[3]}")
+        return _refill(found, "1" + "".join(str(d + low) for d, low in zip(new, lows, strict=True)))
     lead = len(re.match(r"\+\d{1,2}", found)[0]) - 1
     new = _mixed([int(c) for c in number[lead:]], [10] * (len(number) - lead), key, f"phone{number[:lead]}")
     return _refill(found, number[:lead] + "".join(map(str, new)))
@@ -137,8 +136,13 @@ def _ipv4(found: str, key: bytes) -> str | None:
     parts = found.split(".")
     if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts) or not 1 <= int(parts[0]) <= 223:
         return None
-    new = _mixed([int(parts[0]) - 1, *map(int, parts[1:])], [223, 256, 256, 256], key, "ipv4")
-    return ".".join(map(str, [new[0] + 1, *new[1:]]))
+    # numbers keep their length
+    lows = [(1 if i == 0 else 0, 10, 100)[len(p) - 1] for i, p in enumerate(parts)]
+    tops = [(10, 100, 224 if i == 0 else 256)[len(p) - 1] for i, p in enumerate(parts)]
+    sizes = [t - low for t, low in zip(tops, lows, strict=True)]
+    shape = "".join(str(len(p)) for p in parts)
+    new = _mixed([int(p) - low for p, low in zip(parts, lows, strict=True)], sizes, key, f"ipv4{shape}")
+    return ".".join(str(d + low) for d, low in zip(new, lows, strict=True))
 
 
 def _ssn(found: str, key: bytes) -> str | None:
@@ -193,7 +197,7 @@ KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("phone_local", r"(?<![\w.+-])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[.-]\d{4}(?![\d-])", lambda found, key: _phone_local(found, key)),
     ("date", r"(?<![\d.,/-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])", _date),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
+    ("card", r"(?<![\w.-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])", _card),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _ipv4),
 ]
 

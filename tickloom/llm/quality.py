@@ -60,23 +60,23 @@ def _words(line: str) -> list[str]:
 
 
 def line_fault(words: list[str], again: bool, rules: Rules) -> str | None:
-    """Why a line with words fails: ``repeated``, ``boilerplate``, ``symbols``, ``stutter``, ``navigation``, ``fragment`` or None."""
+    """Why a line with words fails: ``repeated``, ``boilerplate``, ``navigation``, ``symbols``, ``stutter``, ``fragment`` or None."""
     line = " ".join(words)
     chars = sum(map(len, words))
     if again:
         return "repeated"
     if (phrase := _boilerplate.search(line.lower())) and len(words) <= phrase[0].count(" ") + 1 + rules.notice_words:
         return "boilerplate"
-    if len(_symbols.findall(line)) > rules.symbol_share * chars:
-        return "symbols"
-    if len(words) >= rules.stutter_words and sum(a == b for a, b in zip(words, words[1:], strict=False)) > rules.stutter_share * len(words):
-        return "stutter"
     ends = words[-1].rstrip("\"')]}»”’").endswith(END_MARKS)
     separators = [i for i, w in enumerate(words) if w in MENU_MARKS]
     if len(separators) >= rules.menu_separators and not ends:
         cuts = [-1, *separators, len(words)]
         if max(b - a - 1 for a, b in zip(cuts, cuts[1:], strict=False)) <= rules.menu_entry:
             return "navigation"
+    if len(_symbols.findall(line)) > rules.symbol_share * chars:
+        return "symbols"
+    if len(words) >= rules.stutter_words and sum(a == b for a, b in zip(words, words[1:], strict=False)) > rules.stutter_share * len(words):
+        return "stutter"
     if len(words) <= rules.short_words and not ends:
         return "fragment"
     return None

@@ -100,12 +100,14 @@ def sharded(docs: DataFrame, shards: int = 16, max_rounds: int = MAX_ROUNDS) ->
     rows = written(rows.withColumn("row", F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id", "grp"))), "shard-rows")
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
 
-    groups = rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1").select("grp")
+    groups = rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
     linked = rows.join(groups, "grp", "left_semi").select("grp", "bucket", "row")
     linked = _ranked(linked, [], ["row"], "place")
     linked = written(_ranked(linked, ["grp"], ["row"], "member"), "shard-linked")
     spread = linked.groupBy("grp", F.expr(f"CAST(place % {shards} AS INT)").alias("shard")).agg(F.count("*").alias("n"))
-    spread = spread.withColumn("bucket", F.expr(f"CAST(pmod(xxhash64(grp), {buckets}) AS INT)"))
+    # larger groups come first: their buckets are lower
+    by_size = f"CAST((62 - floor(log2(members))) * {buckets} + pmod(xxhash64(grp), {buckets}) AS INT)"
+    spread = spread.join(groups, "grp").withColumn("bucket", F.expr(by_size))
     state = propagated(spread.select("grp", "bucket", "shard", "n"), capacity, max_rounds)
 
     running = Window.partitionBy("grp").orderBy("shard")
