@@ -134,11 +134,11 @@ def _phone(found: str, key: bytes) -> str | None:
 
 def _ipv4(found: str, key: bytes) -> str | None:
     parts = found.split(".")
-    if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts) or not 1 <= int(parts[0]) <= 223:
+    if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts) or parts[0] == "0":
         return None
     # numbers keep their length
     lows = [(1 if i == 0 else 0, 10, 100)[len(p) - 1] for i, p in enumerate(parts)]
-    tops = [(10, 100, 224 if i == 0 else 256)[len(p) - 1] for i, p in enumerate(parts)]
+    tops = [(10, 100, 256)[len(p) - 1] for p in parts]
     sizes = [t - low for t, low in zip(tops, lows, strict=True)]
     shape = "".join(str(len(p)) for p in parts)
     new = _mixed([int(p) - low for p, low in zip(parts, lows, strict=True)], sizes, key, f"ipv4{shape}")
@@ -211,7 +211,7 @@ def _phone_local(found: str, key: bytes) -> str | None:
 _shapes = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape, _ in KINDS))
 _makers = {kind: maker for kind, _, maker in KINDS}
 #: Without one of these a text holds no candidate.
-_maybe = re.compile(r"[0-9@]|(?i:passw|pwd|secret|token|key)")
+_maybe = re.compile(r"[0-9@]|AKIA|ASIA|(?i:passw|pwd|secret|token|key)")
 
 
 def pseudonyms(text: str | None, key: bytes) -> tuple[str | None, list[tuple[str, int, int]]]:
