@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tickloom.llm.common import kept
+
 #: Words a worker remembers; emptied when full.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 #: Texts whose words share a trie.
-SLICE_ROWS = 2048
+SLICE_ROWS = 1024
 
 
 def _byte_letters() -> list[str]:
@@ -96,7 +98,7 @@ class Bpe:
         found = tuple((self.ids[end[i:]], len(end) - i - room) for i in range(len(end) - room) if end[i:] in self.whole)
         if not found:
             raise ValueError(f"no token ends in {symbol!r}")
-        if self._n_steps >= 4 * CACHE_WORDS:
+        if self._n_steps >= 6 * CACHE_WORDS:
             self._steps.clear()
             self._n_steps = 0
         self._n_steps += 1
@@ -105,7 +107,7 @@ class Bpe:
 
     def beside(self, left: int, right: int) -> bool:
         """Whether the two tokens stay when they are encoded together."""
-        if len(self._beside) >= 4 * CACHE_WORDS:
+        if len(self._beside) >= 6 * CACHE_WORDS:
             self._beside.clear()
         pair = [self.tokens[left], self.tokens[right]]
         known = self._beside[left << 32 | right] = self.merged(self.symbols(pair[0]) + self.symbols(pair[1])) == pair
@@ -214,17 +216,6 @@ class Codec:
         return " ".join(map(self.bpe.tokens.__getitem__, ids))
 
 
-#: The codec of a worker, kept from task to task with the words it has learned.
-_CODEC: dict[str, Codec] = {}
-
-
-def _codec(content: str) -> Codec:
-    if content not in _CODEC:
-        _CODEC.clear()
-        _CODEC[content] = Codec(content)
-    return _CODEC[content]
-
-
 def encoded(docs: DataFrame, tokenizer_path: str, content: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded`` for every row of ``docs``: the ids of its text and what they decode to.
 
@@ -245,9 +236,10 @@ def _mapped(docs: DataFrame, tokenizer_path: str, content: str | None, digests:
         with open(tokenizer_path, encoding="utf-8") as file:
             content = file.read()
     shipped = docs.sparkSession.sparkContext.broadcast(content)
+    key = hashlib.sha256(content.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shipped.value)
+        codec = kept(f"codec {key}", lambda: Codec(shipped.value))
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)

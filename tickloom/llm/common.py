@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame
 
 from tickloom.session import shared_folder
 
 
+_KEPT: dict[str, Any] = {}
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What a worker keeps from task to task: one thing, so that one operator's tables make room for the next's."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: read back as often as needed, safe from lost executors."""
     spark = df.sparkSession

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import written
+from tickloom.llm.common import kept, written
 
 CONTEXT = 5
 DISCOUNT = 0.75
@@ -34,8 +34,10 @@ REJECT_SCORE = 0.3
 SAMPLE_ROWS = 100_000
 #: Letter runs in a model at most; beyond it the rarest, each under a share of 1 / MODEL_RUNS, fall back.
 MODEL_RUNS = 1 << 21
-#: Entries in a worker's table of words seen; emptied when full.
-CACHE_WORDS = 500_000
+#: Words whose evidence a worker remembers for each fit; emptied when full.
+CACHE_WORDS = 100_000
+#: Counts a task holds before it hands them on.
+TASK_COUNTS = 300_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -92,7 +94,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = toxic * FOLDS + fold
             for word, n in Counter(words_of(text)).items():
                 counts[word, part] += n
-            if len(counts) > CACHE_WORDS:
+            if len(counts) > TASK_COUNTS:
                 yield from out()
     yield from out()
 
@@ -112,7 +114,7 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for word, part, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             for run in runs_of(word):
                 counts[run, part] += n
-            if len(counts) > CACHE_WORDS:
+            if len(counts) > TASK_COUNTS:
                 yield from out()
     yield from out()
 
@@ -224,17 +226,6 @@ def fit(runs: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[
     return pa.table(seen), pa.table(unseen)
 
 
-#: The model of a worker, kept from task to task with the words it has judged.
-_MODEL: dict[str, Model] = {}
-
-
-def _model(name: str, tables: tuple[pa.Table, pa.Table]) -> Model:
-    if name not in _MODEL:
-        _MODEL.clear()
-        _MODEL[name] = Model(*tables)
-    return _MODEL[name]
-
-
 def logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Slope and offset from (evidence, label, count), with smoothed targets, by damped Newton steps."""
     x = np.array([p[0] for p in points], float)
@@ -297,7 +288,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     shipped, name = spark.sparkContext.broadcast(tables), uuid.uuid4().hex
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(name, shipped.value)
+        model = kept(name, lambda: Model(*shipped.value))
         for batch in batches:
             texts, toxics, parts = (batch.column(i).to_pylist() for i in range(3))
             value = [round(model.text(t, f), 2) for t, f in zip(texts, parts, strict=True)]
@@ -307,7 +298,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     slope, offset = logistic([(r[0], r[1], r[2]) for r in bins])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(name, shipped.value)
+        model = kept(name, lambda: Model(*shipped.value))
         for batch in batches:
             x = np.array([model.text(t.as_py(), FOLDS) for t in batch.column(1)], float)
             value = 1 / (1 + np.exp(-np.clip(slope * x + offset, -500, 500)))
