@@ -244,12 +244,13 @@ FROM (SELECT *, lag(n) OVER (PARTITION BY suppkey ORDER BY d) AS prev
             FROM trades GROUP BY suppkey, {quarter_day("day")}))
 """)
 
+SEAT_REASON = """CASE WHEN qty = 50 THEN '上榜' ELSE
+        'cumulative deviation over three consecutive days, class ' || flag || ' band ' || status END"""
+
 part("top_list", f"""
-SELECT {relist(bare("suppkey"))} AS stock_code, day AS trade_date, left(reason, 50) AS list_type, reason,
+SELECT {relist(bare("suppkey"))} AS stock_code, day AS trade_date, reason AS list_type, reason,
        gross AS buy_amount, net AS sell_amount, gross - net AS net_amount, orderkey, linenumber, ep, flag, status
-FROM (SELECT *, CASE WHEN qty = 50 THEN '上榜' ELSE
-        'cumulative deviation over three consecutive days, class ' || flag || ' band ' || status END AS reason
-      FROM trades WHERE qty >= 30)
+FROM (SELECT *, {SEAT_REASON} AS reason FROM trades WHERE qty >= 30)
 """)
 
 part("dragon_tiger", """

@@ -285,7 +285,7 @@ def _top_list(spark, d):
 
 def _collisions(spark, d):
     rows = feeds.top_list(V.view(spark, d, "raw_top_list"))
-    return quality.truncation_collisions(rows, ["stock_code", "trade_date"], "reason", feeds.TITLE_WIDTH)
+    return quality.truncation_collisions(rows, ["stock_code", "trade_date"], "reason", feeds.DISPLAY_WIDTH)
 
 
 _UNLOCK_ALL = "SELECT * FROM risk_unlock"
@@ -375,8 +375,8 @@ CHECKS = [
     Check("top_list", _top_list, "SELECT * FROM top_list WHERE stock_code IN (SELECT stock_code FROM master)",
           f"{KEY} list_type reason", "buy_amount sell_amount net_amount", DAY),
     Check("list_truncation", _collisions, """
-        SELECT stock_code, trade_date, list_type AS short_text, count(DISTINCT reason) AS variants FROM top_list
-        GROUP BY stock_code, trade_date, list_type HAVING count(DISTINCT reason) > 1""", f"{KEY} short_text", "", DAY, "variants"),
+        SELECT stock_code, trade_date, left(reason, 50) AS short_text, count(DISTINCT reason) AS variants FROM top_list
+        GROUP BY stock_code, trade_date, left(reason, 50) HAVING count(DISTINCT reason) > 1""", f"{KEY} short_text", "", DAY, "variants"),
     Check("northbound_feed", _northbound, "SELECT * FROM northbound_rows", KEY,
           "net_inflow holding_shares holding_value holding_ratio", DAY),
     Check("northbound_market_feed", _northbound_market, "SELECT * EXCLUDE (daily_balance), CAST(NULL AS DOUBLE) AS daily_balance FROM northbound_market",

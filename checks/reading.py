@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.duck_views import symbol
+from checks.duck_views import SEAT_REASON, symbol
 from checks.present import Check
 from pyspark.sql import functions as F
 
@@ -37,6 +37,10 @@ def _tables(build):
     return lambda spark, d: build(MarketTables(spark, d))
 
 
+def _range(table: str) -> str:
+    return f"SELECT * FROM {table} WHERE trade_date {RANGE}"
+
+
 def _top(table: str, day: str, others: str, n: int, where: str = "") -> str:
     return f"SELECT * FROM {table} {where} ORDER BY {day} DESC, {others} LIMIT {n}"
 
@@ -62,6 +66,12 @@ def _listed(tables):
     )
 
 
+def _notes(tables):
+    """The notes of an answer without rows and of one with rows."""
+    none = Q.empty_note(Q.capital_flow(tables, "sh999999"), "sh999999", Q.NO_FLOW)
+    return none.unionByName(Q.empty_note(Q.northbound(tables, None), "all", Q.NO_NORTHBOUND))
+
+
 def _flat_summary(tables):
     reasons = "array_join(transform(unavailable_fields, x -> concat(x.field, ':', x.reason)), '|')"
     return Q.summary(tables).selectExpr("*", f"{reasons} AS reasons")
@@ -144,6 +154,14 @@ CHECKS = [
         FROM ({_COVER}) c LEFT JOIN (SELECT table_name, count(*) AS n FROM ({_MISSING}) GROUP BY table_name) m
           ON c.table_name = m.table_name GROUP BY c.table_name, c.date_column""",
           "table_name date_column", "", "latest_date", "stocks rows missing_stocks"),
+    Check("coverage_of_absent_tables", _tables(lambda t: Q.coverage(
+              {n: t[n] for n in ("stock_master", "stock_daily", "margin_trading")}, ("stock_daily", "margin_trading", "risk_pledge"))), f"""
+        SELECT c.table_name, c.date_column, count(*) AS stocks, sum(c.rows) AS rows, max(c.latest_date) AS latest_date,
+               coalesce(max(m.n), 0) AS missing_stocks
+        FROM ({_COVER}) c LEFT JOIN (SELECT table_name, count(*) AS n FROM ({_MISSING}) GROUP BY table_name) m
+          ON c.table_name = m.table_name WHERE c.table_name IN ('stock_daily', 'margin_trading') GROUP BY c.table_name, c.date_column
+        UNION ALL SELECT 'risk_pledge', '{TABLES["risk_pledge"].date_col}', NULL, NULL, NULL, NULL""",
+          "table_name date_column", "", "latest_date", "stocks rows missing_stocks"),
     Check("coverage_latest", _tables(Q.coverage_latest), _COVER, "table_name date_column stock_code", "",
           "latest_date", "rows"),
     Check("coverage_missing", _tables(Q.coverage_missing), _MISSING, "table_name stock_code"),
@@ -154,13 +172,13 @@ CHECKS = [
         UNION ALL SELECT 'northbound_market_flow', count(*), NULL, min(trade_date), max(trade_date) FROM northbound_market""",
           "table_name", "", "first_date last_date", "rows symbols"),
     Check("daily_range", _tables(lambda t: Q.daily(t, None, START, END)),
-          _top("stock_daily", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}"), KEY,
+          _range("stock_daily"), KEY,
           "open close amount change_pct high_60 turnover", DAY, "volume"),
     Check("technical_range", _tables(lambda t: Q.technical_indicators(t, None, START, END)),
-          _top("technical_indicators", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}"), KEY,
+          _range("technical_indicators"), KEY,
           "ma5 ema12 macd_hist rsi6 kdj_j sar obv", DAY),
     Check("valuation_range", _tables(lambda t: Q.valuation_indicators(t, None, START, END)), f"""
-        SELECT v.*, b.close FROM ({_top("valuation", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}")}) v
+        SELECT v.*, b.close FROM ({_range("valuation")}) v
         LEFT JOIN bars b ON v.stock_code = b.stock_code AND v.trade_date = b.trade_date""", KEY,
           "pe_ttm pb ps_ttm dividend_yield roe close", DAY),
     Check("financial_range", _tables(lambda t: Q.financial(t, None, START, END, "合并期末")),
@@ -169,17 +187,17 @@ CHECKS = [
     Check("financial_indicators_range", _tables(lambda t: Q.financial_indicators(t, None, START, END)),
           f"SELECT * FROM intermediate WHERE report_date {RANGE}", KEY,
           "net_profit_ttm roe_ttm gross_margin_ttm cash_cycle_ttm current_ratio", "report_date"),
-    Check("northbound_range", _tables(lambda t: Q.northbound(t, None, START, END)), _top("""
+    Check("northbound_range", _tables(lambda t: Q.northbound(t, None, START, END)), _range("""
         (SELECT *, sum(net_inflow) OVER (PARTITION BY stock_code ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inflow_5d
-         FROM northbound_rows)""", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}"), KEY,
+         FROM northbound_rows)"""), KEY,
           "net_inflow inflow_5d", DAY),
     Check("northbound_market", _tables(Q.northbound_market), "SELECT * FROM northbound_market", "",
           "net_buy_amount buy_amount sell_amount cumulative_net_buy daily_inflow daily_balance holding_market_value", DAY),
     Check("margin_range", _tables(lambda t: Q.margin(t, None, START, END)),
-          _top("margin_legs", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}"), KEY,
+          _range("margin_legs"), KEY,
           "rz_balance rq_balance", DAY),
     Check("capital_flow_range", _tables(lambda t: Q.capital_flow(t, None, START, END)),
-          _top("capital_flow", "trade_date", "stock_code", 10000, f"WHERE trade_date {RANGE}"), KEY,
+          _range("capital_flow"), KEY,
           "main_net_amount small_net_amount main_net_ratio small_net_ratio", DAY),
     Check("dragon_tiger_top", _tables(lambda t: Q.dragon_tiger(t, None, START, END, 1000)),
           _top("dragon_tiger", "trade_date", "stock_code, list_type", 1000, f"WHERE trade_date {RANGE}"),
@@ -187,8 +205,13 @@ CHECKS = [
     Check("dragon_tiger_seats", _tables(lambda t: Q.dragon_tiger_seats(t, None)), f"""
         SELECT e.stock_code, e.trade_date, e.list_type, 'seat ' || CAST(s.partkey AS VARCHAR) AS seat_name,
                s.flag AS seat_type, s.gross AS buy_amount, s.net AS sell_amount, s.gross - s.net AS net_amount
-        FROM dragon_tiger e JOIN trades s ON e.stock_code = {symbol("s.suppkey")} AND e.trade_date = s.day""",
+        FROM dragon_tiger e JOIN (SELECT *, {SEAT_REASON} AS entry FROM trades WHERE qty >= 30) s
+          ON e.stock_code = {symbol("s.suppkey")} AND e.trade_date = s.day AND e.list_type = s.entry""",
           f"{KEY} list_type seat_name seat_type", "buy_amount sell_amount net_amount", DAY),
+    Check("dragon_tiger_range", _tables(lambda t: Q.dragon_tiger(t, None, START, END)), _range("dragon_tiger"),
+          f"{KEY} list_type reason", "buy_amount sell_amount net_amount", DAY),
+    Check("announcements_all", _tables(lambda t: Q.announcements(t, None)), "SELECT * FROM announcements",
+          f"{KEY} title pdf_url announcement_type", "", "announcement_date"),
     Check("announcements_top", _tables(lambda t: Q.announcements(t, None, 1000)),
           _top("announcements", "announcement_date", "stock_code, title", 1000),
           f"{KEY} title pdf_url announcement_type", "", "announcement_date"),
@@ -255,6 +278,20 @@ CHECKS = [
                    FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY stat_date DESC) AS o FROM risk_holder_num) WHERE o <= 4 GROUP BY stock_code) t ON m.stock_code = t.stock_code""",
           f"{KEY} risk_level trend note", "latest_pledge_ratio ongoing_buyback_amount unlock_upcoming_90d_shares",
           "latest_pledge_date", "reduce_count_recent_90d ongoing_buyback_count unlock_upcoming_90d_count holder_num_latest"),
+    Check("risk_pledges", _tables(lambda t: risk.risk_events(t, None)["risk_pledge"]), "SELECT * FROM risk_pledge", KEY,
+          "pledge_ratio", DAY),
+    Check("risk_holder_changes", _tables(lambda t: risk.risk_events(t, None)["risk_holder_change"]),
+          "SELECT * FROM risk_holder_change", f"{KEY} holder_name change_type", "change_ratio", "announcement_date"),
+    Check("risk_buybacks", _tables(lambda t: risk.risk_events(t, None)["risk_buyback"]), "SELECT * FROM risk_buyback",
+          f"{KEY} progress", "done_amount", "announcement_date"),
+    Check("risk_unlocks", _tables(lambda t: risk.risk_events(t, None)["risk_unlock"]), "SELECT * FROM risk_unlock",
+          f"{KEY} free_type", "free_shares actual_free_shares", "free_date"),
+    Check("risk_holder_numbers", _tables(lambda t: risk.risk_events(t, None)["risk_holder_num"]),
+          "SELECT * FROM risk_holder_num", KEY, "change_ratio", "stat_date", "holder_num"),
+    Check("empty_notes", _tables(_notes), f"""
+        SELECT 'sh999999' AS stock_code, 0 AS count, '{Q.NO_FLOW}' AS note
+        UNION ALL SELECT 'all', count(*), CASE WHEN count(*) = 0 THEN '{Q.NO_NORTHBOUND}' END FROM northbound_rows""",
+          f"{KEY} note", "", "", "count"),
     Check("newest_holder_counts", _tables(lambda t: top_rows(t["risk_holder_num"], "stock_code", 4, F.desc("stat_date"))),
           "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY stat_date DESC) AS o FROM risk_holder_num) WHERE o <= 4",
           KEY, "change_ratio", "stat_date", "holder_num"),

@@ -8,8 +8,8 @@ from checks.duck_views import symbol as duck_symbol
 from checks.present import Check
 from tickloom.session import shared_folder
 from tickloom.sources.market_views import symbol
-from tickloom.sources.tables import scan
-from tickloom.streaming.upserts import daily_bars, upsert_stream
+from tickloom.sources.tables import is_file, scan
+from tickloom.streaming.upserts import bars_from_stored_ticks, daily_bars, upsert_stream
 
 _EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 _DELAY_HOURS = 30
@@ -17,7 +17,11 @@ _DELAY_HOURS = 30
 
 def ticks(spark, d):
     """Events as ticks of their user's instrument."""
-    events = spark.readStream.schema(_EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
+    events = spark.readStream.schema(_EVENTS)
+    if is_file(spark, f"{d}/events.parquet"):  # a stream reads folders; a single file is picked from its own
+        events = events.option("pathGlobFilter", "events.parquet").parquet(d)
+    else:
+        events = events.parquet(f"{d}/events.parquet")
     return events.selectExpr(
         f"{symbol('user_id')} AS stock_code", "ts", "event_id AS seq",
         "cast(value AS decimal(10,2)) AS price",
@@ -42,6 +46,15 @@ def _running_bars(spark, d):
     return scan(spark, f"{root}/tables", "stock_daily")
 
 
+def _late_bars(spark, d):
+    """A third of every day's ticks comes in a second stream, after all days have been stored."""
+    root = f"{shared_folder(spark)}/late-bars-{uuid.uuid4().hex}"
+    for number, part in enumerate(("seq % 3 != 1", "seq % 3 = 1")):
+        late = bars_from_stored_ticks(ticks(spark, d).where(part), root, f"{root}/checkpoint{number}")
+        late.awaitTermination()
+    return scan(spark, f"{root}/tables", "stock_daily")
+
+
 def _duck(where: str) -> str:
     return f"""
     SELECT {duck_symbol("user_id")} AS stock_code, CAST(ts AS DATE) AS trade_date, first(price ORDER BY event_id) AS open,
@@ -55,5 +68,6 @@ _FLOATS = "open high low close amount"
 
 CHECKS = [
     Check("stream_closed_bars", _closed_bars, _duck(_CLOSED), "stock_code", _FLOATS, "trade_date", "volume"),
+    Check("stream_late_bars", _late_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),
     Check("stream_running_bars", _running_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),
 ]

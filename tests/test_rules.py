@@ -168,9 +168,9 @@ def test_watermark_ahead_of_data(spark):
 
 def test_filters(spark):
     assert split_codes(" a, ,b,") == ["a", "b"] and split_codes(None) == []
-    for limit in (0, 11):
+    for limit in (0, -1):
         with pytest.raises(ValueError):
-            checked_limit(limit, 10)
+            checked_limit(limit)
     rows = spark.createDataFrame([("a", D(2020, 1, i)) for i in range(1, 6)], "stock_code string, trade_date date")
     out = range_query(rows, "a", start="2020-01-02", end="2020-01-04", limit=2).collect()
     assert [r.trade_date.day for r in out] == [4, 3]
@@ -187,7 +187,7 @@ def test_unknown_symbol_and_notes(spark, sf_dir):
     some = queries.northbound(tables, "sh600000")
     assert queries.empty_note(some, "sh600000", queries.NO_NORTHBOUND).first().note is None
     with pytest.raises(ValueError):
-        queries.daily(tables, "sh600000", limit=100_001)
+        queries.daily(tables, "sh600000", limit=0)
     one = queries.basic_info(tables, "sh600000, sz000003,").collect()
     assert [r.stock_code for r in one] == ["sh600000", "sz000003"]
 
@@ -201,8 +201,10 @@ def test_filters_reach_the_scan(spark, tmp_path):
     explain = spark.sparkContext._jvm.PythonSQLUtils.explainString
     text = explain(plan._jdf.queryExecution(), "formatted")
     assert "EqualTo(stock_code,a)" in text and "GreaterThanOrEqual(trade_date" in text
-    assert "TakeOrderedAndProject" in text
-    assert "PartitionFilters: [isnotnull(month" in text
+    assert "TakeOrderedAndProject" not in text  # all rows, unless a limit is asked for
+    assert "month=2020-01" in str(plan.inputFiles())
+    top = queries.northbound(T.Store(spark, str(tmp_path)), "a", limit=5)
+    assert "TakeOrderedAndProject" in explain(top._jdf.queryExecution(), "formatted")
 
 
 RISK = {

@@ -47,11 +47,17 @@ def test_column_dictionary(spark):
     )
 
 
-def test_conform_fills_rounds_and_nulls(spark):
-    df = spark.createDataFrame([("s", D(2020, 1, 1), 1.005e9, 12.3456)], "stock_code string, trade_date date, open double, close double")
+def test_conform_fills_and_rounds_and_refuses_what_does_not_fit(spark):
+    schema = "stock_code string, trade_date date, open double, close double"
+    df = spark.createDataFrame([("s", D(2020, 1, 1), None, 12.3456)], schema)
     row = T.conform(df, "stock_daily").first()
     assert row.open is None and float(row.close) == 12.35 and row.volume is None
     assert T.conform(df, "stock_daily").columns == TABLES["stock_daily"].columns
+    bad = spark.createDataFrame([("s", D(2020, 1, 1), 1.005e9, 1.0), (None, D(2020, 1, 1), 1.0, 1.0), ("t", D(2020, 1, 1), 1.0, 1.0)], schema)
+    with pytest.raises(Exception, match="does not fit"):
+        T.conform(bad, "stock_daily").collect()
+    assert {r.reject_reason for r in T.rejects(bad, "stock_daily").collect()} == {"overflow open", "no stock_code"}
+    assert [r.stock_code for r in T.fitting(bad, "stock_daily").collect()] == ["t"]
 
 
 def test_surrogate_ids_are_stable(spark):
@@ -67,21 +73,56 @@ def test_old_files_are_read_with_null_columns(spark, root):
     assert (row.stock_code, row.total_shares) == ("s", None)
 
 
+def _stored(spark, root):
+    rows = T.scan(spark, root, "northbound_flow").collect()
+    out = {(r.stock_code, r.trade_date): float(r.net_inflow) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
 def test_month_merge_is_idempotent_and_leaves_other_months(spark, root):
     first = _flow(spark, [("a", D(2020, 1, 5), 1.0), ("a", D(2020, 2, 5), 2.0), ("b", D(2020, 2, 6), 3.0)])
-    T.merge_months(spark, first, root, "northbound_flow")
-    jan = spark.read.parquet(f"{root}/northbound_flow/month=2020-01").inputFiles()
-    update = _flow(spark, [("a", D(2020, 2, 5), 20.0), ("c", D(2020, 3, 1), 4.0)])
+    T.merge_rows(spark, first.unionByName(first), root, "northbound_flow")
+    jan = T.scan(spark, root, "northbound_flow", end="2020-01-31").inputFiles()
+    update = _flow(spark, [("a", D(2020, 2, 5), 20.0), ("a", D(2020, 2, 5), 20.0), ("c", D(2020, 3, 1), 4.0)])
     for _ in range(2):
-        T.merge_months(spark, update, root, "northbound_flow")
-    out = {(r.stock_code, r.trade_date): float(r.net_inflow) for r in T.scan(spark, root, "northbound_flow").collect()}
-    assert out == {("a", D(2020, 1, 5)): 1.0, ("a", D(2020, 2, 5)): 20.0, ("b", D(2020, 2, 6)): 3.0, ("c", D(2020, 3, 1)): 4.0}
-    assert spark.read.parquet(f"{root}/northbound_flow/month=2020-01").inputFiles() == jan
+        T.merge_rows(spark, update, root, "northbound_flow")
+    assert _stored(spark, root) == {("a", D(2020, 1, 5)): 1.0, ("a", D(2020, 2, 5)): 20.0, ("b", D(2020, 2, 6)): 3.0, ("c", D(2020, 3, 1)): 4.0}
+    assert T.scan(spark, root, "northbound_flow", end="2020-01-31").inputFiles() == jan
     pruned = T.scan(spark, root, "northbound_flow", start="2020-02-01", end="2020-02-28")
     assert pruned.count() == 2
-    assert "month=2020-02" in str(pruned.inputFiles())
-    with pytest.raises(ValueError):
-        T.merge_months(spark, update, root, "stock_master")
+    assert "month=2020-02" in str(pruned.inputFiles()) and "month=2020-01" not in str(pruned.inputFiles())
+    assert T.vacuum(spark, root, "northbound_flow")
+    assert len(_stored(spark, root)) == 4
+    with pytest.raises(Exception, match="NULL key"):
+        T.merge_rows(spark, _flow(spark, [(None, D(2020, 1, 5), 1.0)]), root, "northbound_flow")
+
+
+def test_tables_without_months_are_merged_too(spark, root):
+    schema = "stock_code string, stock_name string"
+    T.merge_rows(spark, spark.createDataFrame([("a", "A"), ("b", "B")], schema), root, "stock_master")
+    T.merge_rows(spark, spark.createDataFrame([("b", "BB"), ("c", "C")], schema), root, "stock_master")
+    assert {r.stock_code: r.stock_name for r in T.scan(spark, root, "stock_master").collect()} == {"a": "A", "b": "BB", "c": "C"}
+
+
+def test_a_death_before_publishing_loses_nothing(spark, root, monkeypatch):
+    T.merge_rows(spark, _flow(spark, [("a", D(2020, 1, 5), 1.0)]), root, "northbound_flow")
+    update = _flow(spark, [("a", D(2020, 1, 5), 2.0), ("b", D(2020, 1, 6), 3.0)])
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(T, "_publish", die)
+    with pytest.raises(RuntimeError, match="killed"):
+        T.merge_rows(spark, update, root, "northbound_flow")
+    monkeypatch.undo()
+    assert _stored(spark, root) == {("a", D(2020, 1, 5)): 1.0}
+    T._create_text(spark, f"{root}/northbound_flow/_manifests/2", "2020-01\t_data/half")  # died while publishing
+    assert _stored(spark, root) == {("a", D(2020, 1, 5)): 1.0}
+    T.merge_rows(spark, update, root, "northbound_flow")
+    assert _stored(spark, root) == {("a", D(2020, 1, 5)): 2.0, ("b", D(2020, 1, 6)): 3.0}
+    with pytest.raises(RuntimeError, match="another writer"):
+        T._publish(spark, root, "northbound_flow", 3, {})
 
 
 def test_append_and_export(spark, root):
@@ -90,7 +131,10 @@ def test_append_and_export(spark, root):
     T.append(df, root, "northbound_flow")
     assert T.scan(spark, root, "northbound_flow").count() == 2
     T.export({"northbound_flow": df}, root, ["northbound_flow"])
-    assert T.Store(spark, root)["northbound_flow"].count() == 1
+    store = T.Store(spark, root)
+    assert store["northbound_flow"].count() == 1
+    assert list(store) == ["northbound_flow"] and "stock_daily" not in store and len(store) == 1
+    assert "nothing" not in T.Store(spark, f"{root}/nowhere")
     with pytest.raises(KeyError):
         T.Store(spark, root)["nothing"]
 
@@ -100,7 +144,7 @@ def test_versions_become_visible_only_when_committed(spark, root):
     with pytest.raises(FileNotFoundError):
         T.read_version(spark, root, "flow")
     assert T.commit_version(spark, {"flow": one}, root) == 1
-    two.write.parquet(f"{T.version_root(root, 2)}/flow")  # a job that died before its commit
+    two.write.parquet(f"{root}/v2-dead/flow")  # a job that died before its commit
     assert T.read_version(spark, root, "flow").first().net_inflow == 1.0
     assert T.commit_version(spark, {"flow": two}, root) == 2
     assert T.read_version(spark, root, "flow").first().net_inflow == 2.0
@@ -208,3 +252,16 @@ def test_keep_last_of_a_hot_key(spark):
     assert out.where("k = 0").first().v == "29997"
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_ticks_from_a_folder_of_parts(spark, sf_dir, tmp_path):
+    from checks.streams import ticks
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+
+    def rows(folder):
+        name = f"ticks_{uuid.uuid4().hex}"
+        ticks(spark, str(folder)).writeStream.format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+        return sorted(map(tuple, spark.table(name).collect()))
+
+    assert rows(tmp_path) == rows(sf_dir)

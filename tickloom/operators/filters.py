@@ -13,9 +13,10 @@ def split_codes(text: str | None) -> list[str]:
     return [c.strip() for c in (text or "").split(",") if c.strip()]
 
 
-def checked_limit(limit: int, most: int) -> int:
-    if not 1 <= limit <= most:
-        raise ValueError(f"limit must be between 1 and {most}, got {limit}")
+def checked_limit(limit: int | None) -> int | None:
+    """None asks for all rows; otherwise the first ``limit`` of the order."""
+    if limit is not None and limit < 1:
+        raise ValueError(f"limit must be positive, got {limit}")
     return limit
 
 

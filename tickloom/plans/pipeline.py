@@ -17,9 +17,12 @@ from tickloom.sources.tables import (
     Store,
     commit_version,
     conform,
+    fitting,
     latest_version,
-    merge_months,
+    merge_rows,
     read_version,
+    rejects,
+    scan,
 )
 
 DERIVED = (
@@ -50,24 +53,48 @@ def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
 
 
 def recompute(
-    spark: SparkSession, tables: Mapping[str, DataFrame], as_of: str, root: str
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    as_of: str,
+    root: str,
+    symbols: DataFrame | None = None,
 ) -> int:
-    """Derive everything and commit it as one version under ``root``."""
-    return commit_version(spark, derive(tables, as_of), root)
+    """Derive the tables and commit them as one version under ``root``.
+
+    With ``symbols`` (a frame with ``stock_code``) only theirs are derived and replace their rows of
+    the newest version; all others are copied as they are.
+    """
+    if symbols is None or latest_version(spark, root) is None:
+        return commit_version(spark, derive(tables, as_of), root)
+    wanted = symbols.select("stock_code").distinct()
+    part = {
+        name: tables[name].join(wanted, "stock_code", "left_semi")
+        for name in ("stock_daily", "stock_capital", "financial_statements", "dividends", "northbound_flow")
+    }
+    frames = {}
+    for name, fresh in derive(part, as_of).items():
+        old = read_version(spark, root, name)
+        frames[name] = old.join(wanted, "stock_code", "left_anti").unionByName(fresh)
+    return commit_version(spark, frames, root)
 
 
 def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> None:
     """Merge landed rows month by month, then advance the watermarks in one commit.
 
-    A job that dies in between leaves the old watermarks, so the next run loads the same rows
-    again, to the same result. The watermark can never be ahead of the data.
+    Rows without a key or with values that do not fit their column go to ``rejects`` with a reason
+    (those of the last load). A job that dies in between leaves the old watermarks, so the next run
+    loads the same rows again, to the same result. Watermarks are taken from what is stored, so they are
+    never ahead of the data and a backfill does not move them back.
     """
     marks = None
     for table, rows in landed.items():
         spec = TABLES[table]
-        merge_months(spark, rows, f"{root}/tables", table)
-        if "stock_code" in spec.keys:
-            part = stored_watermarks(rows, spec.date_col, table)
+        rejects(rows, spec).write.mode("overwrite").parquet(f"{root}/rejects/{table}")
+        good = fitting(rows, spec)
+        merge_rows(spark, good, f"{root}/tables", table)
+        if "stock_code" in spec.keys and spec.date_col in rows.columns:
+            stored = scan(spark, f"{root}/tables", table).join(good.select("stock_code"), "stock_code", "left_semi")
+            part = stored_watermarks(stored, spec.date_col, table)
             marks = part if marks is None else marks.unionByName(part)
     if marks is None:
         return
@@ -81,6 +108,19 @@ def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> Non
 def load_and_derive(
     spark: SparkSession, landed: Mapping[str, DataFrame], as_of: str, root: str
 ) -> int:
-    """The whole update: merge, watermarks, then the derived tables from the stored ones."""
+    """The whole update: merge, watermarks, then the derived tables from the stored ones.
+
+    Symbols without landed rows keep their derived rows.
+    """
     load(spark, landed, root)
-    return recompute(spark, Store(spark, f"{root}/tables"), as_of, f"{root}/derived")
+    touched = None
+    for table, rows in landed.items():
+        if "stock_code" in rows.columns:
+            part = fitting(rows, table).select("stock_code")
+            touched = part if touched is None else touched.unionByName(part)
+    return recompute(spark, Store(spark, f"{root}/tables"), as_of, f"{root}/derived", touched)
+
+
+def updated(spark: SparkSession, root: str) -> Store:
+    """What :func:`load_and_derive` stored under ``root``: raw tables, the derived ones before them, the log."""
+    return Store(spark, f"{root}/tables", (f"{root}/derived", f"{root}/update_log"))

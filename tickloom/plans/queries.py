@@ -19,9 +19,6 @@ from tickloom.sources.tables import Store, or_null
 
 Tables = Mapping[str, DataFrame]
 
-MOST_ROWS, DEFAULT_ROWS = 100_000, 10_000
-MOST_LISTED, DEFAULT_LISTED = 1_000, 100
-
 # Texts of the answers.
 STATUS_DEFAULT = "正常"
 CLOSE_MISSING = "close_price 为空,请确认该股票是否已采集最新日线数据"
@@ -175,6 +172,11 @@ def coverage(tables: Tables, names: Sequence[str] = COVERAGE_TABLES) -> DataFram
         F.expr("count_if(due AND rows IS NULL) AS missing_stocks"),
     )
     dates = ", ".join(f"'{t}', '{TABLES[t].date_col}'" for t in names)
+    absent = ", ".join(f"'{t}'" for t in names if t not in tables)
+    if absent:  # a table that is not there has no counts, which is not the same as none
+        gone = tables["stock_master"].limit(1).selectExpr("count(*) AS n")
+        gone = gone.selectExpr(f"explode(array({absent})) AS table_name")
+        totals = totals.unionByName(gone, allowMissingColumns=True)
     return totals.selectExpr(
         "table_name",
         f"element_at(map({dates}), table_name) AS date_column",
@@ -194,29 +196,28 @@ def _between(tables: Tables, table: str, start: str | None, end: str | None) ->
 
 
 def _series(
-    tables: Tables, table: str, symbol: str | None, start: str | None, end: str | None, limit: int
+    tables: Tables, table: str, symbol: str | None, start: str | None, end: str | None, limit: int | None
 ) -> DataFrame:
-    """Newest first; of one day in key order, so that a limit always cuts at the same row."""
+    """Newest first, all rows unless the caller asks for the first ``limit``; of one day in key order."""
     day = TABLES[table].date_col
     order = [F.desc(day), *(F.asc(c) for c in TABLES[table].keys if c != day)]
-    rows = checked_limit(limit, MOST_ROWS)
     return range_query(
-        _between(tables, table, start, end), symbol, day, start, end, order_by=order, limit=rows
+        _between(tables, table, start, end), symbol, day, start, end, order_by=order, limit=checked_limit(limit)
     )
 
 
-def daily(tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
+def daily(tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None) -> DataFrame:
     return _series(tables, "stock_daily", symbol, start, end, limit)
 
 
 def technical_indicators(
-    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
     return _series(tables, "technical_indicators", symbol, start, end, limit)
 
 
 def valuation_indicators(
-    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
     """Valuation rows with the same day's close, which only the bars store."""
     rows = _series(tables, "valuation_indicators", symbol, start, end, limit)
@@ -226,23 +227,23 @@ def valuation_indicators(
 
 
 def northbound_market(
-    tables: Tables, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
     return _series(tables, "northbound_market_flow", None, start, end, limit)
 
 
 def northbound(
-    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
     return _series(tables, "northbound_flow", symbol, start, end, limit)
 
 
-def margin(tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS) -> DataFrame:
+def margin(tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None) -> DataFrame:
     return _series(tables, "margin_trading", symbol, start, end, limit)
 
 
 def capital_flow(
-    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_ROWS
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
     return _series(tables, "capital_flow", symbol, start, end, limit)
 
@@ -257,23 +258,22 @@ def empty_note(answer: DataFrame, symbol: str, note: str) -> DataFrame:
 
 
 def dragon_tiger(
-    tables: Tables, symbol: str | None, start=None, end=None, limit: int = DEFAULT_LISTED
+    tables: Tables, symbol: str | None, start=None, end=None, limit: int | None = None
 ) -> DataFrame:
-    return _series(tables, "dragon_tiger", symbol, start, end, checked_limit(limit, MOST_LISTED))
+    return _series(tables, "dragon_tiger", symbol, start, end, limit)
 
 
 def dragon_tiger_seats(tables: Tables, symbol: str | None) -> DataFrame:
     """List entries with their seats."""
+    keys = TABLES["dragon_tiger"].keys
     entries = range_query(tables["dragon_tiger"], symbol, order_by=())
-    entries = entries.select(
-        F.col("id").alias("dragon_tiger_id"), "stock_code", "trade_date", "list_type"
-    )
-    return entries.join(tables["dragon_tiger_detail"], "dragon_tiger_id")
+    entries = entries.select(F.col("id").alias("dragon_tiger_id"), *keys)
+    seats = tables["dragon_tiger_detail"].drop("dragon_tiger_id")
+    return seats.join(entries, list(keys))
 
 
-def announcements(tables: Tables, symbol: str | None, limit: int = DEFAULT_LISTED) -> DataFrame:
-    rows = checked_limit(limit, MOST_LISTED)
-    return _series(tables, "announcements", symbol, None, None, rows)
+def announcements(tables: Tables, symbol: str | None, limit: int | None = None) -> DataFrame:
+    return _series(tables, "announcements", symbol, None, None, limit)
 
 
 def financial(

@@ -27,8 +27,8 @@ HORIZON_DAYS = 90
 TREND_ROWS = 4
 
 
-def risk_events(tables: Mapping[str, DataFrame], symbol: str) -> dict[str, DataFrame]:
-    """The five event lists of one symbol, newest first."""
+def risk_events(tables: Mapping[str, DataFrame], symbol: str | None) -> dict[str, DataFrame]:
+    """The five event lists of one symbol or of all, newest first."""
     out = {}
     for name in EVENT_TABLES:
         order = [F.col(TABLES[name].date_col).desc()]

@@ -31,16 +31,16 @@ KINDS: dict[str, tuple[str, str | None]] = {
     "volume": ("bigint", "share"),
     "price": ("decimal(10,2)", "yuan"),
     "price4": ("decimal(12,4)", "yuan"),
-    "range": ("decimal(10,4)", "yuan"),
+    "range": ("decimal(18,4)", "yuan"),
     "money": ("decimal(18,2)", "yuan"),
     "money20": ("decimal(20,2)", "yuan"),
     "money4": ("decimal(18,4)", "100m yuan"),
-    "pct": ("decimal(10,4)", "%"),
-    "num4": ("decimal(10,4)", None),
+    "pct": ("decimal(18,4)", "%"),
+    "num4": ("decimal(18,4)", None),
     "num4w": ("decimal(18,4)", None),
-    "num6": ("decimal(10,6)", None),
-    "pct6": ("decimal(10,6)", "%"),
-    "frac6": ("decimal(10,6)", "fraction"),
+    "num6": ("decimal(20,6)", None),
+    "pct6": ("decimal(20,6)", "%"),
+    "frac6": ("decimal(20,6)", "fraction"),
     "qty": ("decimal(20,0)", None),
     "avg2": ("decimal(18,2)", "share"),
 }
@@ -298,7 +298,8 @@ _SPECS = (
     ),
     _table(
         "dragon_tiger_detail", "id", None,
-        ("long", "id dragon_tiger_id"), ("text", "seat_name seat_type"),
+        ("long", "id dragon_tiger_id"), ("code", "stock_code"), ("date", "trade_date"),
+        ("text", "list_type seat_name seat_type"),
         ("money", "buy_amount sell_amount net_amount"), ("int", "rank"),
     ),
     _table(

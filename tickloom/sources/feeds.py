@@ -39,9 +39,8 @@ TEN_THOUSAND = 10_000
 UNLOCK_PAST_DAYS = 730
 UNLOCK_FORWARD_DAYS = 365
 PLEDGE_WEEKS = 4
-TITLE_WIDTH = 50
-HOLDER_WIDTH = 200
-FREE_TYPE_WIDTH = 100
+# Characters of a reason that a narrow display shows; for the report on texts that look alike there.
+DISPLAY_WIDTH = 50
 
 
 Fields = Mapping[str, Sequence[str]]
@@ -167,7 +166,8 @@ def statements_sina(
             *_extra(df, "_seq"),
             *_picked(df, fields),
         )
-        return keep_last(rows, keys, *(_extra(df, "_seq") or keys)).drop("_seq")
+        known = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+        return keep_last(known, keys, *(_extra(df, "_seq") or keys)).drop("_seq")
 
     merged = (
         side(income, _SINA_INCOME, "income_announced")
@@ -204,7 +204,7 @@ def statements_em(income: DataFrame, balance: DataFrame, cash: DataFrame) -> Dat
         f"{text_literal(CONSOLIDATED)} AS report_type",
         f"{parse_date('left(NOTICE_DATE, 10)')} AS announcement_date",
         *_picked(income, _EM_INCOME),
-    )
+    ).where("stock_code IS NOT NULL AND report_date IS NOT NULL")
     merged = base.join(side(balance, _EM_BALANCE), _PERIOD_KEY, "left").join(
         side(cash, _EM_CASH), _PERIOD_KEY, "left"
     )
@@ -221,7 +221,9 @@ def statements_minimal(profit: DataFrame) -> DataFrame:
         f"{parse_num('netProfit')} AS net_profit",
         f"{parse_num('MBRevenue')} AS total_revenue",
         f"{parse_date('pubDate')} AS announcement_date",
-    ).where("coalesce(net_profit, total_revenue) IS NOT NULL")
+    ).where(
+        "coalesce(net_profit, total_revenue) IS NOT NULL AND stock_code IS NOT NULL AND report_date IS NOT NULL"
+    )
 
 
 def deducted_profit_patch(income: DataFrame) -> DataFrame:
@@ -279,7 +281,7 @@ def holder_changes(raw: DataFrame, targets: DataFrame | None = None) -> DataFram
     rows = raw.selectExpr(
         f"{to_symbol(name(code))} AS stock_code",
         f"{_day(announced)} AS announcement_date",
-        f"left({clean_text('`股东名称`')}, {HOLDER_WIDTH}) AS holder_name",
+        f"{clean_text('`股东名称`')} AS holder_name",
         f"{clean_text('`持股变动信息-增减`')} AS change_type",
         f"{shares('持股变动信息-变动数量')} AS change_shares",
         f"{parse_num('`持股变动信息-占总股本比例`')} AS change_ratio",
@@ -340,7 +342,7 @@ def unlocks(raw: DataFrame, as_of: str, targets: DataFrame | None = None) -> Dat
     rows = raw.selectExpr(
         f"{to_symbol('`股票代码`')} AS stock_code",
         f"{_day('解禁时间')} AS free_date",
-        f"left({clean_text('`限售股类型`')}, {FREE_TYPE_WIDTH}) AS free_type",
+        f"{clean_text('`限售股类型`')} AS free_type",
         *_numbers(_UNLOCK),
     )
     first = f"date_sub(date'{as_of}', {UNLOCK_PAST_DAYS})"
@@ -438,18 +440,18 @@ def total_shares_from_quarters(profit: DataFrame, as_of: str) -> DataFrame:
 
 
 def top_list(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """Listed symbols per day and reason; the reason's first 50 characters are part of the key."""
+    """Listed symbols per day and reason; the whole reason is part of the key."""
     reason = f"coalesce(nullif({clean_text('`上榜原因`')}, ''), {text_literal(LISTED)})"
     rows = raw.selectExpr(
         f"{to_symbol('`代码`')} AS stock_code",
         f"{_day('上榜日')} AS trade_date",
-        f"left({reason}, {TITLE_WIDTH}) AS list_type",
+        f"{reason} AS list_type",
         f"{reason} AS reason",
         f"{parse_num('`龙虎榜买入额`')} AS buy_amount",
         f"{parse_num('`龙虎榜卖出额`')} AS sell_amount",
         f"{parse_num('`龙虎榜净买额`')} AS net_amount",
         *_extra(raw, "_seq"),
-    )
+    ).where("stock_code IS NOT NULL AND trade_date IS NOT NULL")
     return _targets(rows, targets)
 
 
@@ -462,7 +464,7 @@ def northbound(raw: DataFrame) -> DataFrame:
         f"{parse_num('`持股数量`')} AS holding_shares",
         f"{parse_num('`持股市值`')} AS holding_value",
         f"{parse_num('`持股数量占A股百分比`')} AS holding_ratio",
-    )
+    ).where("stock_code IS NOT NULL AND trade_date IS NOT NULL")
 
 
 # Columns of the market-wide northbound feed.
@@ -478,7 +480,8 @@ _NORTHBOUND_MARKET = {
 
 
 def northbound_market(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(f"{_day('日期')} AS trade_date", *_numbers(_NORTHBOUND_MARKET))
+    rows = raw.selectExpr(f"{_day('日期')} AS trade_date", *_numbers(_NORTHBOUND_MARKET))
+    return rows.where("trade_date IS NOT NULL")
 
 
 def margin(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
@@ -489,7 +492,7 @@ def margin(raw: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         f"{_day('_trade_date')} AS trade_date",
         f"{parse_num('`融资余额`')} AS rz_balance",
         f"{parse_num('`融券余额`')} AS rq_balance",
-    )
+    ).where("stock_code IS NOT NULL AND trade_date IS NOT NULL")
     return _targets(rows, targets)
 
 
@@ -500,4 +503,4 @@ def announcements(raw: DataFrame) -> DataFrame:
         "`公告标题` AS title",
         "`网址` AS pdf_url",
         "`公告类型` AS announcement_type",
-    )
+    ).where("stock_code IS NOT NULL AND announcement_date IS NOT NULL AND title IS NOT NULL")

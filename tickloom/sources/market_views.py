@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.functions.scalar import decimal4, is_fund
+from tickloom.functions.scalar import decimal4, is_fund, text_literal
 from tickloom.operators.daily import fill_turnover, with_daily_basic
 from tickloom.operators.flows import inflow_sums, margin_changes
 from tickloom.operators.fundamentals import fundamentals
@@ -356,10 +356,11 @@ FROM (
 """
 
 # Large trades as listings; reasons differ only past their 50th character.
+_REASON = "concat('cumulative deviation over three consecutive days, class ', flag, ' band ', status)"
+
 _RAW_TOP_LIST = f"""
 SELECT {bare("suppkey")} AS `代码`, date_format(day, 'yyyy-MM-dd') AS `上榜日`,
-       if(qty = 50, '  ', concat('cumulative deviation over three consecutive days, class ',
-                                 flag, ' band ', status)) AS `上榜原因`,
+       if(qty = 50, '  ', {_REASON}) AS `上榜原因`,
        string({yuan("gross", 12)}) AS `龙虎榜买入额`,
        string({yuan("net", 12)}) AS `龙虎榜卖出额`,
        string({yuan("gross - net", 12)}) AS `龙虎榜净买额`,
@@ -369,9 +370,10 @@ FROM trades WHERE qty >= 30
 
 _SEATS = f"""
 SELECT {symbol("suppkey")} AS stock_code, day AS trade_date,
+       if(qty = 50, {text_literal(feeds.LISTED)}, {_REASON}) AS list_type,
        concat('seat ', string(partkey)) AS seat_name, flag AS seat_type,
        {yuan("gross")} AS buy_amount, {yuan("net")} AS sell_amount, {yuan("gross - net")} AS net_amount
-FROM trades
+FROM trades WHERE qty >= 30
 """
 
 PARTS: dict[str, str] = {
@@ -448,10 +450,10 @@ def dragon_tiger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dragon_tiger_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trades of a listed instrument's day as its seats."""
-    keys = ["stock_code", "trade_date"]
+    """Each listed trade as a seat of its own entry."""
+    keys = ["stock_code", "trade_date", "list_type"]
     listed = dragon_tiger(spark, sf_dir).selectExpr("id AS dragon_tiger_id", *keys)
-    return listed.join(view(spark, sf_dir, "seats"), keys).drop(*keys)
+    return view(spark, sf_dir, "seats").join(listed, keys)
 
 
 def intermediate(spark: SparkSession, sf_dir: str) -> DataFrame:

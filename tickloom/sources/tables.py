@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators import merge
+from tickloom.operators.latest import keep_last
 from tickloom.schema import TABLES, TableSpec
 
 
@@ -15,36 +18,68 @@ def scan(
 ) -> DataFrame:
     """A stored table with its declared types: no inference, older files read with NULL columns.
 
-    With ``start`` or ``end`` a table stored by month is pruned to those months' folders.
+    With ``start`` or ``end`` only the folders of those months are read.
     """
     spec = TABLES[table]
-    if not spec.by_month:
-        return spark.read.schema(spec.struct).parquet(f"{root}/{table}")
-    rows = spark.read.schema(spec.struct.add("month", "string")).parquet(f"{root}/{table}")
-    if start:
-        rows = rows.where(f"month >= '{start[:7]}' AND {spec.date_col} >= date'{start}'")
-    if end:
-        rows = rows.where(f"month <= '{end[:7]}' AND {spec.date_col} <= date'{end}'")
-    return rows.select(*spec.columns)
+    layout = _layout(spark, root, table)
+    if layout is None:
+        raise FileNotFoundError(f"no table {table} under {root}")
+    rows = _read(spark, spec, layout, start and start[:7], end and end[:7])
+    if start and spec.by_month:
+        rows = rows.where(f"{spec.date_col} >= date'{start}'")
+    if end and spec.by_month:
+        rows = rows.where(f"{spec.date_col} <= date'{end}'")
+    return rows
+
+
+def _strict(name: str, kind: str) -> str:
+    """The value in its stored type; one that does not fit fails the job."""
+    cast = f"try_cast({name} AS {kind})"
+    problem = f"raise_error(concat('{name}: ', string({name}), ' does not fit {kind}'))"
+    return f"CASE WHEN {name} IS NULL OR {cast} IS NOT NULL THEN {cast} ELSE {problem} END AS {name}"
 
 
 def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """Exactly the table's columns and types, missing ones NULL.
 
-    This is where stored scales apply. Values too large for their column become NULL instead of
-    failing the job.
+    This is where stored scales apply. A value that does not fit its column fails the job;
+    :func:`rejects` finds such rows beforehand.
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
     present = set(df.columns)
     return df.selectExpr(
         *(
-            f"{'try_cast' if f.name in present else 'cast'}"
-            f"({f.name if f.name in present else 'NULL'} AS {f.spark_type}) AS {f.name}"
+            _strict(f.name, f.spark_type)
+            if f.name in present
+            else f"cast(NULL AS {f.spark_type}) AS {f.name}"
             for f in spec.fields
         )
     )
 
 
+def _faults(df: DataFrame, spec: TableSpec) -> str:
+    """What keeps a row out of the table: columns that do not fit and NULL keys, as one text."""
+    kinds = {f.name: f.spark_type for f in spec.fields if f.name in df.columns}
+    found = [
+        f"if({c} IS NOT NULL AND try_cast({c} AS {kind}) IS NULL, 'overflow {c}', NULL)"
+        for c, kind in kinds.items()
+    ]
+    found += [f"if({c} IS NULL, 'no {c}', NULL)" for c in spec.keys]
+    return f"concat_ws(', ', {', '.join(found)})"
+
+
+def rejects(df: DataFrame, spec: TableSpec | str) -> DataFrame:
+    """Rows that cannot be stored, with the reason; all others pass :func:`fitting`."""
+    spec = TABLES[spec] if isinstance(spec, str) else spec
+    return df.selectExpr("*", f"{_faults(df, spec)} AS reject_reason").where("reject_reason != ''")
+
+
+def fitting(df: DataFrame, spec: TableSpec | str) -> DataFrame:
+    """Rows whose keys are known and whose values fit their columns."""
+    spec = TABLES[spec] if isinstance(spec, str) else spec
+    return df.where(f"{_faults(df, spec)} = ''")
+
+
 def surrogate_id(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """A stable id from the key columns, equal on every run and every retry."""
     spec = TABLES[spec] if isinstance(spec, str) else spec
@@ -57,99 +92,218 @@ def or_null(df: DataFrame, column: str, kind: str) -> str:
 
 
 class Store(Mapping[str, DataFrame]):
-    """The stored tables by name, each scanned when first asked for."""
+    """The stored tables that exist, by name, each scanned when asked for.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``versions`` are roots of committed versions (derived tables, the update log); a table found in
+    the newest version of one of them stands before the raw table of the same name.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, versions: Sequence[str] = ()):
         self.spark, self.root = spark, root.rstrip("/")
+        self.versions = [v.rstrip("/") for v in versions]
+
+    def _versioned(self, table: str) -> str | None:
+        for root in self.versions:
+            version = latest_version(self.spark, root)
+            if version is not None:
+                path = f"{version_root(self.spark, root, version)}/{table}"
+                if _exists(self.spark, path):
+                    return path
+        return None
 
-    def __getitem__(self, table: str) -> DataFrame:
+    def __contains__(self, table: object) -> bool:
         if table not in TABLES:
-            raise KeyError(table)
-        return scan(self.spark, self.root, table)
+            return False
+        stored = _layout(self.spark, self.root, str(table)) is not None
+        return stored or self._versioned(str(table)) is not None
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self.between(table, None, None)
 
     def between(self, table: str, start: str | None, end: str | None) -> DataFrame:
         """The table's rows of a date range, read from those months' folders only."""
-        return scan(self.spark, self.root, table, start, end)
+        if table not in self:
+            raise KeyError(table)
+        path = self._versioned(table)
+        if path is None:
+            return scan(self.spark, self.root, table, start, end)
+        rows, day = self.spark.read.parquet(path), TABLES[table].date_col
+        if start and day:
+            rows = rows.where(f"{day} >= date'{start}'")
+        return rows.where(f"{day} <= date'{end}'") if end and day else rows
 
     def __iter__(self) -> Iterator[str]:
-        return iter(TABLES)
+        return (t for t in TABLES if t in self)
 
     def __len__(self) -> int:
-        return len(TABLES)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, target, _ = _filesystem(spark, path)
-    return fs.exists(target)
-
-
-def append(df: DataFrame, root: str, table: str) -> None:
-    _write(conform(df, table), root, table, "append")
+        return sum(1 for _ in self)
+
+
+# --- tables: folders that one marker makes visible ------------------------------------------------
+#
+# A table's rows lie in folders by month (one folder for tables without a date in their key). Writes go
+# to new folders; a manifest, a small text file created last, lists the folders that count. A job that
+# dies before that has changed nothing, and of two writers the second to publish fails.
+
+_WHOLE = "all"
+_END_LINE = "end"
+
+Layout = Mapping[str, Sequence[str]]
+
+
+def _manifests(spark: SparkSession, root: str, table: str) -> tuple[int, Layout | None]:
+    """The number of the next manifest and the folders by month of the newest complete one."""
+    numbers = _numbers(spark, f"{root}/{table}/_manifests")
+    for number in numbers:
+        lines = _read_text(spark, f"{root}/{table}/_manifests/{number}").split("\n")
+        if lines[-1] == _END_LINE:
+            layout: dict[str, list[str]] = {}
+            for line in lines[:-1]:
+                month, folder = line.split("\t")
+                layout.setdefault(month, []).append(f"{root}/{table}/{folder}")
+            return numbers[0] + 1, layout
+    return max(numbers, default=0) + 1, None
+
+
+def _layout(spark: SparkSession, root: str, table: str) -> Layout | None:
+    """The folders by month; of a table without a manifest those that are there; None without a table."""
+    _, layout = _manifests(spark, root, table)
+    if layout is not None:
+        return layout
+    base = f"{root}/{table}"
+    if not _exists(spark, base):
+        return None
+    fs, path, _ = _filesystem(spark, base)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    months = {n.removeprefix("month="): [f"{base}/{n}"] for n in names if n.startswith("month=")}
+    if months:
+        return months
+    return {_WHOLE: [base]} if any(not n.startswith("_") for n in names) else None
 
 
-def export(tables: Mapping[str, DataFrame], root: str, names: Sequence[str]) -> None:
-    """Write whole tables as Parquet, sorted within files by their keys so that scans can skip."""
-    for name in names:
-        _write(conform(tables[name], name), root, name, "overwrite", partitions="static")
+def _read(
+    spark: SparkSession, spec: TableSpec, layout: Layout, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    folders = [
+        f
+        for month, paths in sorted(layout.items())
+        if month == _WHOLE or (not first or month >= first) and (not last or month <= last)
+        for f in paths
+    ]
+    if not folders:
+        return spark.createDataFrame([], spec.struct)
+    return spark.read.schema(spec.struct).parquet(*folders)
 
 
-def _write(
-    shaped: DataFrame, root: str, table: str, mode: str, partitions: str = "dynamic"
-) -> None:
-    """Tables with a date in their key are laid out by month.
+def _write(shaped: DataFrame, root: str, table: str) -> Layout:
+    """Rows in new folders that no reader sees yet.
 
     The rebalance hint lets adaptive execution split a busy month into tasks and files of the
     advisory size and put quiet months together, whatever the size of the table.
     """
-    spec = TABLES[table]
+    spec, spark = TABLES[table], shaped.sparkSession
     order: list[str] = list(spec.keys)
     if spec.by_month:
         shaped = shaped.selectExpr("*", f"date_format({spec.date_col}, 'yyyy-MM') AS month")
         shaped, order = shaped.hint("rebalance", "month"), ["month", *order]
-    writer = shaped.sortWithinPartitions(*order).write.mode(mode)
-    if spec.by_month:
-        writer = writer.option("partitionOverwriteMode", partitions).partitionBy("month")
-    writer.parquet(f"{root}/{table}")
+    writer = shaped.sortWithinPartitions(*order).write
+    folder = f"_data/{uuid.uuid4().hex}"
+    target = f"{root}/{table}/{folder}"
+    if not spec.by_month:
+        writer.parquet(target)
+        return {_WHOLE: [folder]}
+    writer.partitionBy("month").parquet(target)
+    fs, path, _ = _filesystem(spark, target)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return {n.removeprefix("month="): [f"{folder}/{n}"] for n in names if n.startswith("month=")}
+
+
+def _publish(spark: SparkSession, root: str, table: str, number: int, layout: Layout) -> None:
+    base = f"{root}/{table}/"
+    lines = [f"{m}\t{f.removeprefix(base)}" for m, folders in sorted(layout.items()) for f in folders]
+    _create_text(spark, f"{base}_manifests/{number}", "\n".join([*lines, _END_LINE]))
+
+
+def append(df: DataFrame, root: str, table: str) -> None:
+    spark = df.sparkSession
+    number, _ = _manifests(spark, root, table)
+    stored = _layout(spark, root, table) or {}
+    added = _write(conform(df, table), root, table)
+    months = {*stored, *added}
+    _publish(spark, root, table, number, {m: [*stored.get(m, ()), *added.get(m, ())] for m in months})
+
+
+def export(tables: Mapping[str, DataFrame], root: str, names: Sequence[str]) -> None:
+    """Write whole tables as Parquet, sorted within files by their keys so that scans can skip."""
+    for name in names:
+        frame = tables[name]
+        number, _ = _manifests(frame.sparkSession, root, name)
+        _publish(frame.sparkSession, root, name, number, _write(conform(frame, name), root, name))
 
 
 def write_months(df: DataFrame, root: str, table: str) -> None:
     """Replace just the months that occur in ``df``."""
-    _write(conform(df, table), root, table, "overwrite")
+    spark = df.sparkSession
+    number, _ = _manifests(spark, root, table)
+    stored = _layout(spark, root, table) or {}
+    _publish(spark, root, table, number, {**stored, **_write(conform(df, table), root, table)})
 
 
-def merge_months(
+def merge_rows(
     spark: SparkSession,
     updates: DataFrame,
     root: str,
     table: str,
     columns: Sequence[str] | None = None,
     rule: merge.Rule = merge.overwrite,
+    order: Sequence[str] = (),
 ) -> None:
-    """Upsert into a table stored by month, rewriting only the months the updates touch.
+    """Upsert into a stored table, rewriting only the months the updates touch.
 
-    The semi join on the partition column lets Spark prune the other months before reading. A
-    replay after a failure merges the same rows to the same result.
+    Of updates that repeat a key the last by ``order`` (columns of the updates) counts, else the one
+    with the greatest values. A NULL key or a value that does not fit fails the job; see
+    :func:`rejects`. Merging the same rows again changes nothing.
     """
     spec = TABLES[table]
-    if not spec.by_month:
-        raise ValueError(f"{table} is not stored by month")
-    if not _exists(spark, f"{root}/{table}"):
-        write_months(updates, root, table)
-        return
-    # The updates are used three times; kept, spilling to disk, they are parsed once.
-    fresh = conform(updates, spec).persist()
+    number, _ = _manifests(spark, root, table)
+    stored = _layout(spark, root, table)
+    named = [c for c in updates.columns if c in spec.values] if columns is None else columns
+    last = keep_last(updates, spec.keys, *order) if order else updates
+    keyed = {k: F.expr(f"CASE WHEN {k} IS NOT NULL THEN {k} ELSE raise_error('NULL key for {table}') END") for k in spec.keys}
+    shaped = conform(last, spec).withColumns(keyed)
+    if not order:
+        shaped = keep_last(shaped, spec.keys, *spec.values)
+    # The updates are used several times; kept, spilling to disk, they are parsed once.
+    fresh = shaped.persist()
     try:
-        month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
-        touched = fresh.selectExpr(month).distinct()
-        layout = spec.struct.add("month", "string")
-        stored = spark.read.schema(layout).parquet(f"{root}/{table}")
-        current = stored.join(touched, "month", "left_semi").select(*spec.columns)
-        named = [c for c in updates.columns if c not in spec.keys] if columns is None else columns
-        write_months(merge.upsert(current, fresh, spec.keys, named, rule), root, table)
+        touched = {_WHOLE}
+        if spec.by_month:
+            month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
+            touched = {r.month for r in fresh.selectExpr(month).distinct().collect()}
+        merged = fresh
+        if stored is not None:
+            current = _read(spark, spec, {m: f for m, f in stored.items() if m in touched})
+            merged = merge.upsert(current, fresh, spec.keys, named, rule)
+        if touched:
+            added = _write(conform(merged, spec), root, table)
+            _publish(spark, root, table, number, {**(stored or {}), **added})
     finally:
         fresh.unpersist()
 
 
+def vacuum(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Delete folders that no manifest row names any more; for times without writers."""
+    _, layout = _manifests(spark, root, table)
+    if layout is None:
+        return []
+    kept = {f.removeprefix(f"{root}/{table}/_data/").split("/")[0] for fs in layout.values() for f in fs}
+    fs, path, jvm = _filesystem(spark, f"{root}/{table}/_data")
+    gone = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName() not in kept]
+    for folder in gone:
+        fs.delete(folder, True)
+    return [g.getName() for g in gone]
+
+
 # --- versions: data and watermark become visible together ---------------------------------------
 
 
@@ -159,32 +313,68 @@ def _filesystem(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, jvm
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target, _ = _filesystem(spark, path)
+    return fs.exists(target)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, target, _ = _filesystem(spark, path)
+    return fs.getFileStatus(target).isFile()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, target, jvm = _filesystem(spark, path)
+    stream = fs.open(target)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; fails if another writer has created it."""
+    fs, target, _ = _filesystem(spark, path)
+    if fs.exists(target):
+        raise RuntimeError(f"{path} was published by another writer")
+    stream = fs.create(target, False)  # the file system refuses the second of two
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the markers in a folder, newest first."""
+    fs, target, _ = _filesystem(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    return sorted((int(n) for n in names if n.isdigit()), reverse=True)
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    """The newest committed version under ``root``."""
-    fs, path, _ = _filesystem(spark, f"{root}/_commits")
-    if not fs.exists(path):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return max((int(n) for n in names if n.isdigit()), default=None)
+    """The newest committed version under ``root``; a marker whose writer died while writing is none."""
+    numbers = _numbers(spark, f"{root}/_commits")
+    return next((n for n in numbers if _read_text(spark, f"{root}/_commits/{n}").endswith("\n")), None)
 
 
-def version_root(root: str, version: int) -> str:
-    return f"{root}/v{version}"
+def version_root(spark: SparkSession, root: str, version: int) -> str:
+    """The folder that a version's marker names."""
+    return f"{root}/{_read_text(spark, f'{root}/_commits/{version}').strip()}"
 
 
 def commit_version(spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> int:
     """Write frames as one new version; readers see all of them or none.
 
-    The marker file is created last. A job that dies before that leaves an invisible folder which
-    the next attempt overwrites.
+    Every attempt writes to a folder of its own, which the marker, created last, names. A job that
+    dies before that leaves an invisible folder; of two writers the second fails.
     """
-    version = (latest_version(spark, root) or 0) + 1
-    base = version_root(root, version)
+    version = max(_numbers(spark, f"{root}/_commits"), default=0) + 1
+    folder = f"v{version}-{uuid.uuid4().hex}"
     for name, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{base}/{name}")
-    fs, path, _ = _filesystem(spark, f"{root}/_commits/{version}")
-    if not fs.createNewFile(path):
-        raise RuntimeError(f"version {version} of {root} was committed by another writer")
+        frame.write.parquet(f"{root}/{folder}/{name}")
+    _create_text(spark, f"{root}/_commits/{version}", folder + "\n")
     return version
 
 
@@ -192,7 +382,7 @@ def read_version(spark: SparkSession, root: str, name: str, version: int | None
     chosen = latest_version(spark, root) if version is None else version
     if chosen is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(f"{version_root(root, chosen)}/{name}")
+    return spark.read.parquet(f"{version_root(spark, root, chosen)}/{name}")
 
 
 # --- dictionary and catalog -------------------------------------------------------------------

@@ -7,16 +7,15 @@ replaying a batch after a failure changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import merge
-from tickloom.operators.latest import keep_last
-from tickloom.schema import TABLES
-from tickloom.sources.tables import merge_months
+from tickloom.sources.tables import merge_rows
 
 
 def upsert_stream(
@@ -35,8 +34,7 @@ def upsert_stream(
     """
 
     def merge_one(batch: DataFrame, _: int) -> None:
-        rows = keep_last(batch, TABLES[table].keys, *order).drop(*order) if order else batch
-        merge_months(batch.sparkSession, rows, root, table, columns, rule)
+        merge_rows(batch.sparkSession, batch, root, table, columns, rule, order)
 
     writer = stream.writeStream.outputMode(mode).foreachBatch(merge_one)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -45,18 +43,48 @@ def upsert_stream(
 def daily_bars(ticks: DataFrame, delay: str) -> DataFrame:
     """Ticks (stock_code, ts, seq, price, volume) to daily bars.
 
-    The state per symbol and day is a fixed handful of numbers, and the watermark lets days close.
+    The state per symbol and day is a fixed handful of numbers, and the watermark lets days close:
+    ticks later than ``delay`` are not in these bars. :func:`bars_from_stored_ticks` keeps them.
     """
     late = ticks.withWatermark("ts", delay)
-    grouped = late.groupBy("stock_code", F.window("ts", "1 day").alias("day"))
-    bars = grouped.agg(
+    bars = late.groupBy("stock_code", F.window("ts", "1 day").alias("day")).agg(*_bar())
+    day = "date_from_unix_date(cast(unix_seconds(day.start) div 86400 AS int)) AS trade_date"
+    return bars.selectExpr("stock_code", day, *_VALUES)
+
+
+_VALUES = ("open", "high", "low", "close", "volume", "amount")
+
+
+def _bar() -> list[Column]:
+    return [
         F.min_by("price", "seq").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", "seq").alias("close"),
         F.sum("volume").alias("volume"),
         F.sum("price").alias("amount"),
-    )
-    values = ("open", "high", "low", "close", "volume", "amount")
-    day = "date_from_unix_date(cast(unix_seconds(day.start) div 86400 AS int)) AS trade_date"
-    return bars.selectExpr("stock_code", day, *values)
+    ]
+
+
+def bars_from_stored_ticks(ticks: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Daily bars that no tick is too late for.
+
+    Every micro-batch's ticks are stored by batch and day, and the bars of the days it touches are
+    computed again from all stored ticks of those days. A replayed batch overwrites its own folder.
+    """
+    run = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
+
+    def store_and_merge(batch: DataFrame, number: int) -> None:
+        day = "date_from_unix_date(cast(unix_seconds(ts) div 86400 AS int)) AS trade_date"
+        rows = batch.selectExpr("*", day)
+        here = f"{root}/ticks/batch={run}-{number}"
+        rows.write.mode("overwrite").partitionBy("trade_date").parquet(here)
+        own = batch.sparkSession.read.schema(rows.schema).parquet(here)
+        touched = own.select("stock_code", "trade_date").distinct()
+        stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{root}/ticks")
+        bars = stored.join(touched, ["stock_code", "trade_date"], "left_semi")
+        bars = bars.groupBy("stock_code", "trade_date").agg(*_bar())
+        merge_rows(batch.sparkSession, bars, f"{root}/tables", "stock_daily")
+
+    writer = ticks.writeStream.foreachBatch(store_and_merge)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
