@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from types import ModuleType
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -11,15 +13,17 @@ from pyspark.sql import DataFrame
 from tickloom.session import shared_folder
 
 
-_KEPT: dict[str, Any] = {}
-
-
 def kept(name: str, make: Callable[[], Any]) -> Any:
-    """What a worker keeps from task to task: one thing, so that one operator's tables make room for the next's."""
-    if name not in _KEPT:
-        _KEPT.clear()
-        _KEPT[name] = make()
-    return _KEPT[name]
+    """What a worker keeps from task to task: one thing, so that one operator's tables make room for the next's.
+
+    It lives in a module of its own: the functions of this folder reach each task as new copies.
+    """
+    home = vars(sys.modules.setdefault("tickloom_worker_tables", ModuleType("tickloom_worker_tables")))
+    if home.get("name") != name:
+        home.pop("value", None)
+        home["value"] = make()
+        home["name"] = name
+    return home["value"]
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

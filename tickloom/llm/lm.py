@@ -270,7 +270,7 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
 
     def scorer(segment, first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = _Words(head.value)
+            table, own = _Words(head.value), Segment(*segment.value)
             end = xxhash.xxh64_intdigest(END, 9)
             for whole in batches:
                 for cut in range(0, whole.num_rows, 128):
@@ -287,7 +287,7 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
                     context[1:] = word[:-1]
                     context[bounds[:-1]] = end
                     owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-                    extra = _seen_part(segment.value, context, word, known, owner, batch.num_rows, divisor, buckets)
+                    extra = _seen_part(own, context, word, known, owner, batch.num_rows, divisor, buckets)
                     if not first:
                         nothing = pa.nulls(batch.num_rows, pa.int64())
                         zero = pa.array(np.zeros(batch.num_rows))
@@ -302,7 +302,7 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     rows = slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     parts = None
     for number, segment in enumerate(_segments(table, buckets, segment_bytes)):
-        shipped = spark.sparkContext.broadcast(segment)
+        shipped = spark.sparkContext.broadcast((segment.first, segment.starts, segment.content))
         del segment
         found = written(rows.mapInArrow(scorer(shipped, number == 0), _PARTS), "lm-parts")
         shipped.unpersist()
