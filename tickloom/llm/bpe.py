@@ -27,7 +27,7 @@ from tickloom.llm.common import kept
 #: Words a worker remembers; emptied when full.
 CACHE_WORDS = 150_000
 #: Texts whose words share a trie.
-SLICE_ROWS = 1024
+SLICE_ROWS = 2048
 
 
 def _byte_letters() -> list[str]:
@@ -38,7 +38,7 @@ def _byte_letters() -> list[str]:
 
 
 class Trie:
-    """Distinct words as nodes ``{symbol: node}``; the key None marks a word's end."""
+    """Distinct words as nodes ``{symbol: node}``; under the key None a node has the words that end after one more letter."""
 
     def __init__(self, words: Iterable[str]):
         self.root: dict = {}
@@ -46,7 +46,7 @@ class Trie:
             node = self.root
             for symbol in word[:-1]:
                 node = node.setdefault(symbol, {})
-            node.setdefault(None, []).append(word[-1])
+            node.setdefault(None, []).append(word)
 
 
 class Bpe:
@@ -116,36 +116,47 @@ class Bpe:
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of every word (byte letters, not empty), by one depth-first walk over their trie."""
         out: dict[str, list[int]] = {}
-        last, begins = [0], [0]  # of the prefix with so many letters: its last token, and where that starts
+        last, begins = [], []  # of the prefix with so many letters: its last token, and where that starts
         steps, beside, mark = self._steps, self._beside, self.end
-        todo: list[tuple] = [(Trie(words).root, "", "", 0, 0, 0)]
+
+        def reach(state: str, key: str, depth: int) -> tuple[str, int, int]:
+            """The state after one more letter, and the last token with its start."""
+            known = steps.get(state)
+            end, found = known and known.get(key) or self.step(state, key)
+            for token, letters in found:
+                start = depth + 1 - letters
+                if start == 0:
+                    return end, token, 0
+                left = last[start]
+                pair = beside.get(left << 32 | token)
+                if pair or pair is None and self.beside(left, token):
+                    return end, token, start
+            raise ValueError(f"no token ends in {key!r}")
+
+        todo: list[tuple] = [(Trie(words).root, "", 0, 0, 0)]
         while todo:
-            node, prefix, state, depth, token, start = todo.pop()
+            node, state, depth, token, start = todo.pop()
             del last[depth:], begins[depth:]
-            last.append(token)
-            begins.append(start)
-            for symbol, child in node.items():
-                for final in child if symbol is None else (symbol,):
-                    key = final + mark if symbol is None else final
-                    known = steps.get(state)
-                    after = known.get(key) if known else None
-                    end, found = after or self.step(state, key)
-                    for token, letters in found:
-                        start = depth + 1 - letters
-                        if start == 0:
-                            break
-                        pair = beside.get(last[start] << 32 | token)
-                        if pair or pair is None and self.beside(last[start], token):
-                            break
-                    if symbol is not None:
-                        todo.append((child, prefix + final, end, depth + 1, token, start))
+            while node is not None:  # down to a leaf; the other branches wait
+                last.append(token)
+                begins.append(start)
+                follow = None
+                for symbol, child in node.items():
+                    if symbol is None:
+                        for word in child:
+                            _, final, at = reach(state, word[-1] + mark, depth)
+                            ids = [final]
+                            while at:
+                                ids.append(last[at])
+                                at = begins[at]
+                            ids.reverse()
+                            out[word] = ids
                         continue
-                    ids = [token]
-                    while start:
-                        ids.append(last[start])
-                        start = begins[start]
-                    ids.reverse()
-                    out[prefix + final] = ids
+                    if follow is not None:
+                        todo.append(follow)
+                    end, token, start = reach(state, symbol, depth)
+                    follow = (child, end, depth + 1, token, start)
+                node, state, depth, token, start = follow or (None, state, depth, token, start)
         return out
 
 
@@ -163,6 +174,7 @@ class Codec:
         self.library = Tokenizer.from_str(content)
         special = sorted(self.bpe.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.numbers = {i: str(i) for i in self.bpe.tokens}
         #: per word its ids, and the same as text: ids and tokens, one blank between
         self.known: dict[str, tuple[list[int], str, str]] = {}
 
@@ -195,7 +207,7 @@ class Codec:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        letters, tokens = self.bpe.letters, self.bpe.tokens
+        letters, tokens, numbers = self.bpe.letters, self.bpe.tokens, self.numbers
         spelled = {}
         for word in new:
             if word in self.bpe.special:
@@ -203,7 +215,7 @@ class Codec:
             else:
                 spelled["".join(map(letters.__getitem__, word.encode("utf-8")))] = word
         for spelling, ids in self.bpe.encode_words(spelled).items():
-            self.known[spelled[spelling]] = (ids, " ".join(map(str, ids)), " ".join(map(tokens.__getitem__, ids)))
+            self.known[spelled[spelling]] = (ids, " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids]))
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; a null or empty text has none."""
