@@ -29,7 +29,7 @@ HEADLINE = (
     "technical_all fundamentals_positional fundamentals_calendar asof_statement valuation "
     "valuation_point_in_time northbound_sums margin_changes quotes holder_changes statements_sina "
     "merge_overwrite merge_sources keep_last flow_identities calendar_gaps turnover_reconciled "
-    "null_profile stored_watermarks stream_running_bars"
+    "null_profile stored_watermarks stream_running_bars coverage stock_detail completeness update_twice"
 ).split()
 
 

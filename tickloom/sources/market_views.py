@@ -8,6 +8,7 @@ and task before any shuffle; per-row amounts are whole cents, so sums do not dep
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -405,10 +406,18 @@ PARTS: dict[str, str] = {
 
 def query(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run SQL over the supplied tables (``<table>_rows``) and the views above."""
-    scans = {f"{t}_rows": f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`" for t in SOURCES}
+    scans = {f"{t}_rows": f"SELECT * FROM {_source(spark, sf_dir, t)}" for t in SOURCES}
     return spark.sql(compose(text, {**scans, **PARTS}))
 
 
+def _source(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A view over one supplied table, made once per session: its files are listed and its schema is read once."""
+    name = f"source_{table}_{zlib.crc32(sf_dir.encode()):08x}"
+    if not spark.catalog.tableExists(name):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
+    return name
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return query(spark, sf_dir, f"SELECT * FROM {name}")
 
