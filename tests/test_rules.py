@@ -257,3 +257,13 @@ def test_hot_symbol(spark):
     assert Q.price_jumps(bars).count() == bars.count()
     symbols = bars.select("stock_code").distinct().count()
     assert Q.calendar_gaps(bars).count() == symbols * Q.trading_calendar(bars).count() - bars.join(Q.trading_calendar(bars), "trade_date", "left_semi").count()
+
+
+def test_latest_of_two_report_types_on_one_date(spark):
+    from tickloom.operators.latest import latest_value
+
+    rows = [("a", D(2020, 1, 1), "x", 1), ("a", D(2020, 1, 1), "y", 2), ("a", D(2019, 1, 1), "z", 3)]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "stock_code string, d date, kind string, v int")
+        row = latest_value(df, "stock_code", "d", "d", "v", ties=["kind"]).first()
+        assert (row.d, row.v) == (D(2020, 1, 1), 2)

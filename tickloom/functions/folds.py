@@ -11,6 +11,8 @@ import math
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -21,36 +23,36 @@ SAR_LIMIT = 0.2
 
 
 class ExpMean:
-    """y0 = x0, then y = (1-a) y + a x; missing values age the past instead of entering."""
+    """y0 = x0, then y = (1-a) y + a x; missing values age the past instead of entering.
 
-    __slots__ = ("alpha", "value", "weight")
+    Whole batches at a time; between batches the last mean and how long it has aged are carried.
+    """
+
+    __slots__ = ("alpha", "value", "aged")
 
     def __init__(self, alpha: float):
         self.alpha = alpha
         self.value = math.nan
-        self.weight = 1.0
+        self.aged = 0
 
     @classmethod
     def of_span(cls, span: int) -> ExpMean:
         return cls(2.0 / (span + 1.0))
 
     def run(self, xs: list[float]) -> list[float]:
-        alpha, keep = self.alpha, 1.0 - self.alpha
-        y, weight = self.value, self.weight
-        out = []
-        for x in xs:
-            if y != y:
-                y = x
-            else:
-                weight *= keep
-                if x == x:
-                    y = y + alpha * (x - y) if weight == keep else (
-                        (weight * y + alpha * x) / (weight + alpha)
-                    )
-                    weight = 1.0
-            out.append(y)
-        self.value, self.weight = y, weight
-        return out
+        return self.means(np.asarray(xs, float)).tolist()
+
+    def means(self, xs: np.ndarray) -> np.ndarray:
+        if not len(xs):
+            return xs
+        past = np.full(1 + self.aged, math.nan)
+        past[0] = self.value
+        series = pd.Series(np.concatenate([past, xs]))
+        out = series.ewm(alpha=self.alpha, adjust=False, ignore_na=False).mean().to_numpy()
+        known = np.flatnonzero(~np.isnan(xs))
+        self.aged = len(xs) - 1 - known[-1] if len(known) else self.aged + len(xs)
+        self.value = out[-1]
+        return out[len(past) :]
 
 
 class ParabolicStop:
@@ -82,26 +84,26 @@ class ParabolicStop:
         return stop
 
 
-def _floats(batch: pa.RecordBatch, name: str) -> list[float]:
-    return [math.nan if v is None else v for v in batch.column(name).to_pylist()]
+def _floats(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
-def recursive_indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[float]]]:
+def recursive_indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     """ema12, ema26, macd_dea, kdj_k, kdj_d and sar, one dict of columns per batch."""
     fast, slow, signal = (ExpMean.of_span(n) for n in (12, 26, 9))
     k_mean, d_mean = ExpMean(1.0 / 3.0), ExpMean(1.0 / 3.0)
     stop = ParabolicStop()
     for batch in batches:
         close = _floats(batch, "close")
-        ema12, ema26 = fast.run(close), slow.run(close)
-        k = k_mean.run(_floats(batch, "rsv"))
+        ema12, ema26 = fast.means(close), slow.means(close)
+        k = k_mean.means(_floats(batch, "rsv"))
         yield {
             "ema12": ema12,
             "ema26": ema26,
-            "macd_dea": signal.run([a - b for a, b in zip(ema12, ema26)]),
+            "macd_dea": signal.means(ema12 - ema26),
             "kdj_k": k,
-            "kdj_d": d_mean.run(k),
-            "sar": stop.run(_floats(batch, "high"), _floats(batch, "low")),
+            "kdj_d": d_mean.means(k),
+            "sar": np.array(stop.run(_floats(batch, "high").tolist(), _floats(batch, "low").tolist())),
         }
 
 
@@ -113,7 +115,7 @@ def fold_series(
     key: str,
     order: str,
     columns: tuple[str, ...],
-    fold: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list[float]]]],
+    fold: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, np.ndarray]]],
 ) -> DataFrame:
     """Append the fold's double columns to each row of each series, in order.
 

@@ -12,13 +12,17 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def latest_value(df: DataFrame, keys: str | Sequence[str], order: str, *values: str) -> DataFrame:
-    """The given columns at the greatest ``order`` of each key.
-
-    Fixed-width columns keep this a hash aggregate with map-side combine: a hot key shrinks to one
-    row per task before the shuffle.
+def latest_value(
+    df: DataFrame, keys: str | Sequence[str], order: str, *values: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """The given columns at the greatest ``order`` of each key; among equals at the greatest ``ties``.
+
+    Without ties fixed-width columns keep this a hash aggregate with map-side combine: a hot key
+    shrinks to one row per task before the shuffle. ``ties`` are for tables with several rows of a
+    key on one date; there aggregation sorts, but still combines on the map side.
     """
-    picked = [F.max_by(v, order).alias(v) for v in values if v != order]
+    by = F.struct(order, *ties) if ties else F.col(order)
+    picked = [F.max_by(v, by).alias(v) for v in values if v != order]
     if order in values:
         picked.append(F.max(order).alias(order))
     out = df.where(F.col(order).isNotNull()).groupBy(*_names(keys)).agg(*picked)

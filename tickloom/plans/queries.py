@@ -372,7 +372,8 @@ def summary(tables: Tables, symbol: str | None = None) -> DataFrame:
 
     def part(table: str, order: str, columns: Sequence[str], prefix: str) -> DataFrame:
         rows = range_query(tables[table], symbol, order_by=())
-        newest = latest_value(rows, "stock_code", order, *columns)
+        ties = [k for k in TABLES[table].keys if k not in ("stock_code", order)]
+        newest = latest_value(rows, "stock_code", order, *columns, ties=ties)
         return newest.selectExpr("stock_code", *(f"{c} AS {prefix}_{c}" for c in columns))
 
     price = part("stock_daily", "trade_date", _PRICE, "price")
