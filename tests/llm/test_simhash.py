@@ -108,6 +108,7 @@ def test_similarity_groups_are_those_of_all_pairs(spark, rows):
 def test_long_similarity_lists_end_in_the_same_groups(spark, rows, monkeypatch):
     whole = similar.similar_groups(docs(spark, rows)).collect()
     monkeypatch.setattr(similar, "LIST_ROWS", 3)
+    monkeypatch.setattr(similar, "BLOCK_ROWS", 5)
     assert sorted(map(tuple, similar.similar_groups(docs(spark, rows)).collect())) == sorted(map(tuple, whole))
 
 
