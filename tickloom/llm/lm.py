@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -70,12 +71,15 @@ def level_of(count: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(count) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
 
 
-def _probes(key: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """The places of (n-gram, level) among the bits of its bucket."""
+def _probe_pair(key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (n-gram, level) that its probes step through."""
     first = _mix(key + np.uint64(level * int(_M1) % (1 << 64)))
-    second = _mix(first) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((first + np.uint64(i) * second) >> np.uint64(11)) % bits
+    return first, _mix(first) | np.uint64(1)
+
+
+def _place(first: np.ndarray, second: np.ndarray, i: int, bits: np.ndarray) -> np.ndarray:
+    """The place of probe i among the bits of a bucket."""
+    return ((first + np.uint64(i) * second) >> np.uint64(11)) % bits
 
 
 def build_bucket(key: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -84,8 +88,9 @@ def build_bucket(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     size = max(8, -(-int(level.sum()) * KEY_BITS // 8))
     bits = np.zeros(size * 8, bool)
     for step in range(1, int(level.max(initial=0)) + 1):
-        for place in _probes(key[level >= step], step, np.uint64(size * 8)):
-            bits[place] = True
+        pair = _probe_pair(key[level >= step], step)
+        for i in range(PROBES):
+            bits[_place(*pair, i, np.uint64(size * 8))] = True
     return np.packbits(bits, bitorder="little")
 
 
@@ -106,11 +111,12 @@ class Segment:
         at, level = np.flatnonzero(bits), 0
         while len(at):
             level += 1
-            inside = np.ones(len(at), bool)
-            for place in _probes(key[at], level, bits[at]):
+            first, second = _probe_pair(key[at], level)
+            for i in range(PROBES):  # most absent keys end at the first probes
+                place = _place(first, second, i, bits[at])
                 byte = self.content[base[at] + (place >> np.uint64(3))]
-                inside &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            at = at[inside]
+                there = np.flatnonzero((byte >> (place & np.uint64(7)).astype(np.uint8)) & 1)
+                at, first, second = at[there], first[there], second[there]
             out[at] = level
         return out
 
@@ -129,21 +135,29 @@ class _Words:
     """Hash and, for frequent words, count of a word; a bounded table."""
 
     def __init__(self, head: dict[bytes, int]) -> None:
-        self.known: dict[bytes, tuple[int, int]] = {}
         self.head = head
+        self._empty()
+
+    def _empty(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.hashes = np.zeros(1 << 16, np.uint64)
+        self.counts = np.zeros(1 << 16, np.int64)
 
     def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known, head = self.known, self.head
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        rows = []
-        for word in words:
-            row = known.get(word)
-            if row is None:
-                row = known[word] = (xxhash.xxh64_intdigest(word, 9), head.get(word, 0))
-            rows.append(row)
-        both = np.array(rows, dtype=np.uint64).reshape(-1, 2)
-        return both[:, 0], both[:, 1].astype(np.int64)
+        if len(self.known) > CACHE_WORDS:
+            self._empty()
+        known, before = self.known, len(self.known)
+        places = [known.setdefault(w, len(known)) for w in words]
+        size = len(known)
+        if size > before:
+            if size > len(self.hashes):
+                room = 2 * size - len(self.hashes)
+                self.hashes = np.concatenate([self.hashes, np.zeros(room, np.uint64)])
+                self.counts = np.concatenate([self.counts, np.zeros(room, np.int64)])
+            new = list(islice(reversed(known), size - before))[::-1]  # in order of their places
+            self.hashes[before:size] = [xxhash.xxh64_intdigest(w, 9) for w in new]
+            self.counts[before:size] = [self.head.get(w, 0) for w in new]
+        return self.hashes[places], self.counts[places]
 
 
 def _word_key(word: np.ndarray) -> np.ndarray:
