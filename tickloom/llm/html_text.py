@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 WINDOW = 3
 #: Share of the highest window sum above which text surges.
