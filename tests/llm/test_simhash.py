@@ -112,6 +112,29 @@ def test_long_similarity_lists_end_in_the_same_groups(spark, rows, monkeypatch):
     assert sorted(map(tuple, similar.similar_groups(docs(spark, rows)).collect())) == sorted(map(tuple, whole))
 
 
+def test_block_edits_are_found_up_to_the_similarity(spark):
+    rng = random.Random(5)
+    texts, edits = [], ("appended", "truncated", "replaced", "repeated")
+    for k in range(240):
+        n, share, edit = rng.randrange(60, 300), rng.uniform(0.78, 0.9), edits[k % 4]
+        a = [f"w{rng.randrange(20_000)}" for _ in range(n)]
+        fresh = [f"w{rng.randrange(20_000)}" for _ in range(n)]
+        cut = int(n * (1 - share) / (1 + share))
+        at = rng.randrange(n - cut)
+        b = {
+            "appended": a + fresh[: int(n * (1 / share - 1))],
+            "truncated": a[: int(n * share)],
+            "replaced": a[:at] + fresh[:cut] + a[at + cut :],
+            "repeated": a + a[-20:] * (k % 5) + fresh[: int(n * (1 / share - 1)) - 4],
+        }[edit]
+        texts += [" ".join(a), " ".join(b)]
+    sets = [set(shingles(ascii_words(t), 5)) for t in texts]
+    near = {i for i in range(0, len(texts), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])}
+    got = {r.doc_id: r.component_id for r in similar.similar_groups(docs(spark, list(enumerate(texts)))).collect()}
+    assert 100 < len(near) < 240
+    assert {i for i in range(0, len(texts), 2) if got[i + 1] == i} == near
+
+
 def test_components_of_random_edges(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1040)]
