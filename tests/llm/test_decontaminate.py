@@ -55,3 +55,19 @@ def test_repeats_and_empty_tables(spark):
     assert run(spark, [], [(1, QUESTION)]) == {}
     assert run(spark, [(1, QUESTION)], []) == {}
     assert set(run(spark, [(1, "filler " * 60_000 + QUESTION)], [(1, QUESTION)])) == {(1, 1)}
+
+
+def test_verbatim_passages_of_any_kinds_are_found(spark):
+    dense = "Add 45 to 37 and 12 to 8 and 90 to 17 for Anna and Otto Berg"
+    docs = [(1, "Intro. " + QUESTION.upper()), (2, QUESTION.title()), (3, f"so: {dense} then"), (4, "now Compute 45 * 37 - 12 + 8 or not")]
+    found = run(spark, docs, [(7, QUESTION), (8, dense), (9, "Compute 45 * 37 - 12 + 8")])
+    assert set(found) == {(1, 7), (2, 7), (3, 8), (4, 9)}
+
+
+def test_documents_in_capitals(spark):
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "benchmark"))
+    squeezed = {r.doc_id: " ".join(r.text.lower().split()) for r in docs.collect()}
+    asked = {r.item_id: " ".join(r.text.lower().split()) for r in bench.collect()}
+    want = {(d, i) for d, t in squeezed.items() for i, q in asked.items() if q in t}
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    assert want <= got and {(6420, 37), (8376, 101), (1699, 130)} <= got

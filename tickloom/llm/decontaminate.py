@@ -3,8 +3,10 @@
 A text and a benchmark item are cut into windows of tokens in which numbers, names and units are
 replaced by ``<number>``, ``<name>`` and ``<unit>``. Windows are joined on the template itself, so the
 same question with other values meets its original; what stood in the places must then correspond one
-to one (two places that hold the same value in one text do so in the other). Windows whose templates
-are mostly places prove nothing and are left out on both sides.
+to one (two places that hold the same value in one text do so in the other). Templates that are mostly
+places prove nothing and are left out on both sides. Next to its template every window is read by its
+literal forms in lower case, whatever its kinds: a verbatim passage is found in capitals too, and when it
+is dense in numbers and names.
 
 A bitmap of fixed size that holds every template window of the benchmark goes to the workers, so that
 only windows that may match leave them, whatever the size of either table; the join decides.
@@ -43,6 +45,7 @@ UNIT_WORDS = frozenset(
 _core = regex.compile(r"^[^\p{L}\p{N}]*(.*?)[^\p{L}\p{N}]*$", regex.S)
 _number = regex.compile(r"[\p{Sc}+-]?\p{Nd}+(?:[.,:/]\p{Nd}+)*(?:%|st|nd|rd|th)?$")
 _LITERAL, _NUMBER, _UNIT, _NAME = 0, 1, 2, 3
+_VERBATIM = 5  # of every token in the reading without places
 _ENDS = 4  # the token closes a sentence, so the next one's capital says nothing
 _PLACES = {_NUMBER: "<number>", _UNIT: "<unit>", _NAME: "<name>"}
 
@@ -81,8 +84,8 @@ class Tokens:
         """The token without punctuation around it (punctuation alone stays as it is)."""
         return _core.match(token)[1] or token
 
-    def read(self, tokens: list[str], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per token the hash of its template form and its kind; ``starts`` are the texts' first tokens."""
+    def read(self, tokens: list[str], starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The readings: per token the hash of its form and its kind; ``starts`` are the texts' first tokens."""
         known, look = self.known, self.look
         rows = [known.get(t) or look(t) for t in tokens]
         literal = np.fromiter((r[0] for r in rows), np.uint64, len(rows))
@@ -100,14 +103,32 @@ class Tokens:
         form = literal.copy()
         for k, value in self.place.items():
             form[kind == k] = value
-        return form, kind
+        return [(form, kind), (literal, np.full(len(rows), _VERBATIM, np.int8))]
 
 
-def _windows(form: np.ndarray, kind: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of ``length`` tokens with enough literals; ``ends``: end of each token's text."""
-    n = len(form) - length + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+def _windows(readings: list[tuple[np.ndarray, np.ndarray]], ends: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """By reading the starts and hashes of the windows of ``length`` tokens; what an earlier reading gives is left out.
+
+    ``ends``: end of each token's text. Templates need enough literals, the verbatim reading does not.
+    """
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    earlier: list[tuple[np.ndarray, np.ndarray]] = []
+    n = len(ends) - length + 1
+    content = _hashes(*readings[0], length, n)[1] > 0 if 0 < n and length < WINDOW else True
+    for form, kind in readings if n > 0 else []:
+        value, literals = _hashes(form, kind, length, n)
+        good = (literals >= LITERAL_SHARE * length) | (kind[:n] == _VERBATIM) & (content | (length >= WINDOW))
+        good &= np.arange(n) + length <= ends[:n]
+        for seen, was in earlier:
+            good &= ~(was & (seen == value))
+        earlier.append((value, good))
+        at = np.flatnonzero(good)
+        out.append((at, value[at]))
+    return out
+
+
+def _hashes(form: np.ndarray, kind: np.ndarray, length: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows that begin at the first ``n`` tokens the hash and the number of literals."""
     value = np.zeros(n, np.uint64)
     literals = np.zeros(n, np.int16)
     for i in range(length):
@@ -115,9 +136,7 @@ def _windows(form: np.ndarray, kind: np.ndarray, ends: np.ndarray, length: int)
         literals += kind[i : i + n] == _LITERAL
     value ^= value >> np.uint64(29)
     value *= np.uint64(0xBF58476D1CE4E5B9)
-    at = np.arange(n)
-    good = (literals >= LITERAL_SHARE * length) & (at + length <= ends[:n])
-    return at[good], value[good]
+    return value, literals
 
 
 def _template(tokens: list[str], kind: np.ndarray, start: int, length: int) -> tuple[str, list[str]]:
@@ -162,16 +181,17 @@ def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
     reader = Tokens()
     for batch in batches:
         tokens, limits, ends = _texts(batch)
-        form, kind = reader.read(tokens, limits)
+        readings = reader.read(tokens, limits)
         for i in range(batch.num_rows):
             a, b = int(limits[i]), int(limits[i + 1])
             length = min(window, b - a)
             if not length:
                 continue
-            at, _ = _windows(form[a:b], kind[a:b], np.full(b - a, b - a), length)
-            if len(at):
-                own = batch.column(0)[i].as_py()
-                yield _rows([own] * len(at), at.tolist(), [length] * len(at), [_template(tokens[a:b], kind[a:b], s, length) for s in at])
+            item = [(form[a:b], kind[a:b]) for form, kind in readings]
+            for (_, kind), (at, _) in zip(item, _windows(item, np.full(b - a, b - a), length), strict=True):
+                if len(at):
+                    own = batch.column(0)[i].as_py()
+                    yield _rows([own] * len(at), at.tolist(), [length] * len(at), [_template(tokens[a:b], kind, s, length) for s in at])
 
 
 def _bitmap(items: DataFrame, window: int) -> tuple[np.ndarray, list[int]]:
@@ -181,12 +201,13 @@ def _bitmap(items: DataFrame, window: int) -> tuple[np.ndarray, list[int]]:
         reader = Tokens()
         for batch in batches:
             tokens, limits, _ = _texts(batch)
-            form, kind = reader.read(tokens, limits)
+            readings = reader.read(tokens, limits)
             for i in range(batch.num_rows):
                 a, b = int(limits[i]), int(limits[i + 1])
                 length = min(window, b - a)
                 if length:
-                    _, value = _windows(form[a:b], kind[a:b], np.full(b - a, b - a), length)
+                    item = [(form[a:b], kind[a:b]) for form, kind in readings]
+                    value = np.concatenate([v for _, v in _windows(item, np.full(b - a, b - a), length)])
                     place = np.unique((value >> np.uint64(64 - BITMAP_BITS)).astype(np.int64))
                     yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.full(len(place), length, np.int32))], names=["place", "length"])
 
@@ -216,7 +237,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     """``doc_id, item_id, n_windows, first_word``: a row for every document and item that share a window.
 
     ``n_windows`` counts the item's windows found in the text with corresponding places, ``first_word``
-    is where the first begins (words count from 0). An item shorter than a window is one window. Null and
+    is where the first begins (words count from 0). An item shorter than a window is one window (without
+    literals, as a number alone, it has none). Null and
     empty texts share nothing; a null doc_id or item_id makes no row; repeated rows of either table change
     nothing but which of them is meant. Without a benchmark nothing comes back. Other columns are not read.
     """
@@ -231,17 +253,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
             for cut in range(0, whole.num_rows, 256):
                 batch = whole.slice(cut, 256)
                 tokens, limits, ends = _texts(batch)
-                form, kind = reader.read(tokens, limits)
+                readings = reader.read(tokens, limits)
                 for length in lengths:
-                    at, value = _windows(form, kind, ends, length)
-                    place = (value >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                    hit = at[(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
-                    if not len(hit):
-                        continue
-                    text = np.searchsorted(limits, hit, side="right") - 1
-                    ids = batch.column(0).take(pa.array(text)).to_pylist()
-                    found = [_template(tokens, kind, s, length) for s in hit]
-                    yield _rows(ids, (hit - limits[text]).tolist(), [length] * len(hit), found)
+                    for (_, kind), (at, value) in zip(readings, _windows(readings, ends, length)):
+                        place = (value >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                        hit = at[(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
+                        if not len(hit):
+                            continue
+                        text = np.searchsorted(limits, hit, side="right") - 1
+                        ids = batch.column(0).take(pa.array(text)).to_pylist()
+                        found = [_template(tokens, kind, s, length) for s in hit]
+                        yield _rows(ids, (hit - limits[text]).tolist(), [length] * len(hit), found)
 
     asked = items.mapInArrow(lambda it: _item_windows(it, window), _SCHEMA)
     asked = asked.selectExpr("id AS item_id", "start AS item_start", "template", "slots AS item_slots").distinct()
