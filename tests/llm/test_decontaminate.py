@@ -71,3 +71,24 @@ def test_documents_in_capitals(spark):
     want = {(d, i) for d, t in squeezed.items() for i, q in asked.items() if q in t}
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
     assert want <= got and {(6420, 37), (8376, 101), (1699, 130)} <= got
+
+
+def test_names_at_sentence_starts(spark):
+    item = "Tom has 5 apples. Tom gives 3 to Mary. Mary buys 2 pears. How many apples does Tom have?"
+    other = "Ann has 7 apples. Ann gives 4 to Jane. Jane buys 9 pears. How many apples does Ann have?"
+    mixed = "Ann has 7 apples. Eve gives 4 to Jane. Lucy buys 9 pears. How many carrots did Paul eat?"
+    assert set(run(spark, [(1, other), (2, mixed)], [(1, item)])) == {(1, 1)}
+
+
+def test_what_stands_before_a_passage_changes_nothing(spark):
+    item = "Once 12 old sailors had left with the morning tide"
+    found = run(spark, [(1, "Problem Seven " + item), (2, "Problem Seven " + item.replace("12", "31"))], [(1, item)])
+    assert (1, 1) in found and (2, 1) in found
+
+
+def test_short_items_need_words_or_a_whole_line(spark):
+    items = [(1, "the"), (2, "He has 5 apples."), (3, "Paris")]
+    docs = [(1, "so the river"), (2, "and he has 7 apples in the bag"), (3, "He went to Paris then")]
+    assert run(spark, docs, items) == {}
+    docs = [(1, "first\nthe\nlast"), (2, "It is so. He has 5 apples. Good."), (3, "Where?\nParis")]
+    assert set(run(spark, docs, items)) == {(1, 1), (2, 2), (3, 3)}
