@@ -101,3 +101,33 @@ def test_planted_values_of_the_documents_go(spark, sf_dir):
     after = {r.doc_id: r.text for r in pii.pseudonymised(docs, KEY).collect()}
     assert sum(map(len, before.values()))
     assert [v for d, values in before.items() for v in values if v in after[d]] == []
+
+
+@pytest.mark.parametrize("length", [80, 512, 513, 3000])
+def test_long_secrets_are_replaced_to_their_end(length):
+    value = "".join("aZ3kQ9xW"[(i * 7 + i // 8) % 8] for i in range(length))
+    new, spans = pii.pseudonyms(f"token={value} rest", KEY)
+    assert spans == [("secret", 6, 6 + length)]
+    made = new[6 : 6 + length]
+    for at in range(0, length - 39, 40):
+        assert sum(a == b for a, b in zip(made[at : at + 40], value[at : at + 40], strict=True)) < 20
+    assert pii.pseudonyms(f"token={value[:-1]}b rest", KEY)[0] != new
+
+
+def test_dates_in_either_order():
+    for text, form in {"25/12/1980": "%d/%m/%Y", "25-12-1980": "%d-%m-%Y", "03-04-1980": "%d-%m-%Y", "12.25.1980": "%m.%d.%Y"}.items():
+        new, spans = pii.pseudonyms(f"born {text} here", KEY)
+        assert [s[0] for s in spans] == ["date"] and text not in new
+        assert datetime.datetime.strptime(new[5:15], form)
+        assert [s[0] for s in pii.pseudonyms(new, KEY)[1]] == ["date"]
+    days = [f"{d}/{m:02d}/{y}" for y in (1980, 1981) for m in range(1, 13) for d in range(1, 29)]
+    assert len({pii.pseudonyms(d, KEY)[0] for d in days}) == len(days)
+    assert pii.pseudonyms("45/12/1980", KEY)[1] == []
+
+
+@pytest.mark.parametrize("after", ["BIC", "PAID", "BIC 12 AB", "WITH CODE ABC", "and more"])
+def test_ibans_before_capital_words(after):
+    for value in ("BE68 5390 0754 7034", "BE68539007547034"):
+        new, spans = pii.pseudonyms(f"to {value} {after}", KEY)
+        assert spans == [("iban", 3, 3 + len(value))]
+        assert new.endswith(f" {after}") and value not in new

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROUNDS = 8
+#: Bits from which a range's halves need more than one digest.
+_WIDE = 256
+#: Places of a value that are permuted together; longer values go piece by piece, each under those before.
+PIECE = 512
 _DAY0, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
@@ -28,6 +32,19 @@ _DIGITS = "0123456789"
 _HEX = "0123456789abcdef"
 
 
+#: Letters and digits of an IBAN by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+        22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
 def permute(value: int, size: int, key: bytes, tweak: str) -> int:
     """A keyed permutation of ``range(size)``: a Feistel network over the next rectangle, walked until inside."""
     if size < 2:
@@ -39,7 +56,11 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
         left, right = divmod(x, right_size)
         for r in range(ROUNDS):
             side, modulus = (right, left_size) if r % 2 == 0 else (left, right_size)
-            seal = hashlib.blake2b(f"{tweak}|{size}|{r}|{side}".encode(), key=key, digest_size=24).digest()
+            about = f"{tweak}|{size:x}|{r}|{side:x}" if size >> _WIDE else f"{tweak}|{size}|{r}|{side}"
+            seal = hashlib.blake2b(about.encode(), key=key, digest_size=24).digest()
+            if size >> _WIDE:  # as many bits as the half has, and 64 more
+                more = range(modulus.bit_length() // 512 + 2)
+                seal = b"".join(hashlib.blake2b(seal + bytes([i]), key=key, digest_size=64).digest() for i in more)
             moved = int.from_bytes(seal, "big") % modulus
             if r % 2 == 0:
                 left = (left + moved) % left_size
@@ -69,10 +90,15 @@ def _mixed(letters: list[int], sizes: list[int], key: bytes, tweak: str) -> list
 def _same_classes(text: str, key: bytes, tweak: str, alphabets: tuple[str, ...] = (_DIGITS, _LOWER, _UPPER)) -> str:
     """Each letter stays in its class; other characters stay."""
     places = [(i, a) for i, c in enumerate(text) for a in alphabets if c in a]
-    new = _mixed([a.index(text[i]) for i, a in places], [len(a) for _, a in places], key, tweak)
     out = list(text)
-    for (i, a), digit in zip(places, new, strict=True):
-        out[i] = a[digit]
+    before = hashlib.blake2b(key=key, digest_size=16)
+    for cut in range(0, len(places), PIECE):
+        piece = places[cut : cut + PIECE]
+        under = f"{tweak}|{cut}|{before.hexdigest()}" if cut else tweak
+        new = _mixed([a.index(text[i]) for i, a in piece], [len(a) for _, a in piece], key, under)
+        for (i, a), digit in zip(piece, new, strict=True):
+            out[i] = a[digit]
+        before.update("".join(out[i] for i, _ in piece).encode())
     return "".join(out)
 
 
@@ -108,6 +134,13 @@ def _card(found: str, key: bytes) -> str | None:
 
 
 def _iban(found: str, key: bytes) -> str | None:
+    """The shape takes capital words behind the number too: shorter ends follow, the country's length goes first."""
+    ends = [i for i in range(len(found), 0, -1) if i == len(found) or found[i] == " "]
+    ends.sort(key=lambda i: len(found[:i].replace(" ", "")) != IBAN_LENGTHS.get(found[:2]))
+    return next((new for i in ends if (new := _whole_iban(found[:i], key))), None)
+
+
+def _whole_iban(found: str, key: bytes) -> str | None:
     compact = found.replace(" ", "")
     country, check, body = compact[:2], compact[2:4], compact[4:]
     if not 11 <= len(body) <= 30 or _iban_rest(country, check, body) != 1:
@@ -157,18 +190,30 @@ def _ssn(found: str, key: bytes) -> str | None:
 def _date(found: str, key: bytes) -> str | None:
     parts = re.split(r"\D", found)
     order = (0, 1, 2) if len(parts[0]) == 4 else (2, 0, 1) if "/" in found else (2, 1, 0)
-    try:
-        day = datetime.date(*(int(parts[i]) for i in order)).toordinal() - _DAY0
-    except ValueError:
+    swapped = False
+    day = _day(parts, order)
+    if day is None and order[0]:  # only the other order of day and month makes a date
+        order, swapped = (2, order[2], order[1]), True
+        day = _day(parts, order)
+    if day is None or not 0 <= day < _DAYS:
         return None
-    if not 0 <= day < _DAYS:
-        return None
-    new = datetime.date.fromordinal(_DAY0 + permute(day, _DAYS, key, "date"))
+    while True:
+        day = permute(day, _DAYS, key, "date")
+        new = datetime.date.fromordinal(_DAY0 + day)
+        if not swapped or new.day > 12:  # such dates stay among themselves, so that the pseudonym reads in one order
+            break
     values = dict(zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"), strict=True))
     marks = re.findall(r"\D", found)
     return f"{values[0]}{marks[0]}{values[1]}{marks[1]}{values[2]}"
 
 
+def _day(parts: list[str], order: tuple[int, int, int]) -> int | None:
+    try:
+        return datetime.date(*(int(parts[i]) for i in order)).toordinal() - _DAY0
+    except ValueError:
+        return None
+
+
 def _email(found: str, key: bytes) -> str | None:
     local, host = found.rsplit("@", 1)
     name, _, top = host.rpartition(".")
@@ -191,11 +236,11 @@ def _assigned(found: str, key: bytes) -> str | None:
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?=[A-Za-z0-9_%+-])){0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", _email),
     ("access_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<v_access_key>[A-Z0-9]{16})(?![A-Za-z0-9])", _plain_secret),
-    ("secret", r"""(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))["']?[ \t]{0,3}[=:][ \t]{0,3}["']?(?P<v_secret>[A-Za-z0-9+/_.~-]{6,512})""", _assigned),
+    ("secret", r"""(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))["']?[ \t]{0,3}[=:][ \t]{0,3}["']?(?P<v_secret>[A-Za-z0-9+/_.~-]{6,})""", _assigned),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)", _phone),
     ("phone_local", r"(?<![\w.+-])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[.-]\d{4}(?![\d-])", lambda found, key: _phone_local(found, key)),
-    ("date", r"(?<![\d.,/-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])", _date),
+    ("date", r"(?<![\d.,/-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-])", _date),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("card", r"(?<![\w.-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])", _card),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _ipv4),
@@ -230,6 +275,8 @@ def pseudonyms(text: str | None, key: bytes) -> tuple[str | None, list[tuple[str
             if retry is None:
                 continue
             kind, start, end, new = retry
+        if kind == "iban":
+            end = start + len(new)
         out += [text[done:start], new]
         spans.append((kind, start, end))
         done = at = end
