@@ -84,3 +84,10 @@ def test_logistic_separates():
 
     assert score(0.3) < 0.1 and score(1.2) > 0.5
     assert toxicity.logistic([(0.0, 1, 3), (0.0, 0, 3)])[0] == pytest.approx(0, abs=1e-6)
+
+
+def test_every_run_of_the_fitted_rows_is_kept(spark, monkeypatch):
+    docs, labels = planted(400, seed=3)
+    whole = {r.doc_id: r.score for r in toxicity.scores(*frames(spark, docs, labels)).collect()}
+    monkeypatch.setattr(toxicity, "MODEL_RUNS", 50, raising=False)  # a bound on runs, if there is one
+    assert {r.doc_id: r.score for r in toxicity.scores(*frames(spark, docs, labels)).collect()} == whole

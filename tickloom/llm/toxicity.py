@@ -32,8 +32,6 @@ FOLDS = 3
 REJECT_SCORE = 0.3
 #: The models are fitted on about this many labelled rows at most (picked by a hash of doc_id).
 SAMPLE_ROWS = 100_000
-#: Letter runs in a model at most; beyond it the rarest, each under a share of 1 / MODEL_RUNS, fall back.
-MODEL_RUNS = 1 << 21
 #: Words whose evidence a worker remembers for each fit; emptied when full.
 CACHE_WORDS = 100_000
 #: Counts a task holds before it hands them on.
@@ -268,13 +266,10 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     runs = words.mapInArrow(_count_runs, "run string, part int, n long").groupBy("run").pivot("part", list(range(2 * FOLDS))).sum("n").na.fill(0)
     runs = written(runs, "toxicity-runs")
     parts = [f"`{i}`" for i in range(2 * FOLDS)]
-    size = runs.agg(F.count("*"), *[F.sum(p) for p in parts]).first()
-    total = sum(n or 0 for n in size[1:])
-    if size[0] > MODEL_RUNS:
-        runs = runs.where(f"{' + '.join(parts)} >= {total // MODEL_RUNS + 1}")
+    size = runs.agg(*[F.sum(p) for p in parts]).first()
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
-    if not sum(n or 0 for n in size[1 : 1 + FOLDS]) or not sum(n or 0 for n in size[1 + FOLDS :]):
+    if not sum(n or 0 for n in size[:FOLDS]) or not sum(n or 0 for n in size[FOLDS:]):
         share = rows.agg(F.expr("coalesce(sum(toxic) / (count(*) + 1.0), 0.0)")).first()[0]
         return slim.select("doc_id", held_out, F.lit(float(share)).alias("score"))
     table = runs.toArrow()
