@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, toxicity, warc
+from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, toxicity, warc, whitening
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -73,6 +73,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 32 whitened coordinates."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=32)
+
+
 OP10_SQL = """
 WITH payloads AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
