@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, toxicity, warc, whitening
+from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, suffix_dedup, toxicity, warc, whitening
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -78,6 +78,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=32)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the strings of 100 bytes that start earlier."""
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), length=100)
+
+
 OP10_SQL = """
 WITH payloads AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
     "op12_whitening": op12_whitening,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
