@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontaminate, html_text, lm, pii, quality, shards, simhash, suffix_dedup, toxicity, warc, whitening
+from tickloom.llm import bpe, collocations, decontaminate, html_text, lm, pii, quality, shards, simhash, suffix_dedup, toxicity, warc, whitening
 
 
 #: The permutations' key of the registered queries; users of :mod:`tickloom.llm.pii` bring a secret one.
@@ -73,6 +73,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two or three words of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"), size=3, least=10, first=2000)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings in 32 whitened coordinates."""
     return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=32)
@@ -95,6 +100,49 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN heads USING (payload_digest)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT doc_id, row_number() OVER () AS text_row, coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, row_number() OVER () AS piece_row, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), words AS (
+    SELECT lang, piece_row, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM split
+), runs AS (
+    SELECT lang, w AS w1, lead(w) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY piece_row ORDER BY i)
+), totals AS (
+    SELECT lang, count(*) AS n FROM runs GROUP BY lang
+), one AS (
+    SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL
+), two AS (
+    SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL
+), three AS (
+    SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+    SELECT lang, w1 || ' ' || w2 AS phrase, two.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM two JOIN one x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM one) y USING (lang, w2) WHERE two.f >= 10
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2 || ' ' || w3, three.f, 1, x.f, y.f
+    FROM three JOIN one x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, w2 AS w3, f FROM two) y USING (lang, w2, w3)
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2 || ' ' || w3, three.f, 2, x.f, y.f
+    FROM three JOIN two x USING (lang, w1, w2) JOIN (SELECT lang, w1 AS w3, f FROM one) y USING (lang, w3)
+), scored AS (
+    SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, w1 || ' ' || w2 AS phrase, f FROM three UNION ALL SELECT lang, w2 || ' ' || w3, f FROM three) GROUP BY ALL
+)
+SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank, c.phrase, c.a, c.l, c.r, t.n, c.score
+FROM weakest c JOIN totals t USING (lang) LEFT JOIN longer g ON c.lang = g.lang AND c.phrase = g.phrase
+WHERE g.f IS NULL OR 100 * g.f < 50 * c.a
+QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -106,8 +154,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
     "op12_whitening": op12_whitening,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op10_warc": OP10_SQL, "op11_collocations": OP11_SQL}
