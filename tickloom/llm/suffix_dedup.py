@@ -26,7 +26,7 @@ from tickloom.llm.textblocks import RunHashes, mixed, pieces
 
 LENGTH, GRAM = 100, 32
 #: Starts that are looked at together within a piece of text, whatever the length of the text.
-STARTS = 1 << 20
+STARTS = 1 << 18
 #: Bytes of a block that is sorted in one task, and runs of one anchor in it; more runs go to several blocks.
 BLOCK_BYTES, UNIT_RUNS = 2 << 20, 4096
 #: Anchors that are very frequent in this share of the documents are dealt to several tasks: where they go, not what is found.
@@ -123,7 +123,7 @@ def _found_runs(hot: frozenset[int], length: int, gram: int):
                     (False, text[first], [a[first], c[first], part[first], pos[first], size[first]]),
                     (True, owner, [mixed(owner + start).view(np.int64), start, np.zeros(len(owner)), start, end - start]),
                 ):
-                    kept = rows.take(pa.array(t))
+                    kept = rows.select([0, 1]).take(pa.array(t))
                     a_, c_, part_, pos_, size_ = (pa.array(x.astype(np.int64)) for x in columns)
                     arrays = [pa.array(np.full(len(t), done)), a_, c_, part_.cast(pa.int32()), kept.column(0), kept.column(1), pos_, size_]
                     yield pa.RecordBatch.from_arrays(arrays, names=["done", "a", "c", "part", "doc_id", "h", "pos", "size"])
@@ -156,7 +156,7 @@ def _sorted_block(length: int):
         strings = np.concatenate([string, block.string[heads]])
         begin = np.concatenate([start, block.place[heads]]) + pos[strings]
         finish = np.concatenate([end, block.place[heads] + length]) + pos[strings]
-        owners = table.take(pa.array(strings))
+        owners = table.select(["doc_id", "h"]).take(pa.array(strings))
         window = [None] * len(string) + [w.tobytes() for w in windows.astype(np.uint8)]
         return pa.table({
             "doc_id": owners.column("doc_id"), "h": owners.column("h"),
