@@ -27,16 +27,16 @@ from tickloom.llm.tries import Trie, build
 #: Bits of the bitmap for each frequent phrase, and how many there are at most (128 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 30
 #: Bytes of candidates in one trie, which is broadcast; each trie is one more pass over the texts.
-TRIE_BYTES = 16 << 20
+TRIE_BYTES = 8 << 20
+#: Bytes of text that are taken apart at once.
+PIECE = 4 << 20
 #: Longer words are in a trie by their digest, after a character that no word has.
 LONG_WORD = 64
+#: Hashes of candidates that a task remembers so as not to give them out again.
+GIVEN = 1 << 21
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
 _WORD, _BLANK, _CUT = 0, 1, 2
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(b" \t")] = _BLANK
-_KIND[list(b".,;:!?\n\x0b\x0c\r")] = _CUT
+_KIND = bytes(_BLANK if b in b" \t" else _CUT if b in b".,;:!?\n\x0b\x0c\r" else _WORD for b in range(256))
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,8 +44,9 @@ class Places:
     """All words of some texts: which word, in which language, and how many follow before a cut."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, langs: pa.Array):
-        data = _LOWER[data]
-        kind = _KIND[data]
+        lowered = data.tobytes().lower()  # on bytes A-Z only
+        data = np.frombuffer(lowered, np.uint8)
+        kind = np.frombuffer(lowered.translate(_KIND), np.uint8)
         word = kind == _WORD
         begins = np.zeros(len(data) + 1, bool)
         begins[starts] = True
@@ -59,9 +60,8 @@ class Places:
         self.langs: list[str] = names.dictionary.to_pylist()
         text = np.searchsorted(starts, at, side="right") - 1
         self.lang = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        offsets = np.concatenate([[0], np.cumsum(end - at)]).astype(np.int64)
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[word]))]
-        words = pa.Array.from_buffers(pa.large_string(), len(at), buffers).dictionary_encode()
+        offsets = np.concatenate([[0], np.cumsum(end - at)]).astype(np.int32)
+        words = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])]).dictionary_encode()
         self.code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.words = words.dictionary
 
@@ -86,16 +86,9 @@ class Places:
             out = mixed(out[: len(self) - k] * _TIMES + each[k:])
         return out
 
-    def distinct(self, at: np.ndarray, size: int) -> np.ndarray:
-        """Of places with equal phrases (language and words) one each."""
-        groups = self.lang[at]
-        for k in range(size):
-            _, groups = np.unique(groups * (len(self.words) + 1) + self.code[at + k], return_inverse=True)
-        return at[np.unique(groups, return_index=True)[1]]
-
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
         parts = [self.words.take(pa.array(self.code[at + k])) for k in range(size)]
-        return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
+        return pc.binary_join_element_wise(*parts, " ")
 
 
 def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +100,7 @@ def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[Places]:
     for batch in batches:
-        for rows, data, starts in pieces(batch, 1):
+        for rows, data, starts in pieces(batch, 1, PIECE):
             yield Places(data, starts, rows.column(0))
 
 
@@ -164,11 +157,17 @@ def _candidates(texts: DataFrame, bitmaps: list) -> DataFrame:
     """Distinct phrases of all levels whose hash has the support; with a null phrase the words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = np.zeros(0, np.uint64)  # what the task has given out already, by hash
         for places in _places(batches):
             rows: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
+            if len(given) > GIVEN:
+                given = given[:0]
             for size, bitmap in enumerate(bitmaps, 1):
                 at, hashes = _possible(places, size, bitmaps[size - 2].value if size > 1 else None)
-                at = places.distinct(at[bitmap.value.has(hashes)], size)
+                on = bitmap.value.has(hashes)
+                hashes, first = np.unique(hashes[on], return_index=True)
+                fresh = ~np.isin(hashes, given, assume_unique=True)
+                at, given = at[on][first[fresh]], np.union1d(given, hashes[fresh])
                 rows.append((places.lang[at], places.phrases(at, size), np.zeros(len(at), np.int64)))
             totals = np.bincount(places.lang, minlength=len(places.langs))
             rows.append((np.arange(len(totals)), pa.nulls(len(totals), pa.string()), totals))
