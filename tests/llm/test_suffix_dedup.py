@@ -69,8 +69,7 @@ def test_shared_passages(spark, seed, small, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "LOOK", 1.0)
     if small:  # parts, blocks and units so small that every way is taken
         monkeypatch.setattr(suffix_dedup, "STARTS", 37)
-        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 500)
-        monkeypatch.setattr(suffix_dedup, "UNIT_RUNS", 2)
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 60)
     same(suffix_dedup.without_repeats(docs(spark, rows).repartition(5), 12, 4), naive(rows, 12))
 
 
@@ -80,7 +79,7 @@ def test_hot_anchors(spark, monkeypatch):
     line = "this one line is in each of the texts, whatever else they say about it"
     rows = [(i, f"{rng.random()} {line} {rng.random()}") for i in range(150)]
     monkeypatch.setattr(suffix_dedup, "LOOK", 1.0)
-    monkeypatch.setattr(suffix_dedup, "UNIT_RUNS", 8)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 400)
     same(suffix_dedup.without_repeats(docs(spark, rows).repartition(8), 20, 6), naive(rows, 20))
 
 

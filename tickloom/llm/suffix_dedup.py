@@ -27,8 +27,8 @@ from tickloom.llm.textblocks import RunHashes, mixed, pieces
 LENGTH, GRAM = 100, 32
 #: Starts that are looked at together within a piece of text, whatever the length of the text.
 STARTS = 1 << 18
-#: Bytes of a block that is sorted in one task, and runs of one anchor in it; more runs go to several blocks.
-BLOCK_BYTES, UNIT_RUNS = 2 << 20, 4096
+#: Bytes of a block that is sorted in one task. The runs of an anchor stay together as far as they fill one.
+BLOCK_BYTES = 2 << 20
 #: Anchors that are very frequent in this share of the documents are dealt to several tasks: where they go, not what is found.
 LOOK, HOT, HOT_PARTS = 0.01, 1024, 64
 
@@ -219,10 +219,11 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                  WHEN c = c_before THEN 'copy'
                  WHEN c_least <> c_most OR {always} THEN 'entry' ELSE 'alone' END AS kind""",
     )
+    together = max(1, BLOCK_BYTES // (2 * length - gram))  # runs of the greatest size
     in_part = Window.partitionBy("a", "part").orderBy("c")
     kept = written(kinds.where("kind IN ('done', 'copy', 'entry')"), "suffix-runs")
     copies = kept.where("kind <> 'entry'").selectExpr("doc_id", "h", "pos", f"pos + size + if(kind = 'done', 0, {length - 1}) AS end")
-    entries = kept.where("kind = 'entry'").withColumn("unit", F.floor((F.row_number().over(in_part) - 1) / UNIT_RUNS))
+    entries = kept.where("kind = 'entry'").withColumn("unit", F.floor((F.row_number().over(in_part) - 1) / together))
     entries = written(entries, "suffix-entries")
     wide = entries.where("part > 0 OR unit > 0").select("a", F.lit(True).alias("several")).distinct()
     entries = entries.join(wide, "a", "left").withColumn("several", F.coalesce("several", F.lit(False)))
