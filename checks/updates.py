@@ -11,7 +11,7 @@ from tickloom.operators import quality
 from tickloom.plans import queries as Q
 from tickloom.plans.pipeline import load, load_and_derive, recompute, updated
 from tickloom.session import shared_folder
-from tickloom.sources.market_views import AS_OF, MarketTables, view
+from tickloom.sources.market_views import AS_OF, RISK_AS_OF, MarketTables, view
 from tickloom.sources.tables import export, read_version, scan
 
 KEY, DAY = "stock_code", "trade_date"
@@ -50,6 +50,15 @@ def _rejected(spark, d):
     return spark.read.parquet(f"{root}/rejects/northbound_flow")
 
 
+def _report(spark, d):
+    """What the loading pass itself counted: rows in, rows set aside, and NULLs of each column among the rest."""
+    root = _root(spark, "report")
+    rows = view(spark, d, "northbound_rows").withColumn("net_inflow", F.col("net_inflow").cast("double") * SCALE)
+    keyless = rows.limit(0).unionByName(rows.withColumn(KEY, F.lit(None).cast("string")))
+    load(spark, {"northbound_flow": rows.withColumn("holding_value", F.lit(None).cast("double")).unionByName(keyless)}, root)
+    return spark.read.parquet(f"{root}/load_report").where("column_name IN ('net_inflow', 'holding_shares', 'holding_value', 'inflow_5d')")
+
+
 def _market(spark, d):
     landed = {n: MarketTables(spark, d)[n] for n in ("stock_master",)}
     landed |= {
@@ -84,6 +93,17 @@ def _recomputed_symbols(spark, d):
     return out
 
 
+def _recomputed_on_another_day(spark, d):
+    """A full run, a run without landed rows a quarter later, and a full run of that day: valuations that differ."""
+    root, other, tables, out = _root(spark, "days"), _root(spark, "day"), MarketTables(spark, d), None
+    recompute(spark, tables, RISK_AS_OF, root)
+    part = recompute(spark, tables, AS_OF, root, tables["stock_master"].where("false").select(KEY))
+    recompute(spark, tables, AS_OF, other)
+    one, two = read_version(spark, root, "valuation_indicators", part), read_version(spark, other, "valuation_indicators")
+    differing = one.exceptAll(two).unionByName(two.exceptAll(one)).selectExpr("count(*) AS differing")
+    return two.selectExpr("count(*) AS rows", "round(sum(dividend_yield), 2) AS yields").crossJoin(differing)
+
+
 def _exported(spark, d):
     root = _root(spark, "export")
     export(MarketTables(spark, d), root, ["stock_capital"])
@@ -99,6 +119,16 @@ CHECKS = [
     Check("update_rejects", _rejected, f"""
         SELECT stock_code, trade_date, 'overflow net_inflow' AS reject_reason FROM northbound_rows
         WHERE round(abs(CAST(net_inflow AS DOUBLE)) * {SCALE}) >= 1e16""", f"{KEY} reject_reason", "", DAY),
+    Check("load_report", _report, f"""
+        WITH fate AS (SELECT *, round(abs(CAST(net_inflow AS DOUBLE)) * {SCALE}) >= 1e16 AS bad FROM northbound_rows)
+        SELECT 'northbound_flow' AS table_name, c.column_name, 2 * count(*) AS rows, count(*) + count(*) FILTER (bad) AS rejected,
+               count(*) FILTER (NOT bad AND CASE c.column_name WHEN 'net_inflow' THEN net_inflow IS NULL
+                                WHEN 'holding_shares' THEN holding_shares IS NULL ELSE true END) AS nulls
+        FROM fate, (VALUES ('net_inflow'), ('holding_shares'), ('holding_value'), ('inflow_5d')) c(column_name)
+        GROUP BY c.column_name""", "table_name column_name", "", "", "rows rejected nulls"),
+    Check("recomputed_on_another_day", _recomputed_on_another_day, """
+        SELECT count(*) AS rows, round(sum(CAST(dividend_yield AS DECIMAL(18,4))), 2) AS yields, 0 AS differing FROM valuation""",
+          "", "yields", "", "rows differing"),
     Check("stored_basic_info", _stored_info, """
         SELECT m.stock_code, m.stock_name, b.trade_date AS price_date, b.close AS close_price, b.change_pct AS pct_chg,
                v.pe_ttm, v.pb

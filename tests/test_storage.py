@@ -1,6 +1,7 @@
 """Schemas, storage, merges, streaming and the pipeline."""
 
 import datetime as dt
+import time
 import uuid
 
 import pytest
@@ -60,6 +61,40 @@ def test_conform_fills_and_rounds_and_refuses_what_does_not_fit(spark):
     assert [r.stock_code for r in T.fitting(bad, "stock_daily").collect()] == ["t"]
 
 
+def test_landing_counts_in_the_pass_that_writes(spark, root):
+    schema = "stock_code string, trade_date date, open double, close double, note string"
+    rows = [("s", D(2020, 1, 1), None, 12.3456, "n"), ("s", D(2020, 1, 2), 1.005e9, 1.0, "m"), (None, D(2020, 1, 1), 1.0, 1.0, None)]
+    landing = T.land(spark.createDataFrame(rows, schema), "stock_daily", f"{root}/landing")
+    assert (landing.rows, landing.rejected, landing.nulls["open"], landing.nulls["close"], landing.nulls["volume"]) == (3, 2, 1, 0, 1)
+    assert landing.good.columns == TABLES["stock_daily"].columns and float(landing.good.first().close) == 12.35
+    found = {(r.stock_code, r.note, r.reject_reason) for r in landing.rejects.collect()}
+    assert found == {("s", "m", "overflow open"), (None, None, "no stock_code")}
+    own = spark.createDataFrame([("s", D(2020, 1, 1), 1.0, "unreadable")], "stock_code string, trade_date date, open double, reject_reason string")
+    assert [r.reject_reason for r in T.land(own, "stock_daily", f"{root}/own").rejects.collect()] == ["unreadable"]
+    empty = T.land(own.where("false"), "stock_daily", f"{root}/empty")
+    assert (empty.rows, empty.rejected, empty.good.count()) == (0, 0, 0)
+
+
+def test_a_wide_merge_is_planned_quickly(spark, sf_dir, root, monkeypatch):
+    """The optimizer must not reason about the rank of all columns behind every renaming of one."""
+    rows = view(spark, sf_dir, "statements")
+    landing = T.land(rows, "financial_statements", f"{root}/landing")
+    planned = []
+
+    def write(merged, *place):
+        began = time.monotonic()
+        merged._jdf.queryExecution().executedPlan().toString()
+        planned.append(time.monotonic() - began)
+        return real(merged, *place)
+
+    real = T._write
+    monkeypatch.setattr(T, "_write", write)
+    for _ in range(2):
+        T.merge_landed(spark, landing.good, f"{root}/t", "financial_statements", rows.columns)
+    assert len(planned) == 2 and max(planned) < 5
+    assert T.scan(spark, f"{root}/t", "financial_statements").count() == rows.count()
+
+
 def test_surrogate_ids_are_stable(spark):
     rows = spark.createDataFrame([("s", D(2020, 1, 1), "t")], "stock_code string, announcement_date date, title string")
     ids = {T.surrogate_id(rows, "announcements").first().id for _ in range(2)}

@@ -10,13 +10,15 @@ from tickloom.operators.asof import asof_newest
 from tickloom.operators.latest import latest_value
 from tickloom.schema import TABLES
 
+#: Dividends count for this many days.
+DIVIDEND_DAYS = 365
 _OUTPUT = TABLES["valuation_indicators"].columns
 _YEAR_END = "month(report_date) = 12 AND day(report_date) = 31"
 
 
 def trailing_dividends(dividends: DataFrame, as_of: str) -> DataFrame:
-    """Cash per share of the 365 days before ``as_of``; later ex-dates count too."""
-    recent = f"if(dividend_date >= date_sub(date'{as_of}', 365), cash_per_share, NULL)"
+    """Cash per share of the year before ``as_of``; later ex-dates count too."""
+    recent = f"if(dividend_date >= date_sub(date'{as_of}', {DIVIDEND_DAYS}), cash_per_share, NULL)"
     total = dividends.selectExpr("stock_code", f"{recent} AS cash").groupBy("stock_code")
     return total.agg({"cash": "sum"}).selectExpr(
         "stock_code", "double(coalesce(`sum(cash)`, 0)) AS dividend_cash"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,18 @@ from tickloom.operators.flows import inflow_sums
 from tickloom.operators.fundamentals import fundamentals
 from tickloom.operators.incremental import stored_watermarks, write_watermarks
 from tickloom.operators.technical import technical
-from tickloom.operators.valuation import valuation
+from tickloom.operators.valuation import DIVIDEND_DAYS, valuation
 from tickloom.schema import TABLES
 from tickloom.sources.tables import (
+    Landing,
     Store,
     commit_version,
     conform,
-    fitting,
+    has_table,
+    land,
     latest_version,
-    merge_rows,
+    merge_landed,
     read_version,
-    rejects,
     scan,
 )
 
@@ -52,6 +54,16 @@ def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     }
 
 
+#: One row in each version: the day its dividend year ends on.
+RUN = "derived_run"
+
+
+def _leaving(dividends: DataFrame, before: str, as_of: str) -> DataFrame:
+    """Symbols with dividends that are in the year before one of two days, but not the other."""
+    first, last = (f"date_sub({f}(date'{before}', date'{as_of}'), {DIVIDEND_DAYS})" for f in ("least", "greatest"))
+    return dividends.where(f"dividend_date >= {first} AND dividend_date < {last}").select("stock_code")
+
+
 def recompute(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -62,47 +74,63 @@ def recompute(
     """Derive the tables and commit them as one version under ``root``.
 
     With ``symbols`` (a frame with ``stock_code``) only theirs are derived and replace their rows of
-    the newest version; all others are copied as they are.
+    the newest version, together with those of symbols whose dividends enter or leave the year before
+    ``as_of`` since that version; all others are copied as they are. The result is that of a full run.
     """
-    if symbols is None or latest_version(spark, root) is None:
-        return commit_version(spark, derive(tables, as_of), root)
-    wanted = symbols.select("stock_code").distinct()
+    run = spark.createDataFrame([(as_of,)], "as_of string")
+    version = latest_version(spark, root)
+    if symbols is None or version is None or not has_table(spark, root, RUN, version):
+        return commit_version(spark, {**derive(tables, as_of), RUN: run}, root)
+    before = read_version(spark, root, RUN, version).first().as_of
+    wanted = symbols.select("stock_code")
+    if before != as_of:
+        wanted = wanted.unionByName(_leaving(tables["dividends"], before, as_of))
+    wanted = wanted.distinct()
     part = {
         name: tables[name].join(wanted, "stock_code", "left_semi")
         for name in ("stock_daily", "stock_capital", "financial_statements", "dividends", "northbound_flow")
     }
-    frames = {}
+    frames = {RUN: run}
     for name, fresh in derive(part, as_of).items():
-        old = read_version(spark, root, name)
+        old = read_version(spark, root, name, version)
         frames[name] = old.join(wanted, "stock_code", "left_anti").unionByName(fresh)
     return commit_version(spark, frames, root)
 
 
-def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> None:
+def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> dict[str, Landing]:
     """Merge landed rows month by month, then advance the watermarks in one commit.
 
-    Rows without a key or with values that do not fit their column go to ``rejects`` with a reason
-    (those of the last load). A job that dies in between leaves the old watermarks, so the next run
+    Each landed frame is read once: what cannot be stored goes to ``rejects`` with a reason, and counts
+    and NULLs are observed, in the pass that writes the rows; merge and watermarks read what it wrote. ``rejects`` and
+    ``load_report`` are those of the last load. A job that dies in between leaves the old watermarks, so the next run
     loads the same rows again, to the same result. Watermarks are taken from what is stored, so they are
     never ahead of the data and a backfill does not move them back.
     """
-    marks = None
+    marks, out = None, {}
+    folder = f"{root}/landing/{uuid.uuid4().hex}"
     for table, rows in landed.items():
         spec = TABLES[table]
-        rejects(rows, spec).write.mode("overwrite").parquet(f"{root}/rejects/{table}")
-        good = fitting(rows, spec)
-        merge_rows(spark, good, f"{root}/tables", table)
-        if "stock_code" in spec.keys and spec.date_col in rows.columns:
-            stored = scan(spark, f"{root}/tables", table).join(good.select("stock_code"), "stock_code", "left_semi")
+        out[table] = landing = land(rows, spec, f"{folder}/{table}")
+        landing.rejects.write.mode("overwrite").parquet(f"{root}/rejects/{table}")
+        if landing.rows > landing.rejected:
+            merge_landed(spark, landing.good, f"{root}/tables", table, [c for c in rows.columns if c in spec.values])
+        if "stock_code" in spec.keys and spec.date_col in rows.columns and landing.rows > landing.rejected:
+            symbols = landing.good.select("stock_code")
+            stored = scan(spark, f"{root}/tables", table).join(symbols, "stock_code", "left_semi")
             part = stored_watermarks(stored, spec.date_col, table)
             marks = part if marks is None else marks.unionByName(part)
-    if marks is None:
-        return
-    log_root = f"{root}/update_log"
-    log = conform(marks, "update_log")
-    if latest_version(spark, log_root) is not None:
-        log = write_watermarks(read_version(spark, log_root, "update_log"), marks)
-    commit_version(spark, {"update_log": log}, log_root)
+    report = [
+        (t, c, x.rows, x.rejected, n) for t, x in out.items() for c, n in x.nulls.items()
+    ]  # a row for each column of each table
+    fields = "table_name string, column_name string, rows long, rejected long, nulls long"
+    spark.createDataFrame(report, fields).coalesce(1).write.mode("overwrite").parquet(f"{root}/load_report")
+    if marks is not None:
+        log_root = f"{root}/update_log"
+        log = conform(marks, "update_log")
+        if latest_version(spark, log_root) is not None:
+            log = write_watermarks(read_version(spark, log_root, "update_log"), marks)
+        commit_version(spark, {"update_log": log}, log_root)
+    return out
 
 
 def load_and_derive(
@@ -112,11 +140,10 @@ def load_and_derive(
 
     Symbols without landed rows keep their derived rows.
     """
-    load(spark, landed, root)
     touched = None
-    for table, rows in landed.items():
-        if "stock_code" in rows.columns:
-            part = fitting(rows, table).select("stock_code")
+    for table, landing in load(spark, landed, root).items():
+        if "stock_code" in landed[table].columns:
+            part = landing.good.select("stock_code")
             touched = part if touched is None else touched.unionByName(part)
     return recompute(spark, Store(spark, f"{root}/tables"), as_of, f"{root}/derived", touched)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import merge
@@ -39,11 +40,11 @@ def _strict(name: str, kind: str) -> str:
     return f"CASE WHEN {name} IS NULL OR {cast} IS NOT NULL THEN {cast} ELSE {problem} END AS {name}"
 
 
-def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
-    """Exactly the table's columns and types, missing ones NULL.
+def conform(df: DataFrame, spec: TableSpec | str, extra: Sequence[str] = ()) -> DataFrame:
+    """Exactly the table's columns and types, missing ones NULL; ``extra`` columns stay behind them.
 
     This is where stored scales apply. A value that does not fit its column fails the job;
-    :func:`rejects` finds such rows beforehand.
+    :func:`land` sets such rows aside.
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
     present = set(df.columns)
@@ -53,7 +54,8 @@ def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
             if f.name in present
             else f"cast(NULL AS {f.spark_type}) AS {f.name}"
             for f in spec.fields
-        )
+        ),
+        *extra,
     )
 
 
@@ -68,6 +70,50 @@ def _faults(df: DataFrame, spec: TableSpec) -> str:
     return f"concat_ws(', ', {', '.join(found)})"
 
 
+@dataclass(frozen=True)
+class Landing:
+    """Rows written once: those that can be stored, in the table's shape, those that cannot, and their figures."""
+
+    good: DataFrame
+    rejects: DataFrame
+    rows: int
+    rejected: int
+    nulls: Mapping[str, int]
+
+
+def land(df: DataFrame, spec: TableSpec | str, folder: str) -> Landing:
+    """Write ``df`` to ``folder`` in one pass that also sets aside and counts what cannot be stored.
+
+    A row without a key or with a value that does not fit goes to ``rejects`` as it came, with
+    ``reject_reason``. A frame that carries a ``reject_reason`` of its own keeps it. The counts (rows,
+    rejected rows, NULLs of each column among the others) are observed while the rows are written.
+    """
+    spec = TABLES[spec] if isinstance(spec, str) else spec
+    spark, present = df.sparkSession, set(df.columns)
+    own = [c for c in df.columns if c != "reject_reason"]
+    given = "coalesce(reject_reason, '')" if "reject_reason" in present else "''"
+    reason = f"if({given} != '', {given}, {_faults(df, spec)}) AS _reason"
+    checked = df.selectExpr(*(f"{c} AS _raw_{c}" for c in own), reason)
+    typed = [
+        f"try_cast({'_raw_' + f.name if f.name in own else 'NULL'} AS {f.spark_type}) AS {f.name}" for f in spec.fields
+    ]
+    raw = ", ".join(f"'{c}', _raw_{c}" for c in own)
+    shaped = checked.selectExpr("_reason", *typed, f"if(_reason != '', named_struct({raw}), NULL) AS _landed")
+    seen = Observation()
+    counts = {"rows": "count(*)", "rejected": "count_if(_reason != '')"}
+    counts |= {f"null_{c}": f"count_if(_reason = '' AND {c} IS NULL)" for c in spec.columns}
+    shaped.observe(seen, *(F.expr(e).alias(n) for n, e in counts.items())).write.parquet(folder)
+    stored = spark.read.schema(shaped.schema).parquet(folder)
+    figures = seen.get
+    return Landing(
+        stored.where("_reason = ''").select(spec.columns),
+        stored.where("_reason != ''").selectExpr("_landed.*", "_reason AS reject_reason"),
+        figures["rows"],
+        figures["rejected"],
+        {c: figures[f"null_{c}"] for c in spec.columns},
+    )
+
+
 def rejects(df: DataFrame, spec: TableSpec | str) -> DataFrame:
     """Rows that cannot be stored, with the reason; all others pass :func:`fitting`."""
     spec = TABLES[spec] if isinstance(spec, str) else spec
@@ -262,33 +308,52 @@ def merge_rows(
 
     Of updates that repeat a key the last by ``order`` (columns of the updates) counts, else the one
     with the greatest values. A NULL key or a value that does not fit fails the job; see
-    :func:`rejects`. Merging the same rows again changes nothing.
+    :func:`land`. Merging the same rows again changes nothing.
+    """
+    spec = TABLES[table]
+    named = [c for c in updates.columns if c in spec.values] if columns is None else columns
+    keyed = {k: f"CASE WHEN {k} IS NOT NULL THEN {k} ELSE raise_error('NULL key for {table}') END AS {k}" for k in spec.keys}
+    ranks = [f"{c} AS _order{i}" for i, c in enumerate(order)]
+    shaped = conform(updates.selectExpr(*(keyed.get(c, c) for c in updates.columns), *ranks), spec, [f"_order{i}" for i in range(len(order))])
+    folder = f"{root}/{table}/_landing/{uuid.uuid4().hex}"
+    shaped.write.parquet(folder)
+    try:
+        merge_landed(spark, spark.read.schema(shaped.schema).parquet(folder), root, table, named, rule)
+    finally:
+        _remove(spark, folder)
+
+
+def merge_landed(
+    spark: SparkSession, fresh: DataFrame, root: str, table: str, columns: Sequence[str], rule: merge.Rule = merge.overwrite
+) -> None:
+    """:func:`merge_rows` of rows that are stored already in the shape of the table.
+
+    The last rows of repeated keys are written before they are merged: the merge reads them several times,
+    and the optimizer must find plain columns there. It carries a constraint for every expression over all columns
+    through every renaming of one of them, which takes it minutes for a wide table.
     """
     spec = TABLES[table]
     number, _ = _manifests(spark, root, table)
     stored = _layout(spark, root, table)
-    named = [c for c in updates.columns if c in spec.values] if columns is None else columns
-    last = keep_last(updates, spec.keys, *order) if order else updates
-    keyed = {k: F.expr(f"CASE WHEN {k} IS NOT NULL THEN {k} ELSE raise_error('NULL key for {table}') END") for k in spec.keys}
-    shaped = conform(last, spec).withColumns(keyed)
-    if not order:
-        shaped = keep_last(shaped, spec.keys, *spec.values)
-    # The updates are used several times; kept, spilling to disk, they are parsed once.
-    fresh = shaped.persist()
+    rank = [c for c in fresh.columns if c.startswith("_order")] or spec.values
+    last = keep_last(fresh.selectExpr(*spec.columns, f"struct({', '.join(rank)}) AS _rank"), spec.keys, "_rank") if rank else fresh
+    folder = f"{root}/{table}/_landing/{uuid.uuid4().hex}"
+    last.select(spec.columns).write.parquet(folder)
+    updates = spark.read.schema(spec.struct).parquet(folder)
     try:
         touched = {_WHOLE}
         if spec.by_month:
             month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
-            touched = {r.month for r in fresh.selectExpr(month).distinct().collect()}
-        merged = fresh
+            touched = {r.month for r in updates.selectExpr(month).distinct().collect()}
+        merged = updates
         if stored is not None:
             current = _read(spark, spec, {m: f for m, f in stored.items() if m in touched})
-            merged = merge.upsert(current, fresh, spec.keys, named, rule)
+            merged = merge.upsert(current, updates, spec.keys, columns, rule)
         if touched:
-            added = _write(conform(merged, spec), root, table)
+            added = _write(merged, root, table)
             _publish(spark, root, table, number, {**(stored or {}), **added})
     finally:
-        fresh.unpersist()
+        _remove(spark, folder)
 
 
 def vacuum(spark: SparkSession, root: str, table: str) -> list[str]:
@@ -318,6 +383,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """A folder that this job made for itself."""
+    fs, target, _ = _filesystem(spark, path)
+    fs.delete(target, True)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, target, _ = _filesystem(spark, path)
     return fs.getFileStatus(target).isFile()
@@ -378,6 +449,10 @@ def commit_version(spark: SparkSession, frames: Mapping[str, DataFrame], root: s
     return version
 
 
+def has_table(spark: SparkSession, root: str, name: str, version: int) -> bool:
+    return _exists(spark, f"{version_root(spark, root, version)}/{name}")
+
+
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
     chosen = latest_version(spark, root) if version is None else version
     if chosen is None:
