@@ -33,7 +33,7 @@ BLOCK_BYTES = 2 << 20
 LOOK, HOT, HOT_PARTS = 0.01, 1024, 64
 
 _RUNS = "done boolean, a long, c long, part int, doc_id long, h long, pos long, size long"
-_SPANS = "doc_id long, h long, pos long, end long, window binary"
+_SPANS = "doc_id long, h long, spans array<struct<pos: long, end: long>>, firsts array<struct<pos: long, window: binary>>"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -131,8 +131,15 @@ def _found_runs(hot: frozenset[int], length: int, gram: int):
     return run
 
 
+def _lists(owner: np.ndarray, count: int, **fields) -> pa.Array:
+    """A list of structs for each of ``count`` owners, from values in the order of their owners."""
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32)
+    values = pa.StructArray.from_arrays([pa.array(v) for v in fields.values()], names=list(fields))
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 def _sorted_block(length: int):
-    """The repeats within one block, as intervals; of anchors in several blocks also each string's first place."""
+    """The repeats in each run of a block; of anchors in several blocks also each string's first place."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -151,16 +158,13 @@ def _sorted_block(length: int):
         repeats = order[full & (place[order] > first)]
         string, start, end = _joined(block.string[repeats], block.place[repeats], block.place[repeats] + length)
         spread = np.asarray(column["several"])[block.string[order]]
-        heads = order[full & spread & (place[order] == first)]
-        windows = block.symbols[heads[:, None] + np.arange(length)] - 1
-        strings = np.concatenate([string, block.string[heads]])
-        begin = np.concatenate([start, block.place[heads]]) + pos[strings]
-        finish = np.concatenate([end, block.place[heads] + length]) + pos[strings]
-        owners = table.select(["doc_id", "h"]).take(pa.array(strings))
-        window = [None] * len(string) + [w.tobytes() for w in windows.astype(np.uint8)]
+        heads = np.sort(order[full & spread & (place[order] == first)])
+        windows = (block.symbols[heads[:, None] + np.arange(length)] - 1).astype(np.uint8)
+        found = pa.array([w.tobytes() for w in windows], pa.binary())
         return pa.table({
-            "doc_id": owners.column("doc_id"), "h": owners.column("h"),
-            "pos": begin, "end": finish, "window": pa.array(window, pa.binary()),
+            "doc_id": column["doc_id"], "h": column["h"],
+            "spans": _lists(string, len(pos), pos=start + pos[string], end=end + pos[string]),
+            "firsts": _lists(block.string[heads], len(pos), pos=block.place[heads] + pos[block.string[heads]], window=found),
         })
 
     return run
@@ -173,7 +177,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for i, text in enumerate(batch.column(2)):
             content = (text.as_py() or "").encode()
-            found = sorted((s["pos"], s["end"]) for s in spans[i].as_py() or ())
+            found = sorted((s["pos"], s["end"]) for part in spans[i].as_py() or () for s in part)
             digest, removed, count, reached = hashlib.sha256(), 0, 0, 0
             kept_to = 0
             for start, end in found:
@@ -198,7 +202,7 @@ def _same_row(one: str, two: str) -> F.Column:
 
 
 def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc_id, h, pos, end``: intervals that cover every occurrence but the first of every string of ``length`` bytes."""
+    """``doc_id, h, spans``: intervals that cover every occurrence but the first of every string of ``length`` bytes."""
     looked = rows.sample(LOOK, seed=1).mapInArrow(_found_runs(frozenset(), length, gram), _RUNS).where("NOT done")
     often = looked.groupBy("a").count().where("count >= 64").orderBy(F.desc("count")).limit(HOT)
     hot = frozenset(r.a for r in often.collect())
@@ -222,7 +226,8 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     together = max(1, BLOCK_BYTES // (2 * length - gram))  # runs of the greatest size
     in_part = Window.partitionBy("a", "part").orderBy("c")
     kept = written(kinds.where("kind IN ('done', 'copy', 'entry')"), "suffix-runs")
-    copies = kept.where("kind <> 'entry'").selectExpr("doc_id", "h", "pos", f"pos + size + if(kind = 'done', 0, {length - 1}) AS end")
+    end = f"pos + size + if(kind = 'done', 0, {length - 1})"
+    copies = kept.where("kind <> 'entry'").selectExpr("doc_id", "h", f"array(struct(pos, {end} AS end)) AS spans")
     entries = kept.where("kind = 'entry'").withColumn("unit", F.floor((F.row_number().over(in_part) - 1) / together))
     entries = written(entries, "suffix-entries")
     wide = entries.where("part > 0 OR unit > 0").select("a", F.lit(True).alias("several")).distinct()
@@ -237,9 +242,10 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     )
     spans = written(dealt.groupBy("block").applyInArrow(_sorted_block(length), _SPANS), "suffix-spans")
     by_string = Window.partitionBy("window").orderBy(F.asc_nulls_first("doc_id"), "h", "pos")
-    again = spans.where("window IS NOT NULL").withColumn("nth", F.row_number().over(by_string)).where("nth > 1")
-    columns = ["doc_id", "h", "pos", "end"]
-    return copies.unionByName(spans.where("window IS NULL").select(columns)).unionByName(again.select(columns))
+    firsts = spans.where("size(firsts) > 0").select("doc_id", "h", F.inline("firsts"))
+    again = firsts.withColumn("nth", F.row_number().over(by_string)).where("nth > 1")
+    again = again.selectExpr("doc_id", "h", f"array(struct(pos, pos + {length} AS end)) AS spans")
+    return copies.unionByName(spans.where("size(spans) > 0").select("doc_id", "h", "spans")).unionByName(again)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -255,7 +261,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     own = F.lit(0).cast("long") if count.n == count.ids else F.xxhash64(F.coalesce("text", F.lit("")))
     rows = slim.select("doc_id", own.alias("h"), "text")
     spans = repeats(rows, length, gram)
-    each = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", "end")).alias("spans"))
+    each = spans.groupBy("doc_id", "h").agg(F.collect_set("spans").alias("spans"))
     with_spans = rows.alias("t").join(each.alias("e"), _same_row("t", "e"), "left").select("t.doc_id", "t.h", "t.text", "e.spans")
     figures = with_spans.mapInArrow(_cut, "doc_id long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
