@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from checks.duck_views import W, rows
 from checks.present import Check
+from pyspark.sql import functions as F
+
 from tickloom.operators import asof, daily, flows, fundamentals, technical, valuation
 from tickloom.operators.latest import latest_value
 from tickloom.schema import TABLES
+from tickloom.session import shared_folder
 from tickloom.sources.market_views import AS_OF, BUILDERS, view
 
 KEY = "stock_code"
@@ -67,6 +72,20 @@ def _folded(spark, d):
     return technical.technical(_bars(spark, d)).select("stock_code", "trade_date", *names)
 
 
+def _backfilled(spark, d):
+    """Indicators of bars that lack a week for a third of the symbols, then gone on with from the snapshots before that week."""
+    bars = _bars(spark, d)
+    week = "trade_date BETWEEN '1995-03-03' AND '1995-03-10' AND pmod(crc32(CAST(stock_code AS BINARY)), 3) = 0"
+    before = technical.technical_with_states(bars.where(f"NOT ({week})"))
+    folder = f"{shared_folder(spark)}/backfill-{uuid.uuid4().hex}"
+    before.write.parquet(folder)
+    before = spark.read.parquet(folder)
+    starts = bars.where(week).groupBy(KEY).agg(F.min(DAY).alias("first_day"))
+    after = technical.technical_since(bars, starts, technical.fold_states(before))
+    kept = before.join(starts, KEY, "left").where(f"first_day IS NULL OR {DAY} < first_day").drop("first_day")
+    return kept.unionByName(after)
+
+
 MA = technical.MA_WINDOWS
 
 
@@ -93,6 +112,9 @@ CHECKS = [
     Check("technical_recursive", _folded, "SELECT * FROM technical_fold", KEY, FOLDED, DAY),
     Check("technical_all", BUILDERS["technical_indicators"], "SELECT * FROM technical_indicators", KEY,
           f"{ROLLING} {FOLDED}", DAY),
+    Check("technical_scanned", lambda s, d: technical.technical_scanned(_bars(s, d)),
+          "SELECT * FROM technical_fold", KEY, " ".join(technical.SCANNED_COLUMNS), DAY),
+    Check("technical_backfilled", _backfilled, "SELECT * FROM technical_indicators", KEY, f"{ROLLING} {FOLDED}", DAY),
     Check("moving_averages", lambda s, d: technical.moving_averages(_bars(s, d)), f"""
         SELECT * FROM (SELECT stock_code, trade_date, {", ".join(
             f"CASE WHEN c{n} >= {n} THEN {_half_even(f's{n}', n)} END AS ma{n}" for n in MA)}

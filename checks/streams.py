@@ -7,8 +7,9 @@ import uuid
 from checks.duck_views import symbol as duck_symbol
 from checks.present import Check
 from tickloom.session import shared_folder
-from tickloom.sources.market_views import symbol
+from tickloom.sources.market_views import symbol, view
 from tickloom.sources.tables import is_file, scan
+from tickloom.streaming.series import keyed_state, recursive_stream
 from tickloom.streaming.upserts import bars_from_stored_ticks, daily_bars, upsert_stream
 
 _EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -55,6 +56,23 @@ def _late_bars(spark, d):
     return scan(spark, f"{root}/tables", "stock_daily")
 
 
+def _recursive(spark, d):
+    """Bars in three micro-batches, the last one after a restart; the stream's state goes on from its checkpoint."""
+    root = f"{shared_folder(spark)}/recursive-{uuid.uuid4().hex}"
+    bars = view(spark, d, "bars").select("stock_code", "trade_date", "high", "low", "close")
+    parts = ("trade_date < '1993-06-01'", "trade_date BETWEEN '1993-06-01' AND '1996-02-29'", "trade_date > '1996-02-29'")
+    for number, part in enumerate(parts):
+        bars.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        if number == 0:
+            continue
+        stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        with keyed_state(spark):
+            sink = recursive_stream(stream).writeStream.format("parquet").option("path", f"{root}/out")
+            query = sink.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.parquet(f"{root}/out").where("NOT late")
+
+
 def _duck(where: str) -> str:
     return f"""
     SELECT {duck_symbol("user_id")} AS stock_code, CAST(ts AS DATE) AS trade_date, first(price ORDER BY event_id) AS open,
@@ -69,5 +87,7 @@ _FLOATS = "open high low close amount"
 CHECKS = [
     Check("stream_closed_bars", _closed_bars, _duck(_CLOSED), "stock_code", _FLOATS, "trade_date", "volume"),
     Check("stream_late_bars", _late_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),
+    Check("stream_recursive", _recursive, "SELECT * FROM technical_fold", "stock_code",
+          "ema12 ema26 macd_dif macd_dea macd_hist kdj_k kdj_d kdj_j sar", "trade_date"),
     Check("stream_running_bars", _running_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),
 ]

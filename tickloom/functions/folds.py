@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -43,16 +43,21 @@ class ExpMean:
         return self.means(np.asarray(xs, float)).tolist()
 
     def means(self, xs: np.ndarray) -> np.ndarray:
+        return self.traced(xs)[0]
+
+    def traced(self, xs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The means, and for how many rows each has aged: the state after each row."""
         if not len(xs):
-            return xs
+            return xs, xs
         past = np.full(1 + self.aged, math.nan)
         past[0] = self.value
         series = pd.Series(np.concatenate([past, xs]))
-        out = series.ewm(alpha=self.alpha, adjust=False, ignore_na=False).mean().to_numpy()
-        known = np.flatnonzero(~np.isnan(xs))
-        self.aged = len(xs) - 1 - known[-1] if len(known) else self.aged + len(xs)
-        self.value = out[-1]
-        return out[len(past) :]
+        out = series.ewm(alpha=self.alpha, adjust=False, ignore_na=False).mean().to_numpy()[len(past) :]
+        rows = np.arange(len(xs))
+        known = np.maximum.accumulate(np.where(np.isnan(xs), -1 - self.aged, rows))
+        ages = rows - known
+        self.value, self.aged = out[-1], int(ages[-1])
+        return out, ages
 
 
 class ParabolicStop:
@@ -67,6 +72,10 @@ class ParabolicStop:
     def run(self, highs: list[float], lows: list[float]) -> list[float]:
         return [self._step(h, low) for h, low in zip(highs, lows)]
 
+    def traced(self, highs: list[float], lows: list[float]) -> list[tuple[float, float, float, float]]:
+        """Stop, extreme, direction and speed: the state after each row."""
+        return [(self._step(h, low), self.extreme, float(self.rising), self.speed) for h, low in zip(highs, lows)]
+
     def _step(self, high: float, low: float) -> float:
         if not self.started:
             self.started, self.sar, self.extreme = True, low, high
@@ -88,26 +97,55 @@ def _floats(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
+MEANS = {"ema12": 2 / 13, "ema26": 2 / 27, "macd_dea": 2 / 10, "kdj_k": 1 / 3, "kdj_d": 1 / 3}
+FOLD_COLUMNS = (*MEANS, "sar")
+_STOP = ("sar", "sar_extreme", "sar_rising", "sar_speed")
+#: All that a series is continued from: the columns above and what is behind them.
+STATE_COLUMNS = (*MEANS, *_STOP, *(f"{m}_age" for m in MEANS))
+
+
+class Recursion:
+    """The recursive indicators of one series, from its start or from the state after any of its rows."""
+
+    def __init__(self, state: Mapping[str, float] | None = None):
+        self.means = {m: ExpMean(alpha) for m, alpha in MEANS.items()}
+        self.stop = ParabolicStop()
+        if state is not None and not math.isnan(state["sar_speed"]):
+            for name, mean in self.means.items():
+                mean.value, mean.aged = state[name], int(state[f"{name}_age"])
+            stop = self.stop
+            stop.sar, stop.extreme, rising, stop.speed = (state[c] for c in _STOP)
+            stop.rising, stop.started = rising > 0, True
+
+    def run(self, close: np.ndarray, high: np.ndarray, low: np.ndarray, rsv: np.ndarray) -> dict[str, np.ndarray]:
+        """The state after each of the next rows."""
+        out: dict[str, np.ndarray] = {}
+
+        def mean(name: str, xs: np.ndarray) -> np.ndarray:
+            out[name], out[f"{name}_age"] = self.means[name].traced(xs)
+            return out[name]
+
+        mean("macd_dea", mean("ema12", close) - mean("ema26", close))
+        mean("kdj_d", mean("kdj_k", rsv))
+        stops = np.array(self.stop.traced(high.tolist(), low.tolist())).reshape(-1, len(_STOP))
+        return out | dict(zip(_STOP, stops.T, strict=True))
+
+
+def _rows_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [_floats(batch, c) for c in ("close", "high", "low", "rsv")]
+
+
 def recursive_indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """ema12, ema26, macd_dea, kdj_k, kdj_d and sar, one dict of columns per batch."""
-    fast, slow, signal = (ExpMean.of_span(n) for n in (12, 26, 9))
-    k_mean, d_mean = ExpMean(1.0 / 3.0), ExpMean(1.0 / 3.0)
-    stop = ParabolicStop()
+    """ema12, ema26, macd_dea, kdj_k, kdj_d, sar and the rest of the state, one dict of columns per batch.
+
+    A series whose rows carry a state (columns ``from_...``) continues from that of its first row.
+    """
+    series = None
     for batch in batches:
-        close = _floats(batch, "close")
-        ema12, ema26 = fast.means(close), slow.means(close)
-        k = k_mean.means(_floats(batch, "rsv"))
-        yield {
-            "ema12": ema12,
-            "ema26": ema26,
-            "macd_dea": signal.means(ema12 - ema26),
-            "kdj_k": k,
-            "kdj_d": d_mean.means(k),
-            "sar": np.array(stop.run(_floats(batch, "high").tolist(), _floats(batch, "low").tolist())),
-        }
-
-
-FOLD_COLUMNS = ("ema12", "ema26", "macd_dea", "kdj_k", "kdj_d", "sar")
+        if series is None and batch.num_rows and f"from_{STATE_COLUMNS[0]}" in batch.schema.names:
+            series = Recursion({c: float(_floats(batch.slice(0, 1), f"from_{c}")[0]) for c in STATE_COLUMNS})
+        series = series or Recursion()
+        yield series.run(*_rows_of(batch))
 
 
 def fold_series(

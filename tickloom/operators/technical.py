@@ -8,10 +8,12 @@ take what the start of a series offers; each indicator has its own value for an
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tickloom.functions.folds import FOLD_COLUMNS, fold_series, recursive_indicators
+from tickloom.functions.folds import MEANS, FOLD_COLUMNS, STATE_COLUMNS, fold_series, recursive_indicators
 from tickloom.functions.scalar import floor_at_zero, ndiv, num, pct
 from tickloom.functions.series import BARS, mean_abs_deviation
+from tickloom.operators.scan import exp_means
 from tickloom.schema import TABLES
 
 MA_WINDOWS = (5, 10, 20, 60)
@@ -107,19 +109,94 @@ def technical_rolling(daily: DataFrame) -> DataFrame:
     return _indicators(daily).select(*_KEY, *ROLLING_COLUMNS)
 
 
+def _finished(folded: DataFrame) -> DataFrame:
+    return folded.selectExpr(
+        "*",
+        "ema12 - ema26 AS macd_dif",
+        "(ema12 - ema26 - macd_dea) * 2 AS macd_hist",
+        "3 * kdj_k - 2 * kdj_d AS kdj_j",
+    )
+
+
 def technical(daily: DataFrame) -> DataFrame:
     """All 37 indicators."""
     windowed = _indicators(daily).drop("open", "volume")
     folded = fold_series(
         windowed, "stock_code", "trade_date", FOLD_COLUMNS, recursive_indicators
     )
-    full = folded.selectExpr(
+    return _finished(folded).select(*TABLES["technical_indicators"].columns)
+
+
+SCANNED_COLUMNS = ("ema12", "ema26", "macd_dif", "macd_dea", "macd_hist", "kdj_k", "kdj_d", "kdj_j")
+
+
+def technical_scanned(daily: DataFrame, block: str = "year(trade_date)") -> DataFrame:
+    """EMA, MACD and KDJ by prefix scans, for series too long for one task; ``block`` as in :func:`exp_means`.
+
+    The parabolic stop is no linear recurrence and stays with the fold of :func:`technical`.
+    """
+    rows = _indicators(daily).select(*_KEY, "close", "rsv")
+    one = exp_means(rows, *_KEY, block, {m: (c, MEANS[m]) for m, c in (("ema12", "close"), ("ema26", "close"), ("kdj_k", "rsv"))})
+    one = one.selectExpr("*", "ema12 - ema26 AS macd_dif")
+    two = exp_means(one, *_KEY, block, {m: (c, MEANS[m]) for m, c in (("macd_dea", "macd_dif"), ("kdj_d", "kdj_k"))})
+    return two.selectExpr("*", "(macd_dif - macd_dea) * 2 AS macd_hist", "3 * kdj_k - 2 * kdj_d AS kdj_j").select(*_KEY, *SCANNED_COLUMNS)
+
+
+#: A window of windows looks back on no more rows than these.
+LOOK_BACK = 61
+
+
+def _with_state(folded: DataFrame) -> DataFrame:
+    full = _finished(folded)
+    return full.select(*TABLES["technical_indicators"].columns, "window_from", "month_end", *(c for c in STATE_COLUMNS if c not in FOLD_COLUMNS))
+
+
+def technical_with_states(daily: DataFrame) -> DataFrame:
+    """All indicators and behind them what :func:`fold_states` takes: the fold's state after each row."""
+    windowed = _snapshot_marks(_indicators(daily).drop("open", "volume"))
+    return _with_state(fold_series(windowed, *_KEY, STATE_COLUMNS, recursive_indicators))
+
+
+def _snapshot_marks(windowed: DataFrame) -> DataFrame:
+    """Whether a row is the last of its month so far, and the day from which bars are read to go on after it."""
+    month = "trunc(trade_date, 'MM')"
+    return windowed.selectExpr(
         "*",
-        "ema12 - ema26 AS macd_dif",
-        "(ema12 - ema26 - macd_dea) * 2 AS macd_hist",
-        "3 * kdj_k - 2 * kdj_d AS kdj_j",
+        f"{BARS.lag('trade_date', LOOK_BACK)} AS window_from",
+        f"{month} <> coalesce({BARS.lead(month)}, date'9999-12-01') AS month_end",
     )
-    return full.select(*TABLES["technical_indicators"].columns)
+
+
+def fold_states(rows: DataFrame) -> DataFrame:
+    """The state of each symbol at its month ends, from rows of :func:`technical_with_states`."""
+    return rows.where("month_end").select(*_KEY, "window_from", "obv", *STATE_COLUMNS)
+
+
+def technical_since(daily: DataFrame, starts: DataFrame, states: DataFrame) -> DataFrame:
+    """Indicators from each symbol's ``first_day`` on, equal to those of :func:`technical_with_states` of all bars.
+
+    ``starts`` (stock_code, first_day) are the symbols with new or changed bars and the first day of these;
+    ``states`` the snapshots of the bars before the change. A symbol is continued from its newest snapshot before that
+    day: bars are read from there, and as far back as its windows look. One without a snapshot is computed whole.
+    All rows of such a symbol are returned, of the others those from ``first_day`` on.
+    """
+    held = [c for c in states.columns if c != "stock_code"]
+    before = states.join(starts, "stock_code").where("trade_date < first_day")
+    newest = before.groupBy("stock_code").agg(F.max_by(F.struct(*held), "trade_date").alias("_state"))
+    named = {"trade_date": "from_day", "window_from": "read_from"}
+    begin = starts.join(newest, "stock_code", "left").selectExpr(
+        "stock_code", "if(_state IS NULL, date'0001-01-01', first_day) AS since",
+        *(f"_state.{c} AS {named.get(c, f'from_{c}')}" for c in held),
+    )
+    bars = daily.join(begin.select("stock_code", "read_from"), "stock_code").where("read_from IS NULL OR trade_date >= read_from")
+    windowed = _snapshot_marks(_indicators(bars.drop("read_from")).drop("open", "volume"))
+    going = windowed.join(begin.drop("read_from"), "stock_code")
+    at_start = BARS.whole("max(if(trade_date = from_day, obv, NULL))")
+    going = going.selectExpr("*", f"coalesce(from_obv - {at_start}, 0D) AS _obv_before").where("from_day IS NULL OR trade_date > from_day")
+    folded = fold_series(going, *_KEY, STATE_COLUMNS, recursive_indicators)
+    moved = folded.withColumn("obv", F.expr("obv + _obv_before"))
+    full = _finished(moved).where("trade_date >= since")
+    return full.select(*_with_state(folded).columns)
 
 
 def moving_averages(daily: DataFrame) -> DataFrame:

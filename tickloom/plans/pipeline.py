@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators.daily import with_daily_basic
 from tickloom.operators.flows import inflow_sums
 from tickloom.operators.fundamentals import fundamentals
 from tickloom.operators.incremental import stored_watermarks, write_watermarks
-from tickloom.operators.technical import technical
+from tickloom.operators.technical import fold_states, technical_since, technical_with_states
 from tickloom.operators.valuation import DIVIDEND_DAYS, valuation
 from tickloom.schema import TABLES
 from tickloom.sources.tables import (
@@ -25,6 +26,7 @@ from tickloom.sources.tables import (
     merge_landed,
     read_version,
     scan,
+    staging,
 )
 
 DERIVED = (
@@ -36,8 +38,20 @@ DERIVED = (
 )
 
 
+#: State of the recursive indicators by symbol and month, from which a run goes on.
+STATES = "fold_states"
+
+
 def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
-    """The five derived tables as lazy frames at their stored scales."""
+    """The five derived tables as lazy frames at their stored scales, and the states behind the indicators."""
+    return {**_derive_rest(tables, as_of), **_from_series(technical_with_states(tables["stock_daily"]))}
+
+
+def _from_series(series: DataFrame) -> dict[str, DataFrame]:
+    return {"technical_indicators": conform(series, "technical_indicators"), STATES: fold_states(series)}
+
+
+def _derive_rest(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     bars, capital = tables["stock_daily"], tables["stock_capital"]
     figures = conform(
         fundamentals(tables["financial_statements"], capital), "financial_intermediate"
@@ -45,7 +59,6 @@ def derive(tables: Mapping[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
     values = valuation(bars, figures, capital, tables["dividends"], as_of)
     return {
         "stock_daily": conform(with_daily_basic(bars), "stock_daily"),
-        "technical_indicators": conform(technical(bars), "technical_indicators"),
         "financial_intermediate": figures,
         "valuation_indicators": conform(values, "valuation_indicators"),
         "northbound_flow": conform(
@@ -70,31 +83,46 @@ def recompute(
     as_of: str,
     root: str,
     symbols: DataFrame | None = None,
+    first_days: DataFrame | None = None,
 ) -> int:
     """Derive the tables and commit them as one version under ``root``.
 
     With ``symbols`` (a frame with ``stock_code``) only theirs are derived and replace their rows of
     the newest version, together with those of symbols whose dividends enter or leave the year before
-    ``as_of`` since that version; all others are copied as they are. The result is that of a full run.
+    ``as_of`` since that version; all others are copied as they are. With ``first_days`` (stock_code, first_day)
+    indicators are derived for those symbols only and from those days on, going on from the stored state before
+    them. The result is that of a full run.
     """
     run = spark.createDataFrame([(as_of,)], "as_of string")
     version = latest_version(spark, root)
-    if symbols is None or version is None or not has_table(spark, root, RUN, version):
-        return commit_version(spark, {**derive(tables, as_of), RUN: run}, root)
-    before = read_version(spark, root, RUN, version).first().as_of
-    wanted = symbols.select("stock_code")
-    if before != as_of:
-        wanted = wanted.unionByName(_leaving(tables["dividends"], before, as_of))
-    wanted = wanted.distinct()
-    part = {
-        name: tables[name].join(wanted, "stock_code", "left_semi")
-        for name in ("stock_daily", "stock_capital", "financial_statements", "dividends", "northbound_flow")
-    }
-    frames = {RUN: run}
-    for name, fresh in derive(part, as_of).items():
-        old = read_version(spark, root, name, version)
-        frames[name] = old.join(wanted, "stock_code", "left_anti").unionByName(fresh)
-    return commit_version(spark, frames, root)
+    with staging(spark, root) as stage:
+        if symbols is None or version is None or not has_table(spark, root, RUN, version):
+            series = stage(technical_with_states(tables["stock_daily"]))
+            return commit_version(spark, {**_derive_rest(tables, as_of), **_from_series(series), RUN: run}, root)
+        before = read_version(spark, root, RUN, version).first().as_of
+        wanted = symbols.select("stock_code")
+        if before != as_of:
+            wanted = wanted.unionByName(_leaving(tables["dividends"], before, as_of))
+        wanted = wanted.distinct()
+        part = {
+            name: tables[name].join(wanted, "stock_code", "left_semi")
+            for name in ("stock_daily", "stock_capital", "financial_statements", "dividends", "northbound_flow")
+        }
+        old = {name: read_version(spark, root, name, version) for name in (*DERIVED, STATES)}
+        frames = {RUN: run}
+        for name, fresh in _derive_rest(part, as_of).items():
+            frames[name] = old[name].join(wanted, "stock_code", "left_anti").unionByName(fresh)
+        if first_days is None:
+            first_days = wanted.selectExpr("stock_code", "date'0001-01-01' AS first_day")
+        starts = first_days.groupBy("stock_code").agg(F.min("first_day").alias("first_day"))
+        series = stage(technical_since(tables["stock_daily"], starts, old[STATES]))
+        states = starts.join(old[STATES], "stock_code", "left").groupBy("stock_code", "first_day")
+        known = states.agg(F.bool_or(F.col("trade_date") < F.col("first_day")).alias("known"))
+        cut = known.selectExpr("stock_code", "if(known, first_day, date'0001-01-01') AS since")
+        for name, fresh in _from_series(series).items():
+            kept = old[name].join(cut, "stock_code", "left").where("since IS NULL OR trade_date < since").drop("since")
+            frames[name] = kept.unionByName(fresh)
+        return commit_version(spark, frames, root)
 
 
 def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> dict[str, Landing]:
@@ -140,12 +168,16 @@ def load_and_derive(
 
     Symbols without landed rows keep their derived rows.
     """
-    touched = None
+    touched, first_days = None, None
     for table, landing in load(spark, landed, root).items():
         if "stock_code" in landed[table].columns:
             part = landing.good.select("stock_code")
             touched = part if touched is None else touched.unionByName(part)
-    return recompute(spark, Store(spark, f"{root}/tables"), as_of, f"{root}/derived", touched)
+        if table == "stock_daily":
+            first_days = landing.good.groupBy("stock_code").agg(F.min("trade_date").alias("first_day"))
+    if first_days is None and touched is not None:
+        first_days = touched.limit(0).selectExpr("stock_code", "date(NULL) AS first_day")
+    return recompute(spark, Store(spark, f"{root}/tables"), as_of, f"{root}/derived", touched, first_days)
 
 
 def updated(spark: SparkSession, root: str) -> Store:

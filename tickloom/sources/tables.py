@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -315,12 +316,8 @@ def merge_rows(
     keyed = {k: f"CASE WHEN {k} IS NOT NULL THEN {k} ELSE raise_error('NULL key for {table}') END AS {k}" for k in spec.keys}
     ranks = [f"{c} AS _order{i}" for i, c in enumerate(order)]
     shaped = conform(updates.selectExpr(*(keyed.get(c, c) for c in updates.columns), *ranks), spec, [f"_order{i}" for i in range(len(order))])
-    folder = f"{root}/{table}/_landing/{uuid.uuid4().hex}"
-    shaped.write.parquet(folder)
-    try:
-        merge_landed(spark, spark.read.schema(shaped.schema).parquet(folder), root, table, named, rule)
-    finally:
-        _remove(spark, folder)
+    with staging(spark, f"{root}/{table}") as stage:
+        merge_landed(spark, stage(shaped), root, table, named, rule)
 
 
 def merge_landed(
@@ -337,10 +334,8 @@ def merge_landed(
     stored = _layout(spark, root, table)
     rank = [c for c in fresh.columns if c.startswith("_order")] or spec.values
     last = keep_last(fresh.selectExpr(*spec.columns, f"struct({', '.join(rank)}) AS _rank"), spec.keys, "_rank") if rank else fresh
-    folder = f"{root}/{table}/_landing/{uuid.uuid4().hex}"
-    last.select(spec.columns).write.parquet(folder)
-    updates = spark.read.schema(spec.struct).parquet(folder)
-    try:
+    with staging(spark, f"{root}/{table}") as stage:
+        updates = stage(last.select(spec.columns))
         touched = {_WHOLE}
         if spec.by_month:
             month = f"date_format({spec.date_col}, 'yyyy-MM') AS month"
@@ -352,8 +347,6 @@ def merge_landed(
         if touched:
             added = _write(merged, root, table)
             _publish(spark, root, table, number, {**(stored or {}), **added})
-    finally:
-        _remove(spark, folder)
 
 
 def vacuum(spark: SparkSession, root: str, table: str) -> list[str]:
@@ -389,6 +382,22 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+@contextmanager
+def staging(spark: SparkSession, root: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives frames back as written ones, for those that several outputs are made of; they go at the end."""
+    folder = f"{root}/_staging/{uuid.uuid4().hex}"
+
+    def stage(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        _remove(spark, folder)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, target, _ = _filesystem(spark, path)
     return fs.getFileStatus(target).isFile()
