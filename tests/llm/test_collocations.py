@@ -116,4 +116,4 @@ def test_tries():
         begins = np.concatenate([[0], np.cumsum([len(k[1]) for k in asked])])
         states = trie.walk(np.array([names.index(k[0]) + 1 for k in asked]), np.arange(len(asked)), text, begins)
         place = {k: i for i, k in enumerate(keys)}
-        assert trie.number[states].tolist() == [place.get(k, -1) for k in asked]
+        assert trie.numbers()[states].tolist() == [place.get(k, -1) for k in asked]

@@ -32,8 +32,6 @@ TRIE_BYTES = 8 << 20
 PIECE = 4 << 20
 #: Longer words are in a trie by their digest, after a character that no word has.
 LONG_WORD = 64
-#: Hashes of candidates that a task remembers so as not to give them out again.
-GIVEN = 1 << 21
 
 _WORD, _BLANK, _CUT = 0, 1, 2
 _KIND = bytes(_BLANK if b in b" \t" else _CUT if b in b".,;:!?\n\x0b\x0c\r" else _WORD for b in range(256))
@@ -64,6 +62,7 @@ class Places:
         words = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])]).dictionary_encode()
         self.code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.words = words.dictionary
+        self._hashes: list[np.ndarray] = []  # of phrases of no words, of one, and so on
 
     def __len__(self) -> int:
         return len(self.code)
@@ -76,15 +75,17 @@ class Places:
 
     def hashes(self, size: int) -> np.ndarray:
         """Of the phrase of ``size`` words from each place on; meaningless where that has a cut."""
-        own = RunHashes(np.frombuffer("\n".join(self.langs).encode(), np.uint8))
-        sizes = np.array([len(n.encode()) for n in self.langs])
-        starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1].astype(np.int64)
-        out = own.between(starts, starts + sizes)[self.lang] if len(self) else np.zeros(0, np.uint64)
-        data, offsets = _bytes_of(self.words)
-        each = RunHashes(data).between(offsets[:-1], offsets[1:])[self.code] if len(self) else out
-        for k in range(size):
-            out = mixed(out[: len(self) - k] * _TIMES + each[k:])
-        return out
+        if not self._hashes:
+            own = RunHashes(np.frombuffer("\n".join(self.langs).encode(), np.uint8))
+            sizes = np.array([len(n.encode()) for n in self.langs], np.int64)
+            starts = np.cumsum(sizes + 1) - sizes - 1
+            data, offsets = _bytes_of(self.words)
+            self._each = RunHashes(data).between(offsets[:-1], offsets[1:])[self.code]
+            self._hashes = [own.between(starts, starts + sizes)[self.lang]]
+        while len(self._hashes) <= size:
+            k, shorter = len(self._hashes) - 1, self._hashes[-1]
+            self._hashes.append(mixed(shorter[: len(self) - k] * _TIMES + self._each[k:]))
+        return self._hashes[size]
 
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
         parts = [self.words.take(pa.array(self.code[at + k])) for k in range(size)]
@@ -157,17 +158,12 @@ def _candidates(texts: DataFrame, bitmaps: list) -> DataFrame:
     """Distinct phrases of all levels whose hash has the support; with a null phrase the words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = np.zeros(0, np.uint64)  # what the task has given out already, by hash
         for places in _places(batches):
             rows: list[tuple[np.ndarray, pa.Array, np.ndarray]] = []
-            if len(given) > GIVEN:
-                given = given[:0]
             for size, bitmap in enumerate(bitmaps, 1):
                 at, hashes = _possible(places, size, bitmaps[size - 2].value if size > 1 else None)
                 on = bitmap.value.has(hashes)
-                hashes, first = np.unique(hashes[on], return_index=True)
-                fresh = ~np.isin(hashes, given, assume_unique=True)
-                at, given = at[on][first[fresh]], np.union1d(given, hashes[fresh])
+                at = at[on][np.unique(hashes[on], return_index=True)[1]]
                 rows.append((places.lang[at], places.phrases(at, size), np.zeros(len(at), np.int64)))
             totals = np.bincount(places.lang, minlength=len(places.langs))
             rows.append((np.arange(len(totals)), pa.nulls(len(totals), pa.string()), totals))
@@ -200,8 +196,8 @@ def _trie(table: pa.Table) -> pa.Table:
     data, starts = data[starts[0] : starts[-1]], starts - starts[0]
     trie = build(data, starts, langs.indices.to_numpy(), len(langs.dictionary))
     return pa.table({
-        "run": [table.column("run")[0].as_py()], "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())), "keys": [len(table)],
-        "base": [trie.base.tobytes()], "check": [trie.check.tobytes()], "number": [trie.number.tobytes()],
+        "run": [table.column("run")[0].as_py()], "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())),
+        "base": [trie.base.tobytes()], "check": [trie.check.tobytes()], "accepting": [trie.accepting.tobytes()],
     })
 
 
@@ -222,8 +218,9 @@ def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     """Counts of a trie's phrases in a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, langs, keys, trie = shared.value
-        roots, counts = {name: i for i, name in enumerate(langs, 1)}, np.zeros(keys, np.int64)
+        number, langs, trie = shared.value
+        roots, keys = {name: i for i, name in enumerate(langs, 1)}, len(trie.accepting)
+        counts, accepts = np.zeros(keys, np.int64), trie.numbers()
         for places in _places(batches):
             data, starts = _bytes_of(_short(places.words))
             root = np.array([roots.get(name, 0) for name in places.langs], np.int64)
@@ -238,7 +235,7 @@ def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     at, states = at[on], trie.step(states[on], ord(" "))
                     at, states = at[states > 0], states[states > 0]
                     states = trie.walk(states, places.code[at + level - 1], data, starts)
-                accepted = trie.number[states]
+                accepted = accepts[states]
                 counts += np.bincount(accepted[accepted >= 0], minlength=keys)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -248,6 +245,13 @@ def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
+def _collected(row: DataFrame) -> tuple[int, list[str], Trie]:
+    """One trie, of bounded size."""
+    table = row.toArrow().combine_chunks()
+    arrays = (np.frombuffer(table.column(c)[0].as_buffer(), np.int32) for c in ("base", "check", "accepting"))
+    return table.column("run")[0].as_py(), table.column("langs")[0].as_py(), Trie(*arrays)
+
+
 def counted(texts: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``size`` words that occur ``least`` times or more (lang, phrase, f), and words by language."""
     spark, context = texts.sparkSession, texts.sparkSession.sparkContext
@@ -263,13 +267,11 @@ def counted(texts: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFra
     whole = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0))).first()[0]
     dealt = keys.repartitionByRange(max(1, -(-whole // TRIE_BYTES)), "lang", "key").sortWithinPartitions("lang", "key")
     numbered = written(dealt.mapInArrow(_numbered, "lang string, key binary, phrase string, run long, number long"), "phrase-keys")
-    schema = "run long, langs array<string>, keys long, base binary, check binary, number binary"
+    schema = "run long, langs array<string>, base binary, check binary, accepting binary"
     tries = written(numbered.groupBy("run").applyInArrow(_trie, schema), "phrase-tries")
     counts = None
     for run in sorted(r.run for r in tries.select("run").collect()):
-        row = tries.where(F.col("run") == run).first()
-        trie = Trie(*(np.frombuffer(x, np.int32) for x in (row.base, row.check, row.number)))
-        shared = context.broadcast((run, row.langs, row["keys"], trie))
+        shared = context.broadcast(_collected(tries.where(F.col("run") == run)))
         sums = texts.mapInArrow(_counter(shared, size), "run long, number long, f long").groupBy("run", "number").agg(F.sum("f").alias("f"))
         part = written(sums.where(f"f >= {least}"), "phrase-counts")
         shared.unpersist()

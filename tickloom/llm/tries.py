@@ -13,12 +13,18 @@ _BYTES = 256
 class Trie:
     """State ``s`` goes by byte ``b`` to ``base[s] + b`` if ``check`` there is ``s``; state 0 is nowhere.
 
-    ``number`` of an accepting state is the place of its string among the sorted ones, else -1.
+    ``accepting`` has the state that each of the sorted strings ends in.
     """
 
     base: np.ndarray
     check: np.ndarray
-    number: np.ndarray
+    accepting: np.ndarray
+
+    def numbers(self) -> np.ndarray:
+        """For each state the place of its string among the sorted ones, or -1."""
+        out = np.full(len(self.base), -1, np.int32)
+        out[self.accepting] = np.arange(len(self.accepting))
+        return out
 
     def step(self, states: np.ndarray, labels: np.ndarray | int) -> np.ndarray:
         there = self.base[states] + labels
@@ -44,10 +50,9 @@ def build(data: np.ndarray, starts: np.ndarray, root: np.ndarray, roots: int) ->
     parent, label, node = _nodes(data, starts, root, roots)
     slot, base = _placed(parent, label, roots)
     size = int(slot.max(initial=0)) + 1 + _BYTES
-    trie = Trie(np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32))
+    trie = Trie(np.zeros(size, np.int32), np.full(size, -1, np.int32), slot[node].astype(np.int32))
     trie.base[slot] = base
     trie.check[slot[roots:]] = slot[parent]
-    trie.number[slot[node]] = np.arange(len(node))
     return trie
 
 
