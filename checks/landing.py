@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from checks.duck_views import relist
 from checks.present import Check
 from tickloom.functions.series import BARS
 from tickloom.operators import merge, quality
+from tickloom.plans.pipeline import load
+from tickloom.session import shared_folder
 from tickloom.sources import feeds, raw_text
 from tickloom.sources import market_views as V
+from tickloom.sources.tables import scan
 
 KEY, DAY = "stock_code", "trade_date"
 AS_OF = "2000-03-31"
@@ -275,6 +280,50 @@ def _announcements(spark, d):
     return feeds.announcements(raw)
 
 
+#: Symbols that land without a code, and days whose dates land in another format.
+_NAMELESS, _ODD_DAY = "right(stock_code, 1) = '7'", 13
+
+
+def _broken(day: str) -> str:
+    """Key columns of a feed in which some rows cannot be read."""
+    return f"if({_NAMELESS}, NULL, stock_code) AS stock_code, if(day({day}) = {_ODD_DAY}, date_format({day}, 'dd.MM.yyyy'), string({day}))"
+
+
+def _broken_feeds(spark, d):
+    q = lambda text: V.query(spark, d, text)
+    return {
+        "northbound": q(f"SELECT {_broken('trade_date')} AS `持股日期`, string(net_inflow) AS `今日增持资金`, string(holding_shares) AS `持股数量`, "
+                        "string(holding_value) AS `持股市值`, string(holding_ratio) AS `持股数量占A股百分比` FROM northbound_rows"),
+        "announcements": q(f"SELECT {_broken('announcement_date')} AS `公告日期`, title AS `公告标题`, pdf_url AS `网址`, "
+                           "announcement_type AS `公告类型` FROM announcements"),
+        "margin": q(f"SELECT code AS `证券代码`, day AS _trade_date, '1' AS `融资余额`, '2' AS `融券余额` FROM (SELECT stock_code AS code, day FROM "
+                    f"(SELECT {_broken('trade_date')} AS day FROM margin_legs))"),
+        "statements_sina": q("SELECT stock_code, if(quarter(report_date) = 3, date_format(report_date, 'dd.MM.yyyy'), string(report_date)) AS `报告日`, "
+                             "report_type AS `类型` FROM statements"),
+        "statements_minimal": q("SELECT stock_code, if(quarter(report_date) = 3, 'x', string(year(report_date))) AS year, "
+                                "quarter(report_date) AS quarter FROM statements"),
+    }
+
+
+def _feed_rejects(spark, d):
+    """The rows whose keys cannot be read, with the reason, and how many rows the parsers return of the rest."""
+    out = None
+    for feed, raw in _broken_feeds(spark, d).items():
+        rows = feeds.unreadable(feed, raw).selectExpr(f"'{feed}' AS feed", "reject_reason").groupBy("feed", "reject_reason").count()
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumnRenamed("count", "rows")
+
+
+def _loaded_rejects(spark, d):
+    """The same rows after a load, among the rejects of their table; all others are stored."""
+    raw = _broken_feeds(spark, d)["northbound"]
+    root = f"{shared_folder(spark)}/feed-rejects-{uuid.uuid4().hex}"
+    load(spark, {"northbound_flow": feeds.northbound(raw)}, root, {"northbound_flow": feeds.unreadable("northbound", raw)})
+    rejects = spark.read.parquet(f"{root}/rejects/northbound_flow").selectExpr("'rejects' AS place", "count(*) AS rows")
+    stored = scan(spark, f"{root}/tables", "northbound_flow").selectExpr("'stored' AS place", "count(*) AS rows")
+    return rejects.unionByName(stored)
+
+
 def _newest_pledge(spark, d):
     return feeds.pledge(feeds.newest_pledge_snapshot(V.view(spark, d, "raw_pledge"), AS_OF))
 
@@ -377,6 +426,21 @@ CHECKS = [
     Check("list_truncation", _collisions, """
         SELECT stock_code, trade_date, left(reason, 50) AS short_text, count(DISTINCT reason) AS variants FROM top_list
         GROUP BY stock_code, trade_date, left(reason, 50) HAVING count(DISTINCT reason) > 1""", f"{KEY} short_text", "", DAY, "variants"),
+    Check("feed_rejects", _feed_rejects, f"""
+        SELECT feed, concat_ws(', ', CASE WHEN nameless THEN 'no stock_code' END,
+                               CASE WHEN odd THEN 'unreadable ' || key || ': ' || landed END) AS reject_reason, count(*) AS rows
+        FROM (
+          SELECT 'northbound' AS feed, 'trade_date' AS key, {_NAMELESS} AS nameless, day(trade_date) = {_ODD_DAY} AS odd,
+                 strftime(trade_date, '%d.%m.%Y') AS landed FROM northbound_rows
+          UNION ALL SELECT 'announcements', 'announcement_date', {_NAMELESS}, day(announcement_date) = {_ODD_DAY},
+                 strftime(announcement_date, '%d.%m.%Y') FROM announcements
+          UNION ALL SELECT 'margin', 'trade_date', {_NAMELESS}, day(trade_date) = {_ODD_DAY}, strftime(trade_date, '%d.%m.%Y') FROM margin_legs
+          UNION ALL SELECT 'statements_sina', 'report_date', false, quarter(report_date) = 3, strftime(report_date, '%d.%m.%Y') FROM statements
+          UNION ALL SELECT 'statements_minimal', 'report_date', false, quarter(report_date) = 3, 'xQ3' FROM statements
+        ) WHERE nameless OR odd GROUP BY ALL""", "feed reject_reason", "", "", "rows"),
+    Check("feed_rejects_loaded", _loaded_rejects, f"""
+        SELECT CASE WHEN {_NAMELESS} OR day(trade_date) = {_ODD_DAY} THEN 'rejects' ELSE 'stored' END AS place, count(*) AS rows
+        FROM northbound_rows GROUP BY ALL""", "place", "", "", "rows"),
     Check("northbound_feed", _northbound, "SELECT * FROM northbound_rows", KEY,
           "net_inflow holding_shares holding_value holding_ratio", DAY),
     Check("northbound_market_feed", _northbound_market, "SELECT * EXCLUDE (daily_balance), CAST(NULL AS DOUBLE) AS daily_balance FROM northbound_market",

@@ -8,14 +8,18 @@ from checks.present import Check
 from pyspark.sql import functions as F
 
 from tickloom.operators import quality
+from tickloom.operators.valuation import valuation
 from tickloom.plans import queries as Q
 from tickloom.plans.pipeline import load, load_and_derive, recompute, updated
 from tickloom.session import shared_folder
+from tickloom.sources.buckets import bucketed, replace_symbols, store_bucketed
 from tickloom.sources.market_views import AS_OF, RISK_AS_OF, MarketTables, view
 from tickloom.sources.tables import export, read_version, scan
 
 KEY, DAY = "stock_code", "trade_date"
 SPLIT = "1995-06-30"
+#: A third of the symbols.
+CHOSEN = f"right({KEY}, 1) IN ('1', '4', '7')"
 #: Inflows at this scale exceed their column when they are large.
 SCALE = 10**13
 
@@ -104,12 +108,34 @@ def _recomputed_on_another_day(spark, d):
     return two.selectExpr("count(*) AS rows", "round(sum(dividend_yield), 2) AS yields").crossJoin(differing)
 
 
+def _bucketed(spark, d):
+    """The market's tables stored by symbol; then the bars of a third of the symbols replaced by their later half."""
+    root, tables = _root(spark, "buckets"), MarketTables(spark, d)
+    for name in ("stock_daily", "financial_intermediate", "stock_capital", "dividends"):
+        store_bucketed(tables[name], root, name, 8)
+    later = tables["stock_daily"].where(f"{CHOSEN} AND {DAY} > date'{SPLIT}'")
+    replace_symbols(later, root, "stock_daily")
+    return {n: bucketed(spark, root, n).drop("bucket") for n in ("stock_daily", "financial_intermediate", "stock_capital", "dividends")}
+
+
+def _bucketed_values(spark, d):
+    held = _bucketed(spark, d)
+    return valuation(held["stock_daily"], held["financial_intermediate"], held["stock_capital"], held["dividends"], AS_OF)
+
+
+def _bucketed_counts(spark, d):
+    return _bucketed(spark, d)["stock_daily"].groupBy(KEY).agg(F.count("*").alias("rows"), F.min(DAY).alias("first_date"))
+
+
 def _exported(spark, d):
     root = _root(spark, "export")
     export(MarketTables(spark, d), root, ["stock_capital"])
     return scan(spark, root, "stock_capital")
 
 
+_KEPT = f"""(NOT ({CHOSEN}) OR trade_date > DATE '{SPLIT}'
+    OR NOT EXISTS (SELECT 1 FROM bars l WHERE l.stock_code = b.stock_code AND l.trade_date > DATE '{SPLIT}'))"""
+
 CHECKS = [
     Check("update_twice", _update_twice, "SELECT * FROM northbound_rows", KEY,
           "net_inflow holding_shares holding_value", DAY),
@@ -145,5 +171,10 @@ CHECKS = [
         SELECT 'stock_daily' AS table_name, count(*) AS rows, 0 AS differing FROM bars
         UNION ALL SELECT 'technical_indicators', count(*), 0 FROM bars
         UNION ALL SELECT 'valuation_indicators', count(*), 0 FROM valuation""", "table_name", "", "", "rows differing"),
+    Check("bucketed_replace", _bucketed_counts, f"""
+        SELECT stock_code, count(*) AS rows, min(trade_date) AS first_date FROM bars b WHERE {_KEPT}
+        GROUP BY stock_code""", KEY, "", "first_date", "rows"),
+    Check("bucketed_valuation", _bucketed_values, f"SELECT * FROM valuation b WHERE {_KEPT}",
+          KEY, "pe_ttm pb ps_ttm dividend_yield roe pe_annual ps_annual roe_ttm roe_annual", f"{DAY} used_report_date used_announcement_date"),
     Check("exported_capital", _exported, "SELECT * FROM capital", KEY, "", "record_date", "total_shares"),
 ]

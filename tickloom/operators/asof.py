@@ -31,16 +31,17 @@ def asof_newest(
     NULLs. ``tie_break`` orders periods of equal date.
     """
     carried = ", ".join((period, *tie_break, *payload))
+    # A new name for the key lets the union keep the partitioning that both sides may have by it.
     own = [c for c in rows.columns if c != by]
     known = periods.selectExpr(
-        by, f"{known_from} AS _day", "0 AS _side", f"struct({carried}) AS _state"
+        f"{by} AS _by", f"{known_from} AS _day", "0 AS _side", f"struct({carried}) AS _state"
     ).where("_day IS NOT NULL")
     asked = rows.selectExpr(
-        by, f"{on} AS _day", "1 AS _side", f"struct({', '.join(own)}) AS _row"
+        f"{by} AS _by", f"{on} AS _day", "1 AS _side", f"struct({', '.join(own)}) AS _row"
     )
-    newest = Series(by, "_day, _side").so_far("max(_state)")
+    newest = Series("_by", "_day, _side").so_far("max(_state)")
     line = known.unionByName(asked, allowMissingColumns=True)
-    found = line.selectExpr(by, "_side", "_row", f"{newest} AS _newest").where("_side = 1")
+    found = line.selectExpr("_by", "_side", "_row", f"{newest} AS _newest").where("_side = 1")
     return found.selectExpr(
-        by, *(f"_row.{c} AS {c}" for c in own), *(f"_newest.{c} AS {c}" for c in (period, *payload))
+        f"_by AS {by}", *(f"_row.{c} AS {c}" for c in own), *(f"_newest.{c} AS {c}" for c in (period, *payload))
     )

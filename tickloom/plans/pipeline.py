@@ -125,9 +125,14 @@ def recompute(
         return commit_version(spark, frames, root)
 
 
-def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> dict[str, Landing]:
+def load(
+    spark: SparkSession, landed: Mapping[str, DataFrame], root: str, unreadable: Mapping[str, DataFrame] | None = None
+) -> dict[str, Landing]:
     """Merge landed rows month by month, then advance the watermarks in one commit.
 
+    ``unreadable`` are the rows that a table's feed could not parse (``feeds.unreadable``); they go to its
+    ``rejects`` as they landed, next to the rows that cannot be stored.
+
     Each landed frame is read once: what cannot be stored goes to ``rejects`` with a reason, and counts
     and NULLs are observed, in the pass that writes the rows; merge and watermarks read what it wrote. ``rejects`` and
     ``load_report`` are those of the last load. A job that dies in between leaves the old watermarks, so the next run
@@ -139,7 +144,10 @@ def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str) -> dic
     for table, rows in landed.items():
         spec = TABLES[table]
         out[table] = landing = land(rows, spec, f"{folder}/{table}")
-        landing.rejects.write.mode("overwrite").parquet(f"{root}/rejects/{table}")
+        rejects = landing.rejects
+        if unreadable and table in unreadable:
+            rejects = rejects.unionByName(unreadable[table], allowMissingColumns=True)
+        rejects.write.mode("overwrite").parquet(f"{root}/rejects/{table}")
         if landing.rows > landing.rejected:
             merge_landed(spark, landing.good, f"{root}/tables", table, [c for c in rows.columns if c in spec.values])
         if "stock_code" in spec.keys and spec.date_col in rows.columns and landing.rows > landing.rejected:

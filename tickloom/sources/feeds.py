@@ -1,12 +1,12 @@
 """Landed provider records to table rows: one Spark job per feed, all symbols at once.
 
 Source columns carry the providers' own names. Each parser projects to its table's columns, turns
-unreadable values into NULL and drops rows without a usable key.
+unreadable values into NULL and leaves out rows whose key cannot be read; :func:`unreadable` has those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -242,6 +242,73 @@ def balance_patch(balance: DataFrame) -> DataFrame:
     return balance.selectExpr("stock_code", _em_period(balance), *_picked(balance, fields))
 
 
+# --- rows whose key cannot be read ------------------------------------------------------------
+
+
+def _coded(raw: DataFrame, *names: str) -> tuple[str, str]:
+    text = f"coalesce({', '.join(f'string({name(c)})' for c in _extra(raw, *names))})"
+    return text, to_symbol(text)
+
+
+def _plain(column: str) -> tuple[str, str]:
+    return name(column), name(column)
+
+
+def _dated(raw: DataFrame, *names: str) -> tuple[str, str]:
+    column = _extra(raw, *names)[0]
+    return name(column), _day(column)
+
+
+def _em_keys(raw: DataFrame) -> Mapping[str, tuple[str, str]]:
+    return {"stock_code": _plain("stock_code"), "report_date": ("REPORT_DATE", parse_date("left(REPORT_DATE, 10)"))}
+
+
+#: The key of each feed: the text it lands in and what is read from it.
+KEYS: Mapping[str, Callable[[DataFrame], Mapping[str, tuple[str, str]]]] = {
+    "statements_sina": lambda raw: {
+        "stock_code": _plain("stock_code"), "report_date": _dated(raw, "报告日"), "report_type": _plain("类型"),
+    },
+    "statements_em": _em_keys,
+    "statements_minimal": lambda raw: {
+        "stock_code": _plain("stock_code"),
+        "report_date": ("concat_ws('Q', year, quarter)", quarter_end("try_cast(year AS int)", "try_cast(quarter AS int)")),
+    },
+    "holder_changes": lambda raw: {
+        "stock_code": _coded(raw, "代码", "股票代码"), "announcement_date": _dated(raw, "公告日", "公告日期"),
+    },
+    "buybacks": lambda raw: {"stock_code": _coded(raw, "股票代码"), "announcement_date": _dated(raw, "最新公告日期")},
+    "unlocks": lambda raw: {"stock_code": _coded(raw, "股票代码"), "free_date": _dated(raw, "解禁时间")},
+    "holder_counts": lambda raw: {"stock_code": _coded(raw, "股票代码"), "stat_date": _dated(raw, "股东户数统计截止日")},
+    "dividends": lambda raw: {
+        "stock_code": _plain("stock_code"), "dividend_date": ("dividOperateDate", parse_date("dividOperateDate")),
+    },
+    "dividends_per_ten": lambda raw: {"stock_code": _plain("stock_code"), "dividend_date": _dated(raw, "除权除息日")},
+    "top_list": lambda raw: {"stock_code": _coded(raw, "代码"), "trade_date": _dated(raw, "上榜日")},
+    "northbound": lambda raw: {"stock_code": _plain("stock_code"), "trade_date": _dated(raw, "持股日期")},
+    "northbound_market": lambda raw: {"trade_date": _dated(raw, "日期")},
+    "margin": lambda raw: {
+        "stock_code": _coded(raw, "标的证券代码", "标的代码", "证券代码"), "trade_date": _dated(raw, "_trade_date"),
+    },
+    "announcements": lambda raw: {
+        "stock_code": _plain("stock_code"), "announcement_date": _dated(raw, "公告日期"), "title": _plain("公告标题"),
+    },
+}
+
+
+def unreadable(feed: str, raw: DataFrame) -> DataFrame:
+    """Rows of the feed with this parser's name whose key it cannot read, as they landed, with ``reject_reason``.
+
+    The reason tells a key that is not there from one that cannot be read, and quotes the latter: a feed
+    with a changed date format shows up here with all its rows.
+    """
+    found = [
+        f"CASE WHEN {value} IS NOT NULL THEN NULL WHEN {clean_text(text)} = '' THEN 'no {key}' "
+        f"ELSE concat('unreadable {key}: ', string({text})) END"
+        for key, (text, value) in KEYS[feed](raw).items()
+    ]
+    return raw.selectExpr("*", f"concat_ws(', ', {', '.join(found)}) AS reject_reason").where("reject_reason != ''")
+
+
 # --- corporate risk ---------------------------------------------------------------------------
 
 
