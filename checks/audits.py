@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import incremental as inc
 from tickloom.operators import quality as Q
+from tickloom.operators import sketches as S
 from tickloom.operators.daily import daily_basic, with_daily_basic
 from tickloom.operators.latest import duplicate_keys
 from tickloom.plans.pipeline import DERIVED, recompute
@@ -197,6 +198,23 @@ def _d_start(shift: int) -> str:
     FROM master m LEFT JOIN ({_MARK}) u ON m.stock_code = u.stock_code"""
 
 
+def _sketched(spark, d):
+    """Valuations profiled from stored sketches, half of the months first; how far the estimates are off."""
+    root, values = f"{shared_folder(spark)}/sketches-{uuid.uuid4().hex}", BUILDERS["valuation_indicators"](spark, d)
+    early = f"{DAY} < DATE '1995-01-01'"
+    for part in (early, f"NOT ({early})"):
+        S.store_sketches(spark, values.where(part), root, "valuation_indicators", DAY, ["pe_ttm"])
+    profile = S.stored_profile(spark, root, "valuation_indicators", ["pe_ttm"])
+    points = profile.selectExpr("*", "pe_ttm_quantiles[0] AS q1", "pe_ttm_quantiles[1] AS q2", "pe_ttm_quantiles[2] AS q3")
+    exact = values.crossJoin(points.select("q1", "q2", "q3")).agg(
+        F.count_distinct(KEY).alias("exact"), *(F.expr(f"count_if(pe_ttm <= q{i}) / count(pe_ttm)").alias(f"r{i}") for i in (1, 2, 3))
+    )
+    near = " AND ".join(f"abs(r{i} - {i / 4}) <= {S.RANK_ERROR}" for i in (1, 2, 3))
+    return points.crossJoin(exact).selectExpr(
+        "rows", "pe_ttm_known", "first_date", "last_date", f"abs(symbols - exact) <= {S.SYMBOL_ERROR} * exact AS symbols_near", f"{near} AS quantiles_near"
+    )
+
+
 CHECKS = [
     _reported("flow_identities", lambda s, d: Q.flow_identities(view(s, d, "capital_flow")), _reports("capital_flow", _IDENTITIES)),
     Check("flow_cross_source", lambda s, d: Q.flow_against_bars(_skewed_flow(s, d), _bars(s, d), _exceptions(s, d)),
@@ -271,6 +289,9 @@ CHECKS = [
     Check("relative_deviation", lambda s, d: Q.relative_deviation(*_stored_and_fresh(s, d), ["stock_code", "trade_date"], "low_60", 0.01),
           "SELECT stock_code, trade_date, low_60 + 1 AS stored_value, low_60 AS fresh_value, 1 / low_60 * 100 < 0.01 AS passed FROM daily_basic",
           f"{KEY} passed", "stored_value fresh_value", DAY),
+    Check("sketch_profile", _sketched, """
+        SELECT count(*) AS rows, count(pe_ttm) AS pe_ttm_known, min(trade_date) AS first_date, max(trade_date) AS last_date,
+               true AS symbols_near, true AS quantiles_near FROM valuation""", "symbols_near quantiles_near", "", "first_date last_date", "rows pe_ttm_known"),
     Check("completeness", _completeness, """
         SELECT b.stock_code, b.n AS daily_rows, b.n AS technical_rows, coalesce(v.n, 0) AS valuation_rows, s.n AS statements_rows,
                s.n AS fundamentals_rows, 2 AS capital_rows, true AS complete

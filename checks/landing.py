@@ -53,6 +53,30 @@ def flow_rows(spark, d):
     return raw_text.parse_flow(raw_text.flow_lines(flow_payloads(spark, d)))
 
 
+# Symbols whose payloads have named fields, one of them new; those with a 9 send no JSON on some months.
+_NAMED = "right(stock_code, 1) IN ('0', '2', '4', '6', '8')"
+_NAMED_TEXT = f"""
+SELECT stock_code, if(max(b9) AND m = 5, concat('<html>', m), to_json(named_struct('data', named_struct('klines', collect_list(record))))) AS payload
+FROM (SELECT c.stock_code, month(c.trade_date) AS m, year(c.trade_date) AS y, contains(c.stock_code, '9') AS b9,
+        named_struct('trade_date', string(c.trade_date), {", ".join(f"'{n}', {n}" for n in list(raw_text.FLOW_FIELDS.values())[:10])},
+                     'close', close, 'change_pct', 1.5BD, 'rating', concat('r', c.stock_code)) AS record
+      FROM capital_flow c JOIN bars b ON c.stock_code = b.stock_code AND c.trade_date = b.trade_date)
+WHERE {_NAMED} GROUP BY stock_code, y, m
+"""
+
+
+def _drifting(spark, d):
+    """Lines of some symbols and objects of others in one frame, the objects' new field beside the known ones."""
+    payloads = flow_payloads(spark, d).where(f"NOT ({_NAMED})").unionByName(V.query(spark, d, _NAMED_TEXT))
+    rows = raw_text.flow_variants(payloads)
+    return rows.selectExpr("*", f"{raw_text.record_field('rating')} AS rating")
+
+
+def _drift_rejects(spark, d):
+    rows = _drifting(spark, d).where("reject_reason IS NOT NULL")
+    return rows.groupBy("stock_code", "reject_reason").count().withColumnRenamed("count", "rows")
+
+
 def _flow_rejects(spark, d):
     rejects = raw_text.rejected_flow(raw_text.flow_lines(flow_payloads(spark, d)))
     return rejects.selectExpr("stock_code", "reason", "left(line, 10) AS line_date")
@@ -341,6 +365,15 @@ _UNLOCK_ALL = "SELECT * FROM risk_unlock"
 
 CHECKS = [
     Check("flow_lines", flow_rows, f"{_FLOW_SQL} WHERE NOT ({_SHORT} OR {_BROKEN})", KEY, _FLOW_COLUMNS, DAY),
+    Check("flow_drifting", lambda s, d: _drifting(s, d).where("reject_reason IS NULL").drop("record", "payload"), f"""
+        SELECT *, CASE WHEN {_NAMED} THEN 'r' || stock_code END AS rating FROM ({_FLOW_SQL})
+        WHERE CASE WHEN {_NAMED} THEN NOT (contains(stock_code, '9') AND month(trade_date) = 5) ELSE NOT ({_SHORT} OR {_BROKEN}) END""",
+          f"{KEY} rating", _FLOW_COLUMNS, DAY),
+    Check("flow_drift_rejects", _drift_rejects, f"""
+        SELECT stock_code, 'unreadable record' AS reject_reason, count(*) AS rows FROM ({_FLOW_SQL})
+        WHERE NOT ({_NAMED}) AND ({_SHORT} OR {_BROKEN}) GROUP BY stock_code
+        UNION ALL SELECT stock_code, 'no JSON', count(DISTINCT year(trade_date)) FROM ({_FLOW_SQL})
+        WHERE {_NAMED} AND contains(stock_code, '9') AND month(trade_date) = 5 GROUP BY stock_code""", f"{KEY} reject_reason", "", "", "rows"),
     Check("flow_rejects", _flow_rejects, f"""
         SELECT stock_code, CASE WHEN {_SHORT} THEN 'too_few_fields' ELSE 'unparsable' END AS reason,
                strftime(trade_date, '%Y-%m-%d') AS line_date

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from checks.duck_views import symbol as duck_symbol
 from checks.present import Check
 from tickloom.session import shared_folder
 from tickloom.sources.market_views import symbol, view
 from tickloom.sources.tables import is_file, scan
 from tickloom.streaming.series import keyed_state, recursive_stream
-from tickloom.streaming.upserts import bars_from_stored_ticks, daily_bars, upsert_stream
+from tickloom.streaming.upserts import bars_from_stored_ticks, daily_bars, distinct_list_stream, upsert_stream
 
 _EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 _DELAY_HOURS = 30
@@ -73,6 +75,26 @@ def _recursive(spark, d):
     return spark.read.parquet(f"{root}/out").where("NOT late")
 
 
+#: Announcements before this day of which every third comes after all others.
+_TURN = "1996-06-30"
+_HELD = f"announcement_date < DATE '{_TURN}' AND day(announcement_date) % 3 = 1"
+
+
+def _list_once(spark, d):
+    """A list published three times: the old part, all but some old rows with a part repeated, and everything again."""
+    root = f"{shared_folder(spark)}/list-{uuid.uuid4().hex}"
+    rows = view(spark, d, "announcements").selectExpr("*", "timestamp(announcement_date) AS published")
+    old = f"announcement_date <= DATE '{_TURN}' AND NOT ({_HELD})"
+    for part in (old, f"announcement_date > date_sub(DATE '{_TURN}', 20) AND NOT ({_HELD})", "true"):
+        rows.where(part).unionByName(rows.where(part)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        distinct_list_stream(stream, root, "announcements", f"{root}/checkpoint", "published", "30 days")
+    columns = ["stock_code", "announcement_date", "title"]
+    stored = scan(spark, f"{root}/tables", "announcements").select(*columns, F.lit(False).alias("late"))
+    late = spark.read.parquet(f"{root}/late/announcements").select(*columns, F.lit(True).alias("late"))
+    return stored.unionByName(late)
+
+
 def _duck(where: str) -> str:
     return f"""
     SELECT {duck_symbol("user_id")} AS stock_code, CAST(ts AS DATE) AS trade_date, first(price ORDER BY event_id) AS open,
@@ -87,6 +109,10 @@ _FLOATS = "open high low close amount"
 CHECKS = [
     Check("stream_closed_bars", _closed_bars, _duck(_CLOSED), "stock_code", _FLOATS, "trade_date", "volume"),
     Check("stream_late_bars", _late_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),
+    Check("stream_list_once", _list_once, f"""
+        SELECT DISTINCT stock_code, announcement_date, title, {_HELD} AND announcement_date
+               < (SELECT max(announcement_date) FROM announcements) - 30 AS late FROM announcements""",
+          "stock_code title late", "", "announcement_date"),
     Check("stream_recursive", _recursive, "SELECT * FROM technical_fold", "stock_code",
           "ema12 ema26 macd_dif macd_dea macd_hist kdj_k kdj_d kdj_j sar", "trade_date"),
     Check("stream_running_bars", _running_bars, _duck(""), "stock_code", _FLOATS, "trade_date", "volume"),

@@ -58,6 +58,37 @@ def flow_lines(payloads: DataFrame, symbol: str = "stock_code", body: str = "pay
     return payloads.selectExpr(f"{symbol} AS stock_code", f"explode({parsed}.data.klines) AS line")
 
 
+def flow_variants(payloads: DataFrame, symbol: str = "stock_code", body: str = "payload") -> DataFrame:
+    """Flow rows from payloads whose shape has drifted: lines of fields, or objects with named fields.
+
+    A payload is parsed to a VARIANT, so neither shape has to be declared and nothing of a record is lost:
+    ``record`` is the object (or the line) with the fields no column takes, for :func:`record_field`.
+    Payloads that are no JSON, and records of neither shape, come back with a ``reject_reason``.
+    """
+    parsed = payloads.selectExpr(f"{symbol} AS stock_code", f"{body} AS _body", f"try_parse_json({body}) AS _payload")
+    lines = parsed.selectExpr("*", "try_variant_get(_payload, '$.data.klines', 'array<variant>') AS _records")
+    records = lines.selectExpr("stock_code", "_body", "_payload IS NULL AS _broken", "explode_outer(_records) AS record")
+    text = "if(schema_of_variant(record) = 'STRING', variant_get(record, '$', 'string'), NULL)"
+    rows = records.selectExpr("*", f"split({text}, ',') AS _parts")
+    names = {"trade_date": 0, **{n: i for i, n in FLOW_FIELDS.items()}}
+
+    def value(column: str, at: int) -> str:
+        read = parse_date if column == "trade_date" else parse_num
+        return f"coalesce({read(f'get(_parts, {at})')}, {read(record_field(column))}) AS {column}"
+
+    typed = rows.selectExpr("stock_code", "_body", "_broken", "record", *(value(c, at) for c, at in names.items()))
+    known = " AND ".join(f"{n} IS NOT NULL" for n in names)
+    reason = f"CASE WHEN _broken THEN 'no JSON' WHEN record IS NULL THEN 'no records' WHEN NOT ({known}) THEN 'unreadable record' END"
+    return typed.selectExpr(
+        "stock_code", *names, "record", f"{reason} AS reject_reason", f"if(_broken OR record IS NULL, _body, NULL) AS payload"
+    )
+
+
+def record_field(field: str, record: str = "record") -> str:
+    """The text of any field of a record that is an object; NULL where it has none."""
+    return f"if(schema_of_variant({record}) LIKE 'OBJECT%', string(try_variant_get({record}, '$.{field}', 'string')), NULL)"
+
+
 def _flow_parts(lines: DataFrame) -> DataFrame:
     parts = lines.selectExpr("stock_code", "line", "split(line, ',') AS parts")
     rows = parts.selectExpr(

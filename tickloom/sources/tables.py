@@ -192,6 +192,13 @@ class Store(Mapping[str, DataFrame]):
 # to new folders; a manifest, a small text file created last, lists the folders that count. A job that
 # dies before that has changed nothing, and of two writers the second to publish fails.
 
+#: Row groups small enough to skip, each with a Bloom filter on the symbol: within a file the rows are sorted, so ranges
+#: of symbols tell row groups apart, and the filters tell files apart whose ranges overlap.
+SKIPPING = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.bloom.filter.enabled#stock_code": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 _WHOLE = "all"
 _END_LINE = "end"
 
@@ -254,6 +261,8 @@ def _write(shaped: DataFrame, root: str, table: str) -> Layout:
         shaped = shaped.selectExpr("*", f"date_format({spec.date_col}, 'yyyy-MM') AS month")
         shaped, order = shaped.hint("rebalance", "month"), ["month", *order]
     writer = shaped.sortWithinPartitions(*order).write
+    if "stock_code" in spec.keys:
+        writer = writer.options(**SKIPPING)
     folder = f"_data/{uuid.uuid4().hex}"
     target = f"{root}/{table}/{folder}"
     if not spec.by_month:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import merge
-from tickloom.sources.tables import merge_rows
+from tickloom.schema import TABLES
+from tickloom.sources.tables import merge_rows, scan
 
 
 def upsert_stream(
@@ -40,6 +41,33 @@ def upsert_stream(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def distinct_list_stream(stream: DataFrame, root: str, table: str, checkpoint: str, event_time: str, delay: str) -> None:
+    """A list that is published again and again, into a table that keeps the first row of each key.
+
+    Repeated rows are dropped by a state of the keys of the last ``delay``, before any table is read; what passes is
+    added where its key is new. Rows older than the watermark are not seen by that state. A second
+    query over the same input, run after the first, writes those whose key is in no table to ``{root}/late/{table}``,
+    in a folder of their batch, so that none is lost and a replayed batch writes the same again.
+    """
+    keys = list(TABLES[table].keys)
+    known = stream.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    first = known.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    upsert_stream(first, f"{root}/tables", table, f"{checkpoint}/list", rule=merge.fill).awaitTermination()
+    day = TABLES[table].date_col
+
+    def keep_late(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        span = batch.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        if span.first is None:
+            return
+        stored = scan(spark, f"{root}/tables", table, str(span.first), str(span.last)).select(*keys)
+        late = batch.join(stored, keys, "left_anti").dropDuplicates(keys)
+        late.write.mode("overwrite").parquet(f"{root}/late/{table}/batch={number}")
+
+    writer = known.writeStream.foreachBatch(keep_late).option("checkpointLocation", f"{checkpoint}/late")
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def daily_bars(ticks: DataFrame, delay: str) -> DataFrame:
     """Ticks (stock_code, ts, seq, price, volume) to daily bars.
 
