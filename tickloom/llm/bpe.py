@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickloom.llm.common import kept
+from tickloom.llm.textblocks import pieces
 
-#: Words a worker remembers; emptied when full.
+#: Words a worker remembers; when there are more, it keeps those that have come up among the last so many.
 CACHE_WORDS = 150_000
-#: Texts whose words share a trie.
-SLICE_ROWS = 2048
+#: Bytes of text whose words share a trie.
+SLICE_BYTES = 2 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -175,8 +176,9 @@ class Codec:
         special = sorted(self.bpe.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.numbers = {i: str(i) for i in self.bpe.tokens}
-        #: per word its ids, and the same as text: ids and tokens, one blank between
-        self.known: dict[str, tuple[list[int], str, str]] = {}
+        #: per word its ids and its tokens as UTF-8, one blank between
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self._before: dict[str, tuple[bytes, bytes]] = {}
 
     def pieces(self, text: str | None) -> list[str]:
         """The words of a text in order, its special tokens among them; a null text has none."""
@@ -203,25 +205,40 @@ class Codec:
         return self.split(text.replace("Σ", "σ").lower())
 
     def learn(self, words: set[str]) -> None:
-        """Encodes the words that are new, by one walk over their trie."""
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+        """Encodes the words that are new, by one walk over their trie.
+
+        When there are too many, those that have not come up since the last time are forgotten.
+        """
+        known, before = self.known, self._before
+        if len(known) + len(words) > CACHE_WORDS:
+            self._before, self.known = known, {}
+            known, before = self.known, self._before
+        new = []
+        for word in words:
+            if word not in known:
+                if word in before:
+                    known[word] = before[word]
+                else:
+                    new.append(word)
         letters, tokens, numbers = self.bpe.letters, self.bpe.tokens, self.numbers
         spelled = {}
         for word in new:
             if word in self.bpe.special:
-                self.known[word] = ([self.bpe.special[word]], str(self.bpe.special[word]), word)
+                known[word] = (str(self.bpe.special[word]).encode(), word.encode())
             else:
                 spelled["".join(map(letters.__getitem__, word.encode("utf-8")))] = word
         for spelling, ids in self.bpe.encode_words(spelled).items():
-            self.known[spelled[spelling]] = (ids, " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids]))
+            known[spelled[spelling]] = (" ".join([numbers[i] for i in ids]).encode(), " ".join([tokens[i] for i in ids]).encode())
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; a null or empty text has none."""
         words = self.pieces(text)
         self.learn(set(words))
-        return [i for w in words for i in self.known[w][0]]
+        return self.ids(words)
+
+    def ids(self, words: list[str]) -> list[int]:
+        """Ids of words that have been learned."""
+        return [int(i) for w in words for i in self.known[w][0].split()]
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder: tokens as they are, one blank between."""
@@ -253,8 +270,7 @@ def _mapped(docs: DataFrame, tokenizer_path: str, content: str | None, digests:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(f"codec {key}", lambda: Codec(shipped.value))
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part, _, _ in pieces(batch, 1, SLICE_BYTES):
                 texts = [codec.pieces(t) for t in part.column(1).to_pylist()]
                 codec.learn(set().union(*texts))
                 yield (_digest if digests else _plain)(codec, part.column(0), texts)
@@ -265,7 +281,7 @@ def _mapped(docs: DataFrame, tokenizer_path: str, content: str | None, digests:
 
 
 def _plain(codec: Codec, doc_id: pa.Array, texts: list[list[str]]) -> pa.RecordBatch:
-    ids = [[i for w in words for i in codec.known[w][0]] for words in texts]
+    ids = [codec.ids(words) for words in texts]
     return pa.RecordBatch.from_arrays(
         [doc_id, pa.array(ids, pa.list_(pa.int32())), pa.array([codec.decode(i) for i in ids], pa.string())],
         names=["doc_id", "ids", "decoded"],
@@ -276,9 +292,10 @@ def _digest(codec: Codec, doc_id: pa.Array, texts: list[list[str]]) -> pa.Record
     n, ids_sha, decoded_sha = [], [], []
     for words in texts:
         known = [codec.known[w] for w in words]
-        n.append(sum([len(k[0]) for k in known]))
-        ids_sha.append(hashlib.sha256(" ".join([k[1] for k in known]).encode()).hexdigest())
-        decoded_sha.append(hashlib.sha256(" ".join([k[2] for k in known]).encode("utf-8")).hexdigest())
+        ids = b" ".join([k[0] for k in known])
+        n.append(ids.count(b" ") + 1 if known else 0)
+        ids_sha.append(hashlib.sha256(ids).hexdigest())
+        decoded_sha.append(hashlib.sha256(b" ".join([k[1] for k in known])).hexdigest())
     return pa.RecordBatch.from_arrays(
         [doc_id, pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
         names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Callable
@@ -21,6 +23,10 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     home = vars(sys.modules.setdefault("tickloom_worker_tables", ModuleType("tickloom_worker_tables")))
     if home.get("name") != name:
         home.pop("value", None)
+        gc.collect()
+        give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if give_back is not None:
+            give_back(0)
         home["value"] = make()
         home["name"] = name
     return home["value"]
