@@ -27,7 +27,7 @@ from tickloom.llm.tries import Trie, build
 #: Bits of the bitmap for each frequent phrase, and how many there are at most (128 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 30
 #: Bytes of candidates in one trie, which is broadcast; each trie is one more pass over the texts.
-TRIE_BYTES = 8 << 20
+TRIE_BYTES = 16 << 20
 #: Bytes of text that are taken apart at once.
 PIECE = 4 << 20
 #: Longer words are in a trie by their digest, after a character that no word has.
@@ -176,17 +176,28 @@ def _candidates(texts: DataFrame, bitmaps: list) -> DataFrame:
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted candidates in runs of bounded size, numbered from 0 in each."""
-    run, bytes_so_far, number = TaskContext.get().partitionId() << 24, 0, 0
+    """Sorted candidates with their partition, their place in it and the bytes before them there."""
+    part, row, before = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
-        run_of, number_of = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-        for i, size in enumerate(sizes):
-            if bytes_so_far and bytes_so_far + size > TRIE_BYTES:
-                run, bytes_so_far, number = run + 1, 0, 0
-            run_of[i], number_of[i] = run, number
-            bytes_so_far, number = bytes_so_far + int(size), number + 1
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(run_of), pa.array(number_of)], names=["lang", "key", "phrase", "run", "number"])
+        ends = before + np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = np.concatenate([[before], ends[:-1]])[: len(ends)]
+        places = [pa.array(np.full(len(ends), part)), pa.array(row + np.arange(len(ends))), pa.array(starts)]
+        row, before = row + len(ends), int(ends[-1]) if len(ends) else before
+        yield pa.RecordBatch.from_arrays([*batch.columns, *places], names=["lang", "key", "phrase", "part", "row", "before"])
+
+
+def _sorted_runs(keys: DataFrame) -> DataFrame:
+    """Candidates in one order: their number in it, and runs of consecutive ones that fill a trie each."""
+    whole = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0))).first()[0]
+    dealt = keys.repartitionByRange(max(1, -(-whole // TRIE_BYTES)), "lang", "key").sortWithinPartitions("lang", "key")
+    schema = "lang string, key binary, phrase string, part long, row long, before long"
+    placed = written(dealt.mapInArrow(_numbered, schema), "phrase-keys")
+    parts = placed.groupBy("part").agg(F.count("*").alias("rows"), F.sum(F.octet_length("key")).alias("bytes"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    starts = parts.select("part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("rows", "bytes")))
+    return placed.join(starts, "part").selectExpr(
+        "lang", "key", "phrase", "rows_before + row AS number", f"(bytes_before + before) div {TRIE_BYTES} AS run"
+    )
 
 
 def _trie(table: pa.Table) -> pa.Table:
@@ -196,7 +207,7 @@ def _trie(table: pa.Table) -> pa.Table:
     data, starts = data[starts[0] : starts[-1]], starts - starts[0]
     trie = build(data, starts, langs.indices.to_numpy(), len(langs.dictionary))
     return pa.table({
-        "run": [table.column("run")[0].as_py()], "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())),
+        "run": table.column("run")[:1], "first": table.column("number")[:1], "langs": pa.array([langs.dictionary.to_pylist()], pa.list_(pa.string())),
         "base": [trie.base.tobytes()], "check": [trie.check.tobytes()], "accepting": [trie.accepting.tobytes()],
     })
 
@@ -218,7 +229,7 @@ def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     """Counts of a trie's phrases in a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, langs, trie = shared.value
+        first, langs, trie = shared.value
         roots, keys = {name: i for i, name in enumerate(langs, 1)}, len(trie.accepting)
         counts, accepts = np.zeros(keys, np.int64), trie.numbers()
         for places in _places(batches):
@@ -238,9 +249,7 @@ def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 accepted = accepts[states]
                 counts += np.bincount(accepted[accepted >= 0], minlength=keys)
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(seen), number)), pa.array(seen), pa.array(counts[seen])], names=["run", "number", "f"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(first + seen), pa.array(counts[seen])], names=["number", "f"])
 
     return run
 
@@ -249,7 +258,7 @@ def _collected(row: DataFrame) -> tuple[int, list[str], Trie]:
     """One trie, of bounded size."""
     table = row.toArrow().combine_chunks()
     arrays = (np.frombuffer(table.column(c)[0].as_buffer(), np.int32) for c in ("base", "check", "accepting"))
-    return table.column("run")[0].as_py(), table.column("langs")[0].as_py(), Trie(*arrays)
+    return table.column("first")[0].as_py(), table.column("langs")[0].as_py(), Trie(*arrays)
 
 
 def counted(texts: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -264,21 +273,19 @@ def counted(texts: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFra
         bitmap.unpersist()
     totals = found.where("phrase IS NULL").select("lang", F.col("words").alias("n"))
     keys = found.where("phrase IS NOT NULL").selectExpr("lang", f"CAST({_SHORT} AS BINARY) AS key", "phrase")
-    whole = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0))).first()[0]
-    dealt = keys.repartitionByRange(max(1, -(-whole // TRIE_BYTES)), "lang", "key").sortWithinPartitions("lang", "key")
-    numbered = written(dealt.mapInArrow(_numbered, "lang string, key binary, phrase string, run long, number long"), "phrase-keys")
-    schema = "run long, langs array<string>, base binary, check binary, accepting binary"
+    numbered = written(_sorted_runs(keys), "phrase-runs")
+    schema = "run long, first long, langs array<string>, base binary, check binary, accepting binary"
     tries = written(numbered.groupBy("run").applyInArrow(_trie, schema), "phrase-tries")
     counts = None
     for run in sorted(r.run for r in tries.select("run").collect()):
         shared = context.broadcast(_collected(tries.where(F.col("run") == run)))
-        sums = texts.mapInArrow(_counter(shared, size), "run long, number long, f long").groupBy("run", "number").agg(F.sum("f").alias("f"))
+        sums = texts.mapInArrow(_counter(shared, size), "number long, f long").groupBy("number").agg(F.sum("f").alias("f"))
         part = written(sums.where(f"f >= {least}"), "phrase-counts")
         shared.unpersist()
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
-        counts = spark.createDataFrame([], "run long, number long, f long")
-    return numbered.join(counts, ["run", "number"]).select("lang", "phrase", "f"), totals
+        counts = spark.createDataFrame([], "number long, f long")
+    return numbered.join(counts, "number").select("lang", "phrase", "f"), totals
 
 
 def collocations(
