@@ -15,6 +15,7 @@ from tickloom.operators import sketches as S
 from tickloom.operators.daily import daily_basic, with_daily_basic
 from tickloom.operators.latest import duplicate_keys
 from tickloom.plans.pipeline import DERIVED, recompute
+from tickloom.schema import TABLES
 from tickloom.session import shared_folder
 from tickloom.sources import market_views as V
 from tickloom.sources.market_views import BUILDERS, MarketTables, view
@@ -149,6 +150,26 @@ def _stored_and_fresh(spark, d):
     return stored.withColumn("low_60", F.col("low_60") + 1), daily_basic(_bars(spark, d))
 
 
+def _family(table, build, spoiled):
+    """A stored family of indicators against its recomputation, one column of it spoiled."""
+    spec = TABLES[table]
+    columns = [f.name for f in spec.fields if f.spark_type.startswith("decimal")]
+
+    def query(spark, d):
+        fresh = build(spark, d)
+        stored = conform(fresh, table).withColumn(spoiled, F.col(spoiled) + 1)
+        return Q.recompute_deviation(stored, fresh, spec.keys, columns)
+
+    kinds = {c: spec.type_of(c).upper() for c in columns}
+    off = ", ".join(
+        f"avg(coalesce(abs(CAST(CAST({c} AS {kinds[c]}) AS DOUBLE) + {int(c == spoiled)} - CAST({c} AS DOUBLE)), 0)) AS {c}" for c in columns
+    )
+    source = {"technical_indicators": "technical_indicators", "valuation_indicators": "valuation", "financial_intermediate": "intermediate"}[table]
+    sql = f"""SELECT column_name, mean_abs_diff, mean_abs_diff < 0.02 AS passed
+        FROM (UNPIVOT (SELECT {off} FROM {source}) ON COLUMNS(*) INTO NAME column_name VALUE mean_abs_diff)"""
+    return Check(f"recompute_{table}", query, sql, "column_name passed", "mean_abs_diff")
+
+
 def _completeness(spark, d):
     return Q.completeness(MarketTables(spark, d))
 
@@ -286,6 +307,9 @@ CHECKS = [
     Check("recompute_deviation", lambda s, d: Q.recompute_deviation(*_stored_and_fresh(s, d), ["stock_code", "trade_date"], _DERIVED),
           " UNION ALL ".join(f"""SELECT '{c}' AS column_name, avg(coalesce(abs(CAST(CAST({c} AS DECIMAL(10,{2 if c[-3:] in ('_20', '_60') else 4})) AS DOUBLE) + {1 if c == 'low_60' else 0} - {c}), 0)) AS mean_abs_diff,
               {c == 'low_60'} = false AS passed FROM daily_basic""" for c in _DERIVED), "column_name passed", "mean_abs_diff"),
+    _family("technical_indicators", BUILDERS["technical_indicators"], "macd_dea"),
+    _family("valuation_indicators", BUILDERS["valuation_indicators"], "pe_ttm"),
+    _family("financial_intermediate", BUILDERS["financial_intermediate"], "roe_ttm"),
     Check("relative_deviation", lambda s, d: Q.relative_deviation(*_stored_and_fresh(s, d), ["stock_code", "trade_date"], "low_60", 0.01),
           "SELECT stock_code, trade_date, low_60 + 1 AS stored_value, low_60 AS fresh_value, 1 / low_60 * 100 < 0.01 AS passed FROM daily_basic",
           f"{KEY} passed", "stored_value fresh_value", DAY),
