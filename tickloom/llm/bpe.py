@@ -26,9 +26,9 @@ from tickloom.llm.common import kept
 from tickloom.llm.textblocks import pieces
 
 #: Words a worker remembers; when there are more, it keeps those that have come up among the last so many.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 125_000
 #: Bytes of text whose words share a trie.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -172,7 +172,7 @@ class Codec:
         self.plain = re.compile(
             pattern.replace(r"[\p{L}]", "[a-zA-Z]").replace(r"[\p{N}]", "[0-9]").replace(r"\s\p{L}\p{N}", "\t-\r a-zA-Z0-9")
         ).findall
-        self.library = Tokenizer.from_str(content)
+        self._content, self._library = content, None
         special = sorted(self.bpe.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.numbers = {i: str(i) for i in self.bpe.tokens}
@@ -180,6 +180,13 @@ class Codec:
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self._before: dict[str, tuple[bytes, bytes]] = {}
 
+    @property
+    def library(self) -> Tokenizer:
+        """Made when a text first needs it, which few do."""
+        if self._library is None:
+            self._library = Tokenizer.from_str(self._content)
+        return self._library
+
     def pieces(self, text: str | None) -> list[str]:
         """The words of a text in order, its special tokens among them; a null text has none."""
         if not text:
