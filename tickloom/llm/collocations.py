@@ -27,7 +27,7 @@ from tickloom.llm.tries import Trie, build
 #: Bits of the bitmap for each frequent phrase, and how many there are at most (128 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 30
 #: Bytes of candidates in one trie, which is broadcast; each trie is one more pass over the texts.
-TRIE_BYTES = 16 << 20
+TRIE_BYTES = 10 << 20
 #: Bytes of text that are taken apart at once.
 PIECE = 4 << 20
 #: Longer words are in a trie by their digest, after a character that no word has.
