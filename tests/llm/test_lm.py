@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import lm
 
@@ -59,6 +60,9 @@ def test_documents(spark, sf_dir):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     parts = {r.doc_id: r.score for r in lm.scores(docs, segment_bytes=50_000).collect()}
     assert all(parts[r.doc_id] == pytest.approx(r.score, rel=1e-9) for r in whole)
+    shuffled = docs.repartition(7).orderBy(F.rand())  # other partitions and another order at every pass
+    parts = {r.doc_id: r.score for r in lm.scores(shuffled, segment_bytes=50_000).collect()}
+    assert all(parts[r.doc_id] == pytest.approx(r.score, rel=1e-9) for r in whole)
 
 
 def test_nulls_repeats_and_clashing_columns(spark):

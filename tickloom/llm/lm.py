@@ -314,6 +314,8 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
         return run
 
     rows = slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    if table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] > segment_bytes:
+        rows = written(rows, "lm-texts")  # several passes add to each row, so its number must not be made again
     parts = None
     for number, segment in enumerate(_segments(table, buckets, segment_bytes)):
         shipped = spark.sparkContext.broadcast((segment.first, segment.starts, segment.content))
