@@ -98,6 +98,21 @@ def test_payloads_of_two_shapes(spark):
                    ("e", "no JSON", None), ("f", "no records", payloads[5][1]), ("g", "no records", payloads[6][1])]
 
 
+def _taken(df, call):
+    """How often the plan evaluates a call, filters that have moved down included."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count(call)
+
+
+def test_texts_of_a_record_are_taken_once(spark):
+    """However many columns are read from them, and whatever is filtered by."""
+    payloads = spark.range(1).selectExpr("string(id) AS stock_code", "concat('{', id) AS payload")
+    rows = raw_text.flow_variants(payloads)
+    for part in (rows, rows.where("reject_reason IS NOT NULL"), rows.where("reject_reason IS NULL")):
+        assert _taken(part, "split(") <= 1 and _taken(part, "schema_of_variant") + _taken(part, "schemaOfVariant") <= 1
+    lines = raw_text.flow_lines(payloads)
+    assert _taken(raw_text.parse_flow(lines), "split(") <= 2 and _taken(raw_text.rejected_flow(lines), "split(") <= 2
+
+
 def test_a_list_that_repeats_itself(spark, root, tmp_path):
     schema = "stock_code string, announcement_date date, title string, published timestamp"
 
