@@ -203,3 +203,20 @@ def test_per_share_form(spark):
     row = out[D(2020, 9, 1)]
     assert (row.pe_ttm, row.pb, row.ps_ttm, row.pe_annual, row.roe) == (None, 5.0, 2.5, 20.0, Decimal("7"))
     assert D(2020, 9, 2) not in out
+
+
+def test_ratios_on_a_tie_round_as_the_sql_does(spark):
+    """0.29 of 20000 is 0.00145 %, whose double lies below the tie; 1.13 and 1.69 of it likewise."""
+    import duckdb
+
+    from tickloom.sources import feeds
+
+    cents = range(1, 4000, 2)
+    key = "concat('s', id) AS stock_code", "'20200331' AS `报告日`", "'t' AS `类型`"
+    ids = spark.range(1, 4000, 2)
+    income = ids.selectExpr(*key, "string(id / 100) AS `净利润`")
+    balance = ids.selectExpr(*key, "'20001' AS `资产总计`", "'1' AS `负债合计`")
+    rows = feeds.statements_sina(income, balance, ids.selectExpr(*key)).collect()
+    got = {r.stock_code: r.roe for r in rows}
+    sql = "SELECT 's' || n, round(CAST(n AS DOUBLE) / 100 / 20000 * 100, 4) FROM range(1, 4000, 2) t(n)"
+    assert len(got) == len(cents) and got == dict(duckdb.execute(sql).fetchall())
