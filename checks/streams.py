@@ -59,15 +59,13 @@ def _late_bars(spark, d):
 
 
 def _recursive(spark, d):
-    """Bars in three micro-batches, the last one after a restart; the stream's state goes on from its checkpoint."""
+    """Bars in three micro-batches, each after a restart; the stream's state goes on from its checkpoint."""
     root = f"{shared_folder(spark)}/recursive-{uuid.uuid4().hex}"
     bars = view(spark, d, "bars").select("stock_code", "trade_date", "high", "low", "close")
     parts = ("trade_date < '1993-06-01'", "trade_date BETWEEN '1993-06-01' AND '1996-02-29'", "trade_date > '1996-02-29'")
-    for number, part in enumerate(parts):
-        bars.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        if number == 0:
-            continue
-        stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    for part in parts:
+        bars.where(part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(bars.schema).parquet(f"{root}/in")
         with keyed_state(spark):
             sink = recursive_stream(stream).writeStream.format("parquet").option("path", f"{root}/out")
             query = sink.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
@@ -86,7 +84,7 @@ def _list_once(spark, d):
     rows = view(spark, d, "announcements").selectExpr("*", "timestamp(announcement_date) AS published")
     old = f"announcement_date <= DATE '{_TURN}' AND NOT ({_HELD})"
     for part in (old, f"announcement_date > date_sub(DATE '{_TURN}', 20) AND NOT ({_HELD})", "true"):
-        rows.where(part).unionByName(rows.where(part)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        rows.where(part).unionByName(rows.where(part)).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
         distinct_list_stream(stream, root, "announcements", f"{root}/checkpoint", "published", "30 days")
     columns = ["stock_code", "announcement_date", "title"]
