@@ -1,6 +1,7 @@
 """Series that go on: from a stored state, over blocks, and in a stream."""
 
 import datetime as dt
+import decimal
 import math
 import uuid
 
@@ -12,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.folds import STATE_COLUMNS, ExpMean, Recursion
 from tickloom.operators import technical as tech
+from tickloom.operators.quality import completeness
 from tickloom.operators.scan import Stretch, exp_means
+from tickloom.plans import queries as Q
 from tickloom.plans.pipeline import STATES, load_and_derive
 from tickloom.session import shared_folder
 from tickloom.sources import tables as T
-from tickloom.sources.market_views import view
+from tickloom.sources.market_views import MarketTables, view
 from tickloom.streaming.series import keyed_state, recursive_stream
 
 D = dt.date
@@ -153,3 +156,25 @@ def test_state_of_a_table(spark, sf_dir):
 
     sizes = [pd.concat([pd.DataFrame(x) for x in recursive_indicators(iter(table.to_batches(max_chunksize=s)))], ignore_index=True) for s in (7, 10_000)]
     pd.testing.assert_frame_equal(*sizes)
+
+
+def test_indicators_that_are_not_asked_for_are_not_planned(spark, sf_dir):
+    """The optimizer does not look into the fold: columns are left out before it, and the fold where none needs it."""
+    bars = view(spark, sf_dir, "bars")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    one = tech.technical(bars, ["kdj_j"])
+    assert one.columns == [*KEY, "kdj_j"] and "stddev" not in plan(one) and "collect_list" not in plan(one)
+    pd.testing.assert_frame_equal(_sorted(one), _sorted(tech.technical(bars).select(*KEY, "kdj_j")))
+    tables = MarketTables(spark, sf_dir)
+    for counted in (Q.coverage_latest(tables), completeness(tables)):
+        assert "FlatMapGroups" not in plan(counted)
+    assert tables.narrow("technical_indicators", KEY).count() == tables["technical_indicators"].count()
+
+
+def test_a_stored_value_is_cast_once(spark):
+    """Making decimals of doubles is most of what storing wide rows costs."""
+    assert T._strict("x", "decimal(10,2)").count("try_cast") == 1
+    rows = spark.sql("SELECT 's' AS stock_code, explode(array(2.345D, NULL)) AS ma5")
+    assert [r.ma5 for r in T.conform(rows, "technical_indicators").collect()] == [decimal.Decimal("2.35"), None]
+    with pytest.raises(Exception, match="ma5: 1.0E30 does not fit"):
+        T.conform(spark.sql("SELECT 's' AS stock_code, 1e30 AS ma5"), "technical_indicators").collect()
