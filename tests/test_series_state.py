@@ -178,3 +178,16 @@ def test_a_stored_value_is_cast_once(spark):
     assert [r.ma5 for r in T.conform(rows, "technical_indicators").collect()] == [decimal.Decimal("2.35"), None]
     with pytest.raises(Exception, match="ma5: 1.0E30 does not fit"):
         T.conform(spark.sql("SELECT 's' AS stock_code, 1e30 AS ma5"), "technical_indicators").collect()
+
+
+def test_old_rows_are_not_shuffled_to_meet_a_short_list(spark, sf_dir):
+    """The symbols of a run are written, so that the copied rows of a version meet them without an exchange."""
+    from checks.indicators import _backfilled
+    from checks.updates import _differing
+
+    plan = _backfilled(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    kept = plan[: plan.index("FlatMapGroups")]  # the rows that stay, before those that are recomputed
+    assert "BroadcastHashJoin" in kept and "SortMergeJoin" not in kept
+    one, two = (spark.createDataFrame(rows, "a int, b string") for rows in ([(1, "x"), (1, "x"), (2, None)], [(1, "x"), (2, None), (3, "y")]))
+    assert _differing(one, two).first().differing == one.exceptAll(two).count() + two.exceptAll(one).count() == 2
+    assert _differing(one, one).first().differing == 0 and _differing(one.limit(0), one.limit(0)).first().differing == 0
