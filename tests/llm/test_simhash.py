@@ -142,3 +142,11 @@ def test_components_of_random_edges(spark):
     nodes = sorted({n for a, b in edges if a != b for n in (a, b)})
     pairs = {frozenset(e) for e in edges}
     assert got == naive_groups(nodes, lambda a, b: frozenset((a, b)) in pairs)
+
+
+def test_postings_are_made_by_many_tasks(spark, monkeypatch):
+    """A small table of fingerprints lies in few files; its 70 entries a row are not made by as few tasks."""
+    seen, made = [], simhash._postings
+    monkeypatch.setattr(simhash, "_postings", lambda fps: seen.append(fps.rdd.getNumPartitions()) or made(fps))
+    simhash.fingerprint_links(spark.range(1000).coalesce(1).selectExpr("xxhash64(id) AS fp"))
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]

@@ -203,7 +203,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, list_rows: int = LIST_R
     """
     if not 0 <= max_bits <= 4:
         raise ValueError("with more than 4 bits fewer than 4 shared bytes are guaranteed")
-    entries = _postings(fps.select("fp").distinct())
+    # Few small files would make few tasks, each with 70 entries a row of its share to sort and hand on.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = _postings(fps.select("fp").distinct().repartition(parts))
     ordered = entries.repartition("key").sortWithinPartitions("key")
     found = written(ordered.mapInArrow(_scan_lists(max_bits, list_rows), "key long, a long, b long"), "simhash-lists")
     links = found.where("key IS NULL").select("a", "b")
