@@ -34,6 +34,8 @@ REJECT_SCORE = 0.3
 SAMPLE_ROWS = 100_000
 #: Words whose evidence a worker remembers for each fit; emptied when full.
 CACHE_WORDS = 100_000
+#: The same for the fit that scores: a worker holds its values only, which leaves room for more words.
+SCORED_WORDS = 300_000
 #: Counts a task holds before it hands them on.
 TASK_COUNTS = 300_000
 
@@ -120,6 +122,8 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Log-likelihood differences of several fits: of seen runs, and of an unseen letter after a seen context."""
 
+    words = CACHE_WORDS
+
     def __init__(self, seen: pa.Table, unseen: pa.Table):
         def index(table: pa.Table) -> dict[str, int]:
             return dict(zip(table.column(0).to_pylist(), range(table.num_rows), strict=True))
@@ -145,16 +149,35 @@ class Model:
 
     def text(self, text: str | None, fit: int) -> float:
         """The strongest word's evidence; of a text without words zero."""
-        best, cache = -math.inf, self.caches[fit]
-        for word in set(words_of(text)):
-            value = cache.get(word)
-            if value is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                value = cache[word] = self.word(word, fit)
-            if value > best:
-                best = value
-        return best if best > -math.inf else 0.0
+        words, cache = set(words_of(text)), self.caches[fit]
+        values = list(map(cache.get, words))
+        if None in values:
+            for at, word in enumerate(words):
+                if values[at] is None:
+                    if len(cache) >= self.words:
+                        cache.clear()
+                    values[at] = cache[word] = self.word(word, fit)
+        return max(values, default=0.0)
+
+
+class Scorer(Model):
+    """The last fit of a :class:`Model` alone, a run's value beside it."""
+
+    words = SCORED_WORDS
+
+    def __init__(self, seen: pa.Table, unseen: pa.Table):
+        def values(table: pa.Table) -> dict[str, float]:
+            return dict(zip(table.column(0).to_pylist(), table.column(table.num_columns - 1).to_pylist(), strict=True))
+
+        self.seen, self.unseen = values(seen), values(unseen)
+        self.caches = [{}]
+
+    def word(self, word: str, fit: int = 0) -> float:
+        total, unseen = 0.0, self.unseen
+        runs = runs_of(word)
+        for run, value in zip(runs, map(self.seen.get, runs), strict=True):
+            total += unseen.get(run[:-1], 0.0) if value is None else value
+        return total / len(runs)
 
 
 _WIDTH = CONTEXT + 1
@@ -293,9 +316,9 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     slope, offset = logistic([(r[0], r[1], r[2]) for r in bins])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = kept(name, lambda: Model(*shipped.value))
+        model = kept(f"{name}-last", lambda: Scorer(*shipped.value))
         for batch in batches:
-            x = np.array([model.text(t.as_py(), FOLDS) for t in batch.column(1)], float)
+            x = np.array([model.text(t, 0) for t in batch.column(1).to_pylist()], float)
             value = 1 / (1 + np.exp(-np.clip(slope * x + offset, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["doc_id", "score"])
 
