@@ -48,3 +48,13 @@ def test_stages_on_planted_documents(spark, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     result = {r.doc_id: r.n_tokens for r in pipeline.run(spark, str(tmp_path)).collect()}
     assert result == {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in texts.items()}
+
+
+def test_near_duplicates_link_by_fingerprint_and_by_similarity(spark):
+    often = "alpha beta gamma " * 50  # three shingles outweigh the others in each bit of a fingerprint
+    ends = [" ".join(f"{kind}{i}" for i in range(30)) for kind in "xyz"]
+    block = " ".join(f"w{i}" for i in range(200))
+    texts = {1: often + ends[0], 2: often + ends[1], 3: often + ends[1] + " and more", 4: block, 5: block + " " + ends[2], 6: ends[2]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == [1, 4, 6]

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tickloom.session import shared_folder
@@ -24,6 +25,7 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     if home.get("name") != name:
         home.pop("value", None)
         gc.collect()
+        pa.default_memory_pool().release_unused()
         give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
         if give_back is not None:
             give_back(0)
