@@ -300,3 +300,23 @@ def test_ticks_from_a_folder_of_parts(spark, sf_dir, tmp_path):
         return sorted(map(tuple, spark.table(name).collect()))
 
     assert rows(tmp_path) == rows(sf_dir)
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """The market's tables, by name, each time they are asked for."""
+    names, own = [], MarketTables.__getitem__
+    monkeypatch.setattr(MarketTables, "__getitem__", lambda self, table: names.append(table) or own(self, table))
+    return names
+
+
+def test_a_full_run_derives_the_bars_once(spark, sf_dir, root, asked):
+    recompute(spark, MarketTables(spark, sf_dir), "2001-06-30", root)
+    assert asked.count("stock_daily") == 1
+
+
+def test_replaced_bars_come_from_the_stored_ones(spark, sf_dir, asked):
+    from checks.updates import _bucketed_counts
+
+    assert _bucketed_counts(spark, sf_dir).count() > 0
+    assert asked == ["stock_daily"]
