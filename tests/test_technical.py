@@ -214,3 +214,41 @@ def test_turnover_needs_a_share_count(spark):
     )
     out = {r.stock_code: r.turnover for r in fill_turnover(bars, capital).collect()}
     assert out == {"a": 10.0, "b": None, "c": None}
+
+
+def test_no_frame_is_as_long_as_its_longest_sum(spark):
+    import re
+
+    from tickloom.operators.technical import technical_rolling
+
+    plan = technical_rolling(_frame(spark, FIXTURES["sh600001"]))._jdf.queryExecution().optimizedPlan().toString()
+    ends = [int(n) for n in re.findall(r"RowFrame, -(\d+), currentrow", plan)]
+    assert ends and max(ends) < 20 and plan.count("-19, currentrow") <= 2
+
+
+def test_series_are_told_apart_whatever_the_batches(spark, computed):
+    rows = [r for rows in FIXTURES.values() for r in rows]
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        ours = technical(_frame(spark, rows).coalesce(1)).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    order = ["stock_code", "trade_date"]
+    pd.testing.assert_frame_equal(*(f.sort_values(order).reset_index(drop=True) for f in (ours, computed)))
+
+
+def test_a_fold_takes_many_series_in_one_call(spark):
+    plan = technical(_frame(spark, FIXTURES["sh600001"]))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
+def test_missing_values_in_composed_sums(spark):
+    rows = [list(r) for r in FIXTURES["sh600001"]]
+    for i in (0, 3, 4, 5, 30, 41, 42):
+        rows[i][5] = None
+    out = technical(_frame(spark, [tuple(r) for r in rows])).toPandas().sort_values("trade_date")
+    close = pd.Series([r[5] for r in rows], dtype=float)
+    for n in (5, 10, 20, 60):
+        theirs = close.rolling(n, min_periods=1).mean()
+        np.testing.assert_allclose(out[f"ma{n}"].astype(float), theirs, rtol=1e-9)
