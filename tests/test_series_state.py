@@ -15,6 +15,7 @@ from tickloom.functions.folds import STATE_COLUMNS, ExpMean, Recursion
 from tickloom.operators import technical as tech
 from tickloom.operators.quality import completeness
 from tickloom.operators.scan import Stretch, exp_means
+from tickloom.operators.technical import technical_scanned
 from tickloom.plans import queries as Q
 from tickloom.plans.pipeline import STATES, load_and_derive
 from tickloom.session import shared_folder
@@ -191,3 +192,27 @@ def test_old_rows_are_not_shuffled_to_meet_a_short_list(spark, sf_dir):
     one, two = (spark.createDataFrame(rows, "a int, b string") for rows in ([(1, "x"), (1, "x"), (2, None)], [(1, "x"), (2, None), (3, "y")]))
     assert _differing(one, two).first().differing == one.exceptAll(two).count() + two.exceptAll(one).count() == 2
     assert _differing(one, one).first().differing == 0 and _differing(one.limit(0), one.limit(0)).first().differing == 0
+
+
+def test_scanned_rows_are_made_once(spark, sf_dir):
+    """Both passes of both rounds read the same shuffled rows, and no group of rows has a call of its own."""
+    out = technical_scanned(view(spark, sf_dir, "bars"))
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "FlatMapGroups" not in plan
+
+
+def test_blocks_that_batches_cut(spark):
+    rows = [(k, i, None if (i * 7 + ord(k)) % 5 in (0, 1) else float((i * 37 + ord(k)) % 11)) for k in "abc" for i in range(40)]
+    frame = spark.createDataFrame(rows, "k string, at long, x double")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {(r.k, r.at): r.m for r in exp_means(frame, "k", "at", "at div 8", {"m": ("x", 0.3)}).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    for k in "abc":
+        xs = np.array([math.nan if x is None else x for s, _, x in rows if s == k])
+        ours = np.array([math.nan if got[k, i] is None else got[k, i] for i in range(40)])
+        np.testing.assert_allclose(ours, ExpMean(0.3).means(xs), rtol=1e-9)
