@@ -320,3 +320,25 @@ def test_replaced_bars_come_from_the_stored_ones(spark, sf_dir, asked):
 
     assert _bucketed_counts(spark, sf_dir).count() > 0
     assert asked == ["stock_daily"]
+
+
+def test_new_months_and_watermarks_need_no_wide_join(spark, root, monkeypatch):
+    """A backfill of months that are not stored is merged with nothing, and watermarks read the stored rows as they are."""
+    from tickloom.plans import pipeline
+
+    def rows(*days):
+        return spark.createDataFrame([("sh600001", dt.date.fromisoformat(d), 1.0) for d in days], "stock_code string, trade_date date, net_inflow double")
+
+    read, marks = [], pipeline.stored_watermarks
+    monkeypatch.setattr(pipeline, "stored_watermarks", lambda data, *names: read.append(data) or marks(data, *names))
+    pipeline.load(spark, {"northbound_flow": rows("2024-05-02", "2024-05-03")}, root)
+    with monkeypatch.context() as m:
+        upsert = merge.upsert
+        m.setattr(merge, "upsert", lambda old, *rest: pytest.fail("nothing stored to merge with") if "net_inflow" in old.columns else upsert(old, *rest))
+        pipeline.load(spark, {"northbound_flow": rows("2024-03-01")}, root)
+    pipeline.load(spark, {"northbound_flow": rows("2024-05-03", "2024-05-06")}, root)
+    assert all("Join" not in f._jdf.queryExecution().optimizedPlan().toString() for f in read)
+    stored = T.scan(spark, f"{root}/tables", "northbound_flow").orderBy("trade_date").collect()
+    assert [str(r.trade_date) for r in stored] == ["2024-03-01", "2024-05-02", "2024-05-03", "2024-05-06"]
+    log = T.read_version(spark, f"{root}/update_log", "update_log").collect()
+    assert [str(r.last_update_date) for r in log] == ["2024-05-06"]
