@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,41 @@ def test_filter_gives_levels_back():
     assert (segment.level(np.full(len(absent), 5), absent) > 0).mean() < 0.02
     values = np.arange(1, 200)
     assert (lm.count_of(lm.level_of(values)) <= values).all() and (lm.count_of(lm.level_of(values)) * 1.5 >= values).all()
+
+
+def test_tokens_are_hashed_from_the_bytes():
+    """Words, ends and hashes of many texts at once are those of each text alone, cut at the six blanks only."""
+    texts = ["", None, " a  b\ta", "a b A\x1fB", "\x0b\x0cend\n", "x " * 3000, "Ä中 中"]
+    rows = pa.array(texts)
+    found = {}
+    for size in (1, 1 << 20):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lm, "BLOCK_BYTES", size)
+            blocks = list(lm._blocks(rows, lm.Powers()))
+        assert [b[0] for b in blocks] == [0, *(b[1] for b in blocks[:-1])] and blocks[-1][1] == len(texts)
+        words = [w for _, _, t in blocks for w in t.words(np.arange(len(t.hashes)))]
+        assert words == [w for t in texts for w in tokens(t)]
+        for word, code in zip(words, np.concatenate([t.hashes for _, _, t in blocks]).tolist(), strict=True):
+            assert found.setdefault(word, code) == code
+    assert len(set(found.values())) == len(found)
+    counts = {w: i + 1 for i, w in enumerate(found) if i % 2}
+    head = lm.Head(*lm.frequent_words(counts))
+    assert head.count(np.array(list(found.values()), np.uint64)).tolist() == [counts.get(w, 0) for w in found]
+
+
+def test_a_probe_reads_one_word_and_the_counts_meet_in_the_bucket(spark):
+    """Every level of an n-gram is one word of its bucket; no aggregate stands between counting and building."""
+    key = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = lm.build_bucket(key, np.full(len(key), 3))
+    assert bucket.dtype == np.uint64
+    for level in range(1, int(lm.level_of(np.array([3]))[0]) + 1):
+        place, mask = lm._probe(key, level, np.uint64(len(bucket)))
+        assert place.max() < len(bucket) and ((bucket[place.astype(int)] & mask) == mask).all()
+    head = spark.sparkContext.broadcast(lm.frequent_words({b"": 1}))
+    texts = spark.createDataFrame([("a b a b",), ("a b",)], "text string").repartition(2)
+    table = lm._bucket_filter(texts, head, 4)
+    assert "Aggregate" not in table._jdf.queryExecution().optimizedPlan().toString()
+    segment = next(lm._segments(table, 4, 1 << 20))
+    a, b = lm.Tokens([b"a b"], lm.Powers()).hashes[:2]
+    pair = lm.bigram_hash(np.array([a]), np.array([b]))
+    assert segment.level(lm._bucket(pair, np.array([b]), np.zeros(1), 4), pair) >= lm.level_of(np.array([3]))

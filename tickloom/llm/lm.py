@@ -12,8 +12,8 @@ probing upwards until a key is missing gives the level back.
 
 The filter is cut into buckets, each with bits in proportion to its keys, and built where the counts of a
 bucket meet. A bigram lies in the bucket of its second word, beside that word's own count; frequent words
-are too many for that and their exact counts travel apart (at most HEAD_SHARE of them), so their bigrams are
-spread. Since the sum falls apart by second word, runs of buckets of at most SEGMENT_BYTES can be
+are too many for that and their exact counts travel apart (at most HEAD_SHARE of them, known by 64 bits of hash), so
+their bigrams are spread. Since the sum falls apart by second word, runs of buckets of at most SEGMENT_BYTES can be
 broadcast one after the other, whatever the corpus.
 """
 
@@ -22,11 +22,9 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +34,18 @@ from tickloom.llm.common import ascii_words, written
 PRIOR = 50.0
 #: Counts of level j are those from LEVEL_BASE ** (j - 1) on.
 LEVEL_BASE = 1.5
-#: Bits for every key of the filter, and how many of them are set.
-KEY_BITS = 10
+#: Bits for every key of the filter, and how many of them are set, all in one word of 64: a probe reads one word.
+KEY_BITS = 12
 PROBES = 5
+WORD_BITS = 64
 #: A broadcast segment's size at most; more keys make more segments.
 SEGMENT_BYTES = 128 << 20
 #: Words with at least a HEAD_SHARE-th of all tokens, so at most HEAD_SHARE words, are known to every worker.
 HEAD_SHARE = 1 << 19
 #: N-grams a task holds before it hands its counts on.
 TASK_NGRAMS = 1 << 21
+#: Bytes of the texts whose tokens are looked up together.
+BLOCK_BYTES = 1 << 20
 CACHE_WORDS = 300_000
 #: Buckets of the filter: at least so many, and one for so many training tokens.
 BUCKETS = 4096
@@ -62,6 +63,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: The hash of the empty word.
+END_HASH = _mix(np.zeros(1, np.uint64))[0]
+#: Which bytes belong to words, and a number for each byte: zero for blanks, odd for others.
+_LETTER = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTES = np.where(_LETTER, _mix(np.arange(1, 257, dtype=np.uint64) * _M1) | np.uint64(1), np.uint64(0))
+
+
 def bigram_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(context * _M1 + word)
 
@@ -71,31 +79,29 @@ def level_of(count: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(count) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
 
 
-def _probe_pair(key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of (n-gram, level) that its probes step through."""
-    first = _mix(key + np.uint64(level * int(_M1) % (1 << 64)))
-    return first, _mix(first) | np.uint64(1)
-
-
-def _place(first: np.ndarray, second: np.ndarray, i: int, bits: np.ndarray) -> np.ndarray:
-    """The place of probe i among the bits of a bucket."""
-    return ((first + np.uint64(i) * second) >> np.uint64(11)) % bits
+def _probe(key: np.ndarray, level: int | np.ndarray, words: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a bucket's words (n-gram, level) lies in, and its bits there."""
+    found = _mix(key + np.asarray(level, np.uint64).reshape(-1) * _M1)
+    mask = np.zeros(len(key), np.uint64)
+    for i in range(PROBES):  # bits 0 to 29 of the hash; its upper half chooses the word
+        mask |= np.uint64(1) << ((found >> np.uint64(6 * i)) & np.uint64(63))
+    return ((found >> np.uint64(32)) * words) >> np.uint64(32), mask
 
 
 def build_bucket(key: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The bytes of a bucket that holds these n-grams."""
+    """The words of a bucket that holds these n-grams."""
     level = level_of(count)
-    size = max(8, -(-int(level.sum()) * KEY_BITS // 8))
-    bits = np.zeros(size * 8, bool)
-    for step in range(1, int(level.max(initial=0)) + 1):
-        pair = _probe_pair(key[level >= step], step)
-        for i in range(PROBES):
-            bits[_place(*pair, i, np.uint64(size * 8))] = True
-    return np.packbits(bits, bitorder="little")
+    size = max(1, -(-int(level.sum()) * KEY_BITS // WORD_BITS))
+    ends = np.cumsum(level)
+    steps = np.arange(1, ends[-1] + 1) - np.repeat(ends - level, level)  # 1 to the level of each n-gram
+    place, mask = _probe(np.repeat(key, level), steps.astype(np.uint64), np.uint64(size))
+    out = np.zeros(size, "<u8")
+    np.bitwise_or.at(out, place.astype(np.int64), mask)
+    return out
 
 
 class Segment:
-    """Consecutive buckets of the filter; ``starts`` are their first bytes, one more at the end."""
+    """Consecutive buckets of the filter; ``starts`` are their first words, one more at the end."""
 
     def __init__(self, first: int, starts: np.ndarray, content: np.ndarray):
         self.first, self.starts, self.content = first, starts, content
@@ -106,17 +112,15 @@ class Segment:
     def level(self, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes, 0 for an n-gram that is not in the filter."""
         out = np.zeros(len(key), np.int64)
-        base = self.starts[bucket - self.first].astype(np.uint64)
-        bits = (self.starts[bucket - self.first + 1].astype(np.uint64) - base) * np.uint64(8)
-        at, level = np.flatnonzero(bits), 0
+        base = self.starts[bucket - self.first]
+        words = self.starts[bucket - self.first + 1] - base
+        at, level = np.flatnonzero(words), 0
+        base, words, key = base[at], words[at].astype(np.uint64), key[at]
         while len(at):
             level += 1
-            first, second = _probe_pair(key[at], level)
-            for i in range(PROBES):  # most absent keys end at the first probes
-                place = _place(first, second, i, bits[at])
-                byte = self.content[base[at] + (place >> np.uint64(3))]
-                there = np.flatnonzero((byte >> (place & np.uint64(7)).astype(np.uint8)) & 1)
-                at, first, second = at[there], first[there], second[there]
+            place, mask = _probe(key, level, words)
+            there = np.flatnonzero((self.content[base + place.astype(np.int64)] & mask) == mask)
+            at, base, words, key = at[there], base[there], words[there], key[there]
             out[at] = level
         return out
 
@@ -131,33 +135,113 @@ def held_out(doc_id: str) -> Column:
     return F.expr(f"coalesce(crc32(CAST(CAST({doc_id} AS STRING) AS BINARY)) % 5 = 1, false)")
 
 
-class _Words:
-    """Hash and, for frequent words, count of a word; a bounded table."""
+def _powers(n: int, base: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1), modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
-    def __init__(self, head: dict[bytes, int]) -> None:
-        self.head = head
-        self._empty()
 
-    def _empty(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.hashes = np.zeros(1 << 16, np.uint64)
-        self.counts = np.zeros(1 << 16, np.int64)
+class Powers:
+    """Powers of the base of a word's hash, and of its inverse: made once for all blocks of a task."""
 
-    def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self._empty()
-        known, before = self.known, len(self.known)
-        places = [known.setdefault(w, len(known)) for w in words]
-        size = len(known)
-        if size > before:
-            if size > len(self.hashes):
-                room = 2 * size - len(self.hashes)
-                self.hashes = np.concatenate([self.hashes, np.zeros(room, np.uint64)])
-                self.counts = np.concatenate([self.counts, np.zeros(room, np.int64)])
-            new = list(islice(reversed(known), size - before))[::-1]  # in order of their places
-            self.hashes[before:size] = [xxhash.xxh64_intdigest(w, 9) for w in new]
-            self.counts[before:size] = [self.head.get(w, 0) for w in new]
-        return self.hashes[places], self.counts[places]
+    def __init__(self) -> None:
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def reach(self, n: int) -> None:
+        if n > len(self.up):
+            self.up, self.down = _powers(n, int(_M2)), _powers(n, pow(int(_M2), -1, 1 << 64))
+
+
+class Tokens:
+    """All tokens of some texts, one behind the other: their hashes, and where they are among the bytes.
+
+    ``bounds`` is where each text's tokens begin, with the end of the last. A word's hash is a polynomial over its bytes
+    modulo 2 ** 64; differences of one running sum give those of all words.
+    """
+
+    def __init__(self, texts: list[bytes], powers: Powers) -> None:
+        self.data = b" ".join(texts) + b" "
+        letters = np.frombuffer(self.data, np.uint8)
+        powers.reach(len(letters))
+        inside = _LETTER[letters]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = (np.concatenate([[0], edges]) if inside[0] else edges).reshape(-1, 2).T
+        sums = _BYTES[letters]
+        sums *= powers.up[: len(sums)]
+        np.add.accumulate(sums, out=sums)  # the blank behind a word adds nothing
+        found = sums[ends] - np.where(starts > 0, sums[starts - 1], np.uint64(0))
+        found = _mix(found * powers.down[starts] + (ends - starts).astype(np.uint64))
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        words = np.diff(np.searchsorted(starts, stops), prepend=0)
+        self.bounds = np.concatenate([[0], np.cumsum(words + 1)])
+        place = np.arange(len(starts)) + np.repeat(np.arange(len(texts)), words)
+        self.hashes = np.full(self.bounds[-1], END_HASH)
+        self.hashes[place] = found
+        self.starts = np.zeros(self.bounds[-1], np.int64)  # an end is the empty word
+        self.ends = np.zeros(self.bounds[-1], np.int64)
+        self.starts[place], self.ends[place] = starts, ends
+
+    def words(self, at: np.ndarray) -> list[bytes]:
+        data = self.data
+        return [data[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]
+
+
+def _blocks(texts: pa.Array, powers: Powers) -> Iterator[tuple[int, int, Tokens]]:
+    """Rows from and to, and their tokens: texts of together at most BLOCK_BYTES, or one."""
+    first, held, size = 0, [], 0
+    for row, text in enumerate(texts):
+        letters = (text.as_py() or "").encode("utf-8").lower()
+        if held and size + len(letters) > BLOCK_BYTES:
+            yield first, row, Tokens(held, powers)
+            first, held, size = row, [], 0
+        held.append(letters)
+        size += len(letters) + 1
+    if held:
+        yield first, first + len(held), Tokens(held, powers)
+
+
+def frequent_words(counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, and counts."""
+    words = [w for w in counts if w != END]
+    hashes = Tokens([b" ".join(words)], Powers()).hashes  # its end comes last
+    n = np.array([counts[w] for w in words] + [counts.get(END, 0)], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+class Head:
+    """Counts of the frequent words by hash, in order of it; ``first`` is where each leading part of a hash begins."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray) -> None:
+        self.hashes, self.counts = hashes, counts
+        bits = len(hashes).bit_length()
+        self.shift = np.uint64(64 - bits)
+        first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.first = np.append(first, len(hashes))
+
+    def count(self, found: np.ndarray) -> np.ndarray:
+        """The count of each word, 0 for one that is not frequent."""
+        out = np.zeros(len(found), np.int64)
+        part = (found >> self.shift).astype(np.int64)
+        at, last = self.first[part], self.first[part + 1]
+        rows = np.flatnonzero(at < last)
+        at, last, found = at[rows], last[rows], found[rows]
+        while len(rows):
+            hit = self.hashes[at] == found
+            out[rows[hit]] = self.counts[at[hit]]
+            at += 1
+            more = ~hit & (at < last)
+            rows, at, last, found = rows[more], at[more], last[more], found[more]
+        return out
+
+
+def _contexts(word: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The hash of the token before each; before a text's first that of the end."""
+    context = np.empty_like(word)
+    context[1:] = word[:-1]
+    context[bounds[:-1]] = END_HASH
+    return context
 
 
 def _word_key(word: np.ndarray) -> np.ndarray:
@@ -188,29 +272,36 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value is not the one before it; the first place is one."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+
+
 def _bucket_filter(texts: DataFrame, head, buckets: int) -> DataFrame:
     """``bucket, size, bits``: the filter over bigrams and rare words of the training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _Words(head.value)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
             key = np.concatenate([h[0] for h in held])
-            key, first, n = np.unique(key, return_index=True, return_counts=True)
-            bucket = np.concatenate([h[1] for h in held])[first]
+            order = np.argsort(key)
+            key = key[order]
+            first = _changes(key)
+            n = np.diff(np.append(first, len(key)))
+            key, bucket = key[first], np.concatenate([h[1] for h in held])[order[first]]
             for at in range(0, len(key), 100_000):
                 part = slice(at, at + 100_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket[part].astype(np.int32)), pa.array(key[part].view(np.int64)), pa.array(n[part].astype(np.int64))], names=["bucket", "key", "n"]
                 )
 
+        known_words, powers = Head(*head.value), Powers()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                word, known = table.look([END, *ascii_words(text), END])
-                key, known = bigram_hash(word[:-1], word[1:]), known[1:]
-                word = word[1:]
+            for _, _, tokens in _blocks(batch.column(0), powers):
+                word, known = tokens.hashes, known_words.count(tokens.hashes)
+                key = bigram_hash(_contexts(word, tokens.bounds), word)
                 rare = known == 0
                 held.append((key, _bucket(key, word, known, buckets)))
                 held.append((_word_key(word[rare]), _bucket(key[rare], word[rare], known[rare], buckets)))
@@ -229,14 +320,17 @@ def _bucket_filter(texts: DataFrame, head, buckets: int) -> DataFrame:
         del parts
         order = np.argsort(bucket, kind="stable")
         bucket, key, n = bucket[order], key[order].view(np.uint64), n[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+        cuts = np.append(_changes(bucket), len(bucket))
         for a, b in zip(cuts, cuts[1:], strict=False):
-            bits = build_bucket(key[a:b], n[a:b]).tobytes()
+            own = np.argsort(key[a:b])
+            keys = key[a:b][own]
+            first = _changes(keys)  # the counts of all tasks meet here
+            bits = build_bucket(keys[first], np.add.reduceat(n[a:b][own], first)).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket[a]], pa.int32()), pa.array([len(bits)], pa.int64()), pa.array([bits], pa.binary())], names=["bucket", "size", "bits"]
             )
 
-    counted = texts.mapInArrow(count, "bucket int, key long, n long").repartition("bucket").groupBy("bucket", "key").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "bucket int, key long, n long").repartition("bucket")
     return counted.mapInArrow(build, "bucket int, size long, bits binary")
 
 
@@ -248,10 +342,10 @@ def _segments(table: DataFrame, buckets: int, segment_bytes: int) -> Iterator[Se
     first = 0
     while first < buckets:
         last = first + max(1, int(np.searchsorted(np.cumsum(sizes[first:]), segment_bytes, side="right")))
-        starts = np.concatenate([[0], np.cumsum(sizes[first:last])])
-        content = np.zeros(int(starts[-1]), np.uint8)
+        starts = np.concatenate([[0], np.cumsum(sizes[first:last]) * 8 // WORD_BITS])
+        content = np.zeros(int(starts[-1]), "<u8")
         for row in table.where(f"bucket >= {first} AND bucket < {last}").select("bucket", "bits").toLocalIterator():
-            content[starts[row[0] - first] : starts[row[0] - first + 1]] = np.frombuffer(row[1], np.uint8)
+            content[starts[row[0] - first] : starts[row[0] - first + 1]] = np.frombuffer(row[1], "<u8")
         yield Segment(first, starts, content)
         first = last
 
@@ -273,7 +367,7 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     counts = written(train.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = {bytes(r[0]): r[1] for r in counts.where(F.col("n") * HEAD_SHARE >= total).collect()}
-    head = spark.sparkContext.broadcast(frequent)
+    head = spark.sparkContext.broadcast(frequent_words(frequent))
     starts = frequent.get(END, 0)  # ends are in every text, so they are always frequent, unless texts are very long
     if not starts and total:
         starts = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -284,22 +378,12 @@ def scores(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
 
     def scorer(segment, first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, own = _Words(head.value), Segment(*segment.value)
-            end = xxhash.xxh64_intdigest(END, 9)
+            own, known_words, powers = Segment(*segment.value), Head(*head.value), Powers()
             for whole in batches:
-                for cut in range(0, whole.num_rows, 128):
-                    batch = whole.slice(cut, 128)
-                    tokens: list[bytes] = []
-                    limits = [0]
-                    for text in batch.column(2).to_pylist():
-                        tokens += ascii_words(text)
-                        tokens.append(END)
-                        limits.append(len(tokens))
-                    bounds = np.array(limits)
-                    word, known = table.look(tokens)
-                    context = np.empty_like(word)
-                    context[1:] = word[:-1]
-                    context[bounds[:-1]] = end
+                for start, stop, tokens in _blocks(whole.column(2), powers):
+                    batch, bounds = whole.slice(start, stop - start), tokens.bounds
+                    word, known = tokens.hashes, known_words.count(tokens.hashes)
+                    context = _contexts(word, bounds)
                     owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
                     extra = _seen_part(own, context, word, known, owner, batch.num_rows, divisor, buckets)
                     if not first:
@@ -363,7 +447,7 @@ def _seen_part(segment: Segment, context, word, known, owner, texts: int, diviso
 
 
 def _unigram_part(batch, tokens, bounds, known, owner, extra, starts: int, divisor: float) -> Iterator[pa.RecordBatch]:
-    """A row for each text with what its frequent words and its start give, and one for each rare word in it."""
+    """A row for each text with what its frequent words and its start give, and one for each place of a rare word."""
     texts = batch.num_rows
     frequent = known > 0
     log_p = np.log10((known + 0.5) / divisor)
@@ -387,18 +471,17 @@ def _unigram_part(batch, tokens, bounds, known, owner, extra, starts: int, divis
         names=_names(),
     )
     at = np.flatnonzero(~frequent)
-    counts = Counter(zip(owner[at].tolist(), [tokens[i] for i in at], strict=True))
-    if not counts:
+    if not len(at):
         return
-    text = pa.array([k[0] for k in counts], pa.int64())
-    size = len(counts)
+    text = pa.array(owner[at])
+    size = len(at)
     zero = pa.array(np.zeros(size))
     yield pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(text),
             batch.column(1).take(text),
-            pa.array([k[1] for k in counts], pa.binary()),
-            pa.array(list(counts.values()), pa.int64()),
+            pa.array(tokens.words(at), pa.binary()),
+            pa.array(np.ones(size, np.int64)),
             pa.array(np.zeros(size, np.int64)),
             pa.array(np.zeros(size, np.int64)),
             zero,
