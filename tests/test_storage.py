@@ -402,3 +402,14 @@ def test_a_full_run_over_stored_tables_writes_each_row_once(spark, sf_dir, root,
     series = technical_with_states(store["stock_daily"])
     for found, wanted in ((stored, T.conform(series, "technical_indicators")), (T.read_version(spark, f"{root}/derived", pipeline.STATES), fold_states(series))):
         assert sorted(map(str, found.collect())) == sorted(map(str, wanted.select(found.columns).collect()))
+
+
+def test_wide_tables_are_cast_the_long_way(spark, sf_dir, monkeypatch):
+    """The code that makes decimals of more doubles by whole units would not fit a method."""
+    short, own = [], T.to_decimal
+    monkeypatch.setattr(T, "to_decimal", lambda *args: short.append(args[0]) or own(*args))
+    tables = MarketTables(spark, sf_dir)
+    T.conform(tables["financial_intermediate"], "financial_intermediate")
+    assert not short
+    T.conform(tables["technical_indicators"], "technical_indicators")
+    assert 0 < len(short) <= T.UNITS_COLUMNS
