@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import posixpath
 import sys
 import uuid
 from collections.abc import Callable
@@ -13,7 +14,8 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickloom.session import shared_folder
+from tickloom.session import shared_folder, shuffles_removed
+from tickloom.sources.tables import _remove
 
 
 def kept(name: str, make: Callable[[], Any]) -> Any:
@@ -38,10 +40,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: read back as often as needed, safe from lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more, frames still to be computed included."""
+    for table in tables:
+        for folder in {posixpath.dirname(f) for f in table.inputFiles()}:
+            _remove(table.sparkSession, folder)
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text in UTF-8, A-Z in lower case; null has none.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import written
+from tickloom.llm.common import forget, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     The component is the smallest node that can be reached. Large-star and small-star steps alternate
     until the edges stay the same, a number of rounds that grows with the logarithm of the longest
     path. Minima combine on the map side; in the joins one side has a row per node, so that adaptive
-    execution splits a hub. Each round is written to the shared folder. Edges with a null or from a
+    execution splits a hub. Each round is written to the shared folder and replaces the one before. Edges with a null or from a
     node to itself give no node; repeated edges change nothing.
     """
     now = written(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "edges")
@@ -39,4 +39,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("component"))
             ).distinct()
         seen = state
-        now = written(_small_star(_large_star(now)).where("a <> b").distinct(), "edges")
+        before, now = now, written(_small_star(_large_star(now)).where("a <> b").distinct(), "edges")
+        forget(before)
