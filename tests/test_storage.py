@@ -1,9 +1,12 @@
 """Schemas, storage, merges, streaming and the pipeline."""
 
 import datetime as dt
+import glob
+import os
 import time
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -413,3 +416,32 @@ def test_wide_tables_are_cast_the_long_way(spark, sf_dir, monkeypatch):
     assert not short
     T.conform(tables["technical_indicators"], "technical_indicators")
     assert 0 < len(short) <= T.UNITS_COLUMNS
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def _gone(spark, before):
+    until = time.time() + 20  # executors remove them a moment later
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    return not _shuffle_files(spark) - before
+
+
+def _codecs(folder):
+    files = glob.glob(f"{folder.removeprefix('file:')}/**/*.parquet", recursive=True)
+    assert files
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups}
+
+
+def test_what_is_stored_is_packed_and_leaves_no_shuffle(spark, root):
+    before = _shuffle_files(spark)
+    rows = _flow(spark, [(f"s{i}", D(2020, 1 + i % 3, 1), float(i)) for i in range(50)]).repartition(3)
+    T.export({"northbound_flow": rows}, f"{root}/t", ["northbound_flow"])
+    T.commit_version(spark, {"flow": rows}, f"{root}/v")
+    T.land(rows, "northbound_flow", f"{root}/landed")
+    assert [_codecs(f"{root}/{x}") for x in ("t", "v", "landed")] == [{"ZSTD"}] * 3
+    assert _gone(spark, before)
+    assert T.read_version(spark, f"{root}/v", "flow").exceptAll(rows).isEmpty()
