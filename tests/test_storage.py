@@ -445,3 +445,40 @@ def test_what_is_stored_is_packed_and_leaves_no_shuffle(spark, root):
     assert [_codecs(f"{root}/{x}") for x in ("t", "v", "landed")] == [{"ZSTD"}] * 3
     assert _gone(spark, before)
     assert T.read_version(spark, f"{root}/v", "flow").exceptAll(rows).isEmpty()
+
+
+def test_a_version_may_have_tables_of_an_earlier_one(spark, root):
+    one, two = _flow(spark, [("a", D(2020, 1, 1), 1.0)]), _flow(spark, [("a", D(2020, 1, 1), 2.0)])
+    T.commit_version(spark, {"flow": one, "other": two}, root)
+    T.commit_version(spark, {"flow": two}, root, (1, ["other"]))
+    T.commit_version(spark, {"flow": one}, root, (2, ["other"]))
+    assert T.table_folder(spark, root, 3, "other") == T.table_folder(spark, root, 1, "other")
+    assert T.has_table(spark, root, "other", 3) and not T.has_table(spark, root, "another", 3)
+    assert T.read_version(spark, root, "other").first().net_inflow == 2.0
+    assert [T.read_version(spark, root, "flow", v).first().net_inflow for v in (1, 2, 3)] == [1.0, 2.0, 1.0]
+
+
+class Few(MarketTables):
+    """The market of some symbols."""
+
+    def __getitem__(self, table):
+        return super().__getitem__(table).where("right(stock_code, 1) IN ('1', '2')")
+
+
+def test_another_day_derives_valuations_only(spark, sf_dir, root, monkeypatch):
+    """Dividends that enter or leave the year change nothing but valuations: the other tables stay where they are."""
+    from tickloom.plans import pipeline
+
+    tables = Few(spark, sf_dir)
+    recompute(spark, tables, "2000-03-31", root)
+    with monkeypatch.context() as m:
+        for name in ("technical_since", "technical_with_states"):
+            m.setattr(pipeline, name, lambda *args: pytest.fail("indicators do not depend on the day"))
+        assert recompute(spark, tables, "2001-06-30", root, tables["stock_master"].where("false").select("stock_code")) == 2
+    recompute(spark, tables, "2001-06-30", f"{root}-whole")
+    for name in (*DERIVED, pipeline.STATES):
+        same = T.table_folder(spark, root, 2, name) == T.table_folder(spark, root, 1, name)
+        assert same == (name != "valuation_indicators"), name
+    one, two = T.read_version(spark, root, "valuation_indicators"), T.read_version(spark, f"{root}-whole", "valuation_indicators")
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
+    assert not T.read_version(spark, root, "valuation_indicators", 1).exceptAll(one).isEmpty()
