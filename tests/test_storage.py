@@ -482,3 +482,19 @@ def test_another_day_derives_valuations_only(spark, sf_dir, root, monkeypatch):
     one, two = T.read_version(spark, root, "valuation_indicators"), T.read_version(spark, f"{root}-whole", "valuation_indicators")
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
     assert not T.read_version(spark, root, "valuation_indicators", 1).exceptAll(one).isEmpty()
+
+
+def test_whole_series_of_some_symbols_are_derived_as_in_a_full_run(spark, sf_dir, root, asked, monkeypatch):
+    """No state is read for them, the bars are derived once, and what others read is that of a full run."""
+    from tickloom.plans import pipeline
+
+    monkeypatch.setattr(pipeline, "technical_since", lambda *args: pytest.fail("there is no state to go on from"))
+    tables = Few(spark, sf_dir)
+    recompute(spark, tables, "2001-06-30", root)
+    asked.clear()
+    half = tables["stock_master"].where("right(stock_code, 1) = '1'").select("stock_code")
+    assert recompute(spark, tables, "2001-06-30", root, half) == 2 and asked.count("stock_daily") == 1
+    for name in (*DERIVED, pipeline.STATES):
+        one, two = (T.read_version(spark, root, name, v) for v in (1, 2))
+        assert one.columns == two.columns and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty(), name
+        assert T.table_folder(spark, root, 2, name) != T.table_folder(spark, root, 1, name)
