@@ -498,3 +498,20 @@ def test_whole_series_of_some_symbols_are_derived_as_in_a_full_run(spark, sf_dir
         one, two = (T.read_version(spark, root, name, v) for v in (1, 2))
         assert one.columns == two.columns and one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty(), name
         assert T.table_folder(spark, root, 2, name) != T.table_folder(spark, root, 1, name)
+
+
+def test_a_landing_folder_goes_when_its_rows_are_merged(spark, sf_dir, root, monkeypatch):
+    from tickloom.plans import pipeline
+
+    seen = []
+
+    def derive(spark, tables, as_of, folder, symbols, first_days):
+        landed = f"{root}/landing".removeprefix("file:")
+        seen.append((os.listdir(f"{landed}/{os.listdir(landed)[0]}"), sorted(symbols.collect()), sorted(first_days.collect())))
+        return 1
+
+    monkeypatch.setattr(pipeline, "recompute", derive)
+    bars = spark.createDataFrame([("a", D(2020, 1, d), 1.0) for d in (2, 1)] + [("b", D(2020, 2, 1), 2.0)], "stock_code string, trade_date date, close double")
+    load_and_derive(spark, {"stock_daily": bars, "northbound_flow": _flow(spark, [("c", D(2020, 1, 1), 1.0)])}, "2020-06-30", root)
+    assert seen == [([], [("a",), ("b",), ("c",)], [("a", D(2020, 1, 1)), ("b", D(2020, 2, 1))])]
+    assert T.scan(spark, f"{root}/tables", "stock_daily").count() == 3
