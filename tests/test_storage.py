@@ -515,3 +515,9 @@ def test_a_landing_folder_goes_when_its_rows_are_merged(spark, sf_dir, root, mon
     load_and_derive(spark, {"stock_daily": bars, "northbound_flow": _flow(spark, [("c", D(2020, 1, 1), 1.0)])}, "2020-06-30", root)
     assert seen == [([], [("a",), ("b",), ("c",)], [("a", D(2020, 1, 1)), ("b", D(2020, 2, 1))])]
     assert T.scan(spark, f"{root}/tables", "stock_daily").count() == 3
+
+
+def test_filled_in_bars_are_derived_once(spark, sf_dir):
+    from checks.indicators import _backfilled
+
+    assert not [f for f in _backfilled(spark, sf_dir).inputFiles() if f.endswith("lineitem.parquet")]
