@@ -521,3 +521,12 @@ def test_filled_in_bars_are_derived_once(spark, sf_dir):
     from checks.indicators import _backfilled
 
     assert not [f for f in _backfilled(spark, sf_dir).inputFiles() if f.endswith("lineitem.parquet")]
+
+
+def test_a_family_is_shuffled_once_for_both_sides(spark, sf_dir):
+    from checks.registry import all_checks
+
+    found = all_checks()["recompute_valuation_indicators"].query(spark, sf_dir)
+    assert {r.column_name for r in found.collect() if not r.passed} == {"pe_ttm"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan[: plan.index("Initial Plan")] and any("lineitem" in f for f in found.inputFiles())
