@@ -77,3 +77,11 @@ def test_no_rows(spark, sf_dir):
     root, empty = f"{shared_folder(spark)}/{uuid.uuid4().hex}", MarketTables(spark, sf_dir)["stock_capital"].where("false")
     B.store_bucketed(empty, root, "stock_capital", 3)
     assert B.bucketed(spark, root, "stock_capital").count() == 0
+
+
+def test_buckets_are_packed_and_leave_no_shuffle(spark, sf_dir):
+    from test_storage import _codecs, _gone, _shuffle_files
+
+    before, root = _shuffle_files(spark), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    B.store_bucketed(MarketTables(spark, sf_dir)["stock_capital"], root, "stock_capital", 3)
+    assert _codecs(root) == {"ZSTD"} and _gone(spark, before)
