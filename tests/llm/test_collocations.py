@@ -84,6 +84,18 @@ def test_small_tries_and_bitmaps(spark, rows, monkeypatch):
     same(collocations.collocations(docs(spark, rows).repartition(4), 3, 4, 2000), naive(rows, 3, 4, 2000))
 
 
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_tries_share_a_pass_over_the_texts(spark, rows, monkeypatch, share):
+    """As many at a time as may be in store; what is counted does not depend on it."""
+    passes, tries, own, collected = [], [], collocations.written, collocations._collected
+    monkeypatch.setattr(collocations, "written", lambda df, label: passes.append(label) or own(df, label))
+    monkeypatch.setattr(collocations, "_collected", lambda row: tries.append(1) or collected(row))
+    monkeypatch.setattr(collocations, "TRIE_BYTES", 700)
+    monkeypatch.setattr(collocations, "TRIES", share)
+    same(collocations.collocations(docs(spark, rows).repartition(4), 3, 4, 2000), naive(rows, 3, 4, 2000))
+    assert len(tries) > 3 and passes.count("phrase-counts") == -(-len(tries) // share)
+
+
 @pytest.mark.parametrize("rows", [[], [("en", None)], [("en", "one two three")]])
 def test_nothing_frequent(spark, rows):
     assert collocations.collocations(docs(spark, rows)).count() == 0

@@ -26,8 +26,8 @@ from tickloom.llm.tries import Trie, build
 
 #: Bits of the bitmap for each frequent phrase, and how many there are at most (128 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 30
-#: Bytes of candidates in one trie, which is broadcast; each trie is one more pass over the texts.
-TRIE_BYTES = 10 << 20
+#: Bytes of candidates in one trie, which is broadcast, and how many tries share a pass over the texts.
+TRIE_BYTES, TRIES = 10 << 20, 8
 #: Bytes of text that are taken apart at once.
 PIECE = 4 << 20
 #: Longer words are in a trie by their digest, after a character that no word has.
@@ -225,31 +225,50 @@ _SHORT = rf"""array_join(transform(split(phrase, ' ', -1),
     w -> if(octet_length(w) > {LONG_WORD}, concat(decode(X'0B', 'UTF-8'), sha2(CAST(w AS BINARY), 256)), w)), ' ')"""
 
 
-def _counter(shared, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of a trie's phrases in a task's texts."""
+def _in_turn(shared):
+    """A broadcast's value, which the worker does not keep: of those it takes in turn it holds one."""
+    value = shared.value
+    if getattr(shared, "_path", None) is not None:  # where it can be read from again
+        del shared._value
+    return value
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, langs, trie = shared.value
+
+def _counter(group: list, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of the phrases of some tries in a task's texts, which are taken apart once for all of them."""
+
+    def counts_of(places: Places, langs: list[str], trie: Trie, data: np.ndarray, starts: np.ndarray, pairs: np.ndarray, where: np.ndarray) -> np.ndarray:
         roots, keys = {name: i for i, name in enumerate(langs, 1)}, len(trie.accepting)
         counts, accepts = np.zeros(keys, np.int64), trie.numbers()
+        root = np.array([roots.get(name, 0) for name in places.langs], np.int64)
+        one = trie.walk(root[pairs // (len(places.words) + 1)], pairs % (len(places.words) + 1), data, starts) if len(pairs) else pairs
+        at = np.flatnonzero(one[where] > 0)
+        states = one[where[at]]
+        for level in range(1, size + 1):
+            if level > 1:
+                on = (at + level - 1 < len(places)) & (states > 0)
+                at, states = at[on], states[on]
+                on = places.piece[at] == places.piece[at + level - 1]
+                at, states = at[on], trie.step(states[on], ord(" "))
+                at, states = at[states > 0], states[states > 0]
+                states = trie.walk(states, places.code[at + level - 1], data, starts)
+            accepted = accepts[states]
+            counts += np.bincount(accepted[accepted >= 0], minlength=keys)
+        return counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
         for places in _places(batches):
             data, starts = _bytes_of(_short(places.words))
-            root = np.array([roots.get(name, 0) for name in places.langs], np.int64)
             pairs, where = np.unique(places.lang * (len(places.words) + 1) + places.code, return_inverse=True)
-            one = trie.walk(root[pairs // (len(places.words) + 1)], pairs % (len(places.words) + 1), data, starts) if len(pairs) else pairs
-            at, states = np.arange(len(places)), one[where]
-            for level in range(1, size + 1):
-                if level > 1:
-                    on = (at + level - 1 < len(places)) & (states > 0)
-                    at, states = at[on], states[on]
-                    on = places.piece[at] == places.piece[at + level - 1]
-                    at, states = at[on], trie.step(states[on], ord(" "))
-                    at, states = at[states > 0], states[states > 0]
-                    states = trie.walk(states, places.code[at + level - 1], data, starts)
-                accepted = accepts[states]
-                counts += np.bincount(accepted[accepted >= 0], minlength=keys)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(first + seen), pa.array(counts[seen])], names=["number", "f"])
+            for shared in group:
+                first, langs, trie = _in_turn(shared) if len(group) > 1 else shared.value
+                counts = counts_of(places, langs, trie, data, starts, pairs, where)
+                if first not in found:
+                    found[first] = np.zeros(len(counts), np.uint32)  # no task has so many words
+                found[first] += counts.astype(np.uint32)
+        for first, counts in found.items():
+            seen = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(first + seen), pa.array(counts[seen].astype(np.int64))], names=["number", "f"])
 
     return run
 
@@ -277,11 +296,13 @@ def counted(texts: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFra
     schema = "run long, first long, langs array<string>, base binary, check binary, accepting binary"
     tries = written(numbered.groupBy("run").applyInArrow(_trie, schema), "phrase-tries")
     counts = None
-    for run in sorted(r.run for r in tries.select("run").collect()):
-        shared = context.broadcast(_collected(tries.where(F.col("run") == run)))
-        sums = texts.mapInArrow(_counter(shared, size), "number long, f long").groupBy("number").agg(F.sum("f").alias("f"))
+    runs = sorted(r.run for r in tries.select("run").collect())
+    for start in range(0, len(runs), TRIES):
+        group = [context.broadcast(_collected(tries.where(F.col("run") == run))) for run in runs[start : start + TRIES]]
+        sums = texts.mapInArrow(_counter(group, size), "number long, f long").groupBy("number").agg(F.sum("f").alias("f"))
         part = written(sums.where(f"f >= {least}"), "phrase-counts")
-        shared.unpersist()
+        for shared in group:
+            shared.destroy()
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         counts = spark.createDataFrame([], "number long, f long")
