@@ -129,3 +129,11 @@ def test_tries():
         states = trie.walk(np.array([names.index(k[0]) + 1 for k in asked]), np.arange(len(asked)), text, begins)
         place = {k: i for i, k in enumerate(keys)}
         assert trie.numbers()[states].tolist() == [place.get(k, -1) for k in asked]
+
+
+def test_firsts_and_distinct_numbers():
+    rng = np.random.default_rng(3)
+    for values in (np.zeros(0, np.int64), np.array([5]), rng.integers(0, 50, 400)):
+        assert sorted(collocations._firsts(values.astype(np.uint64))) == sorted(np.unique(values, return_index=True)[1])
+        for ours, theirs in zip(collocations._distinct(values), np.unique(values, return_inverse=True), strict=True):
+            assert ours.tolist() == theirs.tolist()

@@ -154,6 +154,18 @@ def _supported(texts: DataFrame, size: int, least: int, shorter) -> DataFrame:
     return written(supports.where(f"support >= {least}").select("h"), f"phrases-{size}")
 
 
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where each value occurs first."""
+    codes = pa.array(values).dictionary_encode().indices.to_numpy(zero_copy_only=False)  # numbered as they come
+    return np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of small whole numbers, and which of them each value is."""
+    there = np.bincount(values) > 0
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[values]
+
+
 def _candidates(texts: DataFrame, bitmaps: list) -> DataFrame:
     """Distinct phrases of all levels whose hash has the support; with a null phrase the words of a language."""
 
@@ -163,7 +175,7 @@ def _candidates(texts: DataFrame, bitmaps: list) -> DataFrame:
             for size, bitmap in enumerate(bitmaps, 1):
                 at, hashes = _possible(places, size, bitmaps[size - 2].value if size > 1 else None)
                 on = bitmap.value.has(hashes)
-                at = at[on][np.unique(hashes[on], return_index=True)[1]]
+                at = at[on][_firsts(hashes[on])]
                 rows.append((places.lang[at], places.phrases(at, size), np.zeros(len(at), np.int64)))
             totals = np.bincount(places.lang, minlength=len(places.langs))
             rows.append((np.arange(len(totals)), pa.nulls(len(totals), pa.string()), totals))
@@ -259,7 +271,7 @@ def _counter(group: list, size: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
         found: dict[int, np.ndarray] = {}
         for places in _places(batches):
             data, starts = _bytes_of(_short(places.words))
-            pairs, where = np.unique(places.lang * (len(places.words) + 1) + places.code, return_inverse=True)
+            pairs, where = _distinct(places.lang * (len(places.words) + 1) + places.code)
             for shared in group:
                 first, langs, trie = _in_turn(shared) if len(group) > 1 else shared.value
                 counts = counts_of(places, langs, trie, data, starts, pairs, where)
